@@ -7,6 +7,8 @@ import importlib
 #: query -> module that has it
 _WHERE = {
     "op2_byte_bpe": "bpe",
+    "op8_quality_rules": "quality",
+    "op9_decontaminate": "decontam",
 }
 
 
