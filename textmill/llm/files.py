@@ -16,7 +16,7 @@ def open_output(folder: str, stem: str, suffix: str):
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
     name = f"{stem}-{uuid.uuid4().hex}{suffix}"
-    return f"{folder}/{name}", system.open_output_stream(f"{path}/{name}")
+    return f"{folder}/{name}", system.open_output_stream(f"{path}/{name}", compression=None)
 
 
 def open_input(address: str):

@@ -7,6 +7,7 @@ import importlib
 #: query -> module that has it
 _WHERE = {
     "op2_byte_bpe": "bpe",
+    "op4_warc": "warc",
     "op5_packed_ids": "packed",
     "op8_quality_rules": "quality",
     "op9_decontaminate": "decontam",
