@@ -6,7 +6,9 @@ import importlib
 
 #: query -> module that has it
 _WHERE = {
+    "op1_langid": "langcode",
     "op2_byte_bpe": "bpe",
+    "op3_url_filter": "urlrules",
     "op4_warc": "warc",
     "op5_packed_ids": "packed",
     "op8_quality_rules": "quality",
