@@ -32,6 +32,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """findall of a split pattern."""
+    import regex
+
+    return regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]")).findall
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one pre-token.
 
@@ -42,13 +49,16 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if (whole := get(piece)) is not None:
         return [whole]
     n = len(piece)
-    pair = [get(piece[i : i + 2]) for i in range(n)]
-    pair[-1] = None
+    pair: list[int | None] = [None] * n
     after, before = list(range(1, n + 1)), list(range(-1, n))
     buckets: dict[int, list[int]] = {}
     words: dict[int, int] = {}
     top = 0
-    pushes = [(rank, i) for i, rank in enumerate(pair) if rank is not None]
+    pushes = []
+    for i in range(n - 1):
+        if (rank := get(piece[i : i + 2])) is not None:
+            pair[i] = rank
+            pushes.append((rank, i))
     while True:
         for rank, i in pushes:
             if rank in buckets:
@@ -101,14 +111,12 @@ class ByteBPE:
     """Encoder and decoder for one file of ranks and one split pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import regex
-
         self.ranks = ranks
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, i in ranks.items():
             self.tokens[i] = token
         self.decimals = [str(i) for i in range(len(self.tokens))]
-        self.split = regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]")).findall
+        self.split = splitter(pattern)
         self._pieces: dict[str, list[int]] = {}
         self._chunks: dict[str, tuple[int, ...]] = {}
 

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: A word-chunk cache is emptied beyond this many entries, so a worker's memory stays bounded.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 2_000_000
 #: Longer chunks are not cached.
 LONGEST_CACHED = 64
 #: Python code handles at most about this many bytes of text at once (one longer text is handled alone).

@@ -11,6 +11,7 @@ _WHERE = {
     "op3_url_filter": "urlrules",
     "op4_warc": "warc",
     "op5_packed_ids": "packed",
+    "op6_token_counts": "unigram",
     "op8_quality_rules": "quality",
     "op9_decontaminate": "decontam",
 }
