@@ -14,6 +14,7 @@ _WHERE = {
     "op6_token_counts": "unigram",
     "op8_quality_rules": "quality",
     "op9_decontaminate": "decontam",
+    "op10_near_duplicates": "neardup",
 }
 
 
