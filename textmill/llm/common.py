@@ -56,13 +56,13 @@ class Scratch:
             return
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut into runs of rows of about SLICE_BYTES of text."""
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut into runs of rows of about `most` bytes of text."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start = total = 0
         for i, n in enumerate(lengths.tolist()):
-            if total and total + n > SLICE_BYTES:
+            if total and total + n > most:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n

@@ -12,6 +12,7 @@ _WHERE = {
     "op4_warc": "warc",
     "op5_packed_ids": "packed",
     "op6_token_counts": "unigram",
+    "op7_suffix_dedup": "suffixdedup",
     "op8_quality_rules": "quality",
     "op9_decontaminate": "decontam",
     "op10_near_duplicates": "neardup",
