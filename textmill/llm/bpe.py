@@ -26,6 +26,9 @@ from textmill.llm.common import CACHE_ENTRIES, LONGEST_CACHED, map_arrow, word_c
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+ARROW = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """The ranks of a file of base64 tokens and numbers."""
     with open(path, "rb") as lines:
@@ -157,15 +160,15 @@ def shared_bpe(path: str, pattern: str) -> ByteBPE:
 
 def encode_table(df: DataFrame, path: str, pattern: str, finish: Callable[[ByteBPE, list[int]], tuple], schema: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key and finish(encoder, ids) for every row; no shuffle, one pass over key and text."""
-    names = [x.split()[0] for x in schema.split(",")]
+    names, kinds = zip(*((x.split()[0], ARROW[x.split()[1]]) for x in schema.split(",")), strict=True)
 
     def make():
         bpe = shared_bpe(path, pattern)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows = [finish(bpe, bpe.encode(x)) for x in batch.column(1).to_pylist()]
-            cols = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
-            return pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols)], [key, *names])
+            cols = list(zip(*rows, strict=True)) or [()] * len(names)
+            return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], [key, *names])
 
         return work
 
@@ -186,6 +189,11 @@ def round_trip_digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     return encode_table(df, path, pattern, _digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def encode_digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and the ids."""
+    return encode_table(df, path, pattern, lambda bpe, ids: (*_digest(bpe, ids), ids), "n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 

@@ -127,9 +127,9 @@ def judge(df: DataFrame, limits: RepeatLimits = RepeatLimits(), text: str = "tex
 def keep_good(df: DataFrame, limits: RepeatLimits = RepeatLimits(), text: str = "text") -> DataFrame:  # noqa: B008
     """The rows that the rules keep, with all their columns; nothing is shuffled."""
 
-    def make():
-        place = df.columns.index(text)
+    place = df.columns.index(text)
 
+    def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             kept = _judge(pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows), batch.column(place)], ["key", "text"]), limits)[6]
             return batch.filter(pa.array(kept))
