@@ -20,7 +20,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import CACHE_ENTRIES, LONGEST_CACHED, map_arrow, word_chunks
+from textmill.llm.common import Cache, map_arrow, word_chunks
 
 #: White space as the public splitters mean it; Python's \s has four more characters.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -120,33 +120,24 @@ class ByteBPE:
             self.tokens[i] = token
         self.decimals = [str(i) for i in range(len(self.tokens))]
         self.split = splitter(pattern)
-        self._pieces: dict[str, list[int]] = {}
-        self._chunks: dict[str, tuple[int, ...]] = {}
+        self._pieces, self._chunks = Cache(), Cache()
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """The ids of a text, split by the pattern."""
-        found, pieces = [], self._pieces
-        for piece in self.split(chunk):
-            if (ids := pieces.get(piece)) is None:
-                ids = merge(piece.encode(), self.ranks)
-                if len(piece) <= LONGEST_CACHED:
-                    pieces[piece] = ids
-            found += ids
-        return tuple(found)
+        pieces = [chunk] if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()) else self.split(chunk)
+        ranks = self.ranks
+        get = self._pieces.lookup({x: merge(x.encode(), ranks) for x in self._pieces.missing(set(pieces))})
+        return tuple(chain.from_iterable(map(get, pieces)))
+
+    def encode_all(self, texts: list[str | None]) -> list[list[int]]:
+        """The ids of each text."""
+        parts = [word_chunks(x) if x else [""] for x in texts]
+        new = self._chunks.missing({c for p in parts for c in p[1:]})
+        get = self._chunks.lookup({c: self.chunk(f" {c}") for c in new})
+        return [[*(self.chunk(p[0]) if p[0] else ()), *chain.from_iterable(map(get, p[1:]))] for p in parts]
 
     def encode(self, text: str | None) -> list[int]:
-        if not text:
-            return []
-        first, *later = word_chunks(text)
-        chunks = self._chunks
-        if len(chunks) + len(self._pieces) > CACHE_ENTRIES:
-            chunks.clear()
-            self._pieces.clear()
-        long = {}
-        for chunk in set(later).difference(chunks):
-            (chunks if len(chunk) <= LONGEST_CACHED else long)[chunk] = self.chunk(f" {chunk}")
-        parts = [chunks[x] if x in chunks else long[x] for x in later] if long else map(chunks.__getitem__, later)
-        return [*self.chunk(first), *chain.from_iterable(parts)]
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -166,7 +157,7 @@ def encode_table(df: DataFrame, path: str, pattern: str, finish: Callable[[ByteB
         bpe = shared_bpe(path, pattern)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = [finish(bpe, bpe.encode(x)) for x in batch.column(1).to_pylist()]
+            rows = [finish(bpe, ids) for ids in bpe.encode_all(batch.column(1).to_pylist())]
             cols = list(zip(*rows, strict=True)) or [()] * len(names)
             return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], [key, *names])
 

@@ -11,8 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-#: A word-chunk cache is emptied beyond this many entries, so a worker's memory stays bounded.
-CACHE_ENTRIES = 2_000_000
+#: Entries of a cache of word chunks or pre-tokens, so a worker's memory stays bounded.
+CACHE_ENTRIES = 1_000_000
 #: Longer chunks are not cached.
 LONGEST_CACHED = 64
 #: Python code handles at most about this many bytes of text at once (one longer text is handled alone).
@@ -91,3 +91,32 @@ def word_chunks(text: str) -> list[str]:
     The byte-level split pattern never joins characters across such a place, so pieces can be encoded one by one.
     """
     return _BEFORE_WORD.split(text) if _SPACE_THEN_SPACE.search(text) else text.split(" ")
+
+
+class Cache:
+    """A bounded cache in two generations: what has been used since the last turn survives the next."""
+
+    def __init__(self, entries: int = CACHE_ENTRIES):
+        self.half = entries // 2
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that are in neither generation; the others are in the young one from now on."""
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        young, old, out = self.young, self.old, []
+        for key in keys.difference(young):
+            if (value := old.get(key)) is None:
+                out.append(key)
+            else:
+                young[key] = value
+        return out
+
+    def lookup(self, new: dict):
+        """A getter for all keys last asked for, after new has the missing ones; long keys are not kept."""
+        if any(len(k) > LONGEST_CACHED for k in new):
+            self.young.update((k, v) for k, v in new.items() if len(k) <= LONGEST_CACHED)
+            return (self.young | new).__getitem__
+        self.young.update(new)
+        return self.young.__getitem__

@@ -26,11 +26,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import CACHE_ENTRIES, LONGEST_CACHED, Scratch, text_slices, word_chunks
+from textmill.llm.common import Cache, Scratch, text_slices, word_chunks
 from textmill.llm.files import open_input, open_output
 
 MAGIC = b"TMS8B001"
 BLOCK = 4096
+#: Word chunks whose ids a worker keeps.
+CACHED_CHUNKS = 700_000
 #: Blocks that are packed or decoded at once.
 GROUP = 256
 #: Selector: (ids in a word, bits of each). Selector 0 is a run of zeros, 15 an escape.
@@ -44,18 +46,19 @@ def pack(ids: np.ndarray, escapes: list[int]) -> tuple[np.ndarray, np.ndarray]:
     ids = np.ascontiguousarray(ids, np.uint64)
     n = len(ids)
     blocks = -(-n // BLOCK)
-    width = BLOCK + 240
-    table = np.zeros((blocks, width), np.uint64)  # a block's last word may reach over its end: those places are zero
-    flat = np.zeros(blocks * BLOCK, np.uint64)
-    flat[:n] = ids
-    table[:, :BLOCK] = flat.reshape(blocks, BLOCK)
+    table = np.zeros((blocks, BLOCK), np.uint64)
+    table.ravel()[:n] = ids
+    wide = np.frexp(table.astype(np.float64))[1].astype(np.uint8)  # bits of each id, or one more from 2**53 on
+    wide.ravel()[n:] = 255  # no word reaches over the end
     choice = np.full((blocks, BLOCK), ESCAPE, np.int8)
-    place = np.arange(width, dtype=np.int32)
     for s in range(ESCAPE - 1, -1, -1):  # the last that fits, with most ids, stands
         count, bits = SELECTORS[s]
-        bad = np.where(table >> np.uint64(bits) > 0, place, np.int32(width + 240))
-        run = np.minimum.accumulate(bad[:, ::-1], axis=1)[:, ::-1][:, :BLOCK] - place[:BLOCK]
-        choice[run >= count] = s
+        fits, run = wide <= bits, 1  # places from which `run` ids have at most so many bits
+        while run < count:
+            step = min(run, count - run)
+            fits = fits[:, : fits.shape[1] - step] & fits[:, step:]
+            run += step
+        np.copyto(choice[:, : fits.shape[1]], np.int8(s), where=fits)
     ends = np.minimum(BLOCK, n - np.arange(blocks, dtype=np.int64) * BLOCK)
     at, live, steps = np.zeros(blocks, np.int64), np.arange(blocks), []
     while len(live):
@@ -87,15 +90,13 @@ def unpack(words: np.ndarray, first: np.ndarray, n: int, escapes: np.ndarray) ->
     block = np.searchsorted(first, np.arange(len(words)), side="right") - 1
     before = np.cumsum(counts) - counts
     place = block * BLOCK + before - before[first[block]] if len(words) else before
-    out = np.zeros(len(first) * BLOCK + 240, np.uint64)
+    out = np.zeros(len(first) * BLOCK, np.uint64)
     for s in range(1, ESCAPE):  # zeros are there already
         mine = np.flatnonzero(chosen == s)
         count, bits = SELECTORS[s]
         mask = np.uint64((1 << bits) - 1)
         for k in range(count if len(mine) else 0):
-            at, value = place[mine] + k, words[mine] >> np.uint64(k * bits) & mask
-            inside = at < (block[mine] + 1) * BLOCK
-            out[at[inside]] = value[inside]
+            out[place[mine] + k] = words[mine] >> np.uint64(k * bits) & mask
     mine = np.flatnonzero(chosen == ESCAPE)
     out[place[mine]] = escapes[(words[mine] & np.uint64((1 << 60) - 1)).astype(np.int64)]
     return out[:n]
@@ -178,7 +179,7 @@ class CachedTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = ordinary
-        self.chunks: dict[str, bytes] = {}
+        self.chunks = Cache(CACHED_CHUNKS)
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -186,14 +187,10 @@ class CachedTokenizer:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
         parts = [word_chunks(x) if x else [""] for x in texts]
-        if len(self.chunks) > CACHE_ENTRIES:
-            self.chunks.clear()
-        new = list({c for p in parts for c in p[1:]}.difference(self.chunks))
-        got = dict(zip(new, self._bytes([f" {c}" for c in new]), strict=True))
-        self.chunks.update((c, b) for c, b in got.items() if len(c) <= LONGEST_CACHED)
+        new = self.chunks.missing({c for p in parts for c in p[1:]})
+        get = self.chunks.lookup(dict(zip(new, self._bytes([f" {c}" for c in new]), strict=True)))
         firsts = self._bytes([p[0] for p in parts])
-        known = self.chunks if all(len(c) <= LONGEST_CACHED for c in new) else self.chunks | got
-        return [np.frombuffer(b"".join([first, *map(known.__getitem__, p[1:])]), "<u4") for first, p in zip(firsts, parts, strict=True)]
+        return [np.frombuffer(b"".join([first, *map(get, p[1:])]), "<u4") for first, p in zip(firsts, parts, strict=True)]
 
 
 @lru_cache(maxsize=2)

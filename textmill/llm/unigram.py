@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm.bpe import read_ranks, splitter
-from textmill.llm.common import CACHE_ENTRIES, LONGEST_CACHED, map_arrow, word_chunks
+from textmill.llm.common import Cache, map_arrow, word_chunks
 
 
 def rank_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
@@ -73,34 +73,25 @@ class Counter:
 
     def __init__(self, scores: dict[bytes, float], pattern: str):
         self.model, self.split = Unigram(scores), splitter(pattern)
-        self.chunks: dict[str, tuple[int, int]] = {}
-        self.pieces: dict[str, int] = {}
+        self.chunks, self.pieces = Cache(), Cache()
 
     def _new(self, chunks: list[str]) -> dict[str, tuple[int, int]]:
         """(pre-tokens, tokens) of each chunk."""
         parts = {c: self.split(c) for c in chunks}
-        new = {p for ps in parts.values() for p in ps}.difference(self.pieces)
+        new = self.pieces.missing({p for ps in parts.values() for p in ps})
         got = self.model.counts({p.encode() for p in new})
-        counts = {p: got[p.encode()] for p in new}
-        self.pieces.update((p, n) for p, n in counts.items() if len(p) <= LONGEST_CACHED)
-        known = self.pieces if all(len(p) <= LONGEST_CACHED for p in new) else self.pieces | counts
-        return {c: (len(ps), sum(map(known.__getitem__, ps))) for c, ps in parts.items()}
+        get = self.pieces.lookup({p: got[p.encode()] for p in new})
+        return {c: (len(ps), sum(map(get, ps))) for c, ps in parts.items()}
 
     def count(self, texts: list[str | None]) -> list[tuple[int, int]]:
-        if len(self.chunks) + len(self.pieces) > CACHE_ENTRIES:
-            self.chunks.clear()
-            self.pieces.clear()
         parts = [word_chunks(x) if x else [""] for x in texts]
-        firsts = self._new(list({p[0] for p in parts}))
-        new = list({c for p in parts for c in p[1:]}.difference(self.chunks))
-        later = self._new([f" {c}" for c in new])
-        got = {c: later[f" {c}"] for c in new}
-        self.chunks.update((c, v) for c, v in got.items() if len(c) <= LONGEST_CACHED)
-        known = self.chunks if all(len(c) <= LONGEST_CACHED for c in new) else self.chunks | got
+        new = self.chunks.missing({c for p in parts for c in p[1:]})
+        got = self._new([*(f" {c}" for c in new), *{p[0] for p in parts}])
+        get = self.chunks.lookup({c: got[f" {c}"] for c in new})
         rows = []
         for p in parts:
-            found = [firsts[p[0]], *map(known.__getitem__, p[1:])]
-            rows.append((sum(a for a, _ in found), sum(b for _, b in found)))
+            found = [got[p[0]], *map(get, p[1:])]
+            rows.append((sum([a for a, _ in found]), sum([b for _, b in found])))
         return rows
 
 
