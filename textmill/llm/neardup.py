@@ -9,8 +9,9 @@ bucket never emits all its pairs:
 1. every member of a bucket with the bucket's smallest member (its pivot); sets are compared, links united to classes;
 2. in buckets that still hold several classes, each member outside the pivot's class with the few members of other
    classes whose minhashes agree most; classes are united again;
-3. what is left: each member outside the pivot's class with every member of another class whose minhashes agree
-   in at least AGREE of 32 places (at 0.85, fewer agree with probability 1e-6).
+3. what is left: each member outside the pivot's class with every member of another class whose minhashes agree often
+   enough. For this, and for round 2, texts that share a bucket get a wide sketch of WIDE minhashes, and a pair is dropped
+   if fewer agree than five standard deviations below what the threshold lets expect (probability 3e-7 at the threshold).
 Buckets over BLOCK members are dealt in blocks, so no task holds more than two blocks. Every candidate is verified on the
 full sets of 64-bit shingle hashes; components are found by a distributed min-label iteration.
 
@@ -37,13 +38,19 @@ PERCENT = 85
 GROUPS = 8
 WIDTH = 2
 BLOCK = 512
+#: Of the 32 minhashes, the fewest that agree in a candidate of round 1 (fewer do so at 0.85 with probability 1e-6).
 AGREE = 17
+#: Minhashes of a wide sketch.
+WIDE = 256
+#: Up to this many ids are broadcast to pick their texts (8 bytes each); more are joined by shuffle.
+BROADCAST_IDS = 500_000
 #: Candidates of each member in round 2.
 BEST = 4
 _RNG = np.random.default_rng(20)
 #: Fixed odd multipliers and offsets of the minhashes.
 _MUL = _RNG.integers(0, 1 << 63, 2 * GROUPS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, 2 * GROUPS * WIDTH, dtype=np.uint64)
+_WIDE_MUL = _RNG.integers(0, 1 << 63, WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SIGNATURE = "n long, digest binary, a array<bigint>, b array<bigint>, sketch binary"
 
 
@@ -94,18 +101,31 @@ def signatures(df: DataFrame, size: int = SHINGLE, text: str = "text", key: str
     return map_arrow(df.select(df[key].cast("long").alias("id"), df[text].alias("text")), make, f"id long, {SIGNATURE}")
 
 
+def wide_sketches(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A byte of each of WIDE minhashes, a row for each text with shingles."""
+    starts = (np.cumsum(counts) - counts)[counts > 0]
+    out = np.empty((len(starts), WIDE), np.uint8)
+    for k, m in enumerate(_WIDE_MUL):
+        x = values * m
+        out[:, k] = np.minimum.reduceat(x ^ x >> np.uint64(31), starts) & np.uint64(255) if len(starts) else 0
+    return out
+
+
 def _sets(df: DataFrame, size: int) -> DataFrame:
-    """id and the array of shingle hashes."""
+    """id, wide sketch and the array of shingle hashes; texts without shingles are left out."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             values, counts = shingles(batch.column(1).to_pylist(), size)
-            offsets = pa.array(np.r_[0, np.cumsum(counts)], pa.int32())
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))], ["id", "members"])
+            full = counts > 0
+            offsets = pa.array(np.r_[0, np.cumsum(counts[full])], pa.int32())
+            members = pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
+            wide = pa.array([x.tobytes() for x in wide_sketches(values, counts)], pa.binary())
+            return pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(full)), wide, members], ["id", "wide", "members"])
 
         return work
 
-    return map_arrow(df, make, "id long, members array<bigint>")
+    return map_arrow(df, make, "id long, wide binary, members array<bigint>")
 
 
 def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -114,22 +134,24 @@ def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _block_pairs(best: int | None, percent: int):
-    """Candidates in each block: rows (key, i, j, outside, id, class, n, sketch), sorted by the first three."""
+    """Candidates in each block: rows (key, i, j, outside, id, class, n, wide sketch), sorted by the first three."""
+    share = percent / 100
+    enough = int(WIDE * share - 5 * (WIDE * share * (1 - share)) ** 0.5)
 
     def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         side = [[r for r in rows if r[3] == s] for s in (True, False)]
         if not side[0] or not side[1]:
             return
-        (ra, ca, na, sa), (rb, cb, nb, sb) = ((np.array([r[4] for r in s]), np.array([r[5] for r in s]), np.array([r[6] for r in s]), np.array([list(r[7]) for r in s], np.uint8)) for s in side)
-        for at in range(0, len(ra), 64):
-            cut = slice(at, at + 64)
+        (ra, ca, na, sa), (rb, cb, nb, sb) = ((np.array([r[4] for r in s]), np.array([r[5] for r in s]), np.array([r[6] for r in s]), np.frombuffer(b"".join(r[7] for r in s), np.uint8).reshape(len(s), -1)) for s in side)
+        for at in range(0, len(ra), 32):
+            cut = slice(at, at + 32)
             few, many = np.minimum(na[cut, None], nb[None, :]), np.maximum(na[cut, None], nb[None, :])
             agree = np.where((ca[cut, None] != cb[None, :]) & (100 * few >= percent * many), _agree(sa[cut], sb), 0)
             if best and agree.shape[1] > best:
                 least = -np.partition(-agree, best - 1, axis=1)[:, best - 1 : best]
                 first = np.cumsum(agree >= least, axis=1) <= best
                 agree = np.where((agree >= least) & first, agree, 0)
-            x, y = np.nonzero(agree >= AGREE)
+            x, y = np.nonzero(agree >= enough)
             yield from zip(np.maximum(ra[cut][x], rb[y]).tolist(), np.minimum(ra[cut][x], rb[y]).tolist(), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,27 +172,24 @@ def _block_pairs(best: int | None, percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, scratch: Scratch, name: str, size: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar enough."""
+def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sizes and minhashes allow the similarity."""
     facts = nodes.select("id", "n", "sketch")
     pairs = pairs.join(facts.toDF("u", "nu", "su"), "u").join(facts.toDF("v", "nv", "sv"), "v")
     alike = F.lit(0)
     for k in range(2 * GROUPS * WIDTH):
         alike = alike + (F.substring("su", k + 1, 1) == F.substring("sv", k + 1, 1)).cast("int")
-    close = (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (alike >= AGREE)
-    pairs = scratch.table(pairs.filter(close).select("u", "v", "nu", "nv"), f"{name}-pairs")
-    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    sets = scratch.table(_sets(texts.join(wanted, "id", "left_semi"), size).dropDuplicates(["id"]), f"{name}-sets")
-    with_u = pairs.join(sets.toDF("u", "mu"), "u")
+    return pairs.filter((100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (alike >= AGREE)).select("u", "v")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str, percent: int) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar enough."""
     both = F.size(F.array_intersect("mu", "mv"))
-    links = with_u.join(sets.toDF("v", "mv"), "v").filter(100 * both >= percent * (F.col("nu") + F.col("nv") - both)).select("u", "v")
-    links = scratch.table(links, f"{name}-links")
-    scratch.drop(f"{name}-sets")
-    scratch.drop(f"{name}-pairs")
-    return links
+    joined = pairs.join(sets.select(F.col("id").alias("u"), F.col("members").alias("mu")), "u").join(sets.select(F.col("id").alias("v"), F.col("members").alias("mv")), "v")
+    return scratch.table(joined.filter(100 * both >= percent * (F.size("mu") + F.size("mv") - both)).select("u", "v"), f"{name}-links")
 
 
-def _outside(keys: DataFrame, nodes: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame | None:
+def _outside(keys: DataFrame, facts: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The members of buckets with several classes, dealt in blocks of those outside the pivot's class against all."""
     classes = keys.join(labels.toDF("id", "class"), "id", "left").select("key", "id", F.coalesce("class", "id").alias("class"))
     classes = scratch.table(classes, f"{name}-classes")
@@ -180,10 +199,10 @@ def _outside(keys: DataFrame, nodes: DataFrame, labels: DataFrame, scratch: Scra
     members = scratch.table(classes.join(stats, "key").withColumn("out", F.col("class") != F.col("own")), f"{name}-members")
     outs = members.filter("out").groupBy("key").agg(F.count("*").alias("outs"))
     outs = scratch.table(outs, f"{name}-outs")
-    dealt = members.join(outs, "key").join(nodes.select("id", "n", "sketch"), "id")
+    dealt = members.join(outs, "key").join(facts, "id")
     spot, wide, deep = F.pmod(F.xxhash64("id"), F.lit(1 << 30)), F.ceil(F.col("rows") / BLOCK).cast("int"), F.ceil(F.col("outs") / BLOCK).cast("int")
-    a = dealt.filter("out").select("key", (spot % deep).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), wide - 1)).alias("j"), F.lit(True).alias("out"), "id", "class", "n", "sketch")
-    b = dealt.select("key", F.explode(F.sequence(F.lit(0), deep - 1)).alias("i"), (spot % wide).cast("int").alias("j"), F.lit(False).alias("out"), "id", "class", "n", "sketch")
+    a = dealt.filter("out").select("key", (spot % deep).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), wide - 1)).alias("j"), F.lit(True).alias("out"), "id", "class", "n", "wide")
+    b = dealt.select("key", F.explode(F.sequence(F.lit(0), deep - 1)).alias("i"), (spot % wide).cast("int").alias("j"), F.lit(False).alias("out"), "id", "class", "n", "wide")
     return a.union(b).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
@@ -202,15 +221,20 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     buckets = scratch.table(keys.groupBy("key").agg(F.min("id").alias("v"), F.count("*").alias("rows")).filter("rows > 1").select("key", "v"), "buckets")
     keys = scratch.table(keys.join(buckets, "key"), "bucketed")
 
-    texts = df.select(df[key].cast("long").alias("id"), df[text].alias("text"))
-    pairs = keys.filter("id <> v").select(F.col("id").alias("u"), "v").distinct()
-    links = _verify(pairs, nodes, texts, scratch, "star", size, percent)
+    ids = scratch.table(keys.select("id").distinct(), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = df.select(df[key].cast("long").alias("id"), df[text].alias("text")).join(ids, "id", "left_semi")
+    sets = scratch.table(_sets(texts, size).dropDuplicates(["id"]), "sets")
+    facts = sets.select("id", F.size("members").alias("n"), "wide")
+
+    pairs = scratch.table(_close(keys.filter("id <> v").select(F.col("id").alias("u"), "v").distinct(), nodes, percent), "star-pairs")
+    links = _verify(pairs, sets, scratch, "star", percent)
     keys = keys.select("key", "id")
     for name, best in (("best", BEST), ("rest", None)):
         labels = components(links, scratch, f"{name}-cc")
-        blocks = _outside(keys, nodes, labels, scratch, name)
-        pairs = blocks.mapInArrow(_block_pairs(best, percent), "u long, v long").distinct()
-        links = links.union(_verify(pairs, nodes, texts, scratch, name, size, percent))
+        pairs = _outside(keys, facts, labels, scratch, name).mapInArrow(_block_pairs(best, percent), "u long, v long").distinct()
+        links = links.union(_verify(scratch.table(pairs, f"{name}-pairs"), sets, scratch, name, percent))
     labels = components(links, scratch, "cc")
     homes = nodes.join(labels.toDF("id", "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     homes = scratch.table(homes, "homes")
