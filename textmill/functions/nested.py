@@ -21,7 +21,7 @@ def list_join(c: Column | str, sep: str = "|", replacement: str | None = "%7C")
         c = F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit(f"an item holds the separator {sep}"))).otherwise(c)
     else:
         c = F.transform(c, lambda x: F.replace(x, F.lit(sep), F.lit(replacement)))
-    return F.array_join(F.transform(c, F.trim), sep, "None")
+    return F.array_join(F.transform(c, lambda x: F.trim(x)), sep, "None")
 
 
 def list_join_plain(c: Column | str) -> Column:

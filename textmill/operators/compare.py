@@ -66,8 +66,8 @@ def align(left: DataFrame, right: DataFrame, key: str, order: str = "pos", word:
     """
 
     def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        x, y = (f.sort_values(order)[word].tolist() if len(f) else [] for f in (a, b))
-        name = int((a if len(a) else b)[key].iloc[0])
+        x, y = (f.sort_values("pos")["word"].tolist() if len(f) else [] for f in (a, b))
+        name = int((a if len(a) else b)["key"].iloc[0])
         rows: list[tuple] = []
         for kind, i, j, k, m in difflib.SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
             p, q = x[i:j], y[k:m]
@@ -87,7 +87,8 @@ def align(left: DataFrame, right: DataFrame, key: str, order: str = "pos", word:
             rows += [("C", v, w) for v, w in zip(p[len(p) - back :], q[len(q) - back :], strict=True)]
         return pd.DataFrame([(name, s, *r) for s, r in enumerate(rows)], columns=["key", "seq", "code", "left", "right"])
 
-    return left.groupBy(key).cogroup(right.groupBy(key)).applyInPandas(one, ALIGNED).withColumnRenamed("key", key)
+    left, right = (f.select(F.col(key).cast("long").alias("key"), F.col(order).alias("pos"), F.col(word).alias("word")) for f in (left, right))
+    return left.groupBy("key").cogroup(right.groupBy("key")).applyInPandas(one, ALIGNED).withColumnRenamed("key", key)
 
 
 # Classes of Spanish-style tags, first match wins: (pattern, class, group of gender, group of number).

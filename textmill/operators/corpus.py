@@ -158,6 +158,6 @@ def corpus_size(tokens: DataFrame, doc: str) -> DataFrame:
 
 def concat_texts(df: DataFrame, order: list[str], raw: str, min_len: int = 10) -> DataFrame:
     """Each text with its raw and its cleaned lines, as two elements of an XML line stream."""
-    clean = F.array_join(F.filter(F.transform(F.split(raw, "\n"), T.clean_line), lambda x: F.char_length(x) >= min_len), "\n")
+    clean = F.array_join(F.filter(F.transform(F.split(raw, "\n"), lambda x: T.clean_line(x)), lambda x: F.char_length(x) >= min_len), "\n")
     body = F.concat(F.lit("<raw>\n"), F.col(raw), F.lit("\n</raw>\n<clean>\n"), clean, F.lit("\n</clean>"))
     return df.select(*order, body.alias("body")).orderBy(*order)

@@ -1,7 +1,7 @@
 """The registry of the corpus queries on the driver's tables, and the same queries in SQL.
 
 `documents` stands for records and texts, `events` for records with JSON and times, `pages` for html bodies. The tables
-lack the noise that some operators remove, so NOISE adds it by the same replacements on both sides.
+lack the noise that some operators remove, so NOISE adds it by the same replacements here and in the oracles.
 """
 
 from __future__ import annotations
@@ -19,10 +19,7 @@ from textmill.operators import compare as C
 from textmill.operators import corpus as O
 from textmill.operators import langid as L
 from textmill.operators import tokens as K
-
-#: Deterministic noise: (what is there, what replaces it).
-NOISE = ((". ", ".  \n\n \n\t "), ("tion ", "tion-\n"), ("and ", "“and” — "))
-
+from textmill.plans.noise import NOISE
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -38,57 +35,6 @@ def _noisy(c: Column) -> Column:
     return c
 
 
-def _q(s: str) -> str:
-    """A SQL literal of a string with control characters."""
-    out, parts = "", []
-    for ch in s:
-        if ch < " " or ch == "\x7f":
-            parts += [f"'{out}'"] if out else []
-            parts.append(f"chr({ord(ch)})")
-            out = ""
-        else:
-            out += "''" if ch == "'" else ch
-    parts += [f"'{out}'"] if out or not parts else []
-    return "(" + " || ".join(parts) + ")"
-
-
-def _sql_noise(c: str) -> str:
-    for a, b in NOISE:
-        c = f"replace({c}, {_q(a)}, {_q(b)})"
-    return c
-
-
-def _sql_translate(c: str, chars: str, to: str) -> str:
-    return f"translate({c}, {_q(chars)}, {_q(to)})"
-
-
-_DROPS = T.DROP_DIGITS + T.DROP_PUNCTUATION + T.DROP_SYMBOLS + T.DROP_SPACES
-
-
-def _sql_clean(c: str) -> str:
-    spaced = f"trim(regexp_replace({_sql_translate(c, _DROPS, ' ' * len(_DROPS))}, '\\s+', ' ', 'g'))"
-    return f"(CASE WHEN regexp_matches({spaced}, '\\p{{Lu}}') AND NOT regexp_matches({spaced}, '[\\p{{Ll}}\\p{{Lt}}]') THEN lower({spaced}) ELSE {spaced} END)"
-
-
-_SQL_LINES = "SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_idx, unnest(string_split(text, chr(10))) AS line FROM documents"
-_SQL_CLEANED = f"SELECT doc_id, line_idx::INT AS line_idx, {_sql_clean('line')} AS line FROM ({_SQL_LINES})"
-
-
-def _sql_model(c: str, profiles=L.PROFILES) -> str:
-    words = f"string_split(lower({c}), ' ')"
-    score = {k: f"len(list_filter({words}, w -> w IN ({', '.join(repr(w) for w in p)})))" for k, p in sorted(profiles.items())}
-    best = f"greatest({', '.join(score.values())})"
-    return f"CASE WHEN {best} = 0 THEN 'unknown' " + " ".join(f"WHEN {s} = {best} THEN '{k}'" for k, s in score.items()) + " END"
-
-
-_SQL_LID = f"SELECT doc_id, line_idx, CASE WHEN length(line) < 10 THEN 'short' ELSE {_sql_model('line')} END AS lang, octet_length(encode(line))::BIGINT AS bytes FROM ({_SQL_CLEANED}) WHERE line <> ''"
-_SQL_SHARES = f"""SELECT doc_id, lang, share FROM (
-    SELECT doc_id, lang, round_even(b::DOUBLE / sum(b) OVER (PARTITION BY doc_id), 2) AS share, count(*) OVER (PARTITION BY doc_id) AS n
-    FROM (SELECT doc_id, lang, sum(bytes)::BIGINT AS b FROM ({_SQL_LID}) GROUP BY ALL))
-    WHERE share >= 1.0::DOUBLE / (least(n, 4) + 1)"""
-_SQL_L1 = f"SELECT doc_id, arg_min(lang, (-share, lang)) AS l1, max(share) AS l1_size, count(*)::BIGINT AS langs FROM ({_SQL_SHARES}) GROUP BY doc_id"
-
-
 def lines(spark, sf):
     return L.explode_lines(_docs(spark, sf), "doc_id", "text")
 
@@ -301,17 +247,6 @@ def _tokens(spark, sf) -> DataFrame:
     return K.annotate(_docs(spark, sf))
 
 
-_SQL_SENT = r"""SELECT doc_id, s AS sent, sentence FROM (
-    SELECT doc_id, unnest(range(len(p))) AS s, unnest(p) AS sentence FROM (
-        SELECT doc_id, flatten(list_transform(list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '([.?!]+)\s+', '\1' || chr(10), 'g'), '\s+([¿¡])', chr(10) || '\1', 'g'), chr(10)),
-            x -> trim(regexp_replace(x, '\s+', ' ', 'g'))), x -> x <> ''),
-            x -> list_transform(range(0, len(string_split(x, ' ')), 250), i -> array_to_string(list_slice(string_split(x, ' '), i + 1, i + 250), ' ')))) AS p FROM documents))"""
-_SQL_TOKENS = rf"""SELECT doc_id, sent::INT AS sent, pos::INT AS pos, word, lower(word) AS lemma,
-    CASE WHEN regexp_matches(word, '^\p{{N}}') THEN 'NUM' WHEN regexp_matches(word, '^[^\p{{L}}\p{{M}}\p{{N}}]') THEN 'PUNCT' WHEN regexp_matches(word, '^\p{{Lu}}') THEN 'PROPN' WHEN length(word) <= 3 THEN 'ADP' ELSE 'NOUN' END AS upos
-    FROM (SELECT doc_id, sent, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM (
-        SELECT doc_id, sent, regexp_extract_all(sentence, '[\p{{L}}\p{{M}}]+(?:[''’-][\p{{L}}\p{{M}}]+)*|\p{{N}}+(?:[.,]\p{{N}}+)*|[^\s\p{{L}}\p{{M}}\p{{N}}]') AS w FROM ({_SQL_SENT})))"""
-
-
 def tokens(spark, sf):
     return _tokens(spark, sf).select("doc_id", F.col("sent").cast("int"), F.col("pos").cast("int"), "word", "lemma", "upos")
 
@@ -346,7 +281,7 @@ def conllu_counts(spark, sf):
 def mwt_splice(spark, sf):
     """Every third token of a sentence and its successor become one multi-word token."""
     t = _tokens(spark, sf).filter("doc_id < 1000000000")
-    rng = t.filter("pos % 3 = 1").select("doc_id", "sent", (F.col("pos") * 2 - 1).alias("line_idx"), F.concat(F.col("pos").cast("string"), F.lit("-"), (F.col("pos") + 1).cast("string")).alias("id"), F.upper("word").alias("form"), *(F.lit("_").alias(c) for c in K.CONLLU[2:9]), F.lit("m").alias("misc"))
+    rng = t.filter("pos % 3 = 1").select("doc_id", "sent", (F.col("pos") * 2 - 1).alias("line_idx"), F.concat(F.col("pos").cast("string"), F.lit("-"), (F.col("pos") + 1).cast("string")).alias("id"), F.concat("word", F.lit("+")).alias("form"), *(F.lit("_").alias(c) for c in K.CONLLU[2:9]), F.lit("m").alias("misc"))
     tok = t.select("doc_id", "sent", (F.col("pos") * 2).alias("line_idx"), F.col("pos").cast("string").alias("id"), F.col("word").alias("form"), "lemma", "upos", F.lit("x").alias("xpos"), F.lit("_").alias("feats"), F.col("head").cast("string").alias("head"), "deprel", F.lit("_").alias("deps"), F.lit("t").alias("misc"))
     return K.splice_multiword(rng.unionByName(tok), ["doc_id", "sent"]).select("doc_id", "sent", F.col("line_idx").cast("long"), "id", "form", "lemma", "upos", "xpos", "head", "misc")
 
@@ -423,9 +358,6 @@ def _taggings(spark, sf) -> DataFrame:
     return t.select("doc_id", "sent", "pos", "word", F.col("upos").alias("tag_a"), b.alias("tag_b"))
 
 
-_SQL_TAGS = f"SELECT doc_id, sent, pos, word, upos AS tag_a, CASE WHEN length(word) % 4 = 0 THEN 'VERB' ELSE upos END AS tag_b FROM ({_SQL_TOKENS})"
-
-
 def tag_counts_outer(spark, sf):
     t = _taggings(spark, sf)
     return C.tag_counts({"a": t.select(F.col("tag_a").alias("tag")), "b": t.select(F.col("tag_b").alias("tag"))})
