@@ -6,12 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters that are folded, and those that language identification drops.
-SINGLE_QUOTES = "‘’‚‛′‵`´"
-DOUBLE_QUOTES = "“”„‟″‶"
-GUILLEMETS = "«»"
-HYPHENS = "‐‑­"
-DASHES = "‒–—―−"
-DROP_SYMBOLS = "•�…►▼‐■》∗✔⇤–●▪➔­;«»►›➢“©□"
+SINGLE_QUOTES = "\u0027\u0060\u00b4\u02bc\u055a\u07f4\u07f5\uff07\u2018\u2019\u201a\u201b\u2039\u203a\u275b\u275c\u02b9\u2032\u2035"
+DOUBLE_QUOTES = "\u0022\u276e\u276f\uff02\u201c\u201d\u201e\u201f\u301d\u301e\u301f\u275d\u275e\u2033\u2036\u02ba\u02ee"
+GUILLEMETS = "\u00ab\u00bb"
+HYPHENS = "\u002d\u058a\u05be\u1400\u1806\u2010\u2011\u2e17\u2e1a\u30a0\ufe63\uff0d"
+DASHES = "\u2012\u2013\u2014\u2015\u2e3a\u2e3b\u2e40\u301c\u3030\ufe31\ufe32\ufe58"
+DROP_SYMBOLS = "\u2022\ufffd\u2026\u25ba\u25bc\u2010\u25a0\u300b\u2217\u2714\u21e4\u2013\u25cf\u25aa\u2794\u00ad\u037e\u00ab\u00bb\u25ca\u203a\u27a2\u201c\u00a9\u25a1"
 DROP_DIGITS = "0123456789"
 DROP_PUNCTUATION = "!\"#$%&()*+,./:;<=>?@[\\]^_`{|}~"
 DROP_SPACES = "\t\n\r\x0b\x0c"
@@ -36,7 +36,7 @@ def fold_quotes(c: Column | str, guillemets: bool = False) -> Column:
 
 def fold_dashes(c: Column | str) -> Column:
     """Hyphens become -, dashes an en dash."""
-    return F.translate(_col(c), HYPHENS + DASHES, "-" * len(HYPHENS) + "–" * len(DASHES))
+    return F.translate(_col(c), HYPHENS + DASHES, "-" * len(HYPHENS) + "\u2013" * len(DASHES))
 
 
 def remove_control(c: Column | str) -> Column:
@@ -67,7 +67,7 @@ def clean_line(c: Column | str, drops: str = DROP_DIGITS + DROP_PUNCTUATION + DR
 
 def clean_extracted(c: Column | str) -> Column:
     """Tidy extracted page text: tabs and replacement characters, spaces at line ends, runs of spaces and of newlines."""
-    c = F.translate(_col(c), "�\t", "  ")
+    c = F.translate(_col(c), "\ufffd\t", "  ")
     c = F.regexp_replace(c, " *\n *", "\n")
     c = F.regexp_replace(c, " {2,}", " ")
     c = F.regexp_replace(c, "\n{3,}", "\n\n")

@@ -30,7 +30,7 @@ def decode_entities(text: str, keep_markup: bool = True) -> str:
     return _ENTITY.sub(one, text)
 
 
-def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep_empty: bool = False, full_decode: bool = False, keep_quotes: bool = False, keep_dashes: bool = False, tab: str = " ", keep: str = "‍") -> str:
+def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep_empty: bool = False, full_decode: bool = False, keep_quotes: bool = False, keep_dashes: bool = False, tab: str = " ", keep: str = "\u200d") -> str:
     """One line: references, spaces, normal form (without compatibility folding inside tags), quotes, dashes, controls.
 
     Line and paragraph separators split it; each part is stripped, and blank ones go unless keep_empty. Ends in a newline
@@ -52,7 +52,7 @@ def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep
             at = m.end()
     text = "".join(out).replace("\t", tab)
     text = "".join(c for c in text if c in keep or unicodedata.category(c)[0] != "C")
-    parts = [p.strip() for p in re.split("[  ]", text)]
+    parts = [p.strip() for p in re.split("[\u2028\u2029]", text)]
     return "".join(f"{p}\n" for p in parts if p or keep_empty)
 
 

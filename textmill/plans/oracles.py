@@ -113,7 +113,7 @@ def fill(name: str, mark: str, stands: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     one_line = lambda c: f"regexp_replace({c}, {_SPACE!r}, ' ', 'g')"
-    folded = translate("t", T.SINGLE_QUOTES + T.DOUBLE_QUOTES + T.GUILLEMETS + T.HYPHENS + T.DASHES, "'" * len(T.SINGLE_QUOTES) + '"' * len(T.DOUBLE_QUOTES + T.GUILLEMETS) + "-" * len(T.HYPHENS) + "–" * len(T.DASHES))
+    folded = translate("t", T.SINGLE_QUOTES + T.DOUBLE_QUOTES + T.GUILLEMETS + T.HYPHENS + T.DASHES, "'" * len(T.SINGLE_QUOTES) + '"' * len(T.DOUBLE_QUOTES + T.GUILLEMETS) + "-" * len(T.HYPHENS) + "\u2013" * len(T.DASHES))
     spliced = lambda c: f"CASE WHEN count(*) = 1 THEN max({c}) WHEN count(DISTINCT {c}) FILTER (NOT head) = 1 THEN max({c}) FILTER (NOT head) ELSE string_agg({c}, ',' ORDER BY line_idx) FILTER (NOT head) END"
     return {
         "lines": LINES,
