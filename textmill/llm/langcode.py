@@ -50,6 +50,8 @@ def _grams(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
 
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """A matrix of +1 and -1, a row for each of n languages; no two rows and no two columns are equal."""
+    if n < 2:
+        return np.zeros((n, 0), np.float32)
     if n <= EXHAUSTIVE:
         bits = [c for c in itertools.product((1, -1), repeat=n) if c[0] == 1 and len(set(c)) > 1]
         return np.array(bits, np.float32).T.reshape(n, -1)
