@@ -116,6 +116,14 @@ def oracle_sql() -> dict[str, str]:
     folded = translate("t", T.SINGLE_QUOTES + T.DOUBLE_QUOTES + T.GUILLEMETS + T.HYPHENS + T.DASHES, "'" * len(T.SINGLE_QUOTES) + '"' * len(T.DOUBLE_QUOTES + T.GUILLEMETS) + "-" * len(T.HYPHENS) + "\u2013" * len(T.DASHES))
     spliced = lambda c: f"CASE WHEN count(*) = 1 THEN max({c}) WHEN count(DISTINCT {c}) FILTER (NOT head) = 1 THEN max({c}) FILTER (NOT head) ELSE string_agg({c}, ',' ORDER BY line_idx) FILTER (NOT head) END"
     return {
+        "xz_round_trip": "SELECT doc_id, text FROM documents",
+        "literals": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events",
+        "bundle_rows": "SELECT conv_id, turn, role FROM conversations",
+        "attribute_tags": f"""SELECT doc_id AS id, '<doc id=' || {quote('doc_id::VARCHAR')} || ' file_id="FILE_ID" date__original="2021-0' || (doc_id % 9 + 1) || '-01T00:00:00Z" date__original__year="2021" lang='
+            || {quote('lang')} || ' source__name=' || {quote("source || '|a%7Cb'")} || ' >' AS doc_tag FROM documents""",
+        "concat_texts": f"""SELECT d.doc_id, '<raw>' || chr(10) || d.text || chr(10) || '</raw>' || chr(10) || '<clean>' || chr(10) || coalesce(c.t, '') || chr(10) || '</clean>' AS body
+            FROM documents d LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_idx) AS t FROM ({CLEANED}) WHERE length(line) >= 10 GROUP BY doc_id) c USING (doc_id)""",
+        "change_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*)::BIGINT AS records FROM events GROUP BY 1",
         "lines": LINES,
         "lines_clean": CLEANED,
         "lid_profile_lines": LID,

@@ -453,7 +453,47 @@ def proper_nouns(spark, sf):
     return t.groupBy("doc_id").agg(F.count_if(flag).alias("names"))
 
 
+def xz_round_trip(spark, sf):
+    from textmill.sources.files import compress
+
+    packed = compress(_docs(spark, sf).select("doc_id", "text")).select("doc_id", "xz")
+    return packed.select("doc_id", U.unxz_udf()("xz").alias("text"))
+
+
+def literals(spark, sf):
+    c = F.concat(F.lit("{'k': "), F.get_json_object("props", "$.k"), F.lit(", 'v': None}"))
+    return _t(spark, sf, "events").select("event_id", F.get_json_object(U.literal_json_udf()(c), "$.k").cast("long").alias("k"))
+
+
+def params_hash(spark, sf):
+    return _t(spark, sf, "events").select(U.params_hash_udf()("props").alias("hash")).groupBy("hash").agg(F.count("*").alias("n"))
+
+
+def bundle_rows(spark, sf):
+    b = _t(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("a"))
+    b = b.select("conv_id", F.col("a.turn").alias("turn"), F.col("a.role").alias("role"))
+    return b.select("conv_id", F.explode(F.arrays_zip("turn", "role")).alias("x")).select("conv_id", "x.turn", "x.role")
+
+
+def attribute_tags(spark, sf):
+    r = _docs(spark, sf).select(F.col("doc_id").alias("id"), F.struct(F.concat(F.lit("2021-0"), (F.col("doc_id") % 9 + 1).cast("string"), F.lit("-01T00:00:00Z")).alias("original")).alias("date"),
+                                F.array(F.struct(F.concat(F.lit(" "), "source").alias("name")), F.struct(F.lit("a|b").alias("name"))).alias("source"), F.lit("null").alias("origin"), "lang")
+    return O.attributes(r, known=("date__original", "source__name", "origin", "lang"))[0]
+
+
+def concat_texts(spark, sf):
+    return O.concat_texts(_docs(spark, sf), ["doc_id"], "text")
+
+
+def change_windows(spark, sf):
+    from textmill.streaming.ingest import changes_by_window
+
+    w = changes_by_window(_t(spark, sf, "events").select(F.col("ts").alias("changed")), width="1 day")
+    return w.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "records")
+
+
 _NAMES = (
+    "xz_round_trip literals params_hash bundle_rows attribute_tags concat_texts change_windows "
     "export_docs semi_join_lang left_join_attr lines lines_clean lid_profile_lines lid_shares lid_l1 lid_multiling lid_filters lid_unsure line_sample file_stats pdf_clean dewrap quotes_dashes "
     "control_chars collapse html_text normalize_unicode xml_quote doc_tag parse_tag unique_attrs xml_tokens comment_attrs lempos batching range_slice ntile_split flatten_events list_join nested_records "
     "field_names year_attr date_range high_watermark upsert_latest upsert_two_keys column_update explode_files download_todo missing_rates tokens freq_word freq_lc freq_lemma_pos corpus_size "
