@@ -36,6 +36,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/textmill-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
         atexit.register(self.drop)
 
     def path(self, name: str) -> str:
@@ -44,8 +45,14 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """df, written as Parquet and read again."""
         df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep(self, *names: str) -> None:
+        """Delete all tables but these."""
+        for name in self.names.difference(names):
+            self.drop(name)
+
     def drop(self, name: str = "") -> None:
         """Delete one table, or all of them."""
         try:

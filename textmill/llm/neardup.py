@@ -238,6 +238,7 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     labels = components(links, scratch, "cc")
     homes = nodes.join(labels.toDF("id", "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     homes = scratch.table(homes, "homes")
+    scratch.keep("signed", "homes")
     out = signed.select("id", "n", "digest").join(homes, "digest", "left")
     home = F.coalesce("component", "id")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), home.alias("component_id"), (F.col("id") == home).alias("kept"))

@@ -314,6 +314,7 @@ def _finished(df: DataFrame, scratch: Scratch, length: int, text: str, key: str,
     spans = repeated_spans(docs.select("id", "text"), scratch, length)
     runs = spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     runs = scratch.table(runs, "runs")
+    scratch.keep("runs")
 
     import zstandard
 
