@@ -10,7 +10,7 @@ bucket never emits all its pairs:
 2. in buckets that still hold several classes, each member outside the pivot's class with the few members of other
    classes whose minhashes agree most; classes are united again;
 3. what is left: each member outside the pivot's class with every member of another class whose minhashes agree often
-   enough. For this, and for round 2, texts that share a bucket get a wide sketch of WIDE minhashes, and a pair is dropped
+   enough. A pair is looked at in the first table that it shares only. For this, and for round 2, texts that share a bucket get a wide sketch of WIDE minhashes, and a pair is dropped
    if fewer agree than five standard deviations below what the threshold lets expect (probability 3e-7 at the threshold).
 Buckets over BLOCK members are dealt in blocks, so no task holds more than two blocks. Every candidate is verified on the
 full sets of 64-bit shingle hashes; components are found by a distributed min-label iteration.
@@ -41,7 +41,7 @@ BLOCK = 512
 #: Of the 32 minhashes, the fewest that agree in a candidate of round 1 (fewer do so at 0.85 with probability 1e-6).
 AGREE = 17
 #: Minhashes of a wide sketch.
-WIDE = 256
+WIDE = 512
 #: Up to this many ids are broadcast to pick their texts (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 500_000
 #: Candidates of each member in round 2.
@@ -65,6 +65,17 @@ def minhashes(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def group_keys(low: np.ndarray) -> np.ndarray:
+    """The keys of both collections, a row for each group of minhashes."""
+    keys = np.zeros((2 * GROUPS, low.shape[1]), np.uint64)
+    for g in range(2 * GROUPS):
+        keys[g] = g
+        for w in range(WIDTH):
+            keys[g] = (keys[g] ^ low[g * WIDTH + w]) * np.uint64(0xFF51AFD7ED558CCD)
+            keys[g] ^= keys[g] >> np.uint64(32)
+    return keys
+
+
 def signatures(df: DataFrame, size: int = SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
     """id, number of shingles, digest of the set (null without shingles), the two collections of keys, and a byte of each minhash."""
 
@@ -75,13 +86,7 @@ def signatures(df: DataFrame, size: int = SHINGLE, text: str = "text", key: str
             cells = [values[e - n : e].tobytes() if n else None for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
             digest = [x and hashlib.blake2b(x, digest_size=16).digest() for x in cells]
             low = minhashes(values, counts)
-            keys = np.zeros((2 * GROUPS, low.shape[1]), np.uint64)
-            for g in range(2 * GROUPS):
-                keys[g] = g
-                for w in range(WIDTH):
-                    keys[g] = (keys[g] ^ low[g * WIDTH + w]) * np.uint64(0xFF51AFD7ED558CCD)
-                    keys[g] ^= keys[g] >> np.uint64(32)
-            rows = iter(keys.view(np.int64).T.tolist())
+            rows = iter(group_keys(low).view(np.int64).T.tolist())
             bytes_ = iter([x.tobytes() for x in np.ascontiguousarray(low.T).astype(np.uint8)])
             signed = [(next(rows), next(bytes_)) if n else (None, None) for n in counts.tolist()]
             return pa.RecordBatch.from_arrays(
@@ -112,7 +117,10 @@ def wide_sketches(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _sets(df: DataFrame, size: int) -> DataFrame:
-    """id, wide sketch and the array of shingle hashes; texts without shingles are left out."""
+    """id, wide sketch (32 bits of each group key before the bytes) and the array of shingle hashes.
+
+    Texts without shingles are left out.
+    """
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -120,7 +128,8 @@ def _sets(df: DataFrame, size: int) -> DataFrame:
             full = counts > 0
             offsets = pa.array(np.r_[0, np.cumsum(counts[full])], pa.int32())
             members = pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
-            wide = pa.array([x.tobytes() for x in wide_sketches(values, counts)], pa.binary())
+            groups = np.ascontiguousarray(group_keys(minhashes(values, counts)).T).astype("<u4")
+            wide = pa.array([g.tobytes() + x.tobytes() for g, x in zip(groups, wide_sketches(values, counts), strict=True)], pa.binary())
             return pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(full)), wide, members], ["id", "wide", "members"])
 
         return work
@@ -128,9 +137,11 @@ def _sets(df: DataFrame, size: int) -> DataFrame:
     return map_arrow(df, make, "id long, wide binary, members array<bigint>")
 
 
-def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many bytes of the rows of a and b agree, for all pairs."""
-    return (a[:, None, :] == b[None, :, :]).sum(axis=2, dtype=np.int16)
+def _columns(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    """id, class, size, group keys and sketch of rows."""
+    data = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1)
+    groups = np.ascontiguousarray(data[:, : 8 * GROUPS]).view("<u4")
+    return np.array([r[4] for r in rows]), np.array([r[5] for r in rows]), np.array([r[6] for r in rows]), groups, data[:, 8 * GROUPS :]
 
 
 def _block_pairs(best: int | None, percent: int):
@@ -142,17 +153,26 @@ def _block_pairs(best: int | None, percent: int):
         side = [[r for r in rows if r[3] == s] for s in (True, False)]
         if not side[0] or not side[1]:
             return
-        (ra, ca, na, sa), (rb, cb, nb, sb) = ((np.array([r[4] for r in s]), np.array([r[5] for r in s]), np.array([r[6] for r in s]), np.frombuffer(b"".join(r[7] for r in s), np.uint8).reshape(len(s), -1)) for s in side)
-        for at in range(0, len(ra), 32):
-            cut = slice(at, at + 32)
+        first_a, first_b = divmod(rows[0][0] & (GROUPS * GROUPS - 1), GROUPS)  # the bucket's place among the tables
+        (ra, ca, na, ga, sa), (rb, cb, nb, gb, sb) = map(_columns, side)
+        for at in range(0, len(ra), 64):
+            cut = slice(at, at + 64)
             few, many = np.minimum(na[cut, None], nb[None, :]), np.maximum(na[cut, None], nb[None, :])
-            agree = np.where((ca[cut, None] != cb[None, :]) & (100 * few >= percent * many), _agree(sa[cut], sb), 0)
-            if best and agree.shape[1] > best:
-                least = -np.partition(-agree, best - 1, axis=1)[:, best - 1 : best]
-                first = np.cumsum(agree >= least, axis=1) <= best
-                agree = np.where((agree >= least) & first, agree, 0)
-            x, y = np.nonzero(agree >= enough)
-            yield from zip(np.maximum(ra[cut][x], rb[y]).tolist(), np.minimum(ra[cut][x], rb[y]).tolist(), strict=True)
+            equal = ga[cut, None, :] == gb[None, :, :]
+            # a pair is looked at in the first table that it shares, and nowhere else
+            here = (equal[:, :, :GROUPS].argmax(axis=2) == first_a) & (equal[:, :, GROUPS:].argmax(axis=2) == first_b)
+            x, y = np.nonzero(here & (ca[cut, None] != cb[None, :]) & (100 * few >= percent * many))
+            for k in range(0, len(x), 16_384):
+                i, j = x[k : k + 16_384] + at, y[k : k + 16_384]
+                agree = (sa[i] == sb[j]).sum(axis=1)
+                i, j, agree = i[agree >= enough], j[agree >= enough], agree[agree >= enough]
+                if best:
+                    order = np.lexsort((-agree, i))
+                    i, j = i[order], j[order]
+                    starts = np.searchsorted(i, i)
+                    top = np.arange(len(i)) - starts < best
+                    i, j = i[top], j[top]
+                yield from zip(np.maximum(ra[i], rb[j]).tolist(), np.minimum(ra[i], rb[j]).tolist(), strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows, found = None, [], set()
@@ -214,9 +234,11 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     first = [F.first(c).alias(c) for c in ("n", "a", "b", "sketch")]
     nodes = scratch.table(signed.filter("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("id"), *first), "nodes")
 
-    halves = nodes.select("id", "b", F.explode("a").alias("half"))
+    halves = nodes.select("id", "b", F.posexplode("a").alias("i", "half"))
     shared = scratch.table(halves.groupBy("half").agg(F.count("*").alias("rows")).filter("rows > 1").select("half"), "shared")
-    keys = halves.join(shared, "half", "left_semi").select("id", "half", F.explode("b").alias("other")).select("id", F.xxhash64("half", "other").alias("key"))
+    keys = halves.join(shared, "half", "left_semi").select("id", "i", "half", F.posexplode("b").alias("j", "other"))
+    table = (F.col("i") * GROUPS + F.col("j")).cast("long")  # the low bits of a key are its table's number
+    keys = keys.select("id", F.shiftleft(F.xxhash64("half", "other"), 6).bitwiseOR(table).alias("key"))
     keys = scratch.table(keys, "keys")
     buckets = scratch.table(keys.groupBy("key").agg(F.min("id").alias("v"), F.count("*").alias("rows")).filter("rows > 1").select("key", "v"), "buckets")
     keys = scratch.table(keys.join(buckets, "key"), "bucketed")
