@@ -108,9 +108,9 @@ class Cache:
         self.young: dict = {}
         self.old: dict = {}
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """The keys that are in neither generation; the others are in the young one from now on."""
-        if len(self.young) > self.half:
+    def missing(self, keys: set[str], turn: bool = True) -> list[str]:
+        """The keys that are in neither generation; the others are in the young one from now on, up to the next turn."""
+        if turn and len(self.young) > self.half:
             self.old, self.young = self.young, {}
         young, old, out = self.young, self.old, []
         for key in keys.difference(young):

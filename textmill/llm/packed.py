@@ -16,6 +16,7 @@ Defined results of the table operator: null and empty texts have only the end id
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,10 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from textmill.llm.common import Cache, Scratch, text_slices, word_chunks
 from textmill.llm.files import open_input, open_output
 
+_MARKS = ".,;:!?"
+#: Letters that every version of Unicode has, and one mark.
+_WORD_AND_MARK = re.compile(f"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[{_MARKS}]")
 MAGIC = b"TMS8B001"
 BLOCK = 4096
 #: Word chunks whose ids a worker keeps.
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 1_200_000
 #: Blocks that are packed or decoded at once.
 GROUP = 256
 #: Selector: (ids in a word, bits of each). Selector 0 is a run of zeros, 15 an escape.
@@ -55,10 +59,13 @@ def pack(ids: np.ndarray, escapes: list[int]) -> tuple[np.ndarray, np.ndarray]:
         count, bits = SELECTORS[s]
         fits, run = wide <= bits, 1  # places from which `run` ids have at most so many bits
         while run < count:
+            if not fits.any():
+                break
             step = min(run, count - run)
             fits = fits[:, : fits.shape[1] - step] & fits[:, step:]
             run += step
-        np.copyto(choice[:, : fits.shape[1]], np.int8(s), where=fits)
+        if run >= count:
+            np.copyto(choice[:, : fits.shape[1]], np.int8(s), where=fits)
     ends = np.minimum(BLOCK, n - np.arange(blocks, dtype=np.int64) * BLOCK)
     at, live, steps = np.zeros(blocks, np.int64), np.arange(blocks), []
     while len(live):
@@ -71,15 +78,15 @@ def pack(ids: np.ndarray, escapes: list[int]) -> tuple[np.ndarray, np.ndarray]:
     block, start, chosen = (np.concatenate([x[k] for x in steps]) for k in range(3))
     order = np.argsort(block * BLOCK + start, kind="stable")
     block, start, chosen = block[order], start[order], chosen[order].astype(np.int64)
-    words = chosen.astype(np.uint64) << np.uint64(60)
+    words, flat, place = chosen.astype(np.uint64) << np.uint64(60), table.ravel(), block * BLOCK + start
     for s in range(1, ESCAPE):
         mine = np.flatnonzero(chosen == s)
         count, bits = SELECTORS[s]
         for k in range(count if len(mine) else 0):
-            words[mine] |= table[block[mine], start[mine] + k] << np.uint64(k * bits)
+            words[mine] |= flat[place[mine] + k] << np.uint64(k * bits)
     for i in np.flatnonzero(chosen == ESCAPE).tolist():
         words[i] |= np.uint64(len(escapes))
-        escapes.append(int(table[block[i], start[i]]))
+        escapes.append(int(flat[place[i]]))
     return words, np.searchsorted(block, np.arange(blocks))
 
 
@@ -175,20 +182,42 @@ class CachedTokenizer:
 
     def __init__(self, path: str, ordinary: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, processors
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)  # the ids stay; offsets cover every character
         self.tokenizer.encode_special_tokens = ordinary
         self.chunks = Cache(CACHED_CHUNKS)
+        self.marks = dict(zip(_MARKS, self._bytes(list(_MARKS)), strict=True))
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk with a space before it. Many are encoded as one text, since no token reaches over the
+        start of a chunk; a token's offset then says whose it is."""
+        out: list[bytes] = []
+        for at in range(0, len(chunks), 4096):
+            part = chunks[at : at + 4096]
+            got = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
+            starts = np.cumsum([0, *(len(c) + 1 for c in part)])
+            edges = np.searchsorted([a for a, _ in got.offsets], starts).tolist()
+            data = np.array(got.ids, "<u4").tobytes()
+            out += [data[4 * a : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
+        return out
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
         parts = [word_chunks(x) if x else [""] for x in texts]
-        new = self.chunks.missing({c for p in parts for c in p[1:]})
-        get = self.chunks.lookup(dict(zip(new, self._bytes([f" {c}" for c in new]), strict=True)))
+        wanted = {c for p in parts for c in p[1:]}
+        new = self.chunks.missing(wanted)
+        ending = {c: c[:-1] for c in new if _WORD_AND_MARK.fullmatch(c)}  # two pre-tokens: the word's ids are shared
+        plain = [c for c in new if c not in ending]
+        plain += self.chunks.missing(set(ending.values()).difference(plain), turn=False)
+        got = dict(zip(plain, self._chunks(plain), strict=True))
+        words = self.chunks.young
+        got |= {c: (got[w] if w in got else words[w]) + self.marks[c[-1]] for c, w in ending.items()}
+        get = self.chunks.lookup(got)
         firsts = self._bytes([p[0] for p in parts])
         return [np.frombuffer(b"".join([first, *map(get, p[1:])]), "<u4") for first, p in zip(firsts, parts, strict=True)]
 
