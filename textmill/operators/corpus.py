@@ -85,13 +85,14 @@ def export(texts: DataFrame, attrs: DataFrame, records: DataFrame, lang: str, le
     """Tagged texts in order of id and file_id, with the number of the output file.
 
     texts: id, file_id, lid, text; attrs: id, doc_tag; records: id, date. Kept: share of lang at least `least`, date within
-    [start, end], text not blank. Batches come from counts of each range of ids, so no task sees all rows.
+    [start, end], text not blank. Only the keys are numbered; they are persisted, since numbering reads them three times.
     """
-    picked = texts.filter(F.coalesce(F.col("lid")[lang] >= least, F.lit(False))).withColumn("text", T.blank_to_null("text")).filter("text is not null")
+    texts = texts.withColumn("text", T.blank_to_null("text"))
     dated = records.filter(N.in_dates("date", start, end)).select("id")
-    rows = picked.join(dated, "id", "left_semi").join(attrs, "id")
-    rows = rows.select("id", "file_id", T.wrap_doc(T.fill_file_id("doc_tag", "file_id"), "text").alias("body"))
-    return batch_numbers(rows, ["id", "file_id"], per_file)
+    keys = texts.filter(F.coalesce(F.col("lid")[lang] >= least, F.lit(False)) & F.col("text").isNotNull()).select("id", "file_id")
+    keys = batch_numbers(keys.join(dated, "id", "left_semi").persist(), ["id", "file_id"], per_file)
+    rows = texts.select("id", "file_id", "text").join(keys, ["id", "file_id"]).join(attrs, "id")
+    return rows.select("id", "file_id", T.wrap_doc(T.fill_file_id("doc_tag", "file_id"), "text").alias("body"), "batch")
 
 
 def global_positions(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:

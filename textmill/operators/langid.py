@@ -32,15 +32,21 @@ def _is_in(words: tuple[str, ...]) -> Callable[[Column], Column]:
 def profile_model(profiles: dict[str, tuple[str, ...]] = PROFILES) -> LineModel:
     """The language with most function words; `unknown` without any."""
 
-    def model(text: Column) -> Column:
-        words = F.split(F.lower(text), " ")
-        scores = [F.size(F.filter(words, _is_in(p))) for _, p in sorted(profiles.items())]
-        best = F.greatest(*scores)
+    names = sorted(profiles)
+
+    def pick(scores: Column) -> Column:
+        best = F.greatest(*(scores[n] for n in names))
         out = F.when(best == 0, "unknown")
-        for (name, _), score in zip(sorted(profiles.items()), scores, strict=True):
-            out = out.when(score == best, name)
+        for n in names:
+            out = out.when(scores[n] == best, n)
         return out
 
+    def model(text: Column) -> Column:
+        # one-element arrays bind the words and the scores, so neither is computed more than once
+        words = F.array(F.split(F.lower(text), " "))
+        scores = F.transform(words, lambda ws: F.struct(*(F.size(F.filter(ws, _is_in(profiles[n]))).alias(n) for n in names)))
+        return F.element_at(F.transform(scores, pick), 1)
+
     return model
 
 
