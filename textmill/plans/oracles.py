@@ -151,6 +151,7 @@ def oracle_sql() -> dict[str, str]:
                 SELECT doc_id, replace(replace(text, 'of ', 'fi1&amp;éw '), chr(10), chr(10) || chr(10)) AS t FROM documents)) WHERE trim(line) <> '' GROUP BY doc_id
             UNION ALL SELECT doc_id, '' FROM documents WHERE trim(replace(text, chr(10), '')) = ''""",
         "xml_quote": f"SELECT page_id, {quote('substring(html, 1, 400)')} AS quoted FROM pages",
+        "xml_quote_whole": f"SELECT page_id, {quote('html')} AS quoted FROM pages",
         "doc_tag": f"SELECT doc_id, {tag(chr(39) + '0' + chr(39))} AS doc_tag FROM documents",
         "parse_tag": f"SELECT doc_id, doc_id::VARCHAR AS id, {_TITLE} AS title, source, 5::BIGINT AS n FROM documents",
         "unique_attrs": "SELECT unnest(['id', 'file_id', 'lang', 'source', 'title']) AS name",
