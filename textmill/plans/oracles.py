@@ -156,6 +156,7 @@ def oracle_sql() -> dict[str, str]:
         "parse_tag": f"SELECT doc_id, doc_id::VARCHAR AS id, {_TITLE} AS title, source, 5::BIGINT AS n FROM documents",
         "unique_attrs": "SELECT unnest(['id', 'file_id', 'lang', 'source', 'title']) AS name",
         "xml_tokens": "SELECT doc_id, 'abc' || substring(text, 1, 100) AS text FROM documents",
+        "xml_tokens_whole": f"SELECT doc_id, 'abc' || {translate('text', T.INVALID_XML, '')} || 'abc' AS text FROM documents",
         "comment_attrs": f"SELECT doc_id, ' source=' || {quote('source')} AS attr FROM documents",
         "lempos": "SELECT doc_id, lang || '-' || source || '-n' AS lempos, lang AS lemma, 'n' AS pos FROM documents",
         "semi_join_lang": "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)",

@@ -143,6 +143,12 @@ def xml_tokens(spark, sf):
     return _docs(spark, sf).select("doc_id", T.drop_invalid_xml(F.concat(F.lit("a\x0bb\x1dc"), F.substring("text", 1, 100))).alias("text"))
 
 
+def xml_tokens_whole(spark, sf):
+    """Every text cleaned from its first character to its last, with the characters put before and after it."""
+    added = F.lit("a\x0bb\x1dc")
+    return _docs(spark, sf).select("doc_id", T.drop_invalid_xml(F.concat(added, "text", added)).alias("text"))
+
+
 def comment_attrs(spark, sf):
     return _docs(spark, sf).select("doc_id", T.comment_attribute(F.concat(F.lit("# source = "), "source")).alias("attr"))
 
@@ -500,7 +506,7 @@ def change_windows(spark, sf):
 _NAMES = (
     "xz_round_trip literals params_hash bundle_rows attribute_tags concat_texts change_windows "
     "export_docs semi_join_lang left_join_attr lines lines_clean lid_profile_lines lid_shares lid_l1 lid_multiling lid_filters lid_unsure line_sample file_stats pdf_clean dewrap quotes_dashes "
-    "control_chars collapse html_text normalize_unicode xml_quote xml_quote_whole doc_tag parse_tag unique_attrs xml_tokens comment_attrs lempos batching range_slice ntile_split flatten_events list_join nested_records "
+    "control_chars collapse html_text normalize_unicode xml_quote xml_quote_whole doc_tag parse_tag unique_attrs xml_tokens xml_tokens_whole comment_attrs lempos batching range_slice ntile_split flatten_events list_join nested_records "
     "field_names year_attr date_range high_watermark upsert_latest upsert_two_keys column_update explode_files download_todo missing_rates tokens freq_word freq_lc freq_lemma_pos corpus_size "
     "conllu_roundtrip conllu_counts mwt_splice doc_refs tag_update docx_wrap sent_lang_join verify_counts read_tagged sentence_lid_vote sentence_routing size_routing subcorpora year_groups "
     "tag_counts_outer tag_mapping tag_diff_pct tag_diff_pairs tag_diff_top tag_diff_sample compare_summary diff_islands diff_errors align_tokens np_phrases np_fill tag_classes gender_lemmas glue proper_nouns"
