@@ -266,8 +266,30 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), home.alias("component_id"), (F.col("id") == home).alias("kept"))
 
 
+def _survivors(df: DataFrame, size: int, percent: int, text: str, key: str) -> DataFrame:
+    """keep_one of a table with repeated or null ids: its rows are written once with a number each, which stands for the id."""
+    number = "row"
+    while number in map(str.lower, df.columns):
+        number += "_"
+    rows = Scratch(df.sparkSession).table(df.withColumn(number, F.monotonically_increasing_id()), "rows")
+    alike = near_duplicates(rows, size, percent, text, number).select(number, "n_shingles", "component_id")
+    facts = rows.select(number, F.col(key).alias("id"), F.xxhash64(text).alias("hash"))
+    # without shingles only equal rows belong together, and a null id stands for itself
+    bare = F.col("n_shingles") == 0
+    group = [F.when(~bare | F.col("id").isNull(), F.col("component_id")), F.when(bare, F.col("id")), F.when(bare, F.col("hash"))]
+    best = F.min(F.struct(F.col("id").isNull(), "id", "hash", number))[number]
+    kept = alike.join(facts, number).groupBy(*(c.alias(f"g{k}") for k, c in enumerate(group))).agg(best.alias(number)).select(number)
+    return rows.join(kept, number, "left_semi").select(*df.columns)
+
+
 def keep_one(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each component, with all its columns: that of the smallest id (any one of equal rows)."""
+    """One row of each component, with all its columns: that of the smallest id (any one of equal rows).
+
+    Of rows that repeat an id and a text one stays. Rows with null ids are compared like all others; one stays if its
+    component has no other id. Rows of one id with different texts are different rows.
+    """
+    if not df.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).isEmpty():
+        return _survivors(df, size, percent, text, key)
     kept = near_duplicates(df, size, percent, text, key).filter("kept").select(key).distinct()
     return df.join(kept, key, "left_semi")
 
