@@ -9,7 +9,9 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Entries of a cache of word chunks or pre-tokens, so a worker's memory stays bounded.
 CACHE_ENTRIES = 1_000_000
@@ -20,14 +22,20 @@ SLICE_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a local folder only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder that driver and executors share: spark.checkpoint.dir, or what the context was given.
+
+    A local folder stands in only where neither is set and the master is local; elsewhere that is an error.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not found:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         import tempfile
 
         found = f"file://{tempfile.gettempdir()}/textmill-checkpoints"
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+        context.setCheckpointDir(found)
+    return re.sub(r"^file:/+", "file:///", found).rstrip("/")
 
 
 class Scratch:
@@ -54,13 +62,32 @@ class Scratch:
             self.drop(name)
 
     def drop(self, name: str = "") -> None:
-        """Delete one table, or all of them."""
-        try:
-            jvm = self.spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        except Exception:  # noqa: BLE001  the session has ended
+        """Delete one table, or all of them; after the session has ended through Arrow's file systems."""
+        address, context = self.path(name) if name else self.root, self.spark.sparkContext
+        if context._jsc is not None:
+            path = context._jvm.org.apache.hadoop.fs.Path(address)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
             return
+        system, path = fs.FileSystem.from_uri(address)
+        if system.get_file_info(path).type != fs.FileType.NotFound:
+            system.delete_dir(path)
+
+    def close(self) -> None:
+        """Delete all tables now instead of at the end of the application; their DataFrames cannot be read any more."""
+        self.drop()
+        atexit.unregister(self.drop)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """name, with as many marks after it as keep it apart from the columns."""
+    while name.lower() in map(str.lower, columns):
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, scratch: Scratch, name: str, table: str = "rows") -> DataFrame:
+    """df with a number for each row in column `name`; written once, so that every later pass sees the same numbers."""
+    return scratch.table(df.withColumn(name, F.monotonically_increasing_id()), table)
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

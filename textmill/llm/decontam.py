@@ -5,12 +5,16 @@ the items' words order each window by rarity; its rarest word is the prefix that
 have too. Texts look up only their prefix words; length and place bounds drop windows that would start before the
 text or end after it; what is left is verified word by word.
 
-The items are read in blocks of at most BLOCK_BYTES of text: that is the proven bound of what is broadcast. More items
-than that give more blocks, one pass over the texts for each, whose spans are merged by a row key.
+What is broadcast is the index of one block of items, of at most BLOCK_BYTES of distinct texts and ids (one longer item is
+a block by itself). An index takes some 24 bytes for each word and 120 for each different word: about 6 times the text,
+30 times at the worst. A larger benchmark gives more blocks: the rows are numbered in a written table, each block's
+pass emits the rows that it hits, and the passes are merged by row number. So a row's result depends neither on the number of blocks
+nor on other rows with its id. The words are counted in one pass for all blocks.
 
 Defined results: null and empty texts have no words and no hits; an item without words has no window; an item without an
-id hits words but is not listed; items with equal ids count once; equal rows each get their own result; an empty benchmark
-hits nothing; other columns are ignored.
+id hits words but is not listed; items with equal ids count once; equal rows, rows with equal ids and rows without an id
+each get their own result; an empty benchmark hits nothing; an empty table gives an empty result; other columns are ignored
+by `report` and kept by `keep_clean`.
 """
 
 from __future__ import annotations
@@ -20,13 +24,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm.common import Scratch, map_arrow
+from textmill.llm.common import Scratch, free_name, map_arrow, numbered
+from textmill.llm.words import word_hashes
 
 WINDOW = 13
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Candidate places that are verified at once.
 CANDIDATES = 500_000
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -38,31 +44,50 @@ def item_words(text: str | None) -> list[bytes]:
 
 
 class Index:
-    """The windows of one block of items, keyed by their rarest word."""
+    """The windows of one block of items, keyed by their rarest word.
+
+    Windows are places in the items' words, one after another; equal windows are one.
+    """
 
     def __init__(self, items: list[tuple[str | None, list[bytes]]], counts: dict[bytes, int], window: int = WINDOW):
         self.window = window
-        self.ids = dict.fromkeys(w for _, words in items for w in words)
-        for i, w in enumerate(self.ids):
-            self.ids[w] = i + 1
+        self.ids = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for _, words in items for w in words))}
         rarity = np.array([0, *(counts.get(w, 0) for w in self.ids)], np.int64)
         self.names = sorted({str(i) for i, _ in items if i is not None})
         place = {name: k for k, name in enumerate(self.names)}
-        owners: dict[tuple[int, ...], set[int]] = {}
-        for name, words in items:
-            numbers = tuple(map(self.ids.__getitem__, words))
-            for start in range(max(1, len(words) - window + 1) if words else 0):
-                owners.setdefault(numbers[start : start + window], set()).update([] if name is None else [place[str(name)]])
-        self.owners = [np.array(sorted(x), np.int64) for x in owners.values()]
-        self.lengths = np.fromiter(map(len, owners), np.int64, len(owners))
-        self.words = np.zeros((len(owners), window), np.int64)
-        for i, numbers in enumerate(owners):
-            self.words[i, : len(numbers)] = numbers
-        filled = np.arange(window) < self.lengths[:, None]
-        self.offset = np.where(filled, rarity[self.words], np.iinfo(np.int64).max).argmin(axis=1) if len(owners) else np.zeros(0, np.int64)
-        prefix = self.words[np.arange(len(owners)), self.offset]
-        self.by_prefix = np.argsort(prefix, kind="stable")  # windows, grouped by prefix word
-        self.first = np.searchsorted(prefix[self.by_prefix], np.arange(len(self.ids) + 2))
+        sizes = np.fromiter((len(words) for _, words in items), np.int64, len(items))
+        self.flat = np.fromiter((self.ids[w] for _, words in items for w in words), np.int32, int(sizes.sum()))
+        self.flat = np.r_[self.flat, np.zeros(window, np.int32)]  # so that every window can be read at full width
+        many = np.where(sizes > 0, np.maximum(sizes - window + 1, 1), 0)
+        item = np.repeat(np.arange(len(items)), many)
+        start = np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many) + (np.cumsum(sizes) - sizes)[item]
+        length = np.minimum(sizes[item], window)
+        digest = length.astype(np.uint64)
+        for k in range(window):
+            digest = digest * np.uint64(0x9E3779B97F4A7C15) + np.where(k < length, self.flat[start + k], 0).astype(np.uint64)
+        order = np.argsort(digest, kind="stable")
+        same = length[order[1:]] == length[order[:-1]]
+        for k in range(window):
+            same &= (k >= length[order[1:]]) | (self.flat[start[order[1:]] + k] == self.flat[start[order[:-1]] + k])
+        group = np.cumsum(np.r_[False, ~same][: len(order)])
+        first = order[np.flatnonzero(np.r_[True, ~same][: len(order)])]
+        self.start, self.lengths = start[first].astype(np.int32), length[first].astype(np.int32)
+        owner = np.array([-1 if name is None else place[str(name)] for name, _ in items], np.int64)[item[order]] if len(items) else group
+        pairs = np.unique(np.stack([group, owner])[:, owner >= 0], axis=1)
+        self.owner = pairs[1].astype(np.int32)
+        self.owned = np.searchsorted(pairs[0], np.arange(len(first) + 1)).astype(np.int32)
+        self.offset, least = np.zeros(len(first), np.int32), np.full(len(first), np.iinfo(np.int64).max)
+        for k in range(window):
+            here = np.where(k < self.lengths, rarity[self.flat[self.start + k]], np.iinfo(np.int64).max)
+            self.offset[here < least] = k
+            least = np.minimum(least, here)
+        prefix = self.flat[self.start + self.offset]
+        self.by_prefix = np.argsort(prefix, kind="stable").astype(np.int32)  # windows, grouped by prefix word
+        self.first = np.searchsorted(prefix[self.by_prefix], np.arange(len(self.ids) + 2)).astype(np.int32)
+
+    def owners(self, window: int) -> list[int]:
+        """Which names' items hold a window."""
+        return self.owner[self.owned[window] : self.owned[window + 1]].tolist()
 
     def hits(self, words: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, start) of every occurrence, for word numbers (0: in no item) and their documents."""
@@ -84,7 +109,7 @@ class Index:
             keep = doc[start] == doc[start + length - 1]
             window, start, length = window[keep], start[keep], length[keep]
             for k in range(self.window):
-                keep = (length <= k) | (words[np.minimum(start + k, len(words) - 1)] == self.words[window, k])
+                keep = (length <= k) | (words[np.minimum(start + k, len(words) - 1)] == self.flat[self.start[window] + k])
                 window, start, length = window[keep], start[keep], length[keep]
             found.append((window, start))
         if not found:
@@ -107,7 +132,7 @@ def _slice_hits(index: Index, texts: list[str | None]) -> tuple[np.ndarray, np.n
     items: list[set[int]] = [set() for _ in lists]
     pairs = np.unique(np.stack([doc[start], window]), axis=1) if len(start) else np.zeros((2, 0), np.int64)
     for d, w in pairs.T.tolist():
-        items[d].update(index.owners[w].tolist())
+        items[d].update(index.owners(w))
     return sizes, np.bincount(doc[mask], minlength=len(lists)), mask, items
 
 
@@ -124,44 +149,60 @@ def _report(batch: pa.RecordBatch, index: Index, texts: list[str | None]) -> lis
     return [pa.array(n_words), pa.array(n_hit), pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.string()), pa.array((n_hit > 0) & (20 * n_hit >= n_words))]
 
 
-def _counts(docs: DataFrame, vocabulary, text: str) -> dict[bytes, int]:
-    """How often each word of the vocabulary (bounded by the block) occurs in all texts."""
+def word_counts(docs: DataFrame, text: str, known: np.ndarray | None) -> DataFrame:
+    """w (a word's hash) and n, how often it occurs in all texts; of the known hashes (ascending) only, if given."""
+    shared = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
 
     def make():
-        known = vocabulary.value
+        wanted = None if shared is None else shared.value
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            total = np.zeros(len(known) + 1, np.int64)
-            for x in batch.column(0).to_pylist():
-                total += np.bincount(np.fromiter((known.get(w, 0) for w in item_words(x)), np.int64), minlength=len(known) + 1)
-            at = np.flatnonzero(total[1:]) + 1
-            return pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["w", "n"])
+            values, _ = word_hashes(batch.column(0).to_pylist(), _FOLD)
+            if wanted is not None:
+                values = values[wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values] if len(wanted) else values[:0]
+            values, n = np.unique(values, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(n, pa.int64())], ["w", "n"])
 
         return work
 
-    rows = map_arrow(docs.select(text), make, "w long, n long", text).groupBy("w").agg(F.sum("n").alias("n")).collect()
-    words = list(vocabulary.value)
-    return {words[r.w - 1]: r.n for r in rows}
+    return map_arrow(docs.select(text), make, "w long, n long", text).groupBy("w").agg(F.sum("n").alias("n"))
 
 
 def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
-    """The items, dealt by a hash of their text into blocks that are expected to stay below block_bytes."""
-    size = benchmark.agg(F.sum(F.octet_length(text)).alias("n")).first().n or 0
-    n = -(-2 * size // block_bytes) if size > block_bytes else 1
-    picked = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    return [picked.filter(F.pmod(F.xxhash64("text"), F.lit(n)) == b) for b in range(n)]
+    """The distinct texts (text, items: the ids that have it), dealt by a hash into blocks of at most block_bytes, or of one text."""
+    texts = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).filter("text is not null").groupBy("text").agg(F.collect_set("item").alias("items"))
+    spot, size = F.xxhash64("text"), F.octet_length("text") + F.octet_length(F.array_join("items", ","))
+    total, n = texts.agg(F.sum(size).alias("n")).first().n or 0, 1
+    while n == 1 and total > block_bytes or n > 1 and texts.groupBy(F.pmod(spot, F.lit(n))).agg(F.sum(size).alias("n"), F.count("*").alias("rows")).filter((F.col("n") > block_bytes) & (F.col("rows") > 1)).limit(1).count():
+        n = n * 2 if n > 1 else -(-3 * total // (2 * block_bytes))
+    return [texts.filter(F.pmod(spot, F.lit(n)) == b) for b in range(n)]
 
 
-def _index(docs: DataFrame, block: DataFrame, window: int, text: str):
-    """The broadcast index of one block."""
-    sc = docs.sparkSession.sparkContext
-    items = [(r.item, item_words(r.text)) for r in block.collect()]  # at most BLOCK_BYTES of text
-    vocabulary = {w: i + 1 for i, w in enumerate(dict.fromkeys(w for _, words in items for w in words))}
-    return sc.broadcast(Index(items, _counts(docs, sc.broadcast(vocabulary), text), window))
+def _items(block: DataFrame) -> list[tuple[str | None, list[bytes]]]:
+    """Name and words of each item of a block (at most BLOCK_BYTES of text, or one item)."""
+    return [(name, words) for r in block.collect() for words in [item_words(r.text)] for name in r["items"] or [None]]
 
 
-def _one_block(docs: DataFrame, block: DataFrame, window: int, text: str, schema, finish: Callable, place: int) -> DataFrame:
-    index = _index(docs, block, window, text)
+def _indexes(docs: DataFrame, parts: list[DataFrame], scratch: Scratch, window: int, text: str):
+    """The index of each block, broadcast when its turn comes; the texts' words are counted in one pass before."""
+    spark, counted = docs.sparkSession, None
+    if len(parts) > 1:
+        counted = scratch.table(word_counts(docs, text, None), "counts")
+    for part in parts:
+        items = _items(part)
+        vocabulary = list(dict.fromkeys(w for _, words in items for w in words))
+        hashes = word_hashes([w.decode() for w in vocabulary], _FOLD)[0] if vocabulary else np.zeros(0, np.uint64)
+        if counted is None:
+            found = word_counts(docs, text, np.unique(hashes))
+        else:
+            wanted = spark.createDataFrame(pa.table({"w": np.unique(hashes).view(np.int64)}))
+            found = counted.join(F.broadcast(wanted), "w", "left_semi")  # the words of one block
+        counts = {r.w: r.n for r in found.collect()}  # at most one row for each word of the block
+        yield spark.sparkContext.broadcast(Index(items, {w: counts.get(h, 0) for w, h in zip(vocabulary, hashes.view(np.int64).tolist(), strict=True)}, window))
+
+
+def _pass(docs: DataFrame, index, schema, finish: Callable, text: str) -> DataFrame:
+    place = docs.columns.index(text)
 
     def make():
         known = index.value
@@ -170,53 +211,61 @@ def _one_block(docs: DataFrame, block: DataFrame, window: int, text: str, schema
     return map_arrow(docs, make, schema, text)
 
 
+def _merged(rows: DataFrame, parts: list[DataFrame], scratch: Scratch, window: int, text: str, row: str) -> DataFrame:
+    """row, n_words, n_hit, items and contaminated of the numbered rows, a pass for each block; rows without a hit come once."""
+
+    def hits(first: bool):
+        def finish(batch: pa.RecordBatch, index: Index, texts: list[str | None]) -> pa.RecordBatch:
+            sizes, _, mask, items = _slice_hits(index, texts)
+            ends = np.cumsum(sizes)
+            hit = [np.flatnonzero(mask[e - n : e]).astype(np.int32) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+            named = [[index.names[i] for i in x] for x in items]
+            out = pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(hit, pa.list_(pa.int32())), pa.array(named, pa.list_(pa.string()))], ["row", "n_words", "hit", "items"])
+            return out if first else out.filter(pa.array([len(x) > 0 for x in hit], pa.bool_()))
+
+        return finish
+
+    texts = rows.select(F.col(row).alias("row"), F.col(text).alias("text"))
+    every = None
+    for i, index in enumerate(_indexes(texts, parts, scratch, window, "text")):
+        one = scratch.table(_pass(texts, index, "row long, n_words long, hit array<int>, items array<string>", hits(not i), "text"), f"block{i}")
+        index.unpersist()
+        every = one if every is None else every.unionByName(one)
+    merged = every.groupBy("row").agg(
+        F.max("n_words").alias("n_words"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    return merged.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """key, n_words, n_hit, n_items, items_sha256 and contaminated for every row of docs."""
     docs = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    kind = docs.schema["key"].dataType.simpleString()
+    scratch = Scratch(docs.sparkSession)
     parts = blocks(benchmark, block_bytes=block_bytes)
     if len(parts) == 1:
         names = ["key", *(x.split()[0] for x in RESULT.split(", "))]
-        out = _one_block(docs, parts[0], window, "text", f"key {kind}, {RESULT}", lambda batch, index, texts: pa.RecordBatch.from_arrays([batch.column(0), *_report(batch, index, texts)], names), 1)
-        return out.withColumnRenamed("key", key)
-
-    def spans(batch: pa.RecordBatch, index: Index, texts: list[str | None]) -> pa.RecordBatch:
-        sizes, _, mask, items = _slice_hits(index, texts)
-        ends = np.cumsum(sizes)
-        hit = [np.flatnonzero(mask[e - n : e]).tolist() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
-        sums = [hashlib.sha256(x.encode()).hexdigest() if x is not None else "" for x in texts]
-        named = [sorted(index.names[i] for i in x) for x in items]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.string()), pa.array(sizes), pa.array(hit, pa.list_(pa.int64())), pa.array(named, pa.list_(pa.string()))], ["key", "sum", "n_words", "hit", "items"])
-
-    scratch = Scratch(docs.sparkSession)
-    tables = [scratch.table(_one_block(docs, x, window, "text", f"key {kind}, sum string, n_words long, hit array<bigint>, items array<string>", spans, 1), f"block{i}") for i, x in enumerate(parts)]
-    every = tables[0].withColumn("b", F.lit(0))
-    for i, t in enumerate(tables[1:], 1):
-        every = every.unionByName(t.withColumn("b", F.lit(i)))
-    merged = every.groupBy("key", "sum", "n_words").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.count_if(F.col("b") == 0).alias("rows"),
-    )
-    return (
-        merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-        .select(F.col("key").alias(key), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
-    )
+        index = next(_indexes(docs, parts, scratch, window, "text"))
+        schema = f"key {docs.schema['key'].dataType.simpleString()}, {RESULT}"
+        return _pass(docs, index, schema, lambda batch, known, texts: pa.RecordBatch.from_arrays([batch.column(0), *_report(batch, known, texts)], names), "text").withColumnRenamed("key", key)
+    rows = numbered(docs, scratch, "row")
+    merged = _merged(rows, parts, scratch, window, "text", "row")
+    out = rows.select("row", F.col("key").alias(key)).join(merged, "row")
+    return out.select(key, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", key: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs that are not contaminated, with all their columns; a block's pass drops what that block alone shows."""
+    """The rows of docs that are not contaminated, with all their columns; each row is judged by its own text, whatever its id."""
+    scratch = Scratch(docs.sparkSession)
     parts = blocks(benchmark, block_bytes=block_bytes)
-    if len(parts) > 1:
-        bad = report(docs, benchmark, window, text, key, block_bytes).filter("contaminated").select(key).distinct()
-        return docs.join(bad, key, "left_anti")
-    return _one_block(docs, parts[0], window, text, docs.schema, lambda batch, index, texts: batch.filter(pc_invert(_report(batch, index, texts)[4])), docs.columns.index(text))
-
-
-def pc_invert(mask: pa.Array) -> pa.Array:
-    import pyarrow.compute as pc
-
-    return pc.invert(mask)
+    if len(parts) == 1:
+        index = next(_indexes(docs.select(text), parts, scratch, window, text))
+        return _pass(docs, index, docs.schema, lambda batch, known, texts: batch.filter(pc.invert(_report(batch, known, texts)[4])), text)
+    row = free_name(docs.columns, "row")
+    rows = numbered(docs, scratch, row)
+    bad = _merged(rows, parts, scratch, window, text, row).filter("contaminated").select(F.col("row").alias(row))
+    return rows.join(bad, row, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,9 +22,9 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of each word of all texts, and how many words each text has."""
-    raw = [(x or "").encode().translate(_FOLD) for x in texts]
+def word_hashes(texts: list[str | None], fold: bytes = _FOLD) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of all texts, and how many words each text has. fold turns what parts words into spaces."""
+    raw = [(x or "").encode().translate(fold) for x in texts]
     data = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
     inside = data != 32
     starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
