@@ -91,9 +91,10 @@ def numbered(df: DataFrame, scratch: Scratch, name: str, table: str = "rows") ->
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut into runs of rows of about `most` bytes of text."""
+    """The batches, cut into runs of rows of about `most` bytes of text. column: the text, or a number that says its size."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        values = batch.column(column)
+        lengths = pc.fill_null(values if pa.types.is_integer(values.type) else pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
         start = total = 0
         for i, n in enumerate(lengths.tolist()):
             if total and total + n > most:

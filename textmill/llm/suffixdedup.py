@@ -3,23 +3,28 @@
 Equal strings of `length` bytes have equal k-grams at equal places, so they agree on their anchor: the place of their
 least k-gram hash (the leftmost of equals). Every window of a text belongs to an anchor, and consecutive windows with one
 anchor form an occurrence; its context is the bytes that its windows cover. Anchors that occur once in the collection
-are dropped. An occurrence whose whole context occurs again is repeated as a whole. What is left, anchors with
-several different contexts, goes through the construction, with contexts as the documents:
+are dropped. Occurrences with equal contexts (compared by digests of 128 bits) are one document from then on: all windows
+of a context that occurs again are repeated. Anchors with several different contexts go through the construction, with
+contexts as the documents:
 
 All contexts of a task are aligned at their anchors. From the last column to the first, one symbol of each document is
 inserted: the order of the suffixes that begin in a column is the stable sort of the order of the column after it by the
 symbols before those suffixes (a column of the collection's Burrows-Wheeler transform), and the common prefix of
 neighbours is one more than the least among those between them. Only the newest column's suffixes are kept, for equal
-windows begin in equal columns. A window is repeated if a neighbour shares `length` symbols. The columns, order and
-prefixes of a batch are read and written from end to end; a batch holds at most BATCH documents (or one larger group of
-at most HOT), so they stay in memory where the published method has files.
+windows begin in equal columns. A window is repeated if a neighbour shares `length` symbols. The contexts come from a
+written table, group after group; a batch holds at most BATCH documents (or one larger group of at most HOT), so its columns,
+order and prefixes stay in memory where the published method has files.
 
 An anchor with over HOT different contexts is too large for a task: its contexts are counted window by window
-(map-side combined), again exactly.
+(map-side combined, dealt by the windows' digests), again exactly.
 
-Defined results: null and empty texts, and all under `length` bytes, have nothing removed; rows with equal ids are taken as
-equal rows, and as copies of each other; a null id stands for itself; other columns are ignored; an empty table gives an
-empty result.
+Rows are numbered in a written table that also has their compressed texts; every later pass reads that table. So rows are
+told apart whatever their ids are. Runs of one short pattern give one occurrence for each run, not one for each place, and
+spans are united before those of a row are collected: at most one for each two bytes that stay.
+
+Defined results: null and empty texts, and all under `length` bytes, have nothing removed; equal rows, rows with equal
+ids and rows without an id are rows of their own, so the texts of equal rows repeat each other; other columns are
+ignored by `removal_digests` and kept by `remove_repeats`, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,9 +36,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textmill.llm.common import Scratch, text_slices
+from textmill.llm.common import Scratch, numbered, text_slices
 from textmill.llm.words import mix
 
 LENGTH = 200
@@ -41,7 +48,7 @@ GRAM = 32
 #: Windows whose anchors are found at once.
 SEGMENT = 1_000_000
 BATCH = 16_384
-HOT = 20_000
+HOT = 2_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: A random 64-bit number for each byte.
@@ -68,12 +75,17 @@ class _Hashes:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
 
 
-def occurrences(data: np.ndarray, first: np.ndarray, last: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Of bytes that hold texts at [first, last): text, start, anchor's place, windows after the first, anchor, context.
+def occurrences(blob: bytes, first: np.ndarray, last: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Of bytes that hold texts at [first, last): text, start, anchor's place, windows after the first, anchor, both halves of the
+    context's digest, times, reach.
 
-    Places are counted from the start of data.
+    Places are counted from the start of data. Neighbouring occurrences with equal contexts are one that occurs `times`,
+    the last one `reach` bytes after the first.
     """
-    none = tuple(np.zeros(0, np.int64) for _ in range(6))
+    import xxhash
+
+    none = tuple(np.zeros(0, np.int64) for _ in range(9))
+    data = np.frombuffer(blob, np.uint8)
     wide = length - gram + 1
     n = len(data) - gram + 1
     count = np.maximum(last - first - length + 1, 0)  # windows of each text
@@ -95,11 +107,17 @@ def occurrences(data: np.ndarray, first: np.ndarray, last: np.ndarray, length: i
     head = np.flatnonzero(new)
     more = np.diff(np.r_[head, len(text)]) - 1
     text, start, anchor = text[head], start[head], anchor[head]
-    context = hashes.of(start, start + more + length) ^ mix(((anchor - start) * 512 + more).astype(np.uint64) + np.uint64(1))
-    return text, start, anchor, more, grams[anchor].view(np.int64), context.view(np.int64)
+    key = grams[anchor].view(np.int64)
+    digest = xxhash.xxh3_128_digest
+    context = np.frombuffer(b"".join([digest(blob[a:b]) for a, b in zip(start.tolist(), (start + more + length).tolist(), strict=True)]), np.int64).reshape(-1, 2)
+    again = (text[1:] == text[:-1]) & (key[1:] == key[:-1]) & (more[1:] == more[:-1]) & (context[1:] == context[:-1]).all(axis=1)
+    head = np.flatnonzero(np.r_[True, ~again])
+    times = np.diff(np.r_[head, len(text)])
+    reach = start[head + times - 1] - start[head]
+    return text[head], start[head], anchor[head], more[head], key[head], context[head, 0], context[head, 1], times, reach
 
 
-def _segments(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _segments(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Bytes, and of each piece in them: text, place in the text, first and last byte. Long texts come in overlapping pieces."""
     held, size = [], 0
     pieces = ((i, a, min(len(t), a + SEGMENT + length - 1)) for i, t in enumerate(texts) for a in range(0, max(len(t) - length + 1, 0), SEGMENT))
@@ -107,7 +125,7 @@ def _segments(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.
         if held and (i < 0 or size + b - a > 2 * SEGMENT):
             sizes = np.array([q - p for _, p, q in held])
             last = np.cumsum(sizes)
-            yield np.frombuffer(b"".join(texts[k][p:q] for k, p, q in held), np.uint8), np.array([k for k, _, _ in held]), np.array([p for _, p, _ in held]), last - sizes, last
+            yield b"".join(texts[k][p:q] for k, p, q in held), np.array([k for k, _, _ in held]), np.array([p for _, p, _ in held]), last - sizes, last
             held, size = [], 0
         held.append((i, a, b))
         size += b - a
@@ -117,20 +135,26 @@ def _pack(place: np.ndarray, offset: np.ndarray, more: np.ndarray) -> np.ndarray
     return place << 20 | offset << 10 | more
 
 
-def find_occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """id, packed place, anchor and context of each occurrence in docs(id, text)."""
+FOUND = "row long, place long, anchor long, x long, y long, times int, reach int"
+
+
+def find_occurrences(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """Row, packed place, anchor, context, times and reach of each occurrence in rows(row, n_bytes, packed)."""
+    names = [x.split()[0] for x in FOUND.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, most=SEGMENT):
+        unpack = _unpacker()
+        for batch in text_slices(batches, "n_bytes", SEGMENT):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = [(x or "").encode() for x in batch.column(1).to_pylist()]
-            for data, owner, at, first, last in _segments(texts, length):
-                text, start, anchor, more, key, context = occurrences(data, first, last, length, gram)
+            texts = [unpack(x) for x in batch.column(2).to_pylist()]
+            for blob, owner, at, first, last in _segments(texts, length):
+                text, start, anchor, more, key, x, y, times, reach = occurrences(blob, first, last, length, gram)
                 if len(text):
                     place = _pack(at[text] + start - first[text], anchor - start, more)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[owner[text]], place, key, context)], ["id", "place", "anchor", "context"])
+                    cols = (ids[owner[text]], place, key, x, y, times.astype(np.int32), reach.astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
 
-    return docs.mapInArrow(run, "id long, place long, anchor long, context long")
+    return rows.select("row", "n_bytes", "packed").mapInArrow(run, FOUND)
 
 
 def columns_repeat(group: np.ndarray, table: np.ndarray, length: int, columns: int) -> np.ndarray:
@@ -163,7 +187,7 @@ def columns_repeat(group: np.ndarray, table: np.ndarray, length: int, columns: i
 
 
 def _construct(rows: list[tuple], length: int, gram: int) -> Iterator[tuple[int, int, int]]:
-    """Repeated spans (id, start, end) of the single contexts among rows (anchor, id, place, single, bytes)."""
+    """Repeated spans (row, start, end) of the single contexts among rows (anchor, row, place, single, bytes)."""
     lead = length - gram
     n = len(rows)
     table = np.zeros((n, lead + length), np.uint16)
@@ -184,24 +208,30 @@ def _construct(rows: list[tuple], length: int, gram: int) -> Iterator[tuple[int,
         yield rows[i][1], int(base[i]) + a, int(base[i]) + b - 1 + length
 
 
-SPANS = "id long, start long, end long"
+SPANS = "row long, start long, end long"
 
 
 def _spans_batch(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
     cols = list(zip(*spans, strict=True)) or [()] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["id", "start", "end"])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["row", "start", "end"])
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """id and the compressed bytes of docs(id, text): what is shuffled is a third of the text."""
+def packed_rows(df: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
+    """df's rows, written once: row (a number), n_bytes, the compressed text as `packed`, and the other columns as c0, c1, ..."""
     import zstandard
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    others = [c for c in df.columns if c != text]
+    picked = df.select(F.col(f"`{text}`").alias("text"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)))
+    fields = [T.StructField("n_bytes", T.LongType()), T.StructField("packed", T.BinaryType()), *picked.schema.fields[1:]]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in text_slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([packer.compress((x or "").encode()) for x in batch.column(1).to_pylist()], pa.binary())], ["id", "packed"])
+            raw = [(x or "").encode() for x in batch.column(0).to_pylist()]
+            cols = [pa.array(map(len, raw), pa.int64()), pa.array(map(packer.compress, raw), pa.binary()), *batch.columns[1:]]
+            yield pa.RecordBatch.from_arrays(cols, [f.name for f in fields])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, packed binary")
+    return numbered(picked.mapInArrow(pack, T.StructType(fields)), scratch, "row")
 
 
 def _unpacker():
@@ -211,20 +241,23 @@ def _unpacker():
     return unpack.decompress
 
 
-def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """id, start and end of spans of docs(id, text) whose every window of `length` bytes occurs elsewhere; spans overlap."""
-    found = find_occurrences(docs, length, gram)
-    often = scratch.table(found.groupBy("anchor").agg(F.count("*").alias("rows")).filter("rows > 1").select("anchor"), "often")
+def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """row, start and end of spans of rows(row, n_bytes, packed) whose every window of `length` bytes occurs elsewhere; spans overlap."""
+    found = scratch.table(find_occurrences(rows, length, gram), "found")
+    often = scratch.table(found.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor"), "often")
     hits = scratch.table(found.join(often, "anchor"), "hits")
-    contexts = hits.groupBy("anchor", "context").agg(F.count("*").alias("rows"), F.min(F.struct("id", "place")).alias("one")).select("anchor", "context", "rows", "one.*")
+    scratch.drop("found")
+    contexts = hits.groupBy("anchor", "x", "y").agg(F.sum("times").alias("n"), F.min(F.struct("row", "place")).alias("one")).select("anchor", "x", "y", "n", "one.*")
     contexts = scratch.table(contexts, "contexts")
     kinds = scratch.table(contexts.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "kinds")
-    whole = contexts.filter("rows > 1").select("anchor", "context")
+    whole = contexts.filter("n > 1").select("anchor", "x", "y")
     start = F.shiftright("place", 20)
-    spans = hits.join(whole, ["anchor", "context"]).select("id", start.alias("start"), (start + F.col("place").bitwiseAND(1023) + length).alias("end"))
+    spans = hits.join(whole, ["anchor", "x", "y"]).select("row", start.alias("start"), (start + F.col("place").bitwiseAND(1023) + F.col("reach") + length).alias("end"))
     spans = scratch.table(spans, "whole")
+    scratch.drop("hits")
 
-    asked = contexts.join(kinds, "anchor").groupBy("id").agg(F.collect_list(F.struct("anchor", "place", (F.col("rows") == 1).alias("single"), "kinds")).alias("asked"))
+    # a row's contexts are no more than its text: one for each `length - gram` bytes or so, runs of a short pattern aside
+    asked = contexts.join(kinds, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "place", (F.col("n") == 1).alias("single"), "kinds")).alias("asked"))
     asked = scratch.table(asked, "asked")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,8 +274,8 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
         if rows:
             yield _cut_batch(rows)
 
-    texts = packed_texts(docs).join(asked, "id").select("id", "packed", "asked")
-    pieces = scratch.table(texts.mapInArrow(cut, "anchor long, id long, place long, single boolean, bytes binary, kinds long"), "pieces")
+    texts = rows.join(asked, "row").select("row", "packed", "asked")
+    pieces = scratch.table(texts.mapInArrow(cut, "anchor long, row long, place long, single boolean, bytes binary, kinds long"), "pieces")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -255,7 +288,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
         if rows:
             yield _spans_batch(list(_construct(rows, length, gram)))
 
-    few = pieces.filter(F.col("kinds") <= hot).select("anchor", "id", "place", "single", "bytes").repartition("anchor").sortWithinPartitions("anchor")
+    few = pieces.filter(F.col("kinds") <= hot).select("anchor", "row", "place", "single", "bytes").repartition("anchor").sortWithinPartitions("anchor")
     spans = spans.union(few.mapInArrow(build, SPANS))
     if pieces.filter(F.col("kinds") > hot).limit(1).count():
         spans = spans.union(_window_counts(pieces.filter(F.col("kinds") > hot), scratch, length))
@@ -265,7 +298,7 @@ def repeated_spans(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram
 def _cut_batch(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True))
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["anchor", "id", "place", "single", "bytes", "kinds"])
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["anchor", "row", "place", "single", "bytes", "kinds"])
 
 
 def _window_counts(pieces: DataFrame, scratch: Scratch, length: int) -> DataFrame:
@@ -274,33 +307,27 @@ def _window_counts(pieces: DataFrame, scratch: Scratch, length: int) -> DataFram
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for anchor, key, place, single, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "id", "place", "single", "bytes")), strict=True):
+            for anchor, key, place, single, data in zip(*(batch.column(c).to_pylist() for c in ("anchor", "row", "place", "single", "bytes")), strict=True):
                 lead = place >> 10 & 1023
                 for k in range((place & 1023) + 1):
                     digest = hashlib.blake2b(data[k : k + length], digest_size=16, salt=(lead - k).to_bytes(4, "little")).digest()
                     out.append((anchor, digest, key, (place >> 20) + k, single))
             cols = list(zip(*out, strict=True)) or [()] * 5
             kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["anchor", "digest", "id", "start", "single"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["anchor", "digest", "row", "start", "single"])
 
-    every = scratch.table(pieces.mapInArrow(windows, "anchor long, digest binary, id long, start long, single boolean"), "windows")
+    every = scratch.table(pieces.mapInArrow(windows, "anchor long, digest binary, row long, start long, single boolean"), "windows")
     again = scratch.table(every.groupBy("anchor", "digest").agg(F.count("*").alias("rows")).filter("rows > 1").select("anchor", "digest"), "again")
-    return every.filter("single").join(again, ["anchor", "digest"], "left_semi").select("id", "start", (F.col("start") + length).alias("end"))
-
-
-def _keyed(df: DataFrame, text: str, key: str) -> DataFrame:
-    return df.select(F.coalesce(df[key].cast("long"), F.xxhash64(df[text])).alias("id"), df[key].alias("key"), df[text].alias("text"))
+    return every.filter("single").join(again, ["anchor", "digest"], "left_semi").select("row", "start", (F.col("start") + length).alias("end"))
 
 
-def _merge(spans: list[dict] | None) -> list[tuple[int, int]]:
-    """The union of the spans, as maximal runs."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted((s["start"], s["end"]) for s in spans or ()):
-        if out and a <= out[-1][1]:
-            out[-1] = out[-1][0], max(b, out[-1][1])
-        else:
-            out.append((a, b))
-    return out
+def united(spans: DataFrame) -> DataFrame:
+    """row and its maximal runs: the union of the spans (row, start, end), in order."""
+    w = W.partitionBy("row").orderBy("start", "end")
+    before = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
+    runs = spans.withColumn("new", F.coalesce(F.col("start") > before, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(w))
+    runs = runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return runs.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
 
 
 def _keep(data: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -308,57 +335,44 @@ def _keep(data: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
-def _finished(df: DataFrame, scratch: Scratch, length: int, text: str, key: str, extra: list[str], work, schema: str) -> DataFrame:
-    """work(row columns, bytes, runs) for every row of df, once the spans are known."""
-    docs = _keyed(df, text, key)
-    spans = repeated_spans(docs.select("id", "text"), scratch, length)
-    runs = spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    runs = scratch.table(runs, "runs")
-    scratch.keep("runs")
-
-    import zstandard
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
-        for batch in text_slices(batches):
-            packed = pa.array([packer.compress((x or "").encode()) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i, n in enumerate(batch.schema.names) if n != "text"), packed], [*(n for n in batch.schema.names if n != "text"), "packed"])
-
-    rest = df.select(F.coalesce(df[key].cast("long"), F.xxhash64(df[text])).alias("id"), *(df[c].alias(f"c{i}") for i, c in enumerate(extra)), df[text].alias("text"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rest.schema.fields if f.name != "text")
-    joined = rest.mapInArrow(pack, f"{fields}, packed binary").join(runs, "id", "left").drop("id")
-    names = [x.split()[0] for x in schema.split(", ")]
+def _finished(df: DataFrame, length: int, text: str, hot: int, work, made: list[T.StructField]) -> DataFrame:
+    """The columns of df but the text, and work(bytes, runs) for every row, once the runs are known."""
+    scratch = Scratch(df.sparkSession)
+    others = [f for f in df.schema.fields if f.name != text]
+    rows = packed_rows(df, scratch, text)
+    runs = scratch.table(united(repeated_spans(rows.select("row", "n_bytes", "packed"), scratch, length, hot=hot)), "runs")
+    scratch.keep("rows", "runs")
+    joined = rows.join(runs, "row", "left").select("n_bytes", "packed", "runs", *(f"c{i}" for i in range(len(others))))
+    schema = T.StructType([*(T.StructField(f"c{i}", f.dataType) for i, f in enumerate(others)), *made])
+    kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.string() for f in made]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = _unpacker()
-        types = None
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                rows = [work(unpack(p), _merge(s)) for p, s in zip(part.column(len(extra)).to_pylist(), part.column(len(extra) + 1).to_pylist(), strict=True)]
-                cols = [pa.array(c) for c in zip(*rows, strict=True)]
-                types = types or [c.type for c in cols]
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(extra))), *cols], names)
+        for part in text_slices(batches, "n_bytes"):
+            done = [work(unpack(p), [(r["start"], r["end"]) for r in s or ()]) for p, s in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
+            cols = [pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns[3:], *cols], schema.names)
 
-    return joined.mapInArrow(finish, schema)
+    return joined.mapInArrow(finish, schema).toDF(*(f.name for f in others), *(f.name for f in made))
 
 
 def _digest(data: bytes, runs: list[tuple[int, int]]) -> tuple[int, int, int, str]:
     return len(data), sum(b - a for a, b in runs), len(runs), hashlib.sha256(_keep(data, runs)).hexdigest()
 
 
-def removal_digests(df: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
+DIGESTS = [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())]
+
+
+def removal_digests(df: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", hot: int = HOT) -> DataFrame:
     """key, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
-    kind = df.schema[key].dataType.simpleString()
-    return _finished(df, Scratch(df.sparkSession), length, text, key, [key], _digest, f"{key} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _finished(df.select(df[key], df[text]), length, text, hot, _digest, DIGESTS)
 
 
-def remove_repeats(df: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of df with the repeated passages cut out of their text; half a character at a cut is dropped too."""
-    others = [c for c in df.columns if c != text]
-    fields = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in others)
-    out = _finished(df, Scratch(df.sparkSession), length, text, key, others, lambda data, runs: (_keep(data, runs).decode("utf-8", "ignore"),), f"{fields}, {text} string")
-    return out.select(*df.columns)
+def remove_repeats(df: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id", hot: int = HOT) -> DataFrame:
+    """The rows of df with the repeated passages cut out of their text; half a character at a cut is dropped too, a null text
+    is empty afterwards."""
+    out = _finished(df, length, text, hot, lambda data, runs: (_keep(data, runs).decode("utf-8", "ignore"),), [T.StructField(text, T.StringType())])
+    return out.select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
