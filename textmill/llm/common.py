@@ -19,6 +19,8 @@ CACHE_ENTRIES = 1_000_000
 LONGEST_CACHED = 64
 #: Python code handles at most about this many bytes of text at once (one longer text is handled alone).
 SLICE_BYTES = 4_000_000
+#: Bytes of a row group of a written table: a writer holds one for each task, and a reader each of its columns at once.
+ROW_GROUP = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,7 +54,7 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """df, written as Parquet and read again."""
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        df.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(self.path(name))
         self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 

@@ -46,7 +46,7 @@ from textmill.llm.words import mix
 LENGTH = 200
 GRAM = 32
 #: Windows whose anchors are found at once.
-SEGMENT = 1_000_000
+SEGMENT = 250_000
 BATCH = 16_384
 HOT = 2_000
 _BASE = 0x9E3779B97F4A7C15
@@ -66,7 +66,7 @@ class _Hashes:
     """Polynomial hashes of all substrings of some bytes."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(21, int(len(data)).bit_length())
+        size = 1 << max(19, int(len(data)).bit_length())
         self.inverse = _powers(_INVERSE, size)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE[data] * _powers(_BASE, size)[: len(data)], out=self.sums[1:])
