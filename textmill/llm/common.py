@@ -92,6 +92,11 @@ def numbered(df: DataFrame, scratch: Scratch, name: str, table: str = "rows") ->
     return scratch.table(df.withColumn(name, F.monotonically_increasing_id()), table)
 
 
+def merge_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A sort-merge join: the plan of large tables at every size, whose skewed keys adaptive execution splits."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches, cut into runs of rows of about `most` bytes of text. column: the text, or a number that says its size."""
     for batch in batches:

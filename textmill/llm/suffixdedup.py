@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm.common import Scratch, numbered, text_slices
+from textmill.llm.common import Scratch, merge_join, numbered, text_slices
 from textmill.llm.words import mix
 
 LENGTH = 200
@@ -245,19 +245,19 @@ def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, gram
     """row, start and end of spans of rows(row, n_bytes, packed) whose every window of `length` bytes occurs elsewhere; spans overlap."""
     found = scratch.table(find_occurrences(rows, length, gram), "found")
     often = scratch.table(found.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor"), "often")
-    hits = scratch.table(found.join(often, "anchor"), "hits")
+    hits = scratch.table(merge_join(found, often, "anchor"), "hits")
     scratch.drop("found")
     contexts = hits.groupBy("anchor", "x", "y").agg(F.sum("times").alias("n"), F.min(F.struct("row", "place")).alias("one")).select("anchor", "x", "y", "n", "one.*")
     contexts = scratch.table(contexts, "contexts")
     kinds = scratch.table(contexts.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "kinds")
     whole = contexts.filter("n > 1").select("anchor", "x", "y")
     start = F.shiftright("place", 20)
-    spans = hits.join(whole, ["anchor", "x", "y"]).select("row", start.alias("start"), (start + F.col("place").bitwiseAND(1023) + F.col("reach") + length).alias("end"))
+    spans = merge_join(hits, whole, ["anchor", "x", "y"]).select("row", start.alias("start"), (start + F.col("place").bitwiseAND(1023) + F.col("reach") + length).alias("end"))
     spans = scratch.table(spans, "whole")
     scratch.drop("hits")
 
     # a row's contexts are no more than its text: one for each `length - gram` bytes or so, runs of a short pattern aside
-    asked = contexts.join(kinds, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "place", (F.col("n") == 1).alias("single"), "kinds")).alias("asked"))
+    asked = merge_join(contexts, kinds, "anchor").groupBy("row").agg(F.collect_list(F.struct("anchor", "place", (F.col("n") == 1).alias("single"), "kinds")).alias("asked"))
     asked = scratch.table(asked, "asked")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +274,7 @@ def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, gram
         if rows:
             yield _cut_batch(rows)
 
-    texts = rows.join(asked, "row").select("row", "packed", "asked")
+    texts = merge_join(rows, asked, "row").select("row", "packed", "asked")
     pieces = scratch.table(texts.mapInArrow(cut, "anchor long, row long, place long, single boolean, bytes binary, kinds long"), "pieces")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +318,7 @@ def _window_counts(pieces: DataFrame, scratch: Scratch, length: int) -> DataFram
 
     every = scratch.table(pieces.mapInArrow(windows, "anchor long, digest binary, row long, start long, single boolean"), "windows")
     again = scratch.table(every.groupBy("anchor", "digest").agg(F.count("*").alias("rows")).filter("rows > 1").select("anchor", "digest"), "again")
-    return every.filter("single").join(again, ["anchor", "digest"], "left_semi").select("row", "start", (F.col("start") + length).alias("end"))
+    return merge_join(every.filter("single"), again, ["anchor", "digest"], "left_semi").select("row", "start", (F.col("start") + length).alias("end"))
 
 
 def united(spans: DataFrame) -> DataFrame:
@@ -342,7 +342,7 @@ def _finished(df: DataFrame, length: int, text: str, hot: int, work, made: list[
     rows = packed_rows(df, scratch, text)
     runs = scratch.table(united(repeated_spans(rows.select("row", "n_bytes", "packed"), scratch, length, hot=hot)), "runs")
     scratch.keep("rows", "runs")
-    joined = rows.join(runs, "row", "left").select("n_bytes", "packed", "runs", *(f"c{i}" for i in range(len(others))))
+    joined = merge_join(rows, runs, "row", "left").select("n_bytes", "packed", "runs", *(f"c{i}" for i in range(len(others))))
     schema = T.StructType([*(T.StructField(f"c{i}", f.dataType) for i, f in enumerate(others)), *made])
     kinds = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.string() for f in made]
 
