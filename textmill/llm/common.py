@@ -52,9 +52,10 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """df, written as Parquet and read again."""
-        df.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(self.path(name))
+    def table(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+        """df, written as Parquet and read again. codec: zstd where whole texts are written; hashes hardly shrink, and its
+        compressors take memory outside the heap."""
+        df.write.mode("overwrite").option("compression", codec).option("parquet.block.size", ROW_GROUP).parquet(self.path(name))
         self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
@@ -87,9 +88,9 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
-def numbered(df: DataFrame, scratch: Scratch, name: str, table: str = "rows") -> DataFrame:
+def numbered(df: DataFrame, scratch: Scratch, name: str, table: str = "rows", codec: str = "zstd") -> DataFrame:
     """df with a number for each row in column `name`; written once, so that every later pass sees the same numbers."""
-    return scratch.table(df.withColumn(name, F.monotonically_increasing_id()), table)
+    return scratch.table(df.withColumn(name, F.monotonically_increasing_id()), table, codec)
 
 
 def merge_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:

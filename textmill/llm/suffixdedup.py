@@ -231,7 +231,7 @@ def packed_rows(df: DataFrame, scratch: Scratch, text: str = "text") -> DataFram
             cols = [pa.array(map(len, raw), pa.int64()), pa.array(map(packer.compress, raw), pa.binary()), *batch.columns[1:]]
             yield pa.RecordBatch.from_arrays(cols, [f.name for f in fields])
 
-    return numbered(picked.mapInArrow(pack, T.StructType(fields)), scratch, "row")
+    return numbered(picked.mapInArrow(pack, T.StructType(fields)), scratch, "row", codec="snappy")
 
 
 def _unpacker():
