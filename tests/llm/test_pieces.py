@@ -158,10 +158,27 @@ def test_url_rules():
     assert index.judge("no scheme casino")[:3] == ("", "", None)
 
 
-def test_sketch_bound():
-    """Pairs at the threshold pass the filter of the wide sketches."""
+def test_layout():
+    """The tables at 85 per cent, and the bounds at others."""
+    assert neardup.layout(85) == neardup.Layout(2, 8, 16)
+    for percent in (50, 60, 70, 80, 85, 90, 95, 100):
+        plan, s = neardup.layout(percent), percent / 100
+        assert 1 - (1 - (1 - s**plan.width) ** plan.groups) ** 2 <= 1e-4
+        rng = np.random.default_rng(percent)
+        assert (rng.random((20_000, plan.minhashes)) < s).sum(axis=1).min() >= plan.agree
+
+
+def test_prefixes_of_similar_sets():
+    """Sets that are similar enough share a prefix token at places that allow it, in any order of the tokens."""
     rng = np.random.default_rng(8)
-    base = rng.integers(0, 1 << 62, 4000, dtype=np.uint64)
-    other = np.r_[base[:3676], rng.integers(0, 1 << 62, 324, dtype=np.uint64)]  # Jaccard 0.85
-    a, b = (neardup.wide_sketches(np.sort(x), np.array([4000]))[0] for x in (base, other))
-    assert (a == b).sum() >= 256 * 0.85 - 5 * (256 * 0.85 * 0.15) ** 0.5
+    for _ in range(300):
+        n, percent = int(rng.integers(1, 60)), int(rng.choice([50, 80, 85, 100]))
+        base = rng.integers(0, 1 << 62, 70, dtype=np.uint64) << np.uint64(2)
+        counts = rng.integers(0, 4, neardup.SLOTS).astype(np.uint32)
+        x = np.unique(base[:n])
+        y = np.unique(np.r_[base[int(rng.integers(0, 3)) : n], base[n : n + int(rng.integers(0, 5))]])
+        both = len(np.intersect1d(x, y))
+        a, b = neardup.prefix(x, counts, percent), neardup.prefix(y, counts, percent)
+        spots = [(i, j) for i, t in enumerate(a.tolist()) for j, o in enumerate(b.tolist()) if t == o]
+        if both and 100 * both >= percent * (len(x) + len(y) - both):
+            assert any(neardup._fits(len(x), len(y), i, j, percent, min, max) for i, j in spots)

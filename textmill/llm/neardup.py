@@ -1,277 +1,387 @@
 """MinHash near-duplicates with tensored banding.
 
-Two small collections of GROUPS keys, each key made of WIDTH minhashes, are combined pairwise: a text has GROUPS**2 table
-keys for 2 * GROUPS * WIDTH minhashes. At a Jaccard similarity of 0.85 two texts share none of the 64 keys with
-probability 7e-5. Texts with equal sets are one node from the start, so copies cost nothing further.
+Two small collections of `groups` keys, each key made of `width` minhashes, are combined pairwise: a text has groups**2
+table keys for 2 * groups * width minhashes. `layout` derives both from the similarity asked for, so that a pair at the threshold
+shares no table with probability 1e-4 at most (at 85: 8 + 8 keys of 2 minhashes, 64 tables, 7e-5). Texts with equal sets are one node
+from the start, so copies cost nothing further.
 
 Of the nodes only those matter that share a key of the first collection with another. Candidates come in rounds, and a
 bucket never emits all its pairs:
-1. every member of a bucket with the bucket's smallest member (its pivot); sets are compared, links united to classes;
-2. in buckets that still hold several classes, each member outside the pivot's class with the few members of other
-   classes whose minhashes agree most; classes are united again;
-3. what is left: each member outside the pivot's class with every member of another class whose minhashes agree often
-   enough. A pair is looked at in the first table that it shares only. For this, and for round 2, texts that share a bucket get a wide sketch of WIDE minhashes, and a pair is dropped
-   if fewer agree than five standard deviations below what the threshold lets expect (probability 3e-7 at the threshold).
-Buckets over BLOCK members are dealt in blocks, so no task holds more than two blocks. Every candidate is verified on the
-full sets of 64-bit shingle hashes; components are found by a distributed min-label iteration.
+1. every member of a bucket with the bucket's smallest member (its pivot); links are united to classes;
+2. the members of buckets that still hold several classes are open. They are bucketed once more, by exact keys: the prefix of a set
+   in order of rarity among the open sets (sets that are similar enough share a token of their prefixes). A token's members
+   of other classes than its pivot's are candidates with the pivot if sizes and places allow the similarity; each member keeps
+   the BEST pivots with which it shares most tokens; classes are united again;
+3. what is still open: all pairs of different classes that share a prefix token and whose sizes and places in both orders allow
+   the similarity. Members that have a template in common but not enough else have their own words first, so the places rule
+   their pairs out. Tokens with over BLOCK members are dealt in pairs of blocks, whose rows are five numbers.
+A candidate of which fewer minhashes agree than the threshold lets expect (probability 1e-6) is dropped; all others are verified on
+the full sets of 64-bit shingle hashes: a pivot's compressed text is sent once to each HUB of its members, and sets are
+made from the texts where they are compared. Components are found by a distributed min-label iteration.
 
 Defined results: a text without words, or null, has no shingles and is linked with nothing; equal rows share a component;
-ids are otherwise unique; a row with a null id has a null component unless its text is that of another row; other columns are ignored; an empty table gives an empty result.
+rows with one id and different texts are compared apart; a row without an id is compared like all others, and its
+component_id is the smallest id in its component, or null if that has none; kept is true if doc_id and component_id are equal
+or both null; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textmill.llm.common import Scratch, map_arrow
+from textmill.llm.common import Scratch, free_name, map_arrow, merge_join, numbered, text_slices
 from textmill.llm.components import components
 from textmill.llm.words import shingles
 
 SHINGLE = 5
 PERCENT = 85
-GROUPS = 8
-WIDTH = 2
-BLOCK = 512
-#: Of the 32 minhashes, the fewest that agree in a candidate of round 1 (fewer do so at 0.85 with probability 1e-6).
-AGREE = 17
-#: Minhashes of a wide sketch.
-WIDE = 512
-#: Up to this many ids are broadcast to pick their texts (8 bytes each); more are joined by shuffle.
+#: Members of a token's block in round 3.
+BLOCK = 2048
+#: Members of a pivot that are compared in one place.
+HUB = 512
+#: Up to this many nodes are broadcast to pick their texts (some 40 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 500_000
-#: Candidates of each member in round 2.
+#: Pivots of each member in round 2.
 BEST = 4
-_RNG = np.random.default_rng(20)
-#: Fixed odd multipliers and offsets of the minhashes.
-_MUL = _RNG.integers(0, 1 << 63, 2 * GROUPS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _RNG.integers(0, 1 << 63, 2 * GROUPS * WIDTH, dtype=np.uint64)
-_WIDE_MUL = _RNG.integers(0, 1 << 63, WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Slots of the token counts that order the prefixes. Any order is exact; rarer tokens first give fewer candidates.
+SLOTS = 1 << 20
+#: Bytes of text whose sets are made at once.
+COMPARED = 1_000_000
 SIGNATURE = "n long, digest binary, a array<bigint>, b array<bigint>, sketch binary"
 
 
-def minhashes(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Layout:
+    """groups keys of width minhashes in each collection; of all minhashes at least `agree` agree in a candidate."""
+
+    width: int
+    groups: int
+    agree: int
+
+    @property
+    def minhashes(self) -> int:
+        return 2 * self.groups * self.width
+
+    def multipliers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Fixed odd multipliers, and offsets, of the minhashes."""
+        rng = np.random.default_rng(20)
+        return rng.integers(0, 1 << 63, self.minhashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, self.minhashes, dtype=np.uint64)
+
+
+@lru_cache
+def layout(percent: int) -> Layout:
+    """The tables for a similarity of percent / 100: misses with probability 1e-4 at most, too few agreeing minhashes with 1e-6."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be in 1 .. 100")
+    s, width, groups = percent / 100, 2 if percent >= 70 else 1, 1
+    while 1 - (1 - (1 - s**width) ** groups) ** 2 > 1e-4:
+        groups += 1
+    n, agree, below = 2 * groups * width, 0, 0.0
+    while (below := below + math.comb(n, agree) * s**agree * (1 - s) ** (n - agree)) <= 1e-6:
+        agree += 1
+    return Layout(width, groups, agree)
+
+
+def minhashes(values: np.ndarray, counts: np.ndarray, plan: Layout) -> np.ndarray:
     """A row of minhashes for each text with shingles."""
     full = np.flatnonzero(counts)
     starts = (np.cumsum(counts) - counts)[full]
-    out = np.empty((len(_MUL), len(full)), np.uint64)
-    for k, (m, a) in enumerate(zip(_MUL, _ADD, strict=True)):
+    out = np.empty((plan.minhashes, len(full)), np.uint64)
+    for k, (m, a) in enumerate(zip(*plan.multipliers(), strict=True)):
         x = values * m + a
         out[k] = np.minimum.reduceat(x ^ x >> np.uint64(29), starts) if len(full) else 0
     return out
 
 
-def group_keys(low: np.ndarray) -> np.ndarray:
+def group_keys(low: np.ndarray, plan: Layout) -> np.ndarray:
     """The keys of both collections, a row for each group of minhashes."""
-    keys = np.zeros((2 * GROUPS, low.shape[1]), np.uint64)
-    for g in range(2 * GROUPS):
+    keys = np.zeros((2 * plan.groups, low.shape[1]), np.uint64)
+    for g in range(2 * plan.groups):
         keys[g] = g
-        for w in range(WIDTH):
-            keys[g] = (keys[g] ^ low[g * WIDTH + w]) * np.uint64(0xFF51AFD7ED558CCD)
+        for w in range(plan.width):
+            keys[g] = (keys[g] ^ low[g * plan.width + w]) * np.uint64(0xFF51AFD7ED558CCD)
             keys[g] ^= keys[g] >> np.uint64(32)
     return keys
 
 
-def signatures(df: DataFrame, size: int = SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """id, number of shingles, digest of the set (null without shingles), the two collections of keys, and a byte of each minhash."""
+def _cells(values: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Each text's own values."""
+    return np.split(values, np.cumsum(counts)[:-1]) if len(counts) else []
+
+
+def set_digest(values: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
+def _rows_of(df: DataFrame, text: str, key: str) -> DataFrame:
+    """id, place (an id that can be joined) and text."""
+    return df.select(df[key].cast("long").alias("id"), F.coalesce(df[key].cast("long"), F.xxhash64(df[text])).alias("place"), df[text].alias("text"))
+
+
+def signatures(rows: DataFrame, size: int, plan: Layout) -> DataFrame:
+    """id, place, number of shingles, digest of the set (null without shingles), the two collections of keys, and a byte of each minhash."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            values, counts = shingles(batch.column(1).to_pylist(), size)
-            ends = np.cumsum(counts)
-            cells = [values[e - n : e].tobytes() if n else None for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
-            digest = [x and hashlib.blake2b(x, digest_size=16).digest() for x in cells]
-            low = minhashes(values, counts)
-            rows = iter(group_keys(low).view(np.int64).T.tolist())
+            values, counts = shingles(batch.column(2).to_pylist(), size)
+            digest = [set_digest(x) if len(x) else None for x in _cells(values, counts)]
+            low = minhashes(values, counts, plan)
+            keys = iter(group_keys(low, plan).view(np.int64).T.tolist())
             bytes_ = iter([x.tobytes() for x in np.ascontiguousarray(low.T).astype(np.uint8)])
-            signed = [(next(rows), next(bytes_)) if n else (None, None) for n in counts.tolist()]
+            signed = [(next(keys), next(bytes_)) if n else (None, None) for n in counts.tolist()]
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(counts, pa.int64()),
                     pa.array(digest, pa.binary()),
-                    pa.array([x and x[:GROUPS] for x, _ in signed], pa.list_(pa.int64())),
-                    pa.array([x and x[GROUPS:] for x, _ in signed], pa.list_(pa.int64())),
+                    pa.array([x and x[: plan.groups] for x, _ in signed], pa.list_(pa.int64())),
+                    pa.array([x and x[plan.groups :] for x, _ in signed], pa.list_(pa.int64())),
                     pa.array([s for _, s in signed], pa.binary()),
                 ],
-                ["id", "n", "digest", "a", "b", "sketch"],
+                ["id", "place", "n", "digest", "a", "b", "sketch"],
             )
 
         return work
 
-    return map_arrow(df.select(df[key].cast("long").alias("id"), df[text].alias("text")), make, f"id long, {SIGNATURE}")
-
-
-def wide_sketches(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A byte of each of WIDE minhashes, a row for each text with shingles."""
-    starts = (np.cumsum(counts) - counts)[counts > 0]
-    out = np.empty((len(starts), WIDE), np.uint8)
-    for k, m in enumerate(_WIDE_MUL):
-        x = values * m
-        out[:, k] = np.minimum.reduceat(x ^ x >> np.uint64(31), starts) & np.uint64(255) if len(starts) else 0
-    return out
-
+    return map_arrow(rows, make, f"id long, place long, {SIGNATURE}")
 
-def _sets(df: DataFrame, size: int) -> DataFrame:
-    """id, wide sketch (32 bits of each group key before the bytes) and the array of shingle hashes.
 
-    Texts without shingles are left out.
-    """
+def _packed(rows: DataFrame) -> DataFrame:
+    """place, n_bytes and the compressed text."""
+    import zstandard
 
     def make():
+        packer = zstandard.ZstdCompressor(level=3)
+
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            values, counts = shingles(batch.column(1).to_pylist(), size)
-            full = counts > 0
-            offsets = pa.array(np.r_[0, np.cumsum(counts[full])], pa.int32())
-            members = pa.ListArray.from_arrays(offsets, pa.array(values.view(np.int64)))
-            groups = np.ascontiguousarray(group_keys(minhashes(values, counts)).T).astype("<u4")
-            wide = pa.array([g.tobytes() + x.tobytes() for g, x in zip(groups, wide_sketches(values, counts), strict=True)], pa.binary())
-            return pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(full)), wide, members], ["id", "wide", "members"])
+            raw = [(x or "").encode() for x in batch.column(1).to_pylist()]
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, raw), pa.int64()), pa.array(map(packer.compress, raw), pa.binary()), *batch.columns[2:]], ["place", "n_bytes", "packed", *batch.schema.names[2:]])
 
         return work
 
-    return map_arrow(df, make, "id long, wide binary, members array<bigint>")
-
-
-def _columns(rows: list[tuple]) -> tuple[np.ndarray, ...]:
-    """id, class, size, group keys and sketch of rows."""
-    data = np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1)
-    groups = np.ascontiguousarray(data[:, : 8 * GROUPS]).view("<u4")
-    return np.array([r[4] for r in rows]), np.array([r[5] for r in rows]), np.array([r[6] for r in rows]), groups, data[:, 8 * GROUPS :]
-
-
-def _block_pairs(best: int | None, percent: int):
-    """Candidates in each block: rows (key, i, j, outside, id, class, n, wide sketch), sorted by the first three."""
-    share = percent / 100
-    enough = int(WIDE * share - 5 * (WIDE * share * (1 - share)) ** 0.5)
-
-    def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        side = [[r for r in rows if r[3] == s] for s in (True, False)]
-        if not side[0] or not side[1]:
-            return
-        first_a, first_b = divmod(rows[0][0] & (GROUPS * GROUPS - 1), GROUPS)  # the bucket's place among the tables
-        (ra, ca, na, ga, sa), (rb, cb, nb, gb, sb) = map(_columns, side)
-        for at in range(0, len(ra), 64):
-            cut = slice(at, at + 64)
-            few, many = np.minimum(na[cut, None], nb[None, :]), np.maximum(na[cut, None], nb[None, :])
-            equal = ga[cut, None, :] == gb[None, :, :]
-            # a pair is looked at in the first table that it shares, and nowhere else
-            here = (equal[:, :, :GROUPS].argmax(axis=2) == first_a) & (equal[:, :, GROUPS:].argmax(axis=2) == first_b)
-            x, y = np.nonzero(here & (ca[cut, None] != cb[None, :]) & (100 * few >= percent * many))
-            for k in range(0, len(x), 16_384):
-                i, j = x[k : k + 16_384] + at, y[k : k + 16_384]
-                agree = (sa[i] == sb[j]).sum(axis=1)
-                i, j, agree = i[agree >= enough], j[agree >= enough], agree[agree >= enough]
-                if best:
-                    order = np.lexsort((-agree, i))
-                    i, j = i[order], j[order]
-                    starts = np.searchsorted(i, i)
-                    top = np.arange(len(i)) - starts < best
-                    i, j = i[top], j[top]
-                yield from zip(np.maximum(ra[i], rb[j]).tolist(), np.minimum(ra[i], rb[j]).tolist(), strict=True)
+    extra = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return map_arrow(rows, make, f"place long, n_bytes long, packed binary{extra}")
+
+
+def _unpacker():
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress
+
+
+def picked_texts(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """node, n_bytes, packed: the text of each of wanted(place, node, digest). Of texts at one place the digest picks the right one."""
+    if wanted.count() <= BROADCAST_IDS:
+        found = _packed(rows.select("place", "text").join(F.broadcast(wanted), "place"))
+    else:
+        found = merge_join(_packed(rows.select("place", "text")), wanted, "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows, found = None, [], set()
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:3] != now:
-                    found.update(pairs(rows))
-                    now, rows = row[:3], []
-                rows.append(row)
-            if len(found) > 100_000:
-                yield pa.RecordBatch.from_pydict({"u": [u for u, _ in found], "v": [v for _, v in found]})
-                found = set()
-        found.update(pairs(rows))
-        if found:
-            yield pa.RecordBatch.from_pydict({"u": [u for u, _ in found], "v": [v for _, v in found]})
+        unpack = _unpacker()
+        for part in text_slices(batches, "n_bytes", COMPARED):
+            values, counts = shingles([unpack(x) for x in part.column(1).to_pylist()], size)
+            same = [len(x) > 0 and set_digest(x) == d for x, d in zip(_cells(values, counts), part.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(2), part.column(0), part.column(1)], ["node", "n_bytes", "packed"]).filter(pa.array(same, pa.bool_()))
 
-    return run
+    found = found.select("n_bytes", "packed", "node", "digest").mapInArrow(run, "node long, n_bytes long, packed binary")
+    return found.groupBy("node").agg(F.first("n_bytes").alias("n_bytes"), F.first("packed").alias("packed"))
 
 
-def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _close(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sizes and minhashes allow the similarity."""
-    facts = nodes.select("id", "n", "sketch")
-    pairs = pairs.join(facts.toDF("u", "nu", "su"), "u").join(facts.toDF("v", "nv", "sv"), "v")
+    plan = layout(percent)
+    pairs = merge_join(merge_join(pairs, facts.toDF("u", "nu", "su"), "u"), facts.toDF("v", "nv", "sv"), "v")
     alike = F.lit(0)
-    for k in range(2 * GROUPS * WIDTH):
+    for k in range(plan.minhashes):
         alike = alike + (F.substring("su", k + 1, 1) == F.substring("sv", k + 1, 1)).cast("int")
-    return pairs.filter((100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (alike >= AGREE)).select("u", "v")
-
+    return pairs.filter((100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (alike >= plan.agree)).select("u", "v")
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str, percent: int, size: int) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar enough. The text of v is sent once to each HUB of its partners."""
+    hubs = pairs.groupBy("v").agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts"))
+    dealt = merge_join(pairs, hubs, "v").select("v", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("part"), "u")
+    dealt = scratch.table(dealt, f"{name}-dealt")
+    members = merge_join(dealt, texts.withColumnRenamed("node", "u"), "u").select("v", "part", "u", "n_bytes", "packed")
+    pivots = merge_join(dealt.select("v", "part").distinct(), texts.withColumnRenamed("node", "v"), "v").select("v", "part", F.lit(None).cast("long").alias("u"), "n_bytes", "packed")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, pivot = _unpacker(), np.zeros(0, np.uint64)
+        for part in text_slices(batches, "n_bytes", COMPARED):
+            found = []
+            values, counts = shingles([unpack(x) for x in part.column(4).to_pylist()], size)
+            for v, u, own in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), _cells(values, counts), strict=True):
+                if u is None:  # its members follow
+                    pivot = own
+                    continue
+                both = np.count_nonzero(pivot[np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)] == own)
+                if 100 * both >= percent * (len(pivot) + len(own) - both):
+                    found.append((u, v))
+            if found:
+                yield pa.RecordBatch.from_pydict({"u": [u for u, _ in found], "v": [v for _, v in found]})
 
-def _verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar enough."""
-    both = F.size(F.array_intersect("mu", "mv"))
-    joined = pairs.join(sets.select(F.col("id").alias("u"), F.col("members").alias("mu")), "u").join(sets.select(F.col("id").alias("v"), F.col("members").alias("mv")), "v")
-    return scratch.table(joined.filter(100 * both >= percent * (F.size("mu") + F.size("mv") - both)).select("u", "v"), f"{name}-links")
+    spread = members.union(pivots).repartition("v", "part").sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
+    return scratch.table(spread.mapInArrow(compare, "u long, v long"), f"{name}-links")
 
 
-def _outside(keys: DataFrame, facts: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The members of buckets with several classes, dealt in blocks of those outside the pivot's class against all."""
-    classes = keys.join(labels.toDF("id", "class"), "id", "left").select("key", "id", F.coalesce("class", "id").alias("class"))
+def _open(keys: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """node and class of the members of buckets with several classes; a bucket of two has been decided by its pivot."""
+    classes = merge_join(keys, labels.toDF("node", "class"), "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
     classes = scratch.table(classes, f"{name}-classes")
-    stats = classes.groupBy("key").agg(F.min("id").alias("pivot"), F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("rows")).filter("low <> high and rows > 2")
-    stats = stats.join(labels.toDF("pivot", "own"), "pivot", "left").select("key", "rows", F.coalesce("own", "pivot").alias("own"))
-    stats = scratch.table(stats, f"{name}-stats")
-    members = scratch.table(classes.join(stats, "key").withColumn("out", F.col("class") != F.col("own")), f"{name}-members")
-    outs = members.filter("out").groupBy("key").agg(F.count("*").alias("outs"))
-    outs = scratch.table(outs, f"{name}-outs")
-    dealt = members.join(outs, "key").join(facts, "id")
-    spot, wide, deep = F.pmod(F.xxhash64("id"), F.lit(1 << 30)), F.ceil(F.col("rows") / BLOCK).cast("int"), F.ceil(F.col("outs") / BLOCK).cast("int")
-    a = dealt.filter("out").select("key", (spot % deep).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), wide - 1)).alias("j"), F.lit(True).alias("out"), "id", "class", "n", "wide")
-    b = dealt.select("key", F.explode(F.sequence(F.lit(0), deep - 1)).alias("i"), (spot % wide).cast("int").alias("j"), F.lit(False).alias("out"), "id", "class", "n", "wide")
-    return a.union(b).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    several = classes.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("rows")).filter("low <> high and rows > 2").select("key")
+    return scratch.table(merge_join(classes, several, "key").select("node", "class").distinct(), f"{name}-open")
+
+
+def slot(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def prefix(values: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The tokens of a set that a similar enough set shares at least one of: the rarest, in order (ties by token)."""
+    order = np.lexsort((values, counts[slot(values)]))
+    return values[order[: len(values) - -(-percent * len(values) // 100) + 1]]
+
+
+def _prefixes(opened: DataFrame, texts: DataFrame, scratch: Scratch, name: str, percent: int, size: int) -> DataFrame:
+    """token, node, class, n and place of each token in the prefix of each open set."""
+    found = scratch.table(merge_join(texts, opened, "node"), f"{name}-texts")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = _unpacker()
+        for part in text_slices(batches, "n_bytes", COMPARED):
+            values, _ = shingles([unpack(x) for x in part.column(1).to_pylist()], size)
+            at, n = np.unique(slot(values), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n.astype(np.int64))], ["slot", "n"])
+
+    got = found.select("n_bytes", "packed").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
+    table = np.zeros(SLOTS, np.int64)
+    table[got["slot"].to_numpy()] = got["n"].to_numpy()
+    shared = opened.sparkSession.sparkContext.broadcast(np.minimum(table, (1 << 32) - 1).astype(np.uint32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, counts = _unpacker(), shared.value
+        for part in text_slices(batches, "n_bytes", COMPARED):
+            sets = _cells(*shingles([unpack(x) for x in part.column(1).to_pylist()], size))
+            first = [prefix(x, counts, percent) for x in sets]
+            many = np.array([len(x) for x in first])
+            own = [np.repeat(part.column(c).to_numpy(), many) for c in (2, 3)]
+            n = np.repeat(np.array([len(x) for x in sets], np.int32), many)
+            place = np.concatenate([np.arange(m, dtype=np.int32) for m in many])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(first).view(np.int64), *own, n, place)], ["token", "node", "class", "n", "at"])
+
+    return scratch.table(found.select("n_bytes", "packed", "node", "class").mapInArrow(run, "token long, node long, class long, n int, at int"), f"{name}-prefixes")
+
+
+def _fits(nu, nv, iu, iv, percent: int, least=F.least, greatest=F.greatest) -> Column:
+    """Whether sets of these sizes can be similar enough if the first token that they share is at these places (from 0)."""
+    return (100 * least(nu, nv) >= percent * greatest(nu, nv)) & ((100 + percent) * (1 + least(nu - iu - 1, nv - iv - 1)) >= percent * (nu + nv))
+
+
+def _best(prefixes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Round 2: each node with the BEST pivots of other classes among those of its tokens."""
+    pivots = prefixes.groupBy("token").agg(F.min(F.struct("node", "class", "n", "at")).alias("p"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    met = merge_join(prefixes, pivots.select("token", "p"), "token").filter((F.col("class") != F.col("p.class")) & _fits(F.col("n"), F.col("p.n"), F.col("at"), F.col("p.at"), percent))
+    met = met.groupBy(F.col("node").alias("u"), F.col("p.node").alias("v")).agg(F.count("*").alias("shared"))
+    place = F.row_number().over(W.partitionBy("u").orderBy(F.desc("shared"), "v"))
+    return scratch.table(met.withColumn("k", place).filter(F.col("k") <= BEST).select("u", "v"), "best-met")
+
+
+def _rest(prefixes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Round 3: all pairs of different classes that share a prefix token and can be similar enough."""
+    stats = prefixes.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).filter("low <> high")
+    rows = merge_join(prefixes, stats.select("token", "parts"), "token")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "class", "n", "at")
+
+    def pairs(own: np.ndarray, i: int, j: int, node: np.ndarray, kind: np.ndarray, n: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+        a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        for cut in range(0, len(a), 256):
+            x, y = a[cut : cut + 256, None], b[None, :]
+            ok = _fits(n[x], n[y], at[x], at[y], percent, np.minimum, np.maximum) & (kind[x] != kind[y])
+            if i == j:
+                ok &= x < y
+            u, v = np.nonzero(ok)
+            if len(u):
+                u, v = node[a[cut + u]], node[b[v]]
+                yield np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)]), axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []  # the rows of the group that goes on; a group has at most 2 * BLOCK or so
+        for batch in (*batches, None):
+            if batch is not None:
+                held.append(np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(8)]))
+            rows = np.concatenate(held, axis=1) if held else np.zeros((8, 0), np.int64)
+            new = np.flatnonzero(np.r_[True, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]) if rows.shape[1] else np.zeros(0, int)
+            ends = [*new[1:].tolist(), rows.shape[1]]
+            last = len(new) - (batch is not None)  # the last group may go on in the next batch
+            out = [p for s, e in zip(new[:last].tolist(), ends, strict=False) if e - s > 1 for p in pairs(rows[3, s:e], rows[1, s], rows[2, s], *rows[4:, s:e])]
+            held = [rows[:, new[-1] :]] if len(new) and batch is not None else []
+            if out:
+                found = np.unique(np.concatenate(out, axis=1), axis=1)
+                for k in range(0, found.shape[1], 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found[:, k : k + (1 << 16)]], ["u", "v"])
+
+    dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return scratch.table(dealt.mapInArrow(run, "u long, v long").distinct(), "rest-met")
 
 
 def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_shingles, component_id and kept for every row."""
-    spark = df.sparkSession
-    scratch = Scratch(spark)
-    signed = scratch.table(signatures(df, size, text, key), "signed")
+    spark, plan = df.sparkSession, layout(percent)
+    scratch, rows = Scratch(spark), _rows_of(df, text, key)
+    signed = scratch.table(signatures(rows, size, plan), "signed")
     first = [F.first(c).alias(c) for c in ("n", "a", "b", "sketch")]
-    nodes = scratch.table(signed.filter("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("id"), *first), "nodes")
+    nodes = numbered(signed.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("id"), F.min("place").alias("place"), *first), scratch, "node", "nodes", codec="snappy")
 
-    halves = nodes.select("id", "b", F.posexplode("a").alias("i", "half"))
+    halves = nodes.select("node", "b", F.explode("a").alias("half"))
     shared = scratch.table(halves.groupBy("half").agg(F.count("*").alias("rows")).filter("rows > 1").select("half"), "shared")
-    keys = halves.join(shared, "half", "left_semi").select("id", "i", "half", F.posexplode("b").alias("j", "other"))
-    table = (F.col("i") * GROUPS + F.col("j")).cast("long")  # the low bits of a key are its table's number
-    keys = keys.select("id", F.shiftleft(F.xxhash64("half", "other"), 6).bitwiseOR(table).alias("key"))
-    keys = scratch.table(keys, "keys")
-    buckets = scratch.table(keys.groupBy("key").agg(F.min("id").alias("v"), F.count("*").alias("rows")).filter("rows > 1").select("key", "v"), "buckets")
-    keys = scratch.table(keys.join(buckets, "key"), "bucketed")
-
-    ids = scratch.table(keys.select("id").distinct(), "ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = df.select(df[key].cast("long").alias("id"), df[text].alias("text")).join(ids, "id", "left_semi")
-    sets = scratch.table(_sets(texts, size).dropDuplicates(["id"]), "sets")
-    facts = sets.select("id", F.size("members").alias("n"), "wide")
-
-    pairs = scratch.table(_close(keys.filter("id <> v").select(F.col("id").alias("u"), "v").distinct(), nodes, percent), "star-pairs")
-    links = _verify(pairs, sets, scratch, "star", percent)
-    keys = keys.select("key", "id")
-    for name, best in (("best", BEST), ("rest", None)):
-        labels = components(links, scratch, f"{name}-cc")
-        pairs = _outside(keys, facts, labels, scratch, name).mapInArrow(_block_pairs(best, percent), "u long, v long").distinct()
-        links = links.union(_verify(scratch.table(pairs, f"{name}-pairs"), sets, scratch, name, percent))
+    keys = merge_join(halves, shared, "half", "left_semi").select("node", "half", F.explode("b").alias("other"))
+    keys = scratch.table(keys.select("node", F.xxhash64("half", "other").alias("key")), "keys")
+    buckets = scratch.table(keys.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("rows")).filter("rows > 1").select("key", "v"), "buckets")
+    keys = scratch.table(merge_join(keys, buckets, "key"), "bucketed")
+
+    ids = scratch.table(keys.select("node").distinct(), "ids")
+    known = scratch.table(merge_join(nodes.select("node", "place", "digest", "n", "sketch"), ids, "node"), "known")
+    texts = scratch.table(picked_texts(rows, known.select("place", "node", "digest"), size), "texts")
+    facts = known.select("node", "n", "sketch")
+
+    def decide(met: DataFrame, name: str) -> DataFrame:
+        return _verify(scratch.table(_close(met, facts, percent), f"{name}-pairs"), texts, scratch, name, percent, size)
+
+    links = decide(keys.filter("node <> v").select(F.col("node").alias("u"), "v").distinct(), "star")
+    keys = keys.select("key", "node")
+    for name, candidates in (("best", _best), ("rest", _rest)):
+        opened = _open(keys, components(links, scratch, f"{name}-cc"), scratch, name)
+        if opened.isEmpty():
+            break
+        links = links.union(decide(candidates(_prefixes(opened, texts, scratch, name, percent, size), scratch, percent), name))
     labels = components(links, scratch, "cc")
-    homes = nodes.join(labels.toDF("id", "component"), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    homes = merge_join(nodes.select("node", "digest", "id"), labels.toDF("node", "component"), "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
     homes = scratch.table(homes, "homes")
-    scratch.keep("signed", "homes")
-    out = signed.select("id", "n", "digest").join(homes, "digest", "left")
-    home = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), home.alias("component_id"), (F.col("id") == home).alias("kept"))
+    least = homes.groupBy("component").agg(F.min("id").alias("home"))
+    homes = scratch.table(merge_join(homes, least, "component").select("digest", "home"), "least")
+    scratch.keep("signed", "least")
+    signed = signed.select("id", "n", "digest")
+    out = merge_join(signed.filter("digest is not null"), homes, "digest").select("id", "n", "home").union(signed.filter("digest is null").select("id", "n", F.col("id").alias("home")))
+    return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("home").alias("component_id"), F.col("id").eqNullSafe(F.col("home")).alias("kept"))
 
 
 def _survivors(df: DataFrame, size: int, percent: int, text: str, key: str) -> DataFrame:
     """keep_one of a table with repeated or null ids: its rows are written once with a number each, which stands for the id."""
-    number = "row"
-    while number in map(str.lower, df.columns):
-        number += "_"
-    rows = Scratch(df.sparkSession).table(df.withColumn(number, F.monotonically_increasing_id()), "rows")
+    number = free_name(df.columns, "row")
+    rows = numbered(df, Scratch(df.sparkSession), number)
     alike = near_duplicates(rows, size, percent, text, number).select(number, "n_shingles", "component_id")
     facts = rows.select(number, F.col(key).alias("id"), F.xxhash64(text).alias("hash"))
     # without shingles only equal rows belong together, and a null id stands for itself

@@ -22,9 +22,9 @@ def _powers(n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def word_hashes(texts: list[str | None], fold: bytes = _FOLD) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str | bytes | None], fold: bytes = _FOLD) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each word of all texts, and how many words each text has. fold turns what parts words into spaces."""
-    raw = [(x or "").encode().translate(fold) for x in texts]
+    raw = [(x if isinstance(x, bytes) else (x or "").encode()).translate(fold) for x in texts]
     data = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
     inside = data != 32
     starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
@@ -41,7 +41,7 @@ def word_hashes(texts: list[str | None], fold: bytes = _FOLD) -> tuple[np.ndarra
     return mix(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), counts
 
 
-def shingles(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles(texts: list[str | bytes | None], size: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct hashes of each text's runs of `size` words, ascending, and how many each text has.
 
     A text of fewer words, but not none, has one: its whole sequence.
