@@ -9,9 +9,10 @@ Of the nodes only those matter that share a key of the first collection with ano
 bucket never emits all its pairs:
 1. every member of a bucket with the bucket's smallest member (its pivot); links are united to classes;
 2. the members of buckets that still hold several classes are open. They are bucketed once more, by exact keys: the prefix of a set
-   in order of rarity among the open sets (sets that are similar enough share a token of their prefixes). A token's members
-   of other classes than its pivot's are candidates with the pivot if sizes and places allow the similarity; each member keeps
-   the BEST pivots with which it shares most tokens; classes are united again;
+   in order of rarity among the open sets (sets that are similar enough share a token of their prefixes). Each token has a
+   pivot of its own, drawn by a hash; members of other classes are candidates with it if sizes and places allow the
+   similarity, each with up to BEST pivots; classes are united again. This is repeated with new pivots for as long as it
+   halves the number of classes, so a large family of near copies becomes one class by a few links for each member;
 3. what is still open: all pairs of different classes that share a prefix token and whose sizes and places in both orders allow
    the similarity. Members that have a template in common but not enough else have their own words first, so the places rule
    their pairs out. Tokens with over BLOCK members are dealt in pairs of blocks, whose rows are five numbers.
@@ -51,8 +52,8 @@ BLOCK = 2048
 HUB = 512
 #: Up to this many nodes are broadcast to pick their texts (some 40 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 500_000
-#: Pivots of each member in round 2.
-BEST = 4
+#: Pivots of each member in one turn of round 2.
+BEST = 16
 #: Slots of the token counts that order the prefixes. Any order is exact; rarer tokens first give fewer candidates.
 SLOTS = 1 << 20
 #: Bytes of text whose sets are made at once.
@@ -199,20 +200,18 @@ def picked_texts(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def _close(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sizes and minhashes allow the similarity."""
+    """The pairs (u, v, parts) whose sizes and minhashes allow the similarity."""
     plan = layout(percent)
     pairs = merge_join(merge_join(pairs, facts.toDF("u", "nu", "su"), "u"), facts.toDF("v", "nv", "sv"), "v")
     alike = F.lit(0)
     for k in range(plan.minhashes):
         alike = alike + (F.substring("su", k + 1, 1) == F.substring("sv", k + 1, 1)).cast("int")
-    return pairs.filter((100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (alike >= plan.agree)).select("u", "v")
+    return pairs.filter((100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")) & (alike >= plan.agree)).select("u", "v", "parts")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str, percent: int, size: int) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar enough. The text of v is sent once to each HUB of its partners."""
-    hubs = pairs.groupBy("v").agg(F.ceil(F.count("*") / HUB).cast("int").alias("parts"))
-    dealt = merge_join(pairs, hubs, "v").select("v", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("part"), "u")
-    dealt = scratch.table(dealt, f"{name}-dealt")
+    """The pairs (u, v, parts) whose full sets are similar enough. The text of v is sent once to each of the parts of its partners."""
+    dealt = pairs.select("v", F.pmod(F.xxhash64("u"), F.col("parts")).cast("int").alias("part"), "u")
     members = merge_join(dealt, texts.withColumnRenamed("node", "u"), "u").select("v", "part", "u", "n_bytes", "packed")
     pivots = merge_join(dealt.select("v", "part").distinct(), texts.withColumnRenamed("node", "v"), "v").select("v", "part", F.lit(None).cast("long").alias("u"), "n_bytes", "packed")
 
@@ -288,16 +287,21 @@ def _fits(nu, nv, iu, iv, percent: int, least=F.least, greatest=F.greatest) -> C
     return (100 * least(nu, nv) >= percent * greatest(nu, nv)) & ((100 + percent) * (1 + least(nu - iu - 1, nv - iv - 1)) >= percent * (nu + nv))
 
 
-def _best(prefixes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Round 2: each node with the BEST pivots of other classes among those of its tokens."""
-    pivots = prefixes.groupBy("token").agg(F.min(F.struct("node", "class", "n", "at")).alias("p"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-    met = merge_join(prefixes, pivots.select("token", "p"), "token").filter((F.col("class") != F.col("p.class")) & _fits(F.col("n"), F.col("p.n"), F.col("at"), F.col("p.at"), percent))
-    met = met.groupBy(F.col("node").alias("u"), F.col("p.node").alias("v")).agg(F.count("*").alias("shared"))
-    place = F.row_number().over(W.partitionBy("u").orderBy(F.desc("shared"), "v"))
-    return scratch.table(met.withColumn("k", place).filter(F.col("k") <= BEST).select("u", "v"), "best-met")
+def _parts(rows: Column) -> Column:
+    return F.ceil(rows / HUB).cast("int").alias("parts")
 
 
-def _rest(prefixes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+def _best(prefixes: DataFrame, scratch: Scratch, name: str, percent: int, turn: int) -> DataFrame:
+    """Round 2: each node with up to BEST pivots of other classes among those of its tokens."""
+    draw = F.struct(F.xxhash64(F.lit(turn), "token", "node"), "node", "class", "n", "at")
+    pivots = prefixes.groupBy("token").agg(F.min(draw).alias("p"), F.min("class").alias("low"), F.max("class").alias("high"), _parts(F.count("*"))).filter("low <> high")
+    met = merge_join(prefixes, pivots.select("token", "p", "parts"), "token").filter((F.col("class") != F.col("p.class")) & _fits(F.col("n"), F.col("p.n"), F.col("at"), F.col("p.at"), percent))
+    met = met.groupBy(F.col("node").alias("u"), F.col("p.node").alias("v")).agg(F.max("parts").alias("parts"))
+    place = F.row_number().over(W.partitionBy("u").orderBy(F.xxhash64(F.lit(turn), "u", "v"), "v"))
+    return scratch.table(met.withColumn("k", place).filter(F.col("k") <= BEST).select("u", "v", "parts"), f"{name}-met")
+
+
+def _rest(prefixes: DataFrame, scratch: Scratch, name: str, percent: int) -> DataFrame:
     """Round 3: all pairs of different classes that share a prefix token and can be similar enough."""
     stats = prefixes.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).filter("low <> high")
     rows = merge_join(prefixes, stats.select("token", "parts"), "token")
@@ -334,7 +338,8 @@ def _rest(prefixes: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found[:, k : k + (1 << 16)]], ["u", "v"])
 
     dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return scratch.table(dealt.mapInArrow(run, "u long, v long").distinct(), "rest-met")
+    met = scratch.table(dealt.mapInArrow(run, "u long, v long").distinct(), f"{name}-met")
+    return merge_join(met, met.groupBy("v").agg(_parts(F.count("*"))), "v")
 
 
 def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -349,7 +354,7 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     shared = scratch.table(halves.groupBy("half").agg(F.count("*").alias("rows")).filter("rows > 1").select("half"), "shared")
     keys = merge_join(halves, shared, "half", "left_semi").select("node", "half", F.explode("b").alias("other"))
     keys = scratch.table(keys.select("node", F.xxhash64("half", "other").alias("key")), "keys")
-    buckets = scratch.table(keys.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("rows")).filter("rows > 1").select("key", "v"), "buckets")
+    buckets = scratch.table(keys.groupBy("key").agg(F.min("node").alias("v"), F.count("*").alias("rows")).filter("rows > 1").select("key", "v", _parts(F.col("rows"))), "buckets")
     keys = scratch.table(merge_join(keys, buckets, "key"), "bucketed")
 
     ids = scratch.table(keys.select("node").distinct(), "ids")
@@ -360,13 +365,20 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     def decide(met: DataFrame, name: str) -> DataFrame:
         return _verify(scratch.table(_close(met, facts, percent), f"{name}-pairs"), texts, scratch, name, percent, size)
 
-    links = decide(keys.filter("node <> v").select(F.col("node").alias("u"), "v").distinct(), "star")
-    keys = keys.select("key", "node")
-    for name, candidates in (("best", _best), ("rest", _rest)):
+    met = keys.filter("node <> v").groupBy(F.col("node").alias("u"), "v").agg(F.max("parts").alias("parts"))
+    links, keys, before, turn = decide(met, "star"), keys.select("key", "node"), None, 0
+    while True:
+        name = f"turn{turn}"
         opened = _open(keys, components(links, scratch, f"{name}-cc"), scratch, name)
-        if opened.isEmpty():
+        classes = opened.agg(F.count_distinct("class")).first()[0]
+        if not classes:
+            break
+        last = before is not None and 2 * classes > before
+        prefixes = _prefixes(opened, texts, scratch, name, percent, size)
+        links = links.union(decide(_rest(prefixes, scratch, name, percent) if last else _best(prefixes, scratch, name, percent, turn), name))
+        if last:
             break
-        links = links.union(decide(candidates(_prefixes(opened, texts, scratch, name, percent, size), scratch, percent), name))
+        before, turn = classes, turn + 1
     labels = components(links, scratch, "cc")
     homes = merge_join(nodes.select("node", "digest", "id"), labels.toDF("node", "component"), "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
     homes = scratch.table(homes, "homes")
