@@ -16,9 +16,10 @@ bucket never emits all its pairs:
 3. what is still open: all pairs of different classes that share a prefix token and whose sizes and places in both orders allow
    the similarity. Members that have a template in common but not enough else have their own words first, so the places rule
    their pairs out. Tokens with over BLOCK members are dealt in pairs of blocks, whose rows are five numbers.
-A candidate of which fewer minhashes agree than the threshold lets expect (probability 1e-6) is dropped; all others are verified on
-the full sets of 64-bit shingle hashes: a pivot's compressed text is sent once to each HUB of its members, and sets are
-made from the texts where they are compared. Components are found by a distributed min-label iteration.
+A candidate with a pivot of which fewer minhashes agree than the threshold lets expect (probability 1e-6) is dropped; all others
+are verified on the full sets of 64-bit shingle hashes, made from the compressed texts where they are compared: a pivot's text is
+sent once to each HUB of its members; the pairs of round 3 are dealt into cells, a block of texts against another, and a text is
+sent once to each cell that has a pair of it. Components are found by a distributed min-label iteration.
 
 Defined results: a text without words, or null, has no shingles and is linked with nothing; equal rows share a component;
 rows with one id and different texts are compared apart; a row without an id is compared like all others, and its
@@ -47,7 +48,7 @@ from textmill.llm.words import shingles
 SHINGLE = 5
 PERCENT = 85
 #: Members of a token's block in round 3.
-BLOCK = 2048
+BLOCK = 512
 #: Members of a pivot that are compared in one place.
 HUB = 512
 #: Up to this many nodes are broadcast to pick their texts (some 40 bytes each); more are joined by shuffle.
@@ -234,6 +235,39 @@ def _verify(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str, per
     return scratch.table(spread.mapInArrow(compare, "u long, v long"), f"{name}-links")
 
 
+def _verify_cells(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str, percent: int, size: int) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar enough. Blocks hold about COMPARED bytes of the texts that have pairs."""
+    used = merge_join(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct(), texts.select("node", "n_bytes"), "node")
+    blocks = max(1, -(-(used.agg(F.sum("n_bytes").alias("n")).first().n or 0) // COMPARED))
+    cell = [F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int").alias(b) for c, b in (("u", "i"), ("v", "j"))]
+    dealt = scratch.table(pairs.select(*cell, "u", "v"), f"{name}-dealt")
+    needed = dealt.select("i", "j", F.col("u").alias("node")).union(dealt.select("i", "j", "v")).distinct()
+    sets = merge_join(needed, texts, "node").select("i", "j", F.col("node").alias("u"), F.lit(None).cast("long").alias("v"), "n_bytes", "packed")
+    asked = dealt.select("i", "j", "u", "v", F.lit(16).cast("long").alias("n_bytes"), F.lit(None).cast("binary").alias("packed"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, now, known = _unpacker(), None, {}
+        for part in text_slices(batches, "n_bytes", COMPARED):
+            found, rows = [], list(zip(*(part.column(c).to_pylist() for c in range(4)), strict=True))
+            given = [k for k, r in enumerate(rows) if r[3] is None]
+            made = dict(zip(given, _cells(*shingles([unpack(part.column(5)[k].as_py()) for k in given], size)), strict=True))
+            for k, (i, j, u, v) in enumerate(rows):
+                if (i, j) != now:
+                    now, known = (i, j), {}
+                if v is None:  # a cell's texts come before its pairs
+                    known[u] = made[k]
+                    continue
+                a, b = known[u], known[v]
+                both = np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b)
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    found.append((u, v))
+            if found:
+                yield pa.RecordBatch.from_pydict({"u": [u for u, _ in found], "v": [v for _, v in found]})
+
+    spread = sets.union(asked).repartition("i", "j").sortWithinPartitions("i", "j", F.col("v").asc_nulls_first())
+    return scratch.table(spread.mapInArrow(compare, "u long, v long"), f"{name}-links")
+
+
 def _open(keys: DataFrame, labels: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """node and class of the members of buckets with several classes; a bucket of two has been decided by its pivot."""
     classes = merge_join(keys, labels.toDF("node", "class"), "node", "left").select("key", "node", F.coalesce("class", "node").alias("class"))
@@ -338,8 +372,7 @@ def _rest(prefixes: DataFrame, scratch: Scratch, name: str, percent: int) -> Dat
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found[:, k : k + (1 << 16)]], ["u", "v"])
 
     dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    met = scratch.table(dealt.mapInArrow(run, "u long, v long").distinct(), f"{name}-met")
-    return merge_join(met, met.groupBy("v").agg(_parts(F.count("*"))), "v")
+    return scratch.table(dealt.mapInArrow(run, "u long, v long").distinct(), f"{name}-met")
 
 
 def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -375,9 +408,10 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
             break
         last = before is not None and 2 * classes > before
         prefixes = _prefixes(opened, texts, scratch, name, percent, size)
-        links = links.union(decide(_rest(prefixes, scratch, name, percent) if last else _best(prefixes, scratch, name, percent, turn), name))
         if last:
+            links = links.union(_verify_cells(_rest(prefixes, scratch, name, percent), texts, scratch, name, percent, size))
             break
+        links = links.union(decide(_best(prefixes, scratch, name, percent, turn), name))
         before, turn = classes, turn + 1
     labels = components(links, scratch, "cc")
     homes = merge_join(nodes.select("node", "digest", "id"), labels.toDF("node", "component"), "node", "left").select("digest", "id", F.coalesce("component", "node").alias("component"))
