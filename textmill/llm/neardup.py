@@ -381,7 +381,9 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     scratch, rows = Scratch(spark), _rows_of(df, text, key)
     signed = scratch.table(signatures(rows, size, plan), "signed")
     first = [F.first(c).alias(c) for c in ("n", "a", "b", "sketch")]
-    nodes = numbered(signed.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("id"), F.min("place").alias("place"), *first), scratch, "node", "nodes", codec="snappy")
+    nodes = signed.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("id"), F.min("place").alias("place"), *first)
+    # numbers follow the ids, so that pivots are the first texts of their kind: most likely those that others were made from
+    nodes = numbered(nodes.orderBy(F.col("id").asc_nulls_last()), scratch, "node", "nodes", codec="snappy")
 
     halves = nodes.select("node", "b", F.explode("a").alias("half"))
     shared = scratch.table(halves.groupBy("half").agg(F.count("*").alias("rows")).filter("rows > 1").select("half"), "shared")
