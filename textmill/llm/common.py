@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries of a cache of word chunks or pre-tokens, so a worker's memory stays bounded.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 400_000
 #: Longer chunks are not cached.
 LONGEST_CACHED = 64
 #: Python code handles at most about this many bytes of text at once (one longer text is handled alone).
