@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token's parts form a linked list of positions. The queue has one bucket for each merge rank, holding list
-positions; three levels of bitmaps say which buckets are filled, so the next rank is found by three find-first-set
+positions; two levels of bitmaps say which buckets are filled, so the next rank is found by two find-first-set
 steps whatever the length. An entry whose pair has changed since is stale and is skipped. A pre-token of n bytes costs
 O(n) queue steps, so runs of a million letters are no special case.
 
@@ -20,7 +20,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import Cache, map_arrow, word_chunks
+from textmill.llm.common import CACHE_ENTRIES, Cache, map_arrow, word_chunks
 
 #: White space as the public splitters mean it; Python's \s has four more characters.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -120,7 +120,7 @@ class ByteBPE:
             self.tokens[i] = token
         self.decimals = [str(i) for i in range(len(self.tokens))]
         self.split = splitter(pattern)
-        self._pieces, self._chunks = Cache(), Cache()
+        self._pieces, self._chunks = Cache(CACHE_ENTRIES // 4), Cache()
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """The ids of a text, split by the pattern."""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries of a cache of word chunks or pre-tokens, so a worker's memory stays bounded.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 700_000
 #: Longer chunks are not cached.
 LONGEST_CACHED = 64
 #: Python code handles at most about this many bytes of text at once (one longer text is handled alone).
@@ -113,13 +115,21 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: i
             yield batch.slice(start)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, column: str = "text") -> DataFrame:
+def give_back() -> None:
+    """Return the memory that this worker has freed, so that the next stage's share of the executor is not smaller."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, column: str = "text", most: int = SLICE_BYTES) -> DataFrame:
     """Run make()'s function over slices of every partition. make runs once for each task, on the executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for piece in text_slices(batches, column):
+        for piece in text_slices(batches, column, most):
             yield work(piece)
+        give_back()
 
     return df.mapInArrow(run, schema)
 

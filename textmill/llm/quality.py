@@ -21,6 +21,8 @@ from textmill.llm.common import map_arrow
 
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
+#: Bytes of text whose suffixes are ordered at once: some 30 numbers for each word are held meanwhile.
+QUALITY_SLICE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -121,7 +123,7 @@ def judge(df: DataFrame, limits: RepeatLimits = RepeatLimits(), text: str = "tex
 
         return work
 
-    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, {SCHEMA}", text)
+    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, {SCHEMA}", text, QUALITY_SLICE)
 
 
 def keep_good(df: DataFrame, limits: RepeatLimits = RepeatLimits(), text: str = "text") -> DataFrame:  # noqa: B008
@@ -136,7 +138,7 @@ def keep_good(df: DataFrame, limits: RepeatLimits = RepeatLimits(), text: str =
 
         return work
 
-    return map_arrow(df, make, df.schema, text)
+    return map_arrow(df, make, df.schema, text, QUALITY_SLICE)
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
