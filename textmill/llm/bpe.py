@@ -3,7 +3,8 @@
 A pre-token's parts form a linked list of positions. The queue has one bucket for each merge rank, holding list
 positions; two levels of bitmaps say which buckets are filled, so the next rank is found by two find-first-set
 steps whatever the length. An entry whose pair has changed since is stale and is skipped. A pre-token of n bytes costs
-O(n) queue steps, so runs of a million letters are no special case.
+O(n) queue steps, so runs of a million letters are no special case. Many short pre-tokens share one queue: they are one after
+another in the list, and no pair reaches over their ends.
 
 Defined results: null text is empty; an empty text has no ids; repeated rows and clashing column names pass through
 (only doc_id and text are read); an empty table gives an empty result.
@@ -12,7 +13,9 @@ Defined results: null text is empty; an empty text has no ids; repeated rows and
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
+import itertools
 from collections.abc import Callable
 from functools import lru_cache
 from itertools import chain
@@ -26,6 +29,9 @@ from textmill.llm.common import CACHE_ENTRIES, Cache, map_arrow, word_chunks
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: Bytes of pre-tokens that share a queue, unless one alone is longer.
+BATCH = 1 << 15
+_BYTES = [bytes([b]) for b in range(256)]
 ARROW = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
 
 
@@ -42,38 +48,64 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]")).findall
 
 
+def merge_all(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+    """The ids of each pre-token; pre-tokens share a queue up to about BATCH bytes."""
+    get = ranks.get
+    out: list[list[int]] = [[]] * len(pieces)
+    held: list[int] = []
+    size = 0
+    for k, piece in enumerate(pieces):
+        if (whole := get(piece)) is not None:
+            out[k] = [whole]
+            continue
+        held.append(k)
+        size += len(piece)
+        if size >= BATCH:
+            for i, ids in zip(held, _merge([pieces[i] for i in held], ranks), strict=True):
+                out[i] = ids
+            held, size = [], 0
+    for i, ids in zip(held, _merge([pieces[i] for i in held], ranks), strict=True):
+        out[i] = ids
+    return out
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one pre-token.
+    """The ids of one pre-token."""
+    return merge_all([piece], ranks)[0]
+
 
-    A part is named by the place of its first byte; after and before are the linked list. The queue: buckets[rank] lists
-    places, words[rank >> 8] is the bitmap of filled buckets among 256 ranks, top is the bitmap of filled words.
+def _merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+    """The ids of each pre-token, all merged by one queue.
+
+    A part is named by the place of its first byte in the joined pre-tokens; after and before are the linked list, before is -1
+    at the start of a pre-token. The queue: buckets[rank] lists places, words[rank >> 8] is the bitmap of filled buckets
+    among 256 ranks, top is the bitmap of filled words.
     """
-    get = ranks.get
-    if (whole := get(piece)) is not None:
-        return [whole]
-    n = len(piece)
-    pair: list[int | None] = [None] * n
+    get, data = ranks.get, b"".join(pieces)
+    n = len(data)
+    starts = [0, *itertools.accumulate(map(len, pieces))]
     after, before = list(range(1, n + 1)), list(range(-1, n))
+    for i in starts:
+        before[i] = -1
+    token = list(map(ranks.get, map(_BYTES.__getitem__, data)))  # the id of the part at a place
+    pair = list(map(get, map(bytes, zip(data, data[1:]))))  # the rank of the part there and the next one
+    pair.append(None)
+    for i in starts[1:]:
+        pair[i - 1] = None
     buckets: dict[int, list[int]] = {}
     words: dict[int, int] = {}
     top = 0
-    pushes = []
-    for i in range(n - 1):
-        if (rank := get(piece[i : i + 2])) is not None:
-            pair[i] = rank
-            pushes.append((rank, i))
-    while True:
-        for rank, i in pushes:
+    for i, rank in enumerate(pair):
+        if rank is not None:
             if rank in buckets:
                 buckets[rank].append(i)
             else:
                 buckets[rank] = [i]
-                word = rank >> 8
-                words[word] = words.get(word, 0) | 1 << (rank & 255)
-                top |= 1 << word
-        if not top:
-            break
-        pushes = []
+    for rank in buckets:
+        words[rank >> 8] = words.get(rank >> 8, 0) | 1 << (rank & 255)
+    for word in words:
+        top |= 1 << word
+    while top:
         word = (top & -top).bit_length() - 1
         bits = words[word]
         rank = word << 8 | (bits & -bits).bit_length() - 1
@@ -83,31 +115,47 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         positions = buckets.pop(rank)
         if len(positions) > 1:
             positions.sort()
-        for k, i in enumerate(positions):
+        pushes, wait = [], 0  # places before `wait` belong to a pre-token in which a lower rank has come up: it goes first
+        for i in positions:
             if pair[i] != rank:  # stale
                 continue
+            if i < wait:
+                pushes.append((rank, i))
+                continue
             j = after[i]
-            pair[j] = None
             after[i] = end = after[j]
-            before[end] = i
-            lowest = rank
-            pair[i] = new = get(piece[i : after[end]]) if end < n else None
-            if new is not None:
-                pushes.append((new, i))
-                lowest = new if new < lowest else lowest
+            token[i], pair[j], lowest = rank, None, rank
+            if before[end] >= 0:
+                before[end] = i
+                pair[i] = new = get(data[i : after[end]])
+                if new is not None:
+                    pushes.append((new, i))
+                    lowest = new if new < lowest else lowest
+            else:
+                pair[i] = None
             if (left := before[i]) >= 0:
-                pair[left] = new = get(piece[left:end])
+                pair[left] = new = get(data[left:end])
                 if new is not None:
                     pushes.append((new, left))
                     lowest = new if new < lowest else lowest
-            if lowest < rank:  # a lower rank has come up: it goes first
-                pushes += [(rank, x) for x in positions[k + 1 :]]
-                break
-    ids, i = [], 0
-    while i < n:
-        ids.append(ranks[piece[i : after[i]]])
-        i = after[i]
-    return ids
+            if lowest < rank:
+                wait = starts[bisect.bisect_right(starts, i)]
+        for new, i in pushes:
+            if new in buckets:
+                buckets[new].append(i)
+            else:
+                buckets[new] = [i]
+                word = new >> 8
+                words[word] = words.get(word, 0) | 1 << (new & 255)
+                top |= 1 << word
+    out = []
+    for i, stop in itertools.pairwise(starts):
+        ids = []
+        while i < stop:
+            ids.append(token[i])
+            i = after[i]
+        out.append(ids)
+    return out
 
 
 class ByteBPE:
@@ -122,19 +170,20 @@ class ByteBPE:
         self.split = splitter(pattern)
         self._pieces, self._chunks = Cache(CACHE_ENTRIES // 4), Cache()
 
-    def chunk(self, chunk: str) -> tuple[int, ...]:
-        """The ids of a text, split by the pattern."""
-        pieces = [chunk] if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()) else self.split(chunk)
-        ranks = self.ranks
-        get = self._pieces.lookup({x: merge(x.encode(), ranks) for x in self._pieces.missing(set(pieces))})
-        return tuple(chain.from_iterable(map(get, pieces)))
+    def _chunks_of(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of each text, split by the pattern."""
+        parts = {c: [c] if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else self.split(c) for c in chunks}
+        new = self._pieces.missing({x for p in parts.values() for x in p})
+        get = self._pieces.lookup(dict(zip(new, merge_all([x.encode() for x in new], self.ranks), strict=True)))
+        return {c: tuple(chain.from_iterable(map(get, p))) for c, p in parts.items()}
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of each text."""
         parts = [word_chunks(x) if x else [""] for x in texts]
         new = self._chunks.missing({c for p in parts for c in p[1:]})
-        get = self._chunks.lookup({c: self.chunk(f" {c}") for c in new})
-        return [[*(self.chunk(p[0]) if p[0] else ()), *chain.from_iterable(map(get, p[1:]))] for p in parts]
+        got = self._chunks_of([*(f" {c}" for c in new), *{p[0] for p in parts if p[0]}])
+        get = self._chunks.lookup({c: got[f" {c}"] for c in new})
+        return [[*(got[p[0]] if p[0] else ()), *chain.from_iterable(map(get, p[1:]))] for p in parts]
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_all([text])[0]

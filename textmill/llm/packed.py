@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import Cache, Scratch, text_slices, word_chunks
+from textmill.llm.common import Cache, Scratch, text_slices, uncollected, word_chunks
 from textmill.llm.files import open_input, open_output
 
 _MARKS = ".,;:!?"
@@ -237,10 +237,11 @@ def write_ids(df: DataFrame, tokenizer: str, end_id: int, scratch: Scratch, ordi
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, part = shared_tokenizer(tokenizer, ordinary), None, TaskContext.get().partitionId()
-        for batch in text_slices(batches):
-            writer = writer or Writer(folder, f"part-{part:06d}")
-            for k, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
-                writer.add(k, np.append(ids, np.uint32(end_id)))
+        with uncollected():
+            for batch in text_slices(batches):
+                writer = writer or Writer(folder, f"part-{part:06d}")
+                for k, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+                    writer.add(k, np.append(ids, np.uint32(end_id)))
         if writer:
             address, docs, ids = writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [address], "n_docs": [docs], "n_ids": [ids]})
