@@ -17,13 +17,12 @@ import bisect
 import hashlib
 import itertools
 from collections.abc import Callable
-from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import CACHE_ENTRIES, Cache, map_arrow, word_chunks
+from textmill.llm.common import CACHE_ENTRIES, Cache, map_arrow, shared, word_chunks
 
 #: White space as the public splitters mean it; Python's \s has four more characters.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -192,10 +191,9 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def shared_bpe(path: str, pattern: str) -> ByteBPE:
     """One encoder for each Python worker, so that its caches serve all tasks that the worker runs."""
-    return ByteBPE(read_ranks(path), pattern)
+    return shared(("bpe", path, pattern), lambda: ByteBPE(read_ranks(path), pattern))
 
 
 def encode_table(df: DataFrame, path: str, pattern: str, finish: Callable[[ByteBPE, list[int]], tuple], schema: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -212,7 +210,7 @@ def encode_table(df: DataFrame, path: str, pattern: str, finish: Callable[[ByteB
 
         return work
 
-    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, {schema}", text)
+    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, {schema}", text, keeps=True)
 
 
 def encode_ids(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:

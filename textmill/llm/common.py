@@ -116,6 +116,24 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: i
             yield batch.slice(start)
 
 
+_HELD: dict[tuple, object] = {}
+
+
+def shared(key: tuple, make: Callable[[], object]):
+    """One object for all tasks of this worker that ask for it; it goes when another one is asked for."""
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    """Drop what an earlier stage has left in this worker."""
+    if _HELD:
+        _HELD.clear()
+        give_back()
+
+
 def give_back() -> None:
     """Return the memory that this worker has freed, so that the next stage's share of the executor is not smaller."""
     pa.default_memory_pool().release_unused()
@@ -133,10 +151,12 @@ def uncollected() -> Iterator[None]:
         gc.enable()
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, column: str = "text", most: int = SLICE_BYTES) -> DataFrame:
-    """Run make()'s function over slices of every partition. make runs once for each task, on the executor."""
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, column: str = "text", most: int = SLICE_BYTES, keeps: bool = False) -> DataFrame:
+    """Run make()'s function over slices of every partition. make runs once for each task, on the executor. keeps: it uses `shared`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            release()
         with uncollected():
             work = make()
             for piece in text_slices(batches, column, most):

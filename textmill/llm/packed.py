@@ -20,14 +20,13 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import Cache, Scratch, text_slices, uncollected, word_chunks
+from textmill.llm.common import Cache, Scratch, shared, text_slices, uncollected, word_chunks
 from textmill.llm.files import open_input, open_output
 
 _MARKS = ".,;:!?"
@@ -222,9 +221,8 @@ class CachedTokenizer:
         return [np.frombuffer(b"".join([first, *map(get, p[1:])]), "<u4") for first, p in zip(firsts, parts, strict=True)]
 
 
-@lru_cache(maxsize=2)
 def shared_tokenizer(path: str, ordinary: bool) -> CachedTokenizer:
-    return CachedTokenizer(path, ordinary)
+    return shared(("tokenizer", path, ordinary), lambda: CachedTokenizer(path, ordinary))
 
 
 def write_ids(df: DataFrame, tokenizer: str, end_id: int, scratch: Scratch, ordinary: bool = True, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.llm.common import Scratch, merge_join, numbered, text_slices
+from textmill.llm.common import Scratch, give_back, merge_join, numbered, release, text_slices
 from textmill.llm.words import mix
 
 LENGTH = 200
@@ -153,6 +153,7 @@ def find_occurrences(rows: DataFrame, length: int, gram: int) -> DataFrame:
                     place = _pack(at[text] + start - first[text], anchor - start, more)
                     cols = (ids[owner[text]], place, key, x, y, times.astype(np.int32), reach.astype(np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+        give_back()
 
     return rows.select("row", "n_bytes", "packed").mapInArrow(run, FOUND)
 
@@ -225,6 +226,7 @@ def packed_rows(df: DataFrame, scratch: Scratch, text: str = "text") -> DataFram
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("packed", T.BinaryType()), *picked.schema.fields[1:]]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         packer = zstandard.ZstdCompressor(level=3)
         for batch in text_slices(batches):
             raw = [(x or "").encode() for x in batch.column(0).to_pylist()]

@@ -15,13 +15,12 @@ are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm.bpe import read_ranks, splitter
-from textmill.llm.common import Cache, map_arrow, word_chunks
+from textmill.llm.common import Cache, map_arrow, shared, word_chunks
 
 
 def rank_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
@@ -95,9 +94,8 @@ class Counter:
         return rows
 
 
-@lru_cache(maxsize=2)
 def shared_counter(path: str, pattern: str) -> Counter:
-    return Counter(rank_scores(read_ranks(path)), pattern)
+    return shared(("unigram", path, pattern), lambda: Counter(rank_scores(read_ranks(path)), pattern))
 
 
 def token_counts(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -112,7 +110,7 @@ def token_counts(df: DataFrame, path: str, pattern: str, text: str = "text", key
 
         return work
 
-    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, n_pretokens long, n_tokens long", text)
+    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, n_pretokens long, n_tokens long", text, keeps=True)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
