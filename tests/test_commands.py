@@ -7,15 +7,15 @@ def test_from_tagged_to_enriched(spark, tmp_path):
     (tmp_path / "in" / "a.txt").write_text('<doc id="7" file_id="0" >\nThe cat sat. It did not move at all today.\n</doc>\n<doc id="8" >\nEnd.\n</doc>\n')
     conll = M.to_conll(spark, str(tmp_path / "in"))
     assert K.parse_conllu(conll.withColumn("line_idx", conll.line_idx.cast("long"))).count() == 4 + 8 + 2
-    lines = M.to_vertical(conll.selectExpr("'f' AS file", "file * 1000 + line_idx AS line_idx", "value"))
+    lines = M.to_vertical(conll.selectExpr("'f' AS file", "trim(substring(file, 1, 20)) * 1000 + line_idx AS line_idx", "value"))
     got = [r.value for r in lines.orderBy("line_idx").collect()]
-    assert got[0] == '<doc id="7" >' and got[-1] == "</doc>" and got.count("</s>") == 3 and got[1] == '<s id="0">'
+    assert got[0] == '<doc id="7" file_id="0" >' and got[-1] == "</doc>" and got.count("</s>") == 3 and got[1] == '<s id="0">'
     assert got.count("</doc>") == 2 and got[got.index('<doc id="8" >') + 1] == '<s id="0">'
     langs = M.sentence_languages(lines)
     assert {(r.line_idx, r.lang) for r in langs.collect()} <= {(r.line_idx, x) for r in lines.filter("value LIKE '<s%'").collect() for x in ("en", "fr", "es", "unknown")}
     rich = [r.value for r in M.enrich(lines, langs, doc_n=5).orderBy("line_idx").collect()]
     assert rich[0].startswith('<docx ref="1" name="f"') and rich[-1] == "</docx>"
-    assert [x for x in rich if x.startswith("<doc ")] == ['<doc id="7" ref="5" >', '<doc id="8" ref="6" >']
+    assert [x for x in rich if x.startswith("<doc ")] == ['<doc id="7" file_id="0" ref="5" >', '<doc id="8" ref="6" >']
 
 
 def test_document_without_sentences_is_closed(spark):
@@ -30,3 +30,22 @@ def test_normalize_command(monkeypatch, capsys):
     monkeypatch.setattr("sys.stdin", io.TextIOWrapper(io.BytesIO("ﬁ “x”\n".encode())))
     assert M.main(["normalize"]) == 0
     assert capsys.readouterr().out == 'fi "x"\n'
+
+
+def test_attachments_of_one_record_stay_apart(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('<doc id="7" file_id="9" >\nFour five six.\n</doc>\n<doc id="7" file_id="0" >\nOne two three.\n</doc>\n')
+    got = [r.value for r in M.to_conll(spark, str(tmp_path / "in")).orderBy("file", "line_idx").collect()]
+    assert [x for x in got if x.startswith("#") and "newdoc" in x] == ["# newdoc id=7 file_id=0", "# newdoc id=7 file_id=9"]
+    assert [x.split("\t")[1] for x in got if x[:1].isdigit()] == ["One", "two", "three", ".", "Four", "five", "six", "."]
+
+
+def test_languages_belong_to_their_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    line = lambda w: "\t".join(["1", w, w, *"_______"])
+    for name, words in (("a", "the cat was on the table and it was not in the house".split()), ("b", "le chat est sur la table et il est dans la maison".split())):
+        (tmp_path / "in" / f"{name}.vert").write_text("\n".join(['<doc id="1" >', '<s id="0">', *map(line, words), "</s>", "</doc>"]) + "\n")
+    assert M.main(["langid", str(tmp_path / "in"), str(tmp_path / "lang")]) == 0
+    assert M.main(["enrich", str(tmp_path / "in"), str(tmp_path / "out"), "--langid", str(tmp_path / "lang")]) == 0
+    got = [r.value for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert [x for x in got if x.startswith("<s ")] == ['<s id="0" lang="en" >', '<s id="0" lang="fr" >'] and len([x for x in got if x.startswith("<docx")]) == 2

@@ -125,3 +125,40 @@ def test_stream_upsert(spark, tmp_path):
     ingest.upsert_stream(stream, str(tmp_path / "t"), str(tmp_path / "c"), ["id"], ["changed"]).awaitTermination()
     now = ingest.current(spark.read.parquet(str(tmp_path / "t")), ["id"], ["changed"])
     assert sorted((r.id, r.v) for r in now.collect()) == [(1, "b"), (2, "d")]
+
+
+def test_stream_offset_survives_changes(tmp_path):
+    """A record that changes between two pages moves to the end, and no other one is skipped."""
+    _records(tmp_path, 4)
+    stream = paged._Stream({"folder": str(tmp_path), "limit": "2"})
+    rows, offset = stream.read(stream.initialOffset())
+    seen = [r[0] for r in rows]
+    lines = [json.loads(x) for x in (tmp_path / "records.jsonl").read_text().splitlines()]
+    lines[0]["fields"]["date"]["changed"] = "2024-02-01T00:00:00+00:00"
+    (tmp_path / "records.jsonl").write_text("".join(json.dumps(x) + "\n" for x in lines))
+    first = offset
+    while True:
+        rows, after = stream.read(offset)
+        got = [r[0] for r in rows]
+        if not got:
+            break
+        seen, offset = seen + got, after
+    assert seen == [0, 1, 2, 3, 0]
+    assert [r[0] for r in stream.readBetweenOffsets(first, offset)] == [2, 3, 0]
+
+
+def test_named_batches(spark, tmp_path):
+    rows = [(i, i % 2, 1 + i // 4, f"text {i}") for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, file_id long, batch int, body string").repartition(3)
+    names = files.write_named_batches(df, f"file://{tmp_path}/out", "rw_en_2000")
+    assert names == [f"rw_en_2000.{k}.txt" for k in (1, 2, 3)] == sorted(p.name for p in (tmp_path / "out").iterdir())
+    assert (tmp_path / "out" / names[1]).read_text() == "\n".join(f"text {i}" for i in (4, 5, 6, 7))
+
+
+def test_phrase_prefixes(spark):
+    """Spans by hand: (classes of a sentence, tokens in phrases)."""
+    cases = {"SDNX": "SDN", "DPNX": "DPN", "DDDN": "DDDN", "SPDN": "DN", "XN": "", "DDPNA": "DDPNA", "DOX": "", "POAN": "POAN", "SS": ""}
+    rows = [(k, i, c) for k, s in enumerate(cases) for i, c in enumerate(s)]
+    got = C.phrases(spark.createDataFrame(rows, "sent long, pos int, cls string"), ["sent"]).filter("phrase is not null").orderBy("sent", "pos").collect()
+    for k, want in enumerate(cases.values()):
+        assert "".join(r.cls for r in got if r.sent == k) == want

@@ -27,11 +27,17 @@ from textmill.sources import files
 
 
 def to_conll(spark: SparkSession, source: str, wrap: bool = False, normalize: bool = False) -> DataFrame:
-    """CoNLL-U lines of tagged texts. wrap: join hyphenated line ends; normalize: clean each line first."""
+    """CoNLL-U lines (file: a document's key, line_idx, value) of tagged texts, in the order of id and file_id; every document is
+    one of its own. wrap: join hyphenated line ends; normalize: clean each line first."""
     docs = files.read_tagged_splits(spark, source)
     body = U.normalize_udf()("body") if normalize else F.col("body")
-    docs = docs.select(T.tag_attributes("tag")["id"].cast("long").alias("doc_id"), (T.join_hyphenated(body) if wrap else body).alias("text"))
-    return K.render_conllu(K.annotate(docs), "doc_id").withColumnRenamed("doc_id", "file")
+    attrs = T.tag_attributes("tag")
+    part = lambda n: F.lpad(F.coalesce(attrs[n], F.lit("")), 20, " ")
+    docs = docs.select(F.concat(part("id"), part("file_id"), F.xxhash64("tag", "body").cast("string")).alias("doc_id"), (T.join_hyphenated(body) if wrap else body).alias("text"))
+    lines = K.render_conllu(K.annotate(docs), "doc_id").withColumnRenamed("doc_id", "file")
+    names = (F.trim(F.substring("file", 1, 20)), F.trim(F.substring("file", 21, 20)))
+    head = F.concat(F.lit("# newdoc id="), names[0], F.when(names[1] != "", F.concat(F.lit(" file_id="), names[1])).otherwise(""))
+    return lines.withColumn("value", F.when(F.col("line_idx") == 0, head).otherwise(F.col("value")))
 
 
 def to_vertical(lines: DataFrame) -> DataFrame:
@@ -107,16 +113,17 @@ def main(args: list[str] | None = None) -> int:
     ship(spark)
     lines = lambda x: files.read_lines(spark, x)
     if a.command == "normalize":
-        lines(a.source).select(U.normalize_udf()("value").alias("v")).show(truncate=False)
+        for r in lines(a.source).withColumn("v", U.normalize_udf()("value")).orderBy("file", "line_idx").select("v").toLocalIterator():
+            sys.stdout.write(r.v)
     elif a.command == "to-conll":
         files.write_lines(to_conll(spark, a.source, a.wrap, a.uninorm), a.out, a.force, a.compression)
     elif a.command == "to-vert":
         files.write_lines(to_vertical(lines(a.source)), a.out, a.force, a.compression)
     elif a.command == "langid":
-        files.write_tsv(sentence_languages(lines(a.source), a.short, a.long).select("line_idx", "lang"), a.out, overwrite=a.force)
+        files.write_tsv(sentence_languages(lines(a.source), a.short, a.long).select("file", "line_idx", "lang"), a.out, overwrite=a.force)
     elif a.command == "enrich":
         names = lines(a.source)
-        langs = files.read_sentence_languages(spark, a.langid).join(names.select("file").distinct()) if a.langid else None
+        langs = files.read_sentence_languages(spark, a.langid, files=True) if a.langid else None
         files.write_lines(enrich(names, langs, a.doc_n, a.docx_n, a.uuid), a.out, a.force, a.compression)
     elif a.command == "verify":
         counts = [lines(x).filter(F.col("value").rlike(r"^(<doc |# newdoc)")).count() for x in a.source]
@@ -124,9 +131,11 @@ def main(args: list[str] | None = None) -> int:
         return int(len(set(counts)) > 1)
     else:
         x, y = (vertical_tokens(lines(s)) for s in a.source)
-        C.tag_counts({"left": x, "right": y}).orderBy("tag").show(200, truncate=False)
+        for r in C.tag_counts({"left": x, "right": y}).orderBy("tag").toLocalIterator():
+            print(r.tag, r.left, r.right, sep="\t")
         both = C.align(x.withColumn("d", F.lit(0)), y.withColumn("d", F.lit(0)), "d")
-        both.groupBy("code").count().show()
+        for r in both.groupBy("code").count().orderBy("code").toLocalIterator():
+            print(r.code, r["count"], sep="\t")
     return 0
 
 

@@ -91,30 +91,37 @@ def align(left: DataFrame, right: DataFrame, key: str, order: str = "pos", word:
     return left.groupBy("key").cogroup(right.groupBy("key")).applyInPandas(one, ALIGNED).withColumnRenamed("key", key)
 
 
-# Classes of Spanish-style tags, first match wins: (pattern, class, group of gender, group of number).
+# Classes of Spanish-style tokens, first match wins: (pattern of the tag, words in lower case or None for all,
+# class, group of gender, group of number; 0 where it has none).
 CLASSES = (
-    (r"^N..?([MFC])([SPN])", "N", 1, 2),
-    (r"^A...?([MFC])([SPN])", "A", 1, 2),
-    (r"^D...?([MFC])([SPN])", "D", 1, 2),
-    (r"^V.P..([SP])([MF])", "V", 2, 1),
-    (r"^SP", "S", 0, 0),
+    (r"^D..(.)(.)", None, "D", 1, 2),
+    (r"^SP", None, "S", 0, 0),
+    (r"^P[DI].(.)(.)", None, "P", 1, 2),
+    (r"^PR.(.)(.)", ("cuyo", "cuya", "cuyos", "cuyas"), "P", 1, 2),
+    (r"^PT.(.)(.)", ("cuántos", "cuántas"), "P", 1, 2),
+    (r"^A..(.)(.)", None, "A", 1, 2),
+    (r"^N.(.)(.)", None, "N", 1, 2),
+    (r"^V.P..(.)(.)", None, "V", 2, 1),
+    (r"", ("no",), "O", 0, 0),
 )
-PHRASE = "(?:DD|D|S|P)?[ANVO]{0,9}[ANV]"
+# Fixed value: class letters of a noun phrase.
+PHRASE = "(?:D|S|P|DD|SD|DP|SP|DDD|SDD|DDP|SDP)?[ANVO]{0,9}[ANV]"
 
 
-def classify(tag: Column, classes=CLASSES) -> tuple[Column, Column, Column]:
-    """Class letter, gender and number of a tag; X, 0, 0 without a match."""
-    kind, gender, number = F, F, F
+def classify(tag: Column, word: Column | None = None, classes=CLASSES) -> tuple[Column, Column, Column]:
+    """Class letter, gender and number of a token; X, 0, 0 without a match. Without its word the rules of words do not apply."""
     outs = []
     for pick in range(3):
-        c = None
-        for pattern, letter, g, n in classes:
+        c = F
+        for pattern, words, letter, g, n in classes:
+            if words and word is None:
+                continue
+            fits = tag.rlike(pattern) if pattern else F.lit(True)
+            fits = fits & F.lower(word).isin(*words) if words else fits
             group = (None, g, n)[pick]
-            value = F.lit(letter) if pick == 0 else F.regexp_extract(tag, pattern, group) if group else F.lit("0")
-            c = F.when(tag.rlike(pattern), value) if c is None else c.when(tag.rlike(pattern), value)
+            c = c.when(fits, F.lit(letter) if pick == 0 else F.regexp_extract(tag, pattern, group) if group else F.lit("0"))
         outs.append(c.otherwise("X" if pick == 0 else "0"))
-    kind, gender, number = outs
-    return kind, gender, number
+    return tuple(outs)
 
 
 def phrases(tokens: DataFrame, keys: list[str], letter: str = "cls", pattern: str = PHRASE) -> DataFrame:
@@ -151,11 +158,24 @@ def fill_phrases(tokens: DataFrame, keys: list[str], phrase: str = "phrase", col
     return out
 
 
-def gender_lemma(tokens: DataFrame, table: DataFrame, lemma: str = "lemma", tag: str = "tag", number_at: int = 4) -> DataFrame:
-    """gender_lemma of (lemma, tag with its number set to S) in the table, else the lemma; the table is a dictionary file."""
-    base = F.overlay(F.col(tag), F.lit("S"), number_at, 1)
-    found = table.select(F.col("lemma").alias("_l"), F.col("tag").alias("_t"), F.col("gender_lemma"))
-    return tokens.withColumn("_b", base).join(found, (F.col(lemma) == F.col("_l")) & (F.col("_b") == F.col("_t")), "left").withColumn("gender_lemma", F.coalesce("gender_lemma", lemma)).drop("_b", "_l", "_t")
+# Where the number stands in a tag (from 1), by how the tag begins; and lemmas that are written together.
+NUMBER_AT = (("N", 4), ("A", 5), ("VMP", 6), ("D", 5))
+JOINED_LEMMAS = (("de+el", "del"), ("a+el", "al"))
+
+
+def gender_lemma(tokens: DataFrame, table: DataFrame, lemma: str = "lemma", tag: str = "tag") -> DataFrame:
+    """gender_lemma of (lemma, tag with its number set to S) in the table, else the lemma; the table is a dictionary file.
+
+    Only nouns, adjectives, participles and determiners are looked up.
+    """
+    base, joined = F, F
+    for start, at in NUMBER_AT:
+        base = base.when(F.col(tag).startswith(start), F.overlay(F.col(tag), F.lit("S"), at, 1))
+    for old, new in JOINED_LEMMAS:
+        joined = joined.when(F.col(lemma) == old, new)
+    found = table.select(F.col("lemma").alias("_l"), F.col("tag").alias("_t"), F.col("gender_lemma")).dropDuplicates(["_l", "_t"])
+    met = tokens.withColumn("_b", base).join(found, (F.col(lemma) == F.col("_l")) & (F.col("_b") == F.col("_t")), "left")
+    return met.withColumn("gender_lemma", F.coalesce(joined, "gender_lemma", lemma)).drop("_b", "_l", "_t")
 
 
 def top(df: DataFrame, order: str, n: int = 25) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from textmill.functions import text as T
-from textmill.operators import compare as C
 from textmill.operators import langid as L
 from textmill.operators import tokens as K
 from textmill.plans.noise import NOISE
@@ -85,6 +84,8 @@ TOKENS = rf"""SELECT doc_id, sent, pos, word, lower(word) AS lemma,
     CASE WHEN regexp_matches(word, '^\p{{N}}') THEN 'NUM' WHEN regexp_matches(word, '^[^\p{{L}}\p{{M}}\p{{N}}]') THEN 'PUNCT' WHEN regexp_matches(word, '^\p{{Lu}}') THEN 'PROPN' WHEN length(word) <= 3 THEN 'ADP' ELSE 'NOUN' END AS upos
     FROM (SELECT doc_id, sent, unnest(range(1, len(w) + 1))::INT AS pos, unnest(w) AS word FROM (
         SELECT doc_id, sent, regexp_extract_all(sentence, '[\p{{L}}\p{{M}}]+(?:[''’-][\p{{L}}\p{{M}}]+)*|\p{{N}}+(?:[.,]\p{{N}}+)*|[^\s\p{{L}}\p{{M}}\p{{N}}]') AS w FROM ({SENT})))"""
+# Fixed value: class letters of a noun phrase.
+PHRASE = "(?:D|S|P|DD|SD|DP|SP|DDD|SDD|DDP|SDP)?[ANVO]{0,9}[ANV]"
 TAGS = f"SELECT doc_id, sent, pos, word, upos AS tag_a, CASE WHEN length(word) % 4 = 0 THEN 'VERB' ELSE upos END AS tag_b FROM ({TOKENS})"
 TAGGED = f"""SELECT doc_id, sent, pos, word, substring('DNAXSNVXA', ((pos + sent) % 9 + 1)::INT, 1) AS cls, substring('CMCFC', ((pos + sent) % 5 + 1)::INT, 1) AS gender,
     substring('NNSP', ((pos + sent) % 4 + 1)::INT, 1) AS number FROM ({TOKENS})"""
@@ -232,10 +233,22 @@ def oracle_sql() -> dict[str, str]:
             i AS (SELECT *, sum(c) OVER (PARTITION BY doc_id, sent ORDER BY pos)::BIGINT AS island FROM g) SELECT doc_id, sent, island, count(*)::BIGINT AS n, max(same) AS same FROM i GROUP BY doc_id, sent, island""",
         "diff_errors": f"SELECT doc_id, sent, len(regexp_extract_all(string_agg((tag_a <> tag_b)::INT::VARCHAR, '' ORDER BY pos), '010|020'))::BIGINT AS errors FROM ({TAGS}) GROUP BY ALL",
         "np_phrases": f"""WITH s AS (SELECT doc_id, sent, string_agg(cls, '' ORDER BY pos) AS c, count(*) AS n FROM ({TAGGED}) GROUP BY ALL)
-            SELECT doc_id, sum(coalesce(list_sum(list_transform(list_filter(regexp_extract_all(c, '{C.PHRASE}'), lambda x: length(x) >= 2), lambda x: length(x))), 0))::BIGINT AS inside, sum(n)::BIGINT AS tokens FROM s GROUP BY doc_id""",
+            SELECT doc_id, sum(coalesce(list_sum(list_transform(list_filter(regexp_extract_all(c, '{PHRASE}'), lambda x: length(x) >= 2), lambda x: length(x))), 0))::BIGINT AS inside, sum(n)::BIGINT AS tokens FROM s GROUP BY doc_id""",
         "np_fill": f"""SELECT doc_id, sent, pos, {fill('gender', 'C', 'M,F')} AS gender_filled, {fill('number', 'N', 'S,P')} AS number_filled FROM ({TAGGED}) WINDOW w AS (PARTITION BY doc_id, sent, pos // 4 ORDER BY pos)""",
         "tag_classes": """SELECT c[1] AS cls, c[2] AS gender, c[3] AS number, count(*)::BIGINT AS n FROM (
             SELECT [['N', 'M', 'S'], ['A', 'C', 'P'], ['D', 'F', 'S'], ['V', 'M', 'S'], ['S', '0', '0'], ['X', '0', '0']][(event_id % 6 + 1)::INT] AS c FROM events) GROUP BY ALL""",
+        "noun_phrases": f"""WITH s AS (SELECT doc_id, sent, string_agg(substring('SDNXDPNASDDNPOAXDDDVSPNDPXOOD', ((pos * 7 + sent) % 29 + 1)::INT, 1), '' ORDER BY pos) AS c FROM ({TOKENS}) GROUP BY ALL)
+            SELECT doc_id, sent, array_to_string(list_filter(regexp_extract_all(c, '{PHRASE}'), lambda x: length(x) >= 2), ' ') AS spans FROM s""",
+        "token_classes": """WITH t AS (SELECT ['NCMS000', 'AQ0CP0', 'DA0FS0', 'VMP00SM', 'SPS00', 'Fc', 'PD0MS000', 'PI0FP000', 'PR0MS000', 'PT0FP000', 'RN', 'NP00000'][(event_id % 12 + 1)::INT] AS tag,
+                ['no', 'Cuyo', 'CUÁNTAS', 'que', 'No'][(event_id % 5 + 1)::INT] AS word FROM events),
+            c AS (SELECT tag, word, CASE
+                WHEN tag = 'DA0FS0' THEN 'DFS' WHEN tag = 'SPS00' THEN 'S00' WHEN tag = 'PD0MS000' THEN 'PMS' WHEN tag = 'PI0FP000' THEN 'PFP'
+                WHEN tag = 'PR0MS000' AND lower(word) IN ('cuyo', 'cuya', 'cuyos', 'cuyas') THEN 'PMS' WHEN tag = 'PT0FP000' AND lower(word) IN ('cuántos', 'cuántas') THEN 'PFP'
+                WHEN tag = 'AQ0CP0' THEN 'ACP' WHEN tag = 'NCMS000' THEN 'NMS' WHEN tag = 'NP00000' THEN 'N00' WHEN tag = 'VMP00SM' THEN 'VMS' WHEN lower(word) = 'no' THEN 'O00' ELSE 'X00' END AS k FROM t)
+            SELECT tag, word, substring(k, 1, 1) AS cls, substring(k, 2, 1) AS gender, substring(k, 3, 1) AS number, count(*)::BIGINT AS n FROM c GROUP BY ALL""",
+        "gender_lemma_rules": """WITH t AS (SELECT ['gato', 'alto', 'dicho', 'uno', 'de+el', 'a+el', 'gato'][(event_id % 7 + 1)::INT] AS lemma, ['NCFP000', 'AQ0FP0', 'VMP00PF', 'DI0FP0', 'SPCMS', 'SPCMS', 'VMIP3P0'][(event_id % 7 + 1)::INT] AS tag FROM events)
+            SELECT lemma, tag, CASE lemma WHEN 'de+el' THEN 'del' WHEN 'a+el' THEN 'al' WHEN 'alto' THEN 'alta' WHEN 'dicho' THEN 'dicha' WHEN 'uno' THEN 'una' ELSE CASE WHEN tag = 'NCFP000' THEN 'gata' ELSE lemma END END AS gender_lemma,
+                   count(*)::BIGINT AS n FROM t GROUP BY ALL""",
         "gender_lemmas": """SELECT lemma, tag, CASE WHEN lemma = 'view' AND tag = 'NCMP0' THEN 'la view' WHEN lemma = 'click' AND tag = 'NCFP0' THEN 'la click' ELSE lemma END AS gender_lemma, count(*)::BIGINT AS n
             FROM (SELECT event_type AS lemma, CASE WHEN event_id % 2 = 0 THEN 'NCMP0' ELSE 'NCFP0' END AS tag FROM events) GROUP BY ALL""",
         "glue": f"SELECT doc_id, count(*) FILTER (pos > 1 AND upos = 'PUNCT')::BIGINT AS glued FROM ({TOKENS}) GROUP BY doc_id",

@@ -449,6 +449,36 @@ def gender_lemmas(spark, sf):
     return C.gender_lemma(e, table).groupBy("lemma", "tag", "gender_lemma").agg(F.count("*").alias("n"))
 
 
+def _pick(names: tuple[str, ...] | str, at: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, names)), (at % len(names) + 1).cast("int"))
+
+
+def noun_phrases(spark, sf):
+    """The phrases of each sentence over classes that make every kind of prefix."""
+    t = _tokens(spark, sf).select("doc_id", "sent", F.col("pos").cast("int").alias("pos"), _pick("SDNXDPNASDDNPOAXDDDVSPNDPXOOD", F.col("pos") * 7 + F.col("sent")).alias("cls"))
+    spans = C.phrases(t, ["doc_id", "sent"])
+    one = spans.groupBy("doc_id", "sent", "phrase").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "cls"))), lambda x: x["cls"]), "").alias("span"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("phrase").isNotNull(), F.struct("phrase", "span")))), lambda x: x["span"]), " ")
+    return one.groupBy("doc_id", "sent").agg(joined.alias("spans")).withColumn("sent", F.col("sent").cast("int"))
+
+
+def token_classes(spark, sf):
+    """Classes of tokens by tag and word, with the rules of pronouns and of negation."""
+    tags = ("NCMS000", "AQ0CP0", "DA0FS0", "VMP00SM", "SPS00", "Fc", "PD0MS000", "PI0FP000", "PR0MS000", "PT0FP000", "RN", "NP00000")
+    t = _t(spark, sf, "events").select(_pick(tags, F.col("event_id")).alias("tag"), _pick(("no", "Cuyo", "CUÁNTAS", "que", "No"), F.col("event_id")).alias("word"))
+    a, b, c = C.classify(F.col("tag"), F.col("word"))
+    return t.select("tag", "word", a.alias("cls"), b.alias("gender"), c.alias("number")).groupBy("tag", "word", "cls", "gender", "number").agg(F.count("*").alias("n"))
+
+
+def gender_lemma_rules(spark, sf):
+    """Gender lemmas of nouns, adjectives, participles and determiners, and of joined lemmas; a finite verb keeps its own."""
+    rows = [("gato", "NCFS000", "gata"), ("alto", "AQ0FS0", "alta"), ("dicho", "VMP00SF", "dicha"), ("uno", "DI0FS0", "una"), ("gato", "VMIS3P0", "wrong")]
+    table = spark.createDataFrame(rows, "lemma string, tag string, gender_lemma string")
+    at = F.col("event_id")
+    t = _t(spark, sf, "events").select(_pick(("gato", "alto", "dicho", "uno", "de+el", "a+el", "gato"), at).alias("lemma"), _pick(("NCFP000", "AQ0FP0", "VMP00PF", "DI0FP0", "SPCMS", "SPCMS", "VMIP3P0"), at).alias("tag"))
+    return C.gender_lemma(t, table).groupBy("lemma", "tag", "gender_lemma").agg(F.count("*").alias("n"))
+
+
 def glue(spark, sf):
     """Offsets as if a space followed every word but those before punctuation."""
     w = W.partitionBy("doc_id", "sent").orderBy("pos")
@@ -509,7 +539,7 @@ _NAMES = (
     "control_chars collapse html_text normalize_unicode xml_quote xml_quote_whole doc_tag parse_tag unique_attrs xml_tokens xml_tokens_whole comment_attrs lempos batching range_slice ntile_split flatten_events list_join nested_records "
     "field_names year_attr date_range high_watermark upsert_latest upsert_two_keys column_update explode_files download_todo missing_rates tokens freq_word freq_lc freq_lemma_pos corpus_size "
     "conllu_roundtrip conllu_counts mwt_splice doc_refs tag_update docx_wrap sent_lang_join verify_counts read_tagged sentence_lid_vote sentence_routing size_routing subcorpora year_groups "
-    "tag_counts_outer tag_mapping tag_diff_pct tag_diff_pairs tag_diff_top tag_diff_sample compare_summary diff_islands diff_errors align_tokens np_phrases np_fill tag_classes gender_lemmas glue proper_nouns"
+    "tag_counts_outer tag_mapping tag_diff_pct tag_diff_pairs tag_diff_top tag_diff_sample compare_summary diff_islands diff_errors align_tokens np_phrases np_fill noun_phrases tag_classes token_classes gender_lemmas gender_lemma_rules glue proper_nouns"
 ).split()
 
 

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,9 +46,9 @@ def read_tagged_splits(spark: SparkSession, path: str) -> DataFrame:
     return t.select(F.substring_index("v", "\n", 1).alias("tag"), F.expr("rtrim('\n', substring(v, length(substring_index(v, '\n', 1)) + 2))").alias("body"))
 
 
-def read_sentence_languages(spark: SparkSession, path: str, first_row_lost: bool = False) -> DataFrame:
-    """line_idx and lang of a side file without a header. first_row_lost: as if its first row were one."""
-    return spark.read.csv(path, sep="\t", header=first_row_lost, schema="line_idx long, lang string")
+def read_sentence_languages(spark: SparkSession, path: str, first_row_lost: bool = False, files: bool = False) -> DataFrame:
+    """line_idx and lang of a side file without a header (files: the file before them). first_row_lost: as if its first row were one."""
+    return spark.read.csv(path, sep="\t", header=first_row_lost, schema=("file string, " if files else "") + "line_idx long, lang string")
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -77,9 +81,43 @@ def write_batches(df: DataFrame, path: str, overwrite: bool = False) -> None:
     df.select("batch", "body").write.mode("overwrite" if overwrite else "errorifexists").partitionBy("batch").text(path)
 
 
-def write_lines(lines: DataFrame, path: str, overwrite: bool = False, compression: str = "none") -> None:
-    """value in order of file and line_idx; a file's lines stay together."""
-    ordered = lines.repartitionByRange("file", "line_idx").sortWithinPartitions("file", "line_idx")
+def write_named_batches(df: DataFrame, folder: str, stem: str, order: tuple[str, ...] = ("id", "file_id")) -> list[str]:
+    """body of each batch, in order and joined by newlines, as one file <stem>.<batch>.txt; returns the files' names.
+
+    A task writes under a name of its own; the driver renames what Spark has committed, one file for each batch.
+    """
+    system, top = fs.FileSystem.from_uri(folder)
+    system.create_dir(top, recursive=True)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, base = fs.FileSystem.from_uri(folder)
+        now, out, done = None, None, []
+        for batch in batches:
+            for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if number != now:
+                    if out:
+                        out.close()
+                    now, name = number, f"_{uuid.uuid4().hex}"
+                    out = target.open_output_stream(f"{base}/{name}", compression=None)
+                    done.append((number, name))
+                else:
+                    out.write(b"\n")
+                out.write((body or "").encode())
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.int64()), pa.array([x for _, x in done], pa.string())], ["batch", "name"])
+
+    dealt = df.select(F.col("batch").cast("long").alias("batch"), "body", *order).repartition("batch").sortWithinPartitions("batch", *order).select("batch", "body")
+    names = []
+    for r in sorted(dealt.mapInArrow(write, "batch long, name string").collect()):  # a row for each file
+        names.append(f"{stem}.{r.batch}.txt")
+        system.move(f"{top}/{r.name}", f"{top}/{names[-1]}")
+    return names
+
+
+def write_lines(lines: DataFrame, path: str, overwrite: bool = False, compression: str = "none", order: tuple[str, ...] = ("file", "line_idx")) -> None:
+    """value in the order of the columns; a file's lines stay together."""
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.select("value").write.mode("overwrite" if overwrite else "errorifexists").option("compression", compression).text(path)
 
 
