@@ -158,6 +158,31 @@ def test_url_rules():
     assert index.judge("no scheme casino")[:3] == ("", "", None)
 
 
+def test_literal_tokens():
+    for expr, want in {
+        r"(?<![a-z0-9])casino(?![a-z0-9])": ("casino",), r"(?<![a-z0-9])cheap\-pills(?![a-z0-9])": ("cheap", "pills"), r"\.exe\Z": ("exe",), r"casino": (), r"/ads?/": (), r"/ads/x*y/": ("ads",),
+        r"\A(?:a|b)\.foo-": ("foo",), r"[-/.]track[-/]": ("track",), r"(?<![a-z0-9])foo": (), r"foo(?![a-z0-9])bar-": (), r"-foo.bar-": (), r"(?<![a-z])foo-": (), r"/(foo)/bar/": ("bar",), r"^foo$": (), r"\Afoo\Z": ("foo",),
+    }.items():
+        assert urlrules.literal_tokens(expr) == want, expr
+
+
+def test_patterns_by_brute_force():
+    """Rules fetched by their rarest token decide as all rules would."""
+    rng = random.Random(12)
+    rules = [*urlrules.DEFAULT_PATTERNS, urlrules.Pattern(r"/ads/[0-9]+", "block"), urlrules.Pattern(r"[?&]ref=spam(?![a-z0-9])", "block"), urlrules.Pattern(r"(?<![a-z0-9])edu(?![a-z0-9])", "allow", "host"), urlrules.Pattern(r"x{3}", "block", "path")]
+    index = urlrules.RuleIndex(rules, (), {"casino": 5, "cheap": 9})
+    import re
+
+    words = ["casino", "edu", "a.EXE", "cheap-pills", "cheap", "ads/12", "xxx", "?ref=spam", "&ref=spammy", "news", ".zip", "com", "#x"]
+    for _ in range(3000):
+        url = "".join(rng.choice(words) + rng.choice(["/", ".", "-", "", "?", "://"]) for _ in range(rng.randint(0, 6)))
+        host, path = urlrules.split_url(url)
+        parts = {"host": host, "path": path.lower(), "url": url.lower()}
+        verdicts = {p.verdict for p in rules if re.search(p.expr, parts[p.part])}
+        assert index.judge(url) == (host, path, None, "block" if verdicts == {"block"} else "allow")
+    assert index.judge("https://news.example.org/read?next=http://casino.com/")[3] == "allow"
+
+
 def test_layout():
     """The tables at 85 per cent, and the bounds at others."""
     assert neardup.layout(85) == neardup.Layout(2, 8, 16)

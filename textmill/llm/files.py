@@ -23,3 +23,9 @@ def open_input(address: str):
     """A random-access stream of a file."""
     system, path = fs.FileSystem.from_uri(address)
     return system.open_input_file(path)
+
+
+def open_stream(address: str, ahead: int):
+    """A stream of a file from its beginning, `ahead` bytes at a time."""
+    system, path = fs.FileSystem.from_uri(address)
+    return system.open_input_stream(path, compression=None, buffer_size=ahead)

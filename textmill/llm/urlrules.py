@@ -1,44 +1,108 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
-Every rule is a regular expression with literal tokens (runs of letters and digits) that any matching url must contain.
-The corpus counts of these tokens choose each rule's rarest; a url's own tokens fetch the rules filed under them, and
-only those run their expression. Rules without a literal token are filed apart and always run.
+A rule is a regular expression over a url's host, its path or the whole url (A-Z lower-cased). Its literal tokens, whole runs
+of letters and digits that any matching url must have, are read off the expression. The corpus counts of these tokens choose
+each rule's rarest; a url's own tokens fetch the rules filed under them, and only those run their expression. Rules
+without a literal token are filed apart and always run.
 
 Host rules (host, path, verdict) are filed the same way under a host token. A host rule fits its host and all its
 subdomains if the path starts with the rule's path; the longest fitting rule wins and outweighs the pattern rules.
 Among pattern rules allow outweighs block; a url that none fits is allowed.
 
-The rules are parameters; up to MAX_RULES travel with the tasks, more are refused, since such lists belong into a table
-that is joined by host.
+The rules are parameters (`read_patterns` takes them from a table); up to MAX_RULES are broadcast once, and a worker makes one
+index of them, whose expressions are compiled when they are first fetched. More rules are refused, since such lists belong into a
+table that is joined by host.
 
 Defined results: a null url or one without `://` has an empty host and path, fits no host rule and is allowed unless a
-pattern blocks it; repeated rows are judged alike; other columns are ignored; an empty table gives an empty result.
+pattern over whole urls blocks it; repeated rows are judged alike; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from re import _constants as _ops  # the parsed form of an expression
+from re import _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.llm.common import shared
+
 MAX_RULES = 200_000
 _TOKEN = re.compile(r"[a-z0-9]+")
 _HOST = re.compile(r"://([^/?#]*)([^?#]*)")
 _UPPER = {c: c + 32 for c in range(65, 91)}
 
 
+def _alnum(item: tuple) -> bool | None:
+    """Whether an item of a set is letters and digits only (True), none of them (False), or neither is sure."""
+    op, value = item
+    if op is _ops.LITERAL:
+        return bool(_TOKEN.fullmatch(chr(value)))
+    if op is _ops.RANGE and value in ((97, 122), (48, 57)):
+        return True
+    return None
+
+
+def literal_tokens(expr: str) -> tuple[str, ...]:
+    """The runs of a-z and 0-9 that stand as whole tokens in every text that expr matches.
+
+    A run counts if both its ends are sure: a literal that is neither letter nor digit, an end of the text, or a look-around that
+    forbids letters and digits. Whatever may be absent or vary (repeats, branches, groups, sets) ends a run without being sure.
+    """
+    found, run, sure = [], "", False
+
+    def end(by: bool) -> None:
+        nonlocal run, sure
+        if run and sure and by:
+            found.append(run)
+        run, sure = "", by
+
+    for op, value in _parser.parse(expr):
+        if op is _ops.LITERAL:
+            if _TOKEN.fullmatch(chr(value)):
+                run += chr(value)
+            else:
+                end(not chr(value).isupper())  # texts have no upper case A-Z
+        elif op is _ops.AT:
+            end(value in (_ops.AT_BEGINNING_STRING, _ops.AT_END_STRING))
+        elif op is _ops.ASSERT_NOT and [x[0] for x in value[1]] == [_ops.IN] and {(97, 122), (48, 57)} <= {x[1] for x in value[1][0][1] if _alnum(x)}:
+            if value[0] < 0 and run:
+                end(False)
+            end(True) if value[0] < 0 or run else None
+            sure = value[0] < 0  # what follows a look-ahead is not bounded by it
+        elif op is _ops.IN and all(_alnum(x) is False for x in value):
+            end(True)
+        else:
+            end(False)
+    end(False)
+    return tuple(dict.fromkeys(found))
+
+
 @dataclass(frozen=True)
 class Pattern:
-    """verdict for urls that expr matches (url with A-Z lower-cased); each of tokens is a whole token of any such url."""
+    """verdict for urls whose part (host, path or url; A-Z lower-cased) expr is found in."""
 
     expr: str
     verdict: str = "block"
-    tokens: tuple[str, ...] = ()
+    part: str = "url"
+
+    @property
+    def tokens(self) -> tuple[str, ...]:
+        return literal_tokens(self.expr)
+
+
+def read_patterns(table: DataFrame) -> tuple[Pattern, ...]:
+    """The rules of a table (expr, verdict, part); at most MAX_RULES."""
+    rows = table.select("expr", "verdict", "part").limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    return tuple(Pattern(*r) for r in rows)
 
 
 @dataclass(frozen=True)
@@ -52,13 +116,12 @@ class HostRule:
         return self.host + self.path
 
 
-#: Patterns for spam, adult and gambling hosts, and for trackers and downloads that hold no text.
+#: Words of spam, adult and gambling hosts, and ends of paths that hold no text.
+HOST_WORDS = ("casino", "porn", "xxx", "viagra", "poker", "betting", "escort", "cheap-pills", "free-bets", "free-money")
+PATH_ENDS = (".exe", ".zip", ".iso", ".apk")
 DEFAULT_PATTERNS = (
-    *(Pattern(rf"://[^/?#]*(?<![a-z0-9]){w}(?![a-z0-9])", "block", (w,)) for w in ("casino", "porn", "xxx", "viagra", "poker", "betting", "escort")),
-    Pattern(r"://[^/?#]*(?<![a-z0-9])cheap-pills(?![a-z0-9])", "block", ("cheap", "pills")),
-    Pattern(r"://[^/?#]*(?<![a-z0-9])free-bets(?![a-z0-9])", "block", ("free", "bets")),
-    Pattern(r"://[^/?#]*(?<![a-z0-9])free-money(?![a-z0-9])", "block", ("free", "money")),
-    *(Pattern(rf"://[^?#]*\.{x}(?:[?#]|$)", "block", (x,)) for x in ("exe", "zip", "iso", "apk")),
+    *(Pattern(rf"(?<![a-z0-9]){re.escape(w)}(?![a-z0-9])", "block", "host") for w in HOST_WORDS),
+    *(Pattern(rf"{re.escape(x)}\Z", "block", "path") for x in PATH_ENDS),
 )
 QUERY_HOST_RULES = (HostRule("net", "/", "block"), HostRule("example.net", "/en/", "allow"), HostRule("example.com", "/de/", "block"), HostRule("org", "/fr/", "allow"))
 
@@ -78,13 +141,14 @@ class RuleIndex:
     """Rules by their rarest token. counts: how often each token occurs in the urls."""
 
     def __init__(self, patterns: Iterable[Pattern], hosts: Iterable[HostRule], counts: dict[str, int]):
-        self.filed: dict[str, list[tuple[re.Pattern[str], str]]] = {}
-        self.always: list[tuple[re.Pattern[str], str]] = []
+        self.filed: dict[str, list[Pattern]] = {}
+        self.always: list[Pattern] = []
         self.hosts: dict[str, list[HostRule]] = {}
         rarest = lambda words: min(words, key=lambda w: (counts.get(w, 0), w))
         for p in patterns:
-            entry = (re.compile(p.expr), p.verdict)
-            (self.filed.setdefault(rarest(p.tokens), []) if p.tokens else self.always).append(entry)
+            known = p.tokens
+            (self.filed.setdefault(rarest(known), []) if known else self.always).append(p)
+        self.compiled: dict[str, re.Pattern[str]] = {}
         for h in hosts:
             words = _TOKEN.findall(h.host)
             self.hosts.setdefault(rarest(words) if words else "", []).append(h)
@@ -102,11 +166,16 @@ class RuleIndex:
                         best = h
         if best:
             return host, path, best.name, best.verdict
-        folded = url.translate(_UPPER) if url else ""
-        verdicts = {verdict for token in found for expr, verdict in self.filed.get(token, ()) if expr.search(folded)}
-        verdicts |= {verdict for expr, verdict in self.always if expr.search(folded)}
+        parts = {"host": host, "path": path.translate(_UPPER), "url": url.translate(_UPPER) if url else ""}
+        rules = (*(p for token in found for p in self.filed.get(token, ())), *self.always)
+        verdicts = {p.verdict for p in rules if self._compiled(p.expr).search(parts[p.part])}
         return host, path, None, "block" if verdicts == {"block"} else "allow"
 
+    def _compiled(self, expr: str) -> re.Pattern[str]:
+        if (found := self.compiled.get(expr)) is None:
+            found = self.compiled[expr] = re.compile(expr)
+        return found
+
 
 def token_counts(pages: DataFrame, wanted: set[str], url: str = "url") -> dict[str, int]:
     """How many urls hold each of the wanted tokens."""
@@ -130,10 +199,10 @@ def judge_urls(pages: DataFrame, patterns: Iterable[Pattern] = DEFAULT_PATTERNS,
         raise ValueError(f"more than {MAX_RULES} rules")
     wanted = {t for p in patterns for t in p.tokens} | {t for h in hosts for t in _TOKEN.findall(h.host)}
     pages = pages.select(pages[key].alias("key"), pages[url].alias("url"))
-    counts = token_counts(pages, wanted)
+    rules, name = pages.sparkSession.sparkContext.broadcast((patterns, hosts, token_counts(pages, wanted))), uuid.uuid4().hex
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = RuleIndex(patterns, hosts, counts)
+        index = shared(("urls", name), lambda: RuleIndex(*rules.value))
         for batch in batches:
             cols = list(zip(*map(index.judge, batch.column(1).to_pylist()), strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.string()) for c in cols)], ["key", "host", "path", "rule", "verdict"])
@@ -146,9 +215,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), hosts=QUERY_HOST_RULES)
 
 
-_BLOCK = "|".join(p.expr.replace("(?<![a-z0-9])", "(?:^|[^a-z0-9])").replace("(?![a-z0-9])", "(?:[^a-z0-9]|$)").replace("://[^/?#]*(?:^|[^a-z0-9])", "://(?:[^/?#]*[^a-z0-9/?#])?") for p in DEFAULT_PATTERNS)
 ORACLE_SQL = {
-    "op3_url_filter": rf"""
+    "op3_url_filter": r"""
         WITH p AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN regexp_extract(url, '://([^/?#]*)([^?#]*)', 1) ELSE '' END AS raw_host,
                    CASE WHEN contains(url, '://') THEN regexp_extract(url, '://([^/?#]*)([^?#]*)', 2) ELSE '' END AS path FROM pages),
         h AS (SELECT page_id, url, path, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM p),
@@ -158,6 +226,7 @@ ORACLE_SQL = {
                              WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule FROM h)
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-                    WHEN regexp_matches(translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_BLOCK}') THEN 'block' ELSE 'allow' END AS verdict
+                    WHEN regexp_matches(host, '(?:^|[^a-z0-9])(?:casino|porn|xxx|viagra|poker|betting|escort|cheap-pills|free-bets|free-money)(?:[^a-z0-9]|$)') THEN 'block'
+                    WHEN regexp_matches(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '\.(?:exe|zip|iso|apk)$') THEN 'block' ELSE 'allow' END AS verdict
         FROM r"""
 }
