@@ -169,20 +169,35 @@ class ByteBPE:
         self.split = splitter(pattern)
         self._pieces, self._chunks = Cache(CACHE_ENTRIES // 4), Cache()
 
-    def _chunks_of(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
-        """The ids of each text, split by the pattern."""
-        parts = {c: [c] if c[1:].isalpha() and (c[0] == " " or c[0].isalpha()) else self.split(c) for c in chunks}
-        new = self._pieces.missing({x for p in parts.values() for x in p})
-        get = self._pieces.lookup(dict(zip(new, merge_all([x.encode() for x in new], self.ranks), strict=True)))
-        return {c: tuple(chain.from_iterable(map(get, p))) for c, p in parts.items()}
+    def _ids(self, chunks: list[str], firsts: set[str]) -> tuple[dict[str, tuple[int, ...]], dict[str, tuple[int, ...]]]:
+        """The ids of chunks with a space before them, and of first chunks, split by the pattern.
+
+        A chunk of letters is one pre-token; such pre-tokens of other chunks are kept among the chunks, all others apart.
+        """
+        split = self.split
+        words = {c for c in chunks if c.isalpha()}
+        parts = {c: split(f" {c}") for c in chunks if c not in words}
+        first = {c: split(c) for c in firsts}
+        pieces = {x for p in (*parts.values(), *first.values()) for x in p}
+        inner = {x[1:] for x in pieces if x[0] == " " and x[1:].isalpha()}
+        new = [*words, *self._chunks.missing(inner - words, turn=False)]
+        other = self._pieces.missing({x for x in pieces if x[1:] not in inner or x[0] != " "})
+        ids = merge_all([*(f" {c}".encode() for c in new), *(x.encode() for x in other)], self.ranks)
+        got = dict(zip(new, map(tuple, ids), strict=False))
+        get = self._pieces.lookup(dict(zip(other, ids[len(new) :], strict=True)))
+        young = self._chunks.young
+        known = {x: (got[x] if x in got else young[x]) for x in inner}
+        join = lambda p: tuple(chain.from_iterable([known[x[1:]] if x[0] == " " and x[1:] in known else get(x) for x in p]))
+        got |= {c: join(p) for c, p in parts.items()}
+        return got, {c: join(p) for c, p in first.items()}
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of each text."""
         parts = [word_chunks(x) if x else [""] for x in texts]
         new = self._chunks.missing({c for p in parts for c in p[1:]})
-        got = self._chunks_of([*(f" {c}" for c in new), *{p[0] for p in parts if p[0]}])
-        get = self._chunks.lookup({c: got[f" {c}"] for c in new})
-        return [[*(got[p[0]] if p[0] else ()), *chain.from_iterable(map(get, p[1:]))] for p in parts]
+        got, firsts = self._ids(new, {p[0] for p in parts if p[0]})
+        get = self._chunks.lookup(got)
+        return [[*(firsts[p[0]] if p[0] else ()), *chain.from_iterable(map(get, p[1:]))] for p in parts]
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_all([text])[0]
