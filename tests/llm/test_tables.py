@@ -294,6 +294,65 @@ def test_pipeline(spark, tmp_path):
     assert C.run(spark, SF).count() == len(texts)
 
 
+@pytest.fixture(scope="module")
+def strange(spark):
+    """Rows without an id, two texts on one id, no letters, a column whose name needs quotes; texts long enough to repeat."""
+    rng = random.Random(21)
+    prose = lambda n: " ".join("".join(rng.choices("aeioubcdst", k=rng.randint(2, 8))) for _ in range(n))
+    a, b, c = prose(120), prose(121), prose(122)
+    rows = [(None, None), (None, a), (None, b), (42, a), (7, c), (7, prose(90)), (8, f"{prose(30)} {c}"), (9, "\u00bd\u00b2"), (10, "\u2167 \u2460"), (7, c), (None, "")]
+    return spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, `my col` int, row string").repartition(3)
+
+
+def test_repeats_of_strange_rows(strange):
+    texts = texts_of(strange)
+    want = sorted((w[1:] for w in repeat_brute([(k, t) for k, (_, t) in enumerate(texts)])))
+    assert sorted(tuple(r)[1:] for r in suffixdedup.removal_digests(strange).collect()) == want
+    out = suffixdedup.remove_repeats(strange)
+    assert out.columns == strange.columns and sorted(r["my col"] for r in out.collect()) == list(range(11))
+
+
+def test_near_duplicates_of_strange_rows(strange):
+    got = sorted((tuple(r) for r in neardup.near_duplicates(strange).collect()), key=str)
+    by = {(r[0], r[1]): (r[2], r[3]) for r in got}
+    n = {k: len({tuple(w[i : i + 5]) for i in range(len(w) - 4)}) for k, t in ((r["my col"], r["text"]) for r in strange.collect()) for w in [(t or "").split()]}
+    assert all(r[3] is not None for r in got) and len(got) == 11
+    assert by[None, n[1]] == (42, False) and by[42, n[1]] == (42, True)
+    assert by[None, n[2]] == (None, True) and by[None, 0] == (None, True)
+    assert by[7, n[4]] == (7, True) and by[7, n[5]] == (7, True)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 500])
+def test_decontamination_of_strange_rows(spark, strange, block_bytes):
+    """By row, whatever the ids and the number of blocks."""
+    texts = {r["my col"]: r["text"] for r in strange.collect()}
+    items = [("p", texts[2]), ("q", texts[5]), ("r", "some words that nobody has " * 30), ("p", texts[2])]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    clean = decontam.keep_clean(strange, bench, block_bytes=block_bytes)
+    assert clean.columns == strange.columns and sorted(r["my col"] for r in clean.collect()) == [0, 1, 3, 4, 6, 7, 8, 9, 10]
+    hits = [r.n_hit for r in decontam.report(strange, bench, block_bytes=block_bytes).collect()]
+    assert len(hits) == 11 and sorted(h for h in hits if h) == [90, 121]
+
+
+def test_other_operators_on_strange_rows(spark, strange):
+    model = langcode.train(strange.withColumn("lang", F.lit("en")))
+    got = {(r.doc_id, r.lang_pred) for r in langcode.identify(strange, model).collect()}
+    assert {(9, "und"), (10, "und"), (42, "en"), (None, "en"), (None, "und")} <= got
+    assert bpe.round_trip_digests(strange, RANKS, P.PATTERN).count() == quality.judge(strange).count() == unigram.token_counts(strange, RANKS, P.PATTERN).count() == 11
+    kept = quality.keep_good(strange)
+    assert kept.columns == strange.columns and kept.count() == 7
+    assert packed.read_ids(spark, packed.write_ids(strange, P.path("byte_bpe_50k.json"), 2, Scratch(spark))).count() == 11
+
+
+def test_repeats_in_long_texts(spark):
+    """A text over several segments, one letter again and again, and a short pattern."""
+    rng = random.Random(22)
+    long = "".join(rng.choices("abcdefgh ", k=700_000))
+    rows = [(1, long), (2, "y" * 300_000), (3, "xyz" * 50_000), (4, long[400_000:400_500] + "!" + long[249_800:250_300])]
+    got = {r.doc_id: tuple(r)[1:4] for r in suffixdedup.removal_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (700_000, 1000, 2), 2: (300_000, 300_000, 1), 3: (150_000, 150_000, 1), 4: (1001, 1000, 2)}
+
+
 def test_copies_in_sql(spark):
     """Groups of equal texts by SQL are within components."""
     rows = neardup.near_duplicates(spark.read.parquet(f"{SF}/documents.parquet")).toPandas()  # noqa: F841
