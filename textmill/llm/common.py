@@ -198,6 +198,23 @@ class Cache:
                 young[key] = value
         return out
 
+    def resolve(self, lists: list[list[str]], make: Callable[[list[str]], dict]) -> list[list]:
+        """The values of all keys but the first of each list, whose place is left to the caller.
+
+        make gives the values of keys that are not held. Long keys are not kept.
+        """
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        young = self.young
+        found = [list(map(young.get, keys)) for keys in lists]
+        gaps = [[i for i, value in enumerate(values) if value is None and i] for values in found]
+        new = make(self.missing({keys[i] for keys, at in zip(lists, gaps, strict=True) for i in at}, turn=False))
+        young.update((k, v) for k, v in new.items() if len(k) <= LONGEST_CACHED)
+        for keys, values, at in zip(lists, found, gaps, strict=True):
+            for i in at:
+                values[i] = new[key] if (key := keys[i]) in new else young[key]
+        return found
+
     def lookup(self, new: dict):
         """A getter for all keys last asked for, after new has the missing ones; long keys are not kept."""
         if any(len(k) > LONGEST_CACHED for k in new):

@@ -15,6 +15,7 @@ Defined results of the table operator: null and empty texts have only the end id
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import struct
@@ -32,6 +33,8 @@ from textmill.llm.files import open_input, open_output
 _MARKS = ".,;:!?"
 #: Letters that every version of Unicode has, and one mark.
 _WORD_AND_MARK = re.compile(f"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[{_MARKS}]")
+#: A space byte as the vocabulary writes it.
+_SPACE = "\u0120"
 MAGIC = b"TMS8B001"
 BLOCK = 4096
 #: Word chunks whose ids a worker keeps.
@@ -181,44 +184,52 @@ class CachedTokenizer:
 
     def __init__(self, path: str, ordinary: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, processors
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)  # the ids stay; offsets cover every character
         self.tokenizer.encode_special_tokens = ordinary
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
         self.chunks = Cache(CACHED_CHUNKS)
         self.marks = dict(zip(_MARKS, self._bytes(list(_MARKS)), strict=True))
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk with a space before it. Many are encoded as one text, since no token reaches over the
-        start of a chunk; a token's offset then says whose it is."""
+        """The ids of each chunk with a space before it. Many without a space inside are encoded as one text, since no token
+        reaches over the start of a chunk; a token that begins with a space then begins a chunk."""
         out: list[bytes] = []
         for at in range(0, len(chunks), 4096):
             part = chunks[at : at + 4096]
-            got = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            starts = np.cumsum([0, *(len(c) + 1 for c in part)])
-            edges = np.searchsorted([a for a, _ in got.offsets], starts).tolist()
-            data = np.array(got.ids, "<u4").tobytes()
-            out += [data[4 * a : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
+            joined = " " + " ".join(part)
+            if joined.count(" ") == len(part):
+                data = self._bytes([joined])[0]
+                edges = [*np.flatnonzero(self.opens[np.frombuffer(data, "<u4")]).tolist(), len(data) // 4]
+                if len(edges) == len(part) + 1:
+                    out += [data[4 * a : 4 * b] for a, b in itertools.pairwise(edges)]
+                    continue
+            out += self._bytes([f" {c}" for c in part])
         return out
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text."""
-        parts = [word_chunks(x) if x else [""] for x in texts]
-        wanted = {c for p in parts for c in p[1:]}
-        new = self.chunks.missing(wanted)
-        ending = {c: c[:-1] for c in new if _WORD_AND_MARK.fullmatch(c)}  # two pre-tokens: the word's ids are shared
-        plain = [c for c in new if c not in ending]
+    def _new(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks that are not in the cache."""
+        ending = {c: c[:-1] for c in chunks if c[-1:] in self.marks and _WORD_AND_MARK.fullmatch(c)}  # two pre-tokens: the word's ids are shared
+        plain = [c for c in chunks if c not in ending]
         plain += self.chunks.missing(set(ending.values()).difference(plain), turn=False)
+        plain.sort(key=lambda c: " " in c)  # those with spaces are last, so that few are encoded alone
         got = dict(zip(plain, self._chunks(plain), strict=True))
         words = self.chunks.young
-        got |= {c: (got[w] if w in got else words[w]) + self.marks[c[-1]] for c, w in ending.items()}
-        get = self.chunks.lookup(got)
-        firsts = self._bytes([p[0] for p in parts])
-        return [np.frombuffer(b"".join([first, *map(get, p[1:])]), "<u4") for first, p in zip(firsts, parts, strict=True)]
+        return got | {c: (got[w] if w in got else words[w]) + self.marks[c[-1]] for c, w in ending.items()}
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        parts = [word_chunks(x) if x else [""] for x in texts]
+        found = self.chunks.resolve(parts, self._new)
+        for ids, first in zip(found, self._bytes([p[0] for p in parts]), strict=True):
+            ids[0] = first
+        return [np.frombuffer(b"".join(ids), "<u4") for ids in found]
 
 
 def shared_tokenizer(path: str, ordinary: bool) -> CachedTokenizer:
