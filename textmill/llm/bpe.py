@@ -19,6 +19,7 @@ import itertools
 from collections.abc import Callable
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +31,8 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 #: Bytes of pre-tokens that share a queue, unless one alone is longer.
 BATCH = 1 << 15
-_BYTES = [bytes([b]) for b in range(256)]
+#: Marks that the public splitters part from letters before them, whatever follows.
+_MARKS = frozenset(".,;:!?")
 ARROW = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
 
 
@@ -47,9 +49,9 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return regex.compile(pattern.replace(r"[^\s", f"[^{_WHITE}").replace(r"\s", f"[{_WHITE}]").replace(r"\S", f"[^{_WHITE}]")).findall
 
 
-def merge_all(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
-    """The ids of each pre-token; pre-tokens share a queue up to about BATCH bytes."""
-    get = ranks.get
+def merge_all(pieces: list[bytes], ranks: dict[bytes, int], byte_ranks: tuple[list[int | None], list[int | None]] | None = None) -> list[list[int]]:
+    """The ids of each pre-token; pre-tokens share a queue up to about BATCH bytes. byte_ranks: byte_tables of the ranks."""
+    get, byte_ranks = ranks.get, byte_ranks or byte_tables(ranks)
     out: list[list[int]] = [[]] * len(pieces)
     held: list[int] = []
     size = 0
@@ -60,10 +62,10 @@ def merge_all(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
         held.append(k)
         size += len(piece)
         if size >= BATCH:
-            for i, ids in zip(held, _merge([pieces[i] for i in held], ranks), strict=True):
+            for i, ids in zip(held, _merge([pieces[i] for i in held], ranks, byte_ranks), strict=True):
                 out[i] = ids
             held, size = [], 0
-    for i, ids in zip(held, _merge([pieces[i] for i in held], ranks), strict=True):
+    for i, ids in zip(held, _merge([pieces[i] for i in held], ranks, byte_ranks), strict=True):
         out[i] = ids
     return out
 
@@ -73,7 +75,12 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return merge_all([piece], ranks)[0]
 
 
-def _merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
+def byte_tables(ranks: dict[bytes, int]) -> tuple[list[int | None], list[int | None]]:
+    """The rank of each byte, and of each two bytes by their number as 16 bits."""
+    return [ranks.get(bytes([b])) for b in range(256)], [ranks.get(n.to_bytes(2)) for n in range(1 << 16)]
+
+
+def _merge(pieces: list[bytes], ranks: dict[bytes, int], byte_ranks: tuple[list[int | None], list[int | None]]) -> list[list[int]]:
     """The ids of each pre-token, all merged by one queue.
 
     A part is named by the place of its first byte in the joined pre-tokens; after and before are the linked list, before is -1
@@ -86,8 +93,10 @@ def _merge(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
     after, before = list(range(1, n + 1)), list(range(-1, n))
     for i in starts:
         before[i] = -1
-    token = list(map(ranks.get, map(_BYTES.__getitem__, data)))  # the id of the part at a place
-    pair = list(map(get, map(bytes, zip(data, data[1:]))))  # the rank of the part there and the next one
+    single, double = byte_ranks
+    token = list(map(single.__getitem__, data))  # the id of the part at a place
+    values = np.frombuffer(data, np.uint8).astype(np.int64)
+    pair = list(map(double.__getitem__, (values[:-1] << 8 | values[1:]).tolist()))  # the rank of the part there and the next one
     pair.append(None)
     for i in starts[1:]:
         pair[i - 1] = None
@@ -161,7 +170,7 @@ class ByteBPE:
     """Encoder and decoder for one file of ranks and one split pattern."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+        self.ranks, self.byte_ranks = ranks, byte_tables(ranks)
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, i in ranks.items():
             self.tokens[i] = token
@@ -169,35 +178,45 @@ class ByteBPE:
         self.split = splitter(pattern)
         self._pieces, self._chunks = Cache(CACHE_ENTRIES // 4), Cache()
 
-    def _ids(self, chunks: list[str], firsts: set[str]) -> tuple[dict[str, tuple[int, ...]], dict[str, tuple[int, ...]]]:
-        """The ids of chunks with a space before them, and of first chunks, split by the pattern.
+    def _ids(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of chunks with a space before them that are not in the cache.
 
-        A chunk of letters is one pre-token; such pre-tokens of other chunks are kept among the chunks, all others apart.
+        A chunk of letters is one pre-token, and one mark after letters is another; pre-tokens of a space and letters are
+        kept among the chunks, all others apart.
         """
-        split = self.split
         words = {c for c in chunks if c.isalpha()}
-        parts = {c: split(f" {c}") for c in chunks if c not in words}
-        first = {c: split(c) for c in firsts}
-        pieces = {x for p in (*parts.values(), *first.values()) for x in p}
+        ending = {c: c[:-1] for c in chunks if c[-1:] in _MARKS and c[:-1].isalpha()}
+        rest = [c for c in chunks if c not in words and c not in ending]
+        parts = [self.split(f" {c}") for c in rest]
+        pieces = {x for p in parts for x in p}
         inner = {x[1:] for x in pieces if x[0] == " " and x[1:].isalpha()}
-        new = [*words, *self._chunks.missing(inner - words, turn=False)]
-        other = self._pieces.missing({x for x in pieces if x[1:] not in inner or x[0] != " "})
-        ids = merge_all([*(f" {c}".encode() for c in new), *(x.encode() for x in other)], self.ranks)
-        got = dict(zip(new, map(tuple, ids), strict=False))
-        get = self._pieces.lookup(dict(zip(other, ids[len(new) :], strict=True)))
+        new = [*words, *self._chunks.missing((inner | set(ending.values())) - words, turn=False)]
+        ids = merge_all([f" {c}".encode() for c in new], self.ranks, self.byte_ranks)
+        got = dict(zip(new, map(tuple, ids), strict=True))
         young = self._chunks.young
-        known = {x: (got[x] if x in got else young[x]) for x in inner}
-        join = lambda p: tuple(chain.from_iterable([known[x[1:]] if x[0] == " " and x[1:] in known else get(x) for x in p]))
-        got |= {c: join(p) for c, p in parts.items()}
-        return got, {c: join(p) for c, p in first.items()}
+        known = {f" {x}": (got[x] if x in got else young[x]) for x in inner}
+        known |= self._known(pieces.difference(known))
+        marks = self._known({c[-1] for c in ending})
+        got |= {c: (got[w] if w in got else young[w]) + marks[c[-1]] for c, w in ending.items()}
+        got |= {c: tuple(chain.from_iterable(map(known.__getitem__, p))) for c, p in zip(rest, parts, strict=True)}
+        return got
+
+    def _known(self, pieces: set[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of pre-tokens, which are kept apart from the chunks."""
+        new = self._pieces.missing(pieces)
+        ids = merge_all([x.encode() for x in new], self.ranks, self.byte_ranks)
+        get = self._pieces.lookup(dict(zip(new, map(tuple, ids), strict=True)))
+        return {x: get(x) for x in pieces}
 
     def encode_all(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of each text."""
         parts = [word_chunks(x) if x else [""] for x in texts]
-        new = self._chunks.missing({c for p in parts for c in p[1:]})
-        got, firsts = self._ids(new, {p[0] for p in parts if p[0]})
-        get = self._chunks.lookup(got)
-        return [[*(firsts[p[0]] if p[0] else ()), *chain.from_iterable(map(get, p[1:]))] for p in parts]
+        found = self._chunks.resolve(parts, self._ids)
+        firsts = {p[0]: self.split(p[0]) for p in parts}
+        known = self._known({x for p in firsts.values() for x in p})
+        for ids, p in zip(found, parts, strict=True):
+            ids[0] = tuple(chain.from_iterable(map(known.__getitem__, firsts[p[0]])))
+        return [list(chain.from_iterable(ids)) for ids in found]
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_all([text])[0]
