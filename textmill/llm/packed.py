@@ -68,19 +68,19 @@ def pack(ids: np.ndarray, escapes: list[int]) -> tuple[np.ndarray, np.ndarray]:
             run += step
         if run >= count:
             np.copyto(choice[:, : fits.shape[1]], np.int8(s), where=fits)
-    ends = np.minimum(BLOCK, n - np.arange(blocks, dtype=np.int64) * BLOCK)
-    at, live, steps = np.zeros(blocks, np.int64), np.arange(blocks), []
-    while len(live):
-        picked = choice[live, at[live]]
-        steps.append((live, at[live], picked))
-        at[live] += _COUNT[picked]
-        live = live[at[live] < ends[live]]
-    if not steps:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    block, start, chosen = (np.concatenate([x[k] for x in steps]) for k in range(3))
-    order = np.argsort(block * BLOCK + start, kind="stable")
-    block, start, chosen = block[order], start[order], chosen[order].astype(np.int64)
-    words, flat, place = chosen.astype(np.uint64) << np.uint64(60), table.ravel(), block * BLOCK + start
+    flat, picks = table.ravel(), choice.ravel()
+    begins = np.zeros(len(picks), bool)  # places where a word begins
+    at = np.arange(blocks, dtype=np.int64) * BLOCK
+    ends = np.minimum(at + BLOCK, n)
+    while len(at):
+        begins[at] = True
+        at = at + _COUNT[picks[at]]
+        live = at < ends
+        if not live.all():
+            at, ends = at[live], ends[live]
+    place = np.flatnonzero(begins)
+    chosen = picks[place].astype(np.int64)
+    words = chosen.astype(np.uint64) << np.uint64(60)
     for s in range(1, ESCAPE):
         mine = np.flatnonzero(chosen == s)
         count, bits = SELECTORS[s]
@@ -89,14 +89,14 @@ def pack(ids: np.ndarray, escapes: list[int]) -> tuple[np.ndarray, np.ndarray]:
     for i in np.flatnonzero(chosen == ESCAPE).tolist():
         words[i] |= np.uint64(len(escapes))
         escapes.append(int(flat[place[i]]))
-    return words, np.searchsorted(block, np.arange(blocks))
+    return words, np.searchsorted(place, np.arange(blocks) * BLOCK)
 
 
 def unpack(words: np.ndarray, first: np.ndarray, n: int, escapes: np.ndarray) -> np.ndarray:
     """The n ids of whole blocks that begin at the words in first."""
     chosen = (words >> np.uint64(60)).astype(np.int64)
     counts = _COUNT[chosen]
-    block = np.searchsorted(first, np.arange(len(words)), side="right") - 1
+    block = np.repeat(np.arange(len(first)), np.diff(first, append=len(words)))
     before = np.cumsum(counts) - counts
     place = block * BLOCK + before - before[first[block]] if len(words) else before
     out = np.zeros(len(first) * BLOCK, np.uint64)
@@ -223,12 +223,13 @@ class CachedTokenizer:
         words = self.chunks.young
         return got | {c: (got[w] if w in got else words[w]) + self.marks[c[-1]] for c, w in ending.items()}
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text."""
+    def encode(self, texts: list[str | None], end: tuple[int, ...] = ()) -> list[np.ndarray]:
+        """The ids of each text, then those of end."""
         parts = [word_chunks(x) if x else [""] for x in texts]
-        found = self.chunks.resolve(parts, self._new)
+        found, last = self.chunks.resolve(parts, self._new), np.array(end, "<u4").tobytes()
         for ids, first in zip(found, self._bytes([p[0] for p in parts]), strict=True):
             ids[0] = first
+            ids.append(last)
         return [np.frombuffer(b"".join(ids), "<u4") for ids in found]
 
 
@@ -249,8 +250,8 @@ def write_ids(df: DataFrame, tokenizer: str, end_id: int, scratch: Scratch, ordi
         with uncollected():
             for batch in text_slices(batches):
                 writer = writer or Writer(folder, f"part-{part:06d}")
-                for k, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
-                    writer.add(k, np.append(ids, np.uint32(end_id)))
+                for k, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist(), (end_id,)), strict=True):
+                    writer.add(k, ids)
         if writer:
             address, docs, ids = writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [address], "n_docs": [docs], "n_ids": [ids]})
