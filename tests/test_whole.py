@@ -15,7 +15,7 @@ def test_whole_pages_are_quoted(spark, tmp_path):
     pages = [far, far + '"', far + "'", far + "\"'", far + "<&>\n\r\t", '"' + far + "'" + far + "&", "short", ""]
     rows = list(enumerate(pages))
     spark.createDataFrame([*rows, (99, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
-    got = {r.page_id: r.quoted for r in entry.queries()["xml_quote_whole"](spark, str(tmp_path)).collect()}
+    got = {r.page_id: r.quoted for r in entry.queries()["xml_quote"](spark, str(tmp_path)).collect()}
     assert got == {i: X.quoteattr(h, XML) if h else h for i, h in [*rows, (99, None)]}
 
 
@@ -25,7 +25,7 @@ def test_whole_texts_are_cleaned(spark, tmp_path):
     texts = [far, far + "\x0b" + far + "\x0c", "\x1c" + far + "\x1d\x1ez", far + "\t\n\r\x1f", "", "\x0b"]
     rows = list(enumerate(texts))
     spark.createDataFrame([*rows, (99, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r.text for r in entry.queries()["xml_tokens_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.text for r in entry.queries()["xml_tokens"](spark, str(tmp_path)).collect()}
     assert got == {i: "abc" + "".join(x for x in t if x not in "\x0b\x0c\x1c\x1d\x1e") + "abc" for i, t in rows} | {99: None}
 
 

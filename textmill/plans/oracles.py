@@ -67,7 +67,7 @@ def quote(c: str) -> str:
     return f"""(CASE WHEN {c} = '' THEN {c} WHEN NOT contains({e}, '"') THEN '"' || {e} || '"' WHEN NOT contains({e}, '''') THEN '''' || {e} || '''' ELSE '"' || replace({e}, '"', '&quot;') || '"' END)"""
 
 
-_TITLE = "replace(substring(text, 1, 40), 'e', '\"')"
+_TITLE = "replace(split_part(text, chr(10), 1), 'e', '\"')"
 
 
 def tag(file_id: str = "'FILE_ID'") -> str:
@@ -151,13 +151,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM (
                 SELECT doc_id, replace(replace(text, 'of ', 'fi1&amp;éw '), chr(10), chr(10) || chr(10)) AS t FROM documents)) WHERE trim(line) <> '' GROUP BY doc_id
             UNION ALL SELECT doc_id, '' FROM documents WHERE trim(replace(text, chr(10), '')) = ''""",
-        "xml_quote": f"SELECT page_id, {quote('substring(html, 1, 400)')} AS quoted FROM pages",
-        "xml_quote_whole": f"SELECT page_id, {quote('html')} AS quoted FROM pages",
+        "xml_quote": f"SELECT page_id, {quote('html')} AS quoted FROM pages",
         "doc_tag": f"SELECT doc_id, {tag(chr(39) + '0' + chr(39))} AS doc_tag FROM documents",
         "parse_tag": f"SELECT doc_id, doc_id::VARCHAR AS id, {_TITLE} AS title, source, 5::BIGINT AS n FROM documents",
         "unique_attrs": "SELECT unnest(['id', 'file_id', 'lang', 'source', 'title']) AS name",
-        "xml_tokens": "SELECT doc_id, 'abc' || substring(text, 1, 100) AS text FROM documents",
-        "xml_tokens_whole": f"SELECT doc_id, 'abc' || {translate('text', T.INVALID_XML, '')} || 'abc' AS text FROM documents",
+        "xml_tokens": f"SELECT doc_id, 'abc' || {translate('text', T.INVALID_XML, '')} || 'abc' AS text FROM documents",
         "comment_attrs": f"SELECT doc_id, ' source=' || {quote('source')} AS attr FROM documents",
         "lempos": "SELECT doc_id, lang || '-' || source || '-n' AS lempos, lang AS lemma, 'n' AS pos FROM documents",
         "semi_join_lang": "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)",

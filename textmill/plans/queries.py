@@ -113,16 +113,12 @@ def normalize_unicode(spark, sf):
 
 
 def xml_quote(spark, sf):
-    return _t(spark, sf, "pages").select("page_id", T.xml_quote(F.substring("html", 1, 400)).alias("quoted"))
-
-
-def xml_quote_whole(spark, sf):
     """Every page quoted from its first character to its last."""
     return _t(spark, sf, "pages").select("page_id", T.xml_quote("html").alias("quoted"))
 
 
 def _tags(spark, sf) -> DataFrame:
-    attrs = F.create_map(F.lit("id"), F.col("doc_id").cast("string"), F.lit("source"), "source", F.lit("lang"), "lang", F.lit("empty"), F.lit(""), F.lit("title"), F.replace(F.substring("text", 1, 40), F.lit("e"), F.lit('"')), F.lit("file_id"), F.lit("FILE_ID"))
+    attrs = F.create_map(F.lit("id"), F.col("doc_id").cast("string"), F.lit("source"), "source", F.lit("lang"), "lang", F.lit("empty"), F.lit(""), F.lit("title"), F.replace(F.substring_index("text", "\n", 1), F.lit("e"), F.lit('"')), F.lit("file_id"), F.lit("FILE_ID"))
     return _docs(spark, sf).select("doc_id", T.start_tag(attrs).alias("doc_tag"))
 
 
@@ -140,10 +136,6 @@ def unique_attrs(spark, sf):
 
 
 def xml_tokens(spark, sf):
-    return _docs(spark, sf).select("doc_id", T.drop_invalid_xml(F.concat(F.lit("a\x0bb\x1dc"), F.substring("text", 1, 100))).alias("text"))
-
-
-def xml_tokens_whole(spark, sf):
     """Every text cleaned from its first character to its last, with the characters put before and after it."""
     added = F.lit("a\x0bb\x1dc")
     return _docs(spark, sf).select("doc_id", T.drop_invalid_xml(F.concat(added, "text", added)).alias("text"))
@@ -536,7 +528,7 @@ def change_windows(spark, sf):
 _NAMES = (
     "xz_round_trip literals params_hash bundle_rows attribute_tags concat_texts change_windows "
     "export_docs semi_join_lang left_join_attr lines lines_clean lid_profile_lines lid_shares lid_l1 lid_multiling lid_filters lid_unsure line_sample file_stats pdf_clean dewrap quotes_dashes "
-    "control_chars collapse html_text normalize_unicode xml_quote xml_quote_whole doc_tag parse_tag unique_attrs xml_tokens xml_tokens_whole comment_attrs lempos batching range_slice ntile_split flatten_events list_join nested_records "
+    "control_chars collapse html_text normalize_unicode xml_quote doc_tag parse_tag unique_attrs xml_tokens comment_attrs lempos batching range_slice ntile_split flatten_events list_join nested_records "
     "field_names year_attr date_range high_watermark upsert_latest upsert_two_keys column_update explode_files download_todo missing_rates tokens freq_word freq_lc freq_lemma_pos corpus_size "
     "conllu_roundtrip conllu_counts mwt_splice doc_refs tag_update docx_wrap sent_lang_join verify_counts read_tagged sentence_lid_vote sentence_routing size_routing subcorpora year_groups "
     "tag_counts_outer tag_mapping tag_diff_pct tag_diff_pairs tag_diff_top tag_diff_sample compare_summary diff_islands diff_errors align_tokens np_phrases np_fill noun_phrases tag_classes token_classes gender_lemmas gender_lemma_rules glue proper_nouns"
