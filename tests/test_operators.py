@@ -162,3 +162,14 @@ def test_phrase_prefixes(spark):
     got = C.phrases(spark.createDataFrame(rows, "sent long, pos int, cls string"), ["sent"]).filter("phrase is not null").orderBy("sent", "pos").collect()
     for k, want in enumerate(cases.values()):
         assert "".join(r.cls for r in got if r.sent == k) == want
+
+
+def test_lines_are_normalised_before_they_are_cleaned(spark):
+    """References, compatibility forms, quotes and spaces fold first, then marks and digits go; plain lines stay."""
+    cases = {
+        "caf&eacute; &amp; bar": "café amp bar", "ｗｉｄｅ ﬁne": "wide fine", "a b c": "a b c", "soft­hyphen": "softhyphen", "one two": "one two",
+        "plain line, 12 words": "plain line words", "SHOUTED LINE": "shouted line", "&#65;BC": "abc", "\x00\x07": "", "": "",
+    }
+    rows = spark.createDataFrame(list(enumerate(cases)), "k long, line string")
+    got = {r.k: r.line for r in rows.select("k", L.tidy_line("line").alias("line")).collect()}
+    assert got == dict(enumerate(cases.values()))

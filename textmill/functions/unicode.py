@@ -39,7 +39,8 @@ def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep
     from textmill.functions import text as T
 
     text = decode_entities(text, not full_decode)
-    text = "".join(" " if unicodedata.category(c) == "Zs" else c for c in text)
+    if not text.isprintable():  # else no space but the common one
+        text = "".join(" " if unicodedata.category(c) == "Zs" else c for c in text)
     out, at = [], 0
     for m in [*_TAG.finditer(text), None]:
         plain = unicodedata.normalize(form, text[at : m.start() if m else len(text)])
@@ -51,7 +52,8 @@ def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep
             out.append(unicodedata.normalize(form.replace("K", ""), m[0]))
             at = m.end()
     text = "".join(out).replace("\t", tab)
-    text = "".join(c for c in text if c in keep or unicodedata.category(c)[0] != "C")
+    if not text.isprintable():  # else no character of a category C
+        text = "".join(c for c in text if c in keep or unicodedata.category(c)[0] != "C")
     parts = [p.strip() for p in re.split("[\u2028\u2029]", text)]
     return "".join(f"{p}\n" for p in parts if p or keep_empty)
 

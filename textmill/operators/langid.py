@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.functions.text import clean_line
+from textmill.functions.unicode import normalize_udf
 
 # Short function words of each language.
 PROFILES = {
@@ -50,6 +51,14 @@ def profile_model(profiles: dict[str, tuple[str, ...]] = PROFILES) -> LineModel:
     return model
 
 
+def tidy_line(line: Column | str) -> Column:
+    """A line normalised by normalize_line, then cleaned. Lines of plain ASCII without & and < skip the first step, which
+    would leave them as they are but for outer spaces."""
+    line = F.col(line) if isinstance(line, str) else line
+    other = line.rlike(r"[^\t -%'-;=-~]")
+    return clean_line(F.coalesce(normalize_udf()(F.when(other, line)), line))
+
+
 def explode_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, line_idx (from 0) and line of each line."""
     return df.select(key, F.posexplode(F.split(text, "\n")).alias("line_idx", "line"))
@@ -57,7 +66,7 @@ def explode_lines(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def identify_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_len: int = 10, model: LineModel | None = None) -> DataFrame:
     """key, line_idx, lang and bytes of each cleaned line that is not blank; lines under min_len characters are `short`."""
-    cleaned = explode_lines(df, key, text).withColumn("line", clean_line("line")).filter("line <> ''")
+    cleaned = explode_lines(df, key, text).withColumn("line", tidy_line("line")).filter("line <> ''")
     lang = F.when(F.char_length("line") < min_len, "short").otherwise((model or profile_model())(F.col("line")))
     return cleaned.select(key, "line_idx", lang.alias("lang"), F.octet_length("line").cast("long").alias("bytes"))
 
@@ -110,7 +119,7 @@ def l1_between(low: float = 0.0, high: float = 1.0) -> Column:
 def sentence_languages(tokens: DataFrame, keys: list[str], pos: str = "pos", word: str = "word", short: int = 4, long: int = 500, languages: tuple[str, ...] = ("en", "fr", "es"), model: LineModel | None = None) -> DataFrame:
     """keys and lang of each sentence of `short` tokens or more; from `long` on by vote of chunks, ties for the first seen."""
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(pos, word))), lambda t: t[word]), " ")
-    sentences = tokens.groupBy(*keys).agg(text.alias("text")).withColumn("words", F.split(clean_line("text"), " "))
+    sentences = tokens.groupBy(*keys).agg(text.alias("text")).withColumn("words", F.split(tidy_line("text"), " "))
     sentences = sentences.filter((F.size("words") >= short) & (F.col("words")[0] != ""))
     chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / long).cast("int")), lambda i: F.slice("words", i * long + 1, F.lit(long)))
     each = sentences.select(*keys, F.posexplode(F.when(F.size("words") < long, F.array("words")).otherwise(chunks)).alias("chunk", "words"))
@@ -122,7 +131,7 @@ def sentence_languages(tokens: DataFrame, keys: list[str], pos: str = "pos", wor
 
 def sample_lines(df: DataFrame, key: str, text: str, size: int, seed: int = 0) -> DataFrame:
     """key and line: `size` distinct cleaned lines of each document, picked by a hash; size 0 or more than there are: all."""
-    cleaned = explode_lines(df, key, text).select(key, "line_idx", clean_line("line").alias("line")).filter("line <> ''")
+    cleaned = explode_lines(df, key, text).select(key, "line_idx", tidy_line("line").alias("line")).filter("line <> ''")
     if not size:
         return cleaned.select(key, "line")
     one = cleaned.groupBy(key, "line").agg(F.count("*").alias("copies"))

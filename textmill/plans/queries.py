@@ -40,7 +40,7 @@ def lines(spark, sf):
 
 
 def lines_clean(spark, sf):
-    return lines(spark, sf).withColumn("line", T.clean_line("line"))
+    return lines(spark, sf).withColumn("line", L.tidy_line("line"))
 
 
 def lid_profile_lines(spark, sf):
