@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import CACHE_ENTRIES, Cache, map_arrow, shared, word_chunks
+from textmill.llm.common import Cache, map_arrow, shared, word_chunks
 
 #: White space as the public splitters mean it; Python's \s has four more characters.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -31,6 +31,8 @@ _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 #: Bytes of pre-tokens that share a queue, unless one alone is longer.
 BATCH = 1 << 15
+#: Word chunks whose ids a worker keeps, and bytes of text that it splits at once.
+CACHED, SLICE = 600_000, 1_000_000
 #: Marks that the public splitters part from letters before them, whatever follows.
 _MARKS = frozenset(".,;:!?")
 ARROW = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
@@ -132,7 +134,7 @@ def _merge(pieces: list[bytes], ranks: dict[bytes, int], byte_ranks: tuple[list[
                 continue
             j = after[i]
             after[i] = end = after[j]
-            token[i], pair[j], lowest = rank, None, rank
+            token[i], pair[j], lowest = pair[i], None, rank  # the table's own number, so that caches hold each once
             if before[end] >= 0:
                 before[end] = i
                 pair[i] = new = get(data[i : after[end]])
@@ -176,7 +178,7 @@ class ByteBPE:
             self.tokens[i] = token
         self.decimals = [str(i) for i in range(len(self.tokens))]
         self.split = splitter(pattern)
-        self._pieces, self._chunks = Cache(CACHE_ENTRIES // 4), Cache()
+        self._pieces, self._chunks = Cache(CACHED // 4), Cache(CACHED)
 
     def _ids(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
         """The ids of chunks with a space before them that are not in the cache.
@@ -244,7 +246,7 @@ def encode_table(df: DataFrame, path: str, pattern: str, finish: Callable[[ByteB
 
         return work
 
-    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, {schema}", text, keeps=True)
+    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, {schema}", text, SLICE, keeps=True)
 
 
 def encode_ids(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
