@@ -16,6 +16,7 @@ _WHERE = {
     "op8_quality_rules": "quality",
     "op9_decontaminate": "decontam",
     "op10_near_duplicates": "neardup",
+    "op11_spelling_variants": "spelling",
 }
 
 
