@@ -17,6 +17,7 @@ _WHERE = {
     "op9_decontaminate": "decontam",
     "op10_near_duplicates": "neardup",
     "op11_spelling_variants": "spelling",
+    "op12_secret_novelty": "novelty",
 }
 
 
