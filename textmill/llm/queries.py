@@ -18,6 +18,7 @@ _WHERE = {
     "op10_near_duplicates": "neardup",
     "op11_spelling_variants": "spelling",
     "op12_secret_novelty": "novelty",
+    "op13_collocations": "collocations",
 }
 
 
