@@ -3,6 +3,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from textmill.operators import compare as C
 from textmill.operators import corpus as O
@@ -35,6 +36,26 @@ def test_positions_do_not_depend_on_partitions(spark, parts):
     assert sorted(map(tuple, O.global_positions(df, ["id"]).collect())) == [(i, k) for k, i in enumerate(sorted(ids))]
 
 
+def test_positions_of_wide_and_uneven_rows(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    wide = docs.withColumn("row", F.repeat("text", (F.col("doc_id") % 7).cast("int"))).withColumn("attrs", F.create_map(F.lit("_part"), "source")).withColumn("_part", F.lit(1)).withColumn("_row", F.lit("x"))
+    for order in (["doc_id"], ["source", "doc_id"], ["lang"]):
+        O.batch_numbers(wide, order, 64).write.mode("overwrite").parquet(f"{tmp_path}/n")
+        got = spark.read.parquet(f"{tmp_path}/n")
+        assert got.count() == docs.count() == got.select("doc_id").distinct().count()
+        sizes = sorted(r["count"] for r in got.groupBy("batch").count().collect())
+        assert sizes == sorted([64] * (10_000 // 64) + [10_000 % 64])
+    K.number_documents(wide, ["doc_id"]).select("doc_id", "ref").write.mode("overwrite").parquet(f"{tmp_path}/n")
+    assert spark.read.parquet(f"{tmp_path}/n").filter("ref <> doc_id + 1").count() == 0
+
+
+def test_positions_of_ties_and_of_nothing(spark):
+    df = spark.createDataFrame([(None, "a"), (1, "b"), (1, "b"), (1, "c"), (None, None)] * 20, "`a key` int, pos string").repartition(7)
+    got = O.global_positions(df, ["a key"], "n").collect()
+    assert sorted(r.n for r in got) == list(range(100)) and all((r["a key"] is None) == (r.n < 40) for r in got)
+    assert O.global_positions(df.limit(0), ["a key"], "n").collect() == []
+
+
 def test_equal_groups(spark):
     df = spark.range(10).withColumn("k", F.lit(1))
     assert [r["count"] for r in O.equal_groups(df, ["k"], ["id"], 4).groupBy("group").count().orderBy("group").collect()] == [3, 3, 2, 2]
@@ -82,13 +103,6 @@ def test_xz_lines(spark, tmp_path):
     assert [(r.line_idx, r.word, r.lempos) for r in files.read_vertical(spark, str(tmp_path)).orderBy("line_idx").collect()] == [(1, "a", "a-d"), (2, "b", "b-c-n")]
 
 
-def test_align(spark):
-    left = spark.createDataFrame([(1, i, w) for i, w in enumerate("the Cat sat on mats".split())], "d long, pos int, word string")
-    right = spark.createDataFrame([(1, i, w) for i, w in enumerate("the cat sat upon the mats".split())], "d long, pos int, word string")
-    got = [(r.code, r.left, r.right) for r in C.align(left, right, "d").orderBy("seq").collect()]
-    assert got == [("S", "the", "the"), ("C", "Cat", "cat"), ("S", "sat", "sat"), ("I", "on", "upon~~~|~~~the"), ("S", "mats", "mats")]
-
-
 def test_phrases_and_fill(spark):
     t = spark.createDataFrame([(1, i, c, g, n) for i, (c, g, n) in enumerate([("D", "C", "S"), ("N", "F", "N"), ("X", "0", "0"), ("N", "C", "N")])], "s long, pos int, cls string, gender string, number string")
     p = C.phrases(t, ["s"])
@@ -96,6 +110,27 @@ def test_phrases_and_fill(spark):
     assert got == [(0, "F", "S"), (0, "F", "S"), (None, "0", "0"), (None, "M,F", "S,P")]
 
 
+def test_fill_against_the_loop(spark):
+    """Every value that is not definite takes the running one, undefined ones too."""
+    rng = random.Random(6)
+    rows = [(s, p, rng.choice("CMF0"), rng.choice("NSP0"), rng.choice([None, 1, 2]) if p % 5 else None) for s in range(60) for p in range(12)]
+    # a phrase is a run
+    rows = [(s, p, g, n, None if ph is None else ph * 100 + p // 4) for s, p, g, n, ph in rows]
+    want = {}
+    for s in range(60):
+        for phrase in {r[4] for r in rows if r[0] == s}:
+            inside = [r for r in rows if r[0] == s and r[4] == phrase]
+            for at, definite, mark, stands in ((2, "MF", "C", "M,F"), (3, "SP", "N", "S,P")):
+                now = next((r[at] for r in inside if r[at] in definite), mark)
+                for r in inside:
+                    now = r[at] if r[at] in definite else now
+                    value = r[at] if phrase is None else now
+                    want[s, r[1], at] = stands if value == mark else value
+    df = spark.createDataFrame(rows, "s long, pos int, gender string, number string, phrase int").repartition(5)
+    for r in C.fill_phrases(df, ["s"]).collect():
+        assert (r.gender_filled, r.number_filled) == (want[r.s, r.pos, 2], want[r.s, r.pos, 3])
+
+
 def _records(folder, n):
     with open(f"{folder}/records.jsonl", "w") as f:
         for i in range(n):
@@ -130,7 +165,7 @@ def test_stream_upsert(spark, tmp_path):
 def test_stream_offset_survives_changes(tmp_path):
     """A record that changes between two pages moves to the end, and no other one is skipped."""
     _records(tmp_path, 4)
-    stream = paged._Stream({"folder": str(tmp_path), "limit": "2"})
+    stream = paged._Stream({"folder": str(tmp_path), "limit": "2"}, StructType.fromDDL(paged.SCHEMA))
     rows, offset = stream.read(stream.initialOffset())
     seen = [r[0] for r in rows]
     lines = [json.loads(x) for x in (tmp_path / "records.jsonl").read_text().splitlines()]
@@ -171,5 +206,5 @@ def test_lines_are_normalised_before_they_are_cleaned(spark):
         "plain line, 12 words": "plain line words", "SHOUTED LINE": "shouted line", "&#65;BC": "abc", "\x00\x07": "", "": "",
     }
     rows = spark.createDataFrame(list(enumerate(cases)), "k long, line string")
-    got = {r.k: r.line for r in rows.select("k", L.tidy_line("line").alias("line")).collect()}
+    got = {r.k: r.line for r in L.tidy_lines(rows).collect()}
     assert got == dict(enumerate(cases.values()))

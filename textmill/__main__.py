@@ -6,13 +6,16 @@ to-vert     CoNLL-U to vertical
 verify      documents in files of several formats
 langid      sentence languages of vertical files, as a side table
 enrich      references, sentence languages and file wrappers in vertical files
-compare     tag counts and differences of two vertical files
+compare     taggings of vertical files against the first: tables and a report
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
+from collections.abc import Callable
+from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -20,26 +23,39 @@ from pyspark.sql import functions as F
 
 from textmill.functions import text as T
 from textmill.functions import unicode as U
+from textmill.operators import align as A
+from textmill.operators import annotate as N
 from textmill.operators import compare as C
 from textmill.operators import langid as L
 from textmill.operators import tokens as K
+from textmill.plans.scratch import Scratch
 from textmill.sources import files
 
 
-def to_conll(spark: SparkSession, source: str, wrap: bool = False, normalize: bool = False) -> DataFrame:
+def to_conll(spark: SparkSession, source: str, wrap: bool = False, normalize: bool = False, annotator: Callable[[], N.Annotator] | None = None) -> DataFrame:
     """CoNLL-U lines (file: a document's key, line_idx, value) of tagged texts, in the order of id and file_id; every document is
-    one of its own. wrap: join hyphenated line ends; normalize: clean each line first."""
+    one of its own. wrap: join hyphenated line ends; normalize: clean each line first; annotator: makes a plug-in, which sees no
+    markup; by default rules in built-in expressions, which take markup for text."""
     docs = files.read_tagged_splits(spark, source)
     body = U.normalize_udf()("body") if normalize else F.col("body")
     attrs = T.tag_attributes("tag")
     part = lambda n: F.lpad(F.coalesce(attrs[n], F.lit("")), 20, " ")
     docs = docs.select(F.concat(part("id"), part("file_id"), F.xxhash64("tag", "body").cast("string")).alias("doc_id"), (T.join_hyphenated(body) if wrap else body).alias("text"))
-    lines = K.render_conllu(K.annotate(docs), "doc_id").withColumnRenamed("doc_id", "file")
+    tokens = K.annotate(docs) if annotator is None else N.tokens_of(N.annotate(docs, annotator))
+    lines = K.render_conllu(tokens, "doc_id").withColumnRenamed("doc_id", "file")
     names = (F.trim(F.substring("file", 1, 20)), F.trim(F.substring("file", 21, 20)))
     head = F.concat(F.lit("# newdoc id="), names[0], F.when(names[1] != "", F.concat(F.lit(" file_id="), names[1])).otherwise(""))
     return lines.withColumn("value", F.when(F.col("line_idx") == 0, head).otherwise(F.col("value")))
 
 
+def plug_in(name: str | None) -> Callable[[], N.Annotator] | None:
+    """What module:name names."""
+    if not name:
+        return None
+    module, _, what = name.partition(":")
+    return getattr(importlib.import_module(module), what)
+
+
 def to_vertical(lines: DataFrame) -> DataFrame:
     """Vertical lines (file, line_idx, value) of CoNLL-U lines: structures in tags, multi-word tokens spliced."""
     tokens = K.splice_multiword(K.parse_conllu(lines), ["file", "doc_seq", "sent_seq"])
@@ -81,10 +97,50 @@ def enrich(lines: DataFrame, languages: DataFrame | None = None, doc_n: int = 1,
     return K.wrap_files(lines, names.withColumn("name", F.regexp_extract("file", r"([^/]+)$", 1)))
 
 
+def document_tokens(lines: DataFrame) -> DataFrame:
+    """doc (id and file_id of the document's tag), pos, word and tag of the tokens of vertical lines, which have word, tag in the
+    columns 2 and 4; or in 1 and 2 if there are fewer. The files of a folder are one corpus."""
+    tags = T.tag_attributes("value")
+    start = F.when(F.col("value").rlike(r"^<doc[ >]"), F.concat_ws("/", tags["id"], tags["file_id"]))
+    t = lines.withColumn("doc", F.last(start, ignorenulls=True).over(W.partitionBy("file").orderBy("line_idx")))
+    cells = F.split("value", "\t")
+    wide, cell = F.size(cells) >= 4, lambda k: F.get(cells, F.lit(k))
+    t = t.filter(~F.trim("value").startswith("<") & (F.trim("value") != ""))
+    return t.select("doc", "file", F.col("line_idx").alias("pos"), F.when(wide, cell(1)).otherwise(cell(0)).alias("word"), F.when(wide, cell(3)).otherwise(cell(1)).alias("tag"))
+
+
+def compare(spark: SparkSession, sources: list[str], out: str | None = None, mapping: str | None = None, tagsets: list[str] | None = None) -> str:
+    """Every tagging against the first one, by document: tables tags, and differences, pairs, ignored and errors of each, as TSV below out,
+    and the report, which is returned.
+
+    mapping: a file that has for each tagset a table from tags to what they are compared as (a name, or upos: a name).
+    """
+    names = [f"{k}-{PurePath(s).name}" for k, s in enumerate(sources)]
+    frames = {n: document_tokens(files.read_lines(spark, s)) for n, s in zip(names, sources, strict=True)}
+    if mapping:
+        known = files.read_config(mapping)
+        rows = [(s, t, v.get("upos") if isinstance(v, dict) else v) for s, table in known.items() for t, v in table.items()]
+        table = spark.createDataFrame([r for r in rows if r[2]], "tagset string, tag string, upos string")
+        frames = {n: C.map_tags(f, table, s).drop("tag").withColumnRenamed("upos", "tag") for (n, f), s in zip(frames.items(), tagsets or list(known), strict=True)}
+    first, *rest = names
+    tags = C.tag_counts(frames)
+    with Scratch(spark) as scratch:
+        aligned = {n: scratch.table(A.align(frames[first], frames[n], "doc", ("file", "pos")), f"aligned{k}") for k, n in enumerate(rest)}
+        text = A.report(aligned, tags, "doc")
+        if out:
+            files.write_tsv(tags, f"{out}/tags", True, True)
+            for n, a in aligned.items():
+                d = A.differences(a)
+                for name, df in (("differences", d), ("pairs", A.difference_pairs(d)), ("ignored", A.ignored(a)), ("errors", A.error_rows(a, "doc"))):
+                    files.write_tsv(df, f"{out}/{n}-{name}", True, True)
+            files.write_text(text, f"{out}/report.md")
+    return text
+
+
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="textmill", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="command", required=True)
-    for name, paths in (("normalize", "?"), ("to-conll", None), ("to-vert", None), ("verify", "+"), ("langid", None), ("enrich", None), ("compare", 2)):
+    for name, paths in (("normalize", "?"), ("to-conll", None), ("to-vert", None), ("verify", "+"), ("langid", None), ("enrich", None), ("compare", "+")):
         c = sub.add_parser(name)
         c.add_argument("source", nargs=paths) if paths else c.add_argument("source")
         if name not in ("normalize", "verify", "compare"):
@@ -94,6 +150,11 @@ def main(args: list[str] | None = None) -> int:
         if name == "to-conll":
             c.add_argument("--wrap", action="store_true")
             c.add_argument("--uninorm", action="store_true")
+            c.add_argument("--annotator", help="module:name of what makes an annotator")
+        if name == "compare":
+            c.add_argument("--out", help="a folder for tables and the report")
+            c.add_argument("--mapping", help="a file with what the tags of each tagset are compared as")
+            c.add_argument("--tagset", nargs="+", help="the tagset of each source")
         if name == "langid":
             c.add_argument("--short", type=int, default=4)
             c.add_argument("--long", type=int, default=500)
@@ -116,7 +177,7 @@ def main(args: list[str] | None = None) -> int:
         for r in lines(a.source).withColumn("v", U.normalize_udf()("value")).orderBy("file", "line_idx").select("v").toLocalIterator():
             sys.stdout.write(r.v)
     elif a.command == "to-conll":
-        files.write_lines(to_conll(spark, a.source, a.wrap, a.uninorm), a.out, a.force, a.compression)
+        files.write_lines(to_conll(spark, a.source, a.wrap, a.uninorm, plug_in(a.annotator)), a.out, a.force, a.compression)
     elif a.command == "to-vert":
         files.write_lines(to_vertical(lines(a.source)), a.out, a.force, a.compression)
     elif a.command == "langid":
@@ -130,12 +191,7 @@ def main(args: list[str] | None = None) -> int:
         print(dict(zip(a.source, counts, strict=True)))
         return int(len(set(counts)) > 1)
     else:
-        x, y = (vertical_tokens(lines(s)) for s in a.source)
-        for r in C.tag_counts({"left": x, "right": y}).orderBy("tag").toLocalIterator():
-            print(r.tag, r.left, r.right, sep="\t")
-        both = C.align(x.withColumn("d", F.lit(0)), y.withColumn("d", F.lit(0)), "d")
-        for r in both.groupBy("code").count().orderBy("code").toLocalIterator():
-            print(r.code, r["count"], sep="\t")
+        sys.stdout.write(compare(spark, a.source, a.out, a.mapping, a.tagset))
     return 0
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import functools
 import hashlib
 import html
 import json
@@ -58,6 +59,31 @@ def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep
     return "".join(f"{p}\n" for p in parts if p or keep_empty)
 
 
+#: First and last code points of the blocks that most text is made of; what lies outside is looked at in Python.
+_COMMON = ((0x20, 0x7E), (0xA0, 0x17F), (0x386, 0x52F), (0x2010, 0x203A), (0x20A0, 0x20BF), (0x3041, 0x30FF), (0x4E00, 0x9FFF))
+
+
+@functools.cache
+def unstable_pattern() -> str:
+    """A pattern that finds what line normalisation may change other than by folding quotes and dashes: references, markup, and
+    any character but those of common blocks that every normal form keeps, that combine with no other, and that are neither
+    spaces nor controls. Tabs are spaces."""
+    seconds = {d[1] for c in range(0xA0, 0x10000) if len(d := unicodedata.normalize("NFD", chr(c))) == 2}
+
+    def stable(c: str) -> bool:
+        return unicodedata.normalize("NFKC", c) == c and not unicodedata.combining(c) and c not in seconds and unicodedata.category(c) not in ("Zs", "Zl", "Zp", "Cc", "Cf", "Cn", "Co", "Cs")
+
+    kept = [0x09, 0x20, *(c for first, last in _COMMON for c in range(first, last + 1) if chr(c) not in "&<" and stable(chr(c)))]
+    ranges, k = [], 0
+    while k < len(kept):
+        end = k
+        while end + 1 < len(kept) and kept[end + 1] == kept[end] + 1:
+            end += 1
+        ranges.append(f"\\u{kept[k]:04x}" + (f"-\\u{kept[end]:04x}" if end > k else ""))
+        k = end + 1
+    return f"[^{''.join(ranges)}]"
+
+
 def normalize_text(text: str, **options) -> str:
     """normalize_line for each line of a text."""
     return "".join(normalize_line(x, **options) for x in text.split("\n"))

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import difflib
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +12,7 @@ from pyspark.sql import functions as F
 def map_tags(tokens: DataFrame, mapping: DataFrame, tagset: str, tag: str = "tag") -> DataFrame:
     """upos: what the tagset's table (tagset, tag, upos) says, else the tag itself."""
     table = mapping.filter(F.col("tagset") == tagset).select(F.col("tag").alias(tag), "upos")
-    return tokens.join(F.broadcast(table), tag, "left").withColumn("upos", F.coalesce("upos", tag))  # a tagset has some dozens of tags
+    return tokens.join(table, tag, "left").withColumn("upos", F.coalesce("upos", tag))
 
 
 def tag_counts(frames: dict[str, DataFrame], tag: str = "tag") -> DataFrame:
@@ -55,42 +53,6 @@ def code_errors(codes: Column) -> Column:
     return F.size(F.regexp_extract_all(codes, F.lit("010|020"), F.lit(0)))
 
 
-ALIGNED = "key long, seq long, code string, left string, right string"
-
-
-def align(left: DataFrame, right: DataFrame, key: str, order: str = "pos", word: str = "word", joiner: str = "~~~|~~~") -> DataFrame:
-    """Longest-common-subsequence alignment of two token streams of each document.
-
-    code S: equal words. Where a run of the left meets a run of the right, words that agree from the front and then from
-    the back are C; the rest of both runs is one I row, joined. A document is a unit: its tokens fit in one task.
-    """
-
-    def one(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        x, y = (f.sort_values("pos")["word"].tolist() if len(f) else [] for f in (a, b))
-        name = int((a if len(a) else b)["key"].iloc[0])
-        rows: list[tuple] = []
-        for kind, i, j, k, m in difflib.SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
-            p, q = x[i:j], y[k:m]
-            if kind == "equal":
-                rows += [("S", w, w) for w in p]
-                continue
-            front = 0
-            while front < min(len(p), len(q)) and p[front].casefold() == q[front].casefold():
-                front += 1
-            back = 0
-            while back < min(len(p), len(q)) - front and p[-1 - back].casefold() == q[-1 - back].casefold():
-                back += 1
-            rows += [("C", v, w) for v, w in zip(p[:front], q[:front], strict=True)]
-            u, w = p[front : len(p) - back], q[front : len(q) - back]
-            if u or w:
-                rows.append(("I", joiner.join(u), joiner.join(w)))
-            rows += [("C", v, w) for v, w in zip(p[len(p) - back :], q[len(q) - back :], strict=True)]
-        return pd.DataFrame([(name, s, *r) for s, r in enumerate(rows)], columns=["key", "seq", "code", "left", "right"])
-
-    left, right = (f.select(F.col(key).cast("long").alias("key"), F.col(order).alias("pos"), F.col(word).alias("word")) for f in (left, right))
-    return left.groupBy("key").cogroup(right.groupBy("key")).applyInPandas(one, ALIGNED).withColumnRenamed("key", key)
-
-
 # Classes of Spanish-style tokens, first match wins: (pattern of the tag, words in lower case or None for all,
 # class, group of gender, group of number; 0 where it has none).
 CLASSES = (
@@ -144,16 +106,21 @@ def phrases(tokens: DataFrame, keys: list[str], letter: str = "cls", pattern: st
     return tokens.join(m, [*keys, "pos"], "left")
 
 
-def fill_phrases(tokens: DataFrame, keys: list[str], phrase: str = "phrase", columns: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    """gender and number of tokens in phrases: the last definite value so far, else the first one in the phrase, else
-    the open value. columns: name -> (open mark, what it stands for)."""
+# What is open in a phrase and what that stands for, and the definite values, of each column.
+OPEN = {"gender": ("C", "M,F", ("M", "F")), "number": ("N", "S,P", ("S", "P"))}
+
+
+def fill_phrases(tokens: DataFrame, keys: list[str], phrase: str = "phrase", columns: dict[str, tuple[str, str, tuple[str, ...]]] | None = None) -> DataFrame:
+    """gender and number of tokens. In a phrase every value that is not definite, undefined ones (0, null) too, takes the last
+    definite value so far, else the first one in the phrase, else the open value; outside it stays. Open values are then
+    written out. columns: name -> (open mark, what it stands for, definite values)."""
     out = tokens
     w = W.partitionBy(*keys, phrase).orderBy("pos")
-    for name, (mark, stands) in (columns or {"gender": ("C", "M,F"), "number": ("N", "S,P")}).items():
-        definite = F.when(~F.col(name).isin(mark, "0"), F.col(name))
+    for name, (mark, stands, values) in (columns or OPEN).items():
+        definite = F.when(F.col(name).isin(*values), F.col(name))
         running = F.last(definite, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0))
         first = F.first(definite, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-        filled = F.when(F.col(phrase).isNotNull() & (F.col(name) == mark), F.coalesce(running, first, F.lit(mark))).otherwise(F.col(name))
+        filled = F.when(F.col(phrase).isNotNull(), F.coalesce(running, first, F.lit(mark))).otherwise(F.col(name))
         out = out.withColumn(f"{name}_filled", F.when(filled == mark, stands).otherwise(filled))
     return out
 

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.functions import nested as N
 from textmill.functions import text as T
+from textmill.plans.scratch import Scratch
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """name, with as many marks after it as keep it apart from the columns."""
+    while name.lower() in map(str.lower, columns):
+        name += "_"
+    return name
 
 
 def upsert(old: DataFrame, new: DataFrame, *unique: list[str], order: str | None = None) -> DataFrame:
@@ -52,7 +61,7 @@ def download_plan(attachments: DataFrame, present: DataFrame, start: int | None
     todo = attachments.join(present.select("file_id", "length"), "file_id", "left").filter("length IS NULL OR length <> filesize").drop("length")
     if start is None and end is None:
         return todo
-    ranked = attachments.select("file_id").withColumn("_n", F.row_number().over(W.orderBy("file_id")) - 1)  # ids only
+    ranked = global_positions(attachments.select("file_id"), ["file_id"], "_n")  # ids only
     return todo.join(ranked.filter(F.col("_n").between(start or 0, (end or 1 << 60) - 1)).select("file_id"), "file_id", "left_semi")
 
 
@@ -85,29 +94,62 @@ def export(texts: DataFrame, attrs: DataFrame, records: DataFrame, lang: str, le
     """Tagged texts in order of id and file_id, with the number of the output file.
 
     texts: id, file_id, lid, text; attrs: id, doc_tag; records: id, date. Kept: share of lang at least `least`, date within
-    [start, end], text not blank. Only the keys are numbered; they are persisted, since numbering reads them three times.
+    [start, end], text not blank. Only the keys are numbered, in a table that is written once.
     """
     texts = texts.withColumn("text", T.blank_to_null("text"))
     dated = records.filter(N.in_dates("date", start, end)).select("id")
     keys = texts.filter(F.coalesce(F.col("lid")[lang] >= least, F.lit(False)) & F.col("text").isNotNull()).select("id", "file_id")
-    keys = batch_numbers(keys.join(dated, "id", "left_semi").persist(), ["id", "file_id"], per_file)
+    keys = batch_numbers(keys.join(dated, "id", "left_semi"), ["id", "file_id"], per_file)
     rows = texts.select("id", "file_id", "text").join(keys, ["id", "file_id"]).join(attrs, "id")
     return rows.select("id", "file_id", T.wrap_doc(T.fill_file_id("doc_tag", "file_id"), "text").alias("body"), "batch")
 
 
-def global_positions(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
-    """Each row's place (from 0) in a global order, in two phases: rows are spread by range, counted for each partition,
-    and numbered within it. Only the counts meet in one place."""
-    spread = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    counts = spread.groupBy("_part").agg(F.count("*").alias("_n"))
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    inside = F.row_number().over(W.partitionBy("_part").orderBy(*order))
-    return spread.withColumn("_in", inside).join(F.broadcast(offsets), "_part").withColumn(name, (F.col("_before") + F.col("_in") - 1).cast("long")).drop("_part", "_in", "_before")
+def with_counts(texts: DataFrame, seen: Observation, text: str = "text", tool: str | None = None) -> DataFrame:
+    """texts with blank ones as null, and without rows that no tool has worked on (tool: its column). seen: observes, while the rows pass,
+    how many there are (rows), blank (blank) and null before (missing), and how many have no tool (no_tool)."""
+    c, tools = F.col(f"`{text}`"), F.lit(0) if tool is None else F.count_if(F.col(f"`{tool}`").isNull())
+    counted = texts.observe(seen, F.count("*").alias("rows"), F.count_if(c.isNull()).alias("missing"), F.count_if(c.isNotNull() & T.blank_to_null(text).isNull()).alias("blank"), tools.alias("no_tool"))
+    counted = counted.withColumn(text, T.blank_to_null(text))
+    return counted if tool is None else counted.filter(F.col(f"`{tool}`").isNotNull())
+
+
+def with_file_texts(docs: DataFrame, files: DataFrame, folder: str, text: str = "text") -> DataFrame:
+    """docs(id, file_id, …) with path and text: a text of its own where file_id is 0 (path null), else that of folder/id/file_id.txt in
+    files(path, text), null where there is none. A path may begin with file: or not."""
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    other = F.coalesce(F.col("file_id") != 0, F.lit(False))
+    found = files.select(plain(F.col("path")).alias("_path"), F.col("text").alias("_text"))
+    met = docs.withColumn("path", F.when(other, T.text_path(folder, "id", "file_id"))).join(found, plain(F.col("path")) == F.col("_path"), "left")
+    return met.withColumn(text, F.when(other, F.col("_text")).otherwise(F.col(f"`{text}`"))).drop("_path", "_text")
+
+
+def global_positions(df: DataFrame, order: list[str], name: str = "pos", scratch: Scratch | None = None) -> DataFrame:
+    """Each row's place (from 0) in a global order. Rows are spread by range, sorted and written once with their place in their
+    partition; the counts of partitions, which alone meet in one place, are read from the same table, so no row can be
+    counted in one partition and numbered in another.
+
+    Rows that are equal in the order are told apart by a hash of their columns, so that they do not all meet in one task; equal rows
+    come in any order. Nulls go first. Columns keep their names and types; an empty table gives no rows. scratch: where the table
+    goes; by default one that lasts as long as the application.
+    """
+    row = free_name([*df.columns, name], "_row")
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    by = [F.col(f"`{c}`") for c in order] + [F.xxhash64(*hashed)]
+    spread = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(row, F.monotonically_increasing_id())
+    rows = (scratch or Scratch(df.sparkSession)).table(spread, f"rows{uuid.uuid4().hex}", "zstd")
+    # the number has the partition above 33 bits of place
+    part, number, before = F.shiftright(F.col(row), 33), free_name([*df.columns, name], "_part"), free_name([*df.columns, name], "_before")
+    counts = rows.groupBy(part.alias(number)).agg(F.count("*").alias("_n"))
+    offsets = counts.select(number, F.coalesce(F.sum("_n").over(W.orderBy(number).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias(before))
+    found = rows.join(F.broadcast(offsets), part == F.col(number), "left")  # a row for each partition
+    place = F.col(before) + F.col(row).bitwiseAND((1 << 33) - 1)
+    return found.select(*(F.col(f"`{c}`") for c in df.columns), F.coalesce(place, F.raise_error(F.lit("a row of a partition without a count"))).cast("long").alias(name))
 
 
 def batch_numbers(df: DataFrame, order: list[str], size: int) -> DataFrame:
     """batch (from 1): consecutive runs of `size` rows in the order."""
-    return global_positions(df, order).withColumn("batch", (F.floor(F.col("pos") / size) + 1).cast("long")).drop("pos")
+    pos = free_name(df.columns, "_pos")
+    return global_positions(df, order, pos).withColumn("batch", (F.floor(F.col(pos) / size) + 1).cast("long")).drop(pos)
 
 
 def equal_groups(df: DataFrame, keys: list[str], order: list[str], n: Column | int) -> DataFrame:

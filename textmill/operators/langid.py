@@ -6,14 +6,15 @@ words of each language's profile; ties go to the alphabetically first language.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textmill.functions.text import clean_line
-from textmill.functions.unicode import normalize_udf
+from textmill.functions.text import clean_line, fold_dashes, fold_quotes
+from textmill.functions.unicode import normalize_udf, unstable_pattern
 
 # Short function words of each language.
 PROFILES = {
@@ -51,12 +52,16 @@ def profile_model(profiles: dict[str, tuple[str, ...]] = PROFILES) -> LineModel:
     return model
 
 
-def tidy_line(line: Column | str) -> Column:
-    """A line normalised by normalize_line, then cleaned. Lines of plain ASCII without & and < skip the first step, which
-    would leave them as they are but for outer spaces."""
-    line = F.col(line) if isinstance(line, str) else line
-    other = line.rlike(r"[^\t -%'-;=-~]")
-    return clean_line(F.coalesce(normalize_udf()(F.when(other, line)), line))
+def tidy_lines(df: DataFrame, line: str = "line") -> DataFrame:
+    """df with each line normalised as by normalize_line, then cleaned.
+
+    Lines of characters that no normal form changes, without references and markup, which are nearly all, are folded by
+    built-in expressions; only the others pass through Python. Each part reads df. A null line stays null.
+    """
+    c = F.col(f"`{line}`")
+    plain = F.coalesce(~c.rlike(unstable_pattern()), F.lit(True))
+    native = df.filter(plain).withColumn(line, clean_line(fold_dashes(fold_quotes(c))))
+    return native.unionByName(df.filter(~plain).withColumn(line, clean_line(normalize_udf()(c))))
 
 
 def explode_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -66,7 +71,7 @@ def explode_lines(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def identify_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_len: int = 10, model: LineModel | None = None) -> DataFrame:
     """key, line_idx, lang and bytes of each cleaned line that is not blank; lines under min_len characters are `short`."""
-    cleaned = explode_lines(df, key, text).withColumn("line", tidy_line("line")).filter("line <> ''")
+    cleaned = tidy_lines(explode_lines(df, key, text)).filter("line <> ''")
     lang = F.when(F.char_length("line") < min_len, "short").otherwise((model or profile_model())(F.col("line")))
     return cleaned.select(key, "line_idx", lang.alias("lang"), F.octet_length("line").cast("long").alias("bytes"))
 
@@ -95,6 +100,32 @@ def identify(df: DataFrame, key: str = "doc_id", text: str = "text", min_len: in
     return share_maps(language_shares(identify_lines(df, key, text, min_len, model), key, max_langs), key)
 
 
+def identification_params(min_len: int, max_langs: int, model: str) -> str:
+    """The parameters of a run, as JSON with sorted keys."""
+    return json.dumps({"max_langs": max_langs, "min_len": min_len, "model": model}, sort_keys=True)
+
+
+def identify_changed(df: DataFrame, done: DataFrame | None, key: str = "doc_id", text: str = "text", tool: str = "profile", min_len: int = 10, max_langs: int = 4, model: LineModel | None = None, seen: Observation | None = None, digest: str | None = None) -> DataFrame:
+    """key, digest, lid, l1, l1_size, tool, params and identified (when) of each text: rows of `done` (what this gave before) where text,
+    tool and parameters are still the same, and new ones for all others; rows of texts that are gone go.
+
+    digest: a column that tells contents apart; by default SHA-256 of the text, which reads it but does not identify it. seen:
+    observes how many texts were identified. A null text has no lines, so its lid is null; keys are unique.
+    """
+    params = identification_params(min_len, max_langs, tool)
+    now = df.select(F.col(key), F.col(text).alias("text"), (F.col(digest) if digest else F.sha2(F.coalesce(F.col(text), F.lit("\0")), 256)).alias("digest"))
+    kept = None
+    if done is not None:
+        kept = done.filter((F.col("tool") == tool) & (F.col("params") == params)).join(now.select(key, "digest"), [key, "digest"], "left_semi")
+        now = now.join(kept.select(key, "digest"), [key, "digest"], "left_anti")
+    lines = now.select(key, "text")
+    if seen is not None:
+        lines = lines.observe(seen, F.count("*").alias("identified"))
+    found = now.select(key, "digest").join(identify(lines, key, "text", min_len, max_langs, model), key, "left")
+    new = found.select(key, "digest", "lid", "l1", "l1_size", F.lit(tool).alias("tool"), F.lit(params).alias("params"), F.current_timestamp().alias("identified"))
+    return new if kept is None else kept.select(*new.columns).unionByName(new)
+
+
 def is_multilingual(lid: Column | str = "lid") -> Column:
     return F.size(F.array_except(F.map_keys(lid), F.array(F.lit("unknown"), F.lit("short")))) > 1
 
@@ -119,7 +150,7 @@ def l1_between(low: float = 0.0, high: float = 1.0) -> Column:
 def sentence_languages(tokens: DataFrame, keys: list[str], pos: str = "pos", word: str = "word", short: int = 4, long: int = 500, languages: tuple[str, ...] = ("en", "fr", "es"), model: LineModel | None = None) -> DataFrame:
     """keys and lang of each sentence of `short` tokens or more; from `long` on by vote of chunks, ties for the first seen."""
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(pos, word))), lambda t: t[word]), " ")
-    sentences = tokens.groupBy(*keys).agg(text.alias("text")).withColumn("words", F.split(tidy_line("text"), " "))
+    sentences = tidy_lines(tokens.groupBy(*keys).agg(text.alias("text")), "text").withColumn("words", F.split("text", " "))
     sentences = sentences.filter((F.size("words") >= short) & (F.col("words")[0] != ""))
     chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / long).cast("int")), lambda i: F.slice("words", i * long + 1, F.lit(long)))
     each = sentences.select(*keys, F.posexplode(F.when(F.size("words") < long, F.array("words")).otherwise(chunks)).alias("chunk", "words"))
@@ -131,7 +162,7 @@ def sentence_languages(tokens: DataFrame, keys: list[str], pos: str = "pos", wor
 
 def sample_lines(df: DataFrame, key: str, text: str, size: int, seed: int = 0) -> DataFrame:
     """key and line: `size` distinct cleaned lines of each document, picked by a hash; size 0 or more than there are: all."""
-    cleaned = explode_lines(df, key, text).select(key, "line_idx", tidy_line("line").alias("line")).filter("line <> ''")
+    cleaned = tidy_lines(explode_lines(df, key, text)).filter("line <> ''")
     if not size:
         return cleaned.select(key, "line")
     one = cleaned.groupBy(key, "line").agg(F.count("*").alias("copies"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from textmill.functions import text as T
 from textmill.operators import langid as L
 from textmill.operators import tokens as K
-from textmill.plans.noise import NOISE
+from textmill.plans.noise import MARRED, NOISE
 
 
 def literal(s: str) -> str:
@@ -28,6 +28,18 @@ def noisy(c: str) -> str:
     return c
 
 
+def marred(c: str, pick: int) -> str:
+    """c with MARRED text in it (pick 1), or with what normalisation makes of it (pick 2)."""
+    for marks in MARRED:
+        c = f"replace({c}, {literal(marks[0])}, {literal(marks[pick])})"
+    return c
+
+
+def folded_line(c: str) -> str:
+    """Quotes and dashes folded, as normalisation leaves them."""
+    return translate(c, T.SINGLE_QUOTES + T.DOUBLE_QUOTES + T.HYPHENS + T.DASHES, "'" * len(T.SINGLE_QUOTES) + '"' * len(T.DOUBLE_QUOTES) + "-" * len(T.HYPHENS) + "\u2013" * len(T.DASHES))
+
+
 def translate(c: str, chars: str, to: str) -> str:
     return f"translate({c}, {literal(chars)}, {literal(to)})"
 
@@ -87,8 +99,8 @@ TOKENS = rf"""SELECT doc_id, sent, pos, word, lower(word) AS lemma,
 # Fixed value: class letters of a noun phrase.
 PHRASE = "(?:D|S|P|DD|SD|DP|SP|DDD|SDD|DDP|SDP)?[ANVO]{0,9}[ANV]"
 TAGS = f"SELECT doc_id, sent, pos, word, upos AS tag_a, CASE WHEN length(word) % 4 = 0 THEN 'VERB' ELSE upos END AS tag_b FROM ({TOKENS})"
-TAGGED = f"""SELECT doc_id, sent, pos, word, substring('DNAXSNVXA', ((pos + sent) % 9 + 1)::INT, 1) AS cls, substring('CMCFC', ((pos + sent) % 5 + 1)::INT, 1) AS gender,
-    substring('NNSP', ((pos + sent) % 4 + 1)::INT, 1) AS number FROM ({TOKENS})"""
+TAGGED = f"""SELECT doc_id, sent, pos, word, substring('DNAXSNVXA', ((pos + sent) % 9 + 1)::INT, 1) AS cls, substring('CM0FC0', ((pos * 5 + sent) % 6 + 1)::INT, 1) AS gender,
+    substring('N0SPN', ((pos * 3 + sent) % 5 + 1)::INT, 1) AS number FROM ({TOKENS})"""
 DIFFS = f"""SELECT word, tag_a, tag_b, count(*)::BIGINT AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM ({TAGS}) WHERE tag_a <> tag_b), 6) AS diff_pct,
     round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM ({TAGS})), 6) AS total_pct FROM ({TAGS}) WHERE tag_a <> tag_b GROUP BY ALL"""
 VERTICAL = """SELECT source AS file, doc_id * 10 AS line_idx, '<s id="' || doc_id || '">' AS value FROM documents
@@ -105,9 +117,9 @@ def data_of(c: str) -> str:
     return entities(f"regexp_replace({c}, '<!--.*?-->|<[^>]*>', '', 'gs')")
 
 
-def fill(name: str, mark: str, stands: str) -> str:
-    definite = f"CASE WHEN {name} NOT IN ('{mark}', '0') THEN {name} END"
-    value = f"""CASE WHEN {name} = '{mark}' THEN coalesce(last_value({definite} IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+def fill(name: str, mark: str, stands: str, values: str) -> str:
+    definite = f"CASE WHEN {name} IN ({values}) THEN {name} END"
+    value = f"""CASE WHEN phrase IS NOT NULL THEN coalesce(last_value({definite} IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
         first_value({definite} IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), '{mark}') ELSE {name} END"""
     return f"replace({value}, '{mark}', '{stands}')"
 
@@ -126,7 +138,7 @@ def oracle_sql() -> dict[str, str]:
             FROM documents d LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY line_idx) AS t FROM ({CLEANED}) WHERE length(line) >= 10 GROUP BY doc_id) c USING (doc_id)""",
         "change_windows": "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*)::BIGINT AS records FROM events GROUP BY 1",
         "lines": LINES,
-        "lines_clean": CLEANED,
+        "lines_clean": f"SELECT doc_id, line_idx, {clean_line('line')} AS line FROM (SELECT doc_id, line_idx, {folded_line(marred('line', 2))} AS line FROM ({LINES}))",
         "lid_profile_lines": LID,
         "lid_shares": SHARES,
         "lid_l1": L1,
@@ -164,7 +176,7 @@ def oracle_sql() -> dict[str, str]:
             JOIN (SELECT doc_id FROM ({SHARES}) WHERE lang = 'en' AND share >= 0.8) USING (doc_id)
             WHERE trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' AND DATE '2020-01-01' + (d.doc_id % 1000)::INT BETWEEN DATE '2020-02-01' AND DATE '2021-12-31')
             SELECT id, file_id, body, ((row_number() OVER (ORDER BY id, file_id) - 1) // 100 + 1)::BIGINT AS batch FROM k""",
-        "batching": "SELECT doc_id, source, ((row_number() OVER (ORDER BY doc_id) - 1) // 64 + 1)::BIGINT AS batch FROM documents",
+        "batching": "SELECT *, ((row_number() OVER (ORDER BY doc_id) - 1) // 64 + 1)::BIGINT AS batch FROM documents",
         "range_slice": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents QUALIFY pos BETWEEN 100 AND 149",
         "ntile_split": 'SELECT source, doc_id, ntile(4) OVER (PARTITION BY source ORDER BY doc_id) - 1 AS "group" FROM documents',
         "flatten_events": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, CASE WHEN lower(trim(event_type)) IN ('', 'none', 'null', 'nan') THEN NULL ELSE event_type END AS event_type FROM events",
@@ -197,7 +209,7 @@ def oracle_sql() -> dict[str, str]:
                   UNION ALL SELECT doc_id, sent, pos, true, pos * 2 - 1, true, pos || '-' || (pos + 1), word || '+', '_', '_', '_', '_', 'm' FROM t WHERE pos % 3 = 1)
             SELECT doc_id, sent, min(line_idx)::BIGINT AS line_idx, {spliced('id')} AS id, CASE WHEN bool_or(head) THEN max(form) FILTER (head) ELSE max(form) END AS form, {spliced('lemma')} AS lemma, {spliced('upos')} AS upos,
             {spliced('xpos')} AS xpos, {spliced('hd')} AS head, CASE WHEN bool_or(head) THEN 'm' ELSE 't' END AS misc FROM e GROUP BY doc_id, sent, head_pos""",
-        "doc_refs": "SELECT source, doc_id, row_number() OVER (ORDER BY source, doc_id) AS ref FROM documents",
+        "doc_refs": "SELECT *, row_number() OVER (ORDER BY source, doc_id) AS ref FROM documents",
         "tag_update": f"""SELECT doc_id, replace(replace({tag()}, ' lang="' || lang || '"', ' lang="xx"'), ' file_id="FILE_ID"', ' file_id="FILE_ID" ref="' || (doc_id + 1) || '"') AS tag FROM documents""",
         "docx_wrap": f"""SELECT file, line_idx, value FROM ({VERTICAL}) WHERE value <> '</docx>' UNION ALL
             SELECT DISTINCT source, -1, '<docx ref="' || substring(source, 4)::INT || '" name="' || source || '.vert" >' FROM documents UNION ALL SELECT DISTINCT source, 4611686018427387904, '</docx>' FROM documents""",
@@ -230,9 +242,41 @@ def oracle_sql() -> dict[str, str]:
         "diff_islands": f"""WITH s AS (SELECT doc_id, sent, pos, (tag_a = tag_b)::INT AS same FROM ({TAGS})), g AS (SELECT *, coalesce((same <> lag(same) OVER (PARTITION BY doc_id, sent ORDER BY pos))::INT, 0) AS c FROM s),
             i AS (SELECT *, sum(c) OVER (PARTITION BY doc_id, sent ORDER BY pos)::BIGINT AS island FROM g) SELECT doc_id, sent, island, count(*)::BIGINT AS n, max(same) AS same FROM i GROUP BY doc_id, sent, island""",
         "diff_errors": f"SELECT doc_id, sent, len(regexp_extract_all(string_agg((tag_a <> tag_b)::INT::VARCHAR, '' ORDER BY pos), '010|020'))::BIGINT AS errors FROM ({TAGS}) GROUP BY ALL",
+        "capped_groups": f"""WITH s AS (SELECT doc_id, sent, count(*) + 1 AS n FROM ({TOKENS}) GROUP BY ALL),
+            o AS (SELECT *, (n + 4) // 5 AS k, coalesce(sum((n + 4) // 5) OVER (PARTITION BY doc_id ORDER BY sent ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s),
+            g AS (SELECT doc_id, n, before, unnest(range(k)) AS i FROM o)
+            SELECT doc_id, (before + i)::BIGINT AS "group", least(5, n - 5 * i)::BIGINT AS lines FROM g""",
+        "name_joins": f"""WITH t AS (SELECT doc_id, sent, pos, CASE WHEN regexp_matches(word, '^\\p{{Lu}}') AND NOT (pos = 1 AND length(word) % 2 = 0) THEN 'C' WHEN lower(word) IN ('de', 'la', 'of', 'the', 'und') THEN 'F' ELSE 'X' END AS c FROM ({TOKENS})),
+            s AS (SELECT doc_id, string_agg(c, '' ORDER BY pos) AS c FROM t GROUP BY doc_id, sent),
+            n AS (SELECT doc_id, length(c) AS size, list_filter(list_transform(regexp_extract_all(c, 'C(?:F*C)*'), lambda x: length(x)), lambda x: x > 1) AS l FROM s)
+            SELECT doc_id, sum(len(l))::BIGINT AS names, sum(size - coalesce(list_sum(l), 0) + len(l))::BIGINT AS tokens, max(coalesce(list_max(l), 1))::BIGINT AS longest FROM n GROUP BY doc_id""",
+        "name_tags": f"""WITH t AS (SELECT word, lower(word) AS lemma, ['NN', 'VB', 'NNS', 'JJ', 'ZZ'][pos % 5 + 1] AS tag, pos = 1 AS first, pos % 3 = 0 AS guessed, length(word) % 2 = 0 AS known, regexp_matches(word, '^\\p{{Lu}}') AS up FROM ({TOKENS})),
+            r AS (SELECT *, CASE WHEN NOT up THEN NULL WHEN first THEN CASE WHEN guessed THEN CASE WHEN tag[1] = 'N' THEN 'NP' || tag[3:] ELSE 'NP00000' END END WHEN tag[1] = 'N' THEN 'NP' || tag[3:] WHEN NOT known THEN 'NP00000' END AS new FROM t)
+            SELECT coalesce(new, tag) AS tag, (new IS NOT NULL OR lower(lemma) = word) AS form, count(*)::BIGINT AS n FROM r GROUP BY ALL""",
+        "lempos_table": f"SELECT lemma || '-' || CASE pos % 5 WHEN 0 THEN 'n' WHEN 1 THEN 'v' WHEN 2 THEN 'n' ELSE 'x' END AS lempos, count(*)::BIGINT AS n FROM ({TOKENS}) GROUP BY ALL",
+        "markup": "SELECT doc_id, (length(text) - length(replace(text, chr(10), '')))::BIGINT AS breaks, ((length(text) - length(replace(text, ', ', ''))) // 2)::BIGINT AS tags FROM documents WHERE trim(text, ' ' || chr(9)) <> ''",
+        "lid_incremental": f"SELECT doc_id, l1, l1_size, 'profile' AS tool FROM documents LEFT JOIN ({L1}) USING (doc_id)",
+        "lengths_in_time": "SELECT doc_id, length(text)::BIGINT AS n, NULL::VARCHAR AS error FROM documents",
+        "named_files": """WITH b AS (SELECT text, doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 + 1 AS batch FROM documents), f AS (SELECT batch, string_agg(text, chr(10) ORDER BY doc_id) AS t FROM b GROUP BY batch),
+            l AS (SELECT batch, string_split(t, chr(10)) AS l FROM f) SELECT batch::BIGINT AS batch, len(l)::BIGINT AS lines, list_sum(list_transform(l, lambda x: length(x)))::BIGINT AS chars FROM l""",
+        "text_counts": "SELECT doc_id, CASE WHEN doc_id % 9 = 0 OR trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN NULL ELSE text END AS text, 'profile' AS tool FROM documents WHERE doc_id % 11 <> 0",
+        "align_tokens": f"""SELECT doc_id, count(*) FILTER (pos % 7 <> 3 AND pos % 5 <> 0)::BIGINT AS same, count(*)::BIGINT AS n_left, count(*) FILTER (pos % 7 <> 3)::BIGINT AS n_right FROM ({TOKENS}) GROUP BY doc_id""",
+        "align_codes": f"""WITH t AS (SELECT doc_id, sent, pos, CASE WHEN pos % 7 = 3 THEN 'D' WHEN pos % 11 = 1 THEN 'X' WHEN pos % 5 = 0 THEN 'C' ELSE 'S' END AS change FROM ({TOKENS})),
+            g AS (SELECT *, sum((change = 'S')::INT) OVER (PARTITION BY doc_id ORDER BY sent, pos) AS run FROM t),
+            r AS (SELECT doc_id, run, coalesce(string_agg(change, '' ORDER BY sent, pos) FILTER (change <> 'S'), '') AS c, bool_or(change = 'S') AS s FROM g GROUP BY ALL),
+            k AS (SELECT *, trim(c, 'C') AS mid, CASE WHEN s THEN '0' ELSE '' END || repeat('1', length(c)) || repeat('2', length(replace(replace(c, 'D', ''), 'X', 'XX'))) AS codes FROM r)
+            SELECT doc_id, (count(*) FILTER (s) + sum(length(c) - length(mid)))::BIGINT AS compared, count(*) FILTER (s)::BIGINT AS same, sum(length(c) - length(mid))::BIGINT AS different,
+                count(*) FILTER (contains(mid, 'X'))::BIGINT AS ignored, count(*) FILTER (mid <> '' AND NOT contains(mid, 'X'))::BIGINT AS alone,
+                len(regexp_extract_all(string_agg(codes, '' ORDER BY run), '010|020'))::BIGINT AS errors FROM k GROUP BY doc_id""",
         "np_phrases": f"""WITH s AS (SELECT doc_id, sent, string_agg(cls, '' ORDER BY pos) AS c, count(*) AS n FROM ({TAGGED}) GROUP BY ALL)
             SELECT doc_id, sum(coalesce(list_sum(list_transform(list_filter(regexp_extract_all(c, '{PHRASE}'), lambda x: length(x) >= 2), lambda x: length(x))), 0))::BIGINT AS inside, sum(n)::BIGINT AS tokens FROM s GROUP BY doc_id""",
-        "np_fill": f"""SELECT doc_id, sent, pos, {fill('gender', 'C', 'M,F')} AS gender_filled, {fill('number', 'N', 'S,P')} AS number_filled FROM ({TAGGED}) WINDOW w AS (PARTITION BY doc_id, sent, pos // 4 ORDER BY pos)""",
+        "np_fill": f"""WITH s AS (SELECT doc_id, sent, regexp_extract_all(regexp_replace(string_agg(cls, '' ORDER BY pos), '({PHRASE})', '<\\1>', 'g'), '.') AS c FROM ({TAGGED}) GROUP BY ALL),
+            m AS (SELECT doc_id, sent, unnest(c) AS ch, unnest(range(len(c))) AS at FROM s),
+            o AS (SELECT *, sum((ch = '<')::INT) OVER (PARTITION BY doc_id, sent ORDER BY at) AS opened, sum((ch = '>')::INT) OVER (PARTITION BY doc_id, sent ORDER BY at) AS closed FROM m),
+            p AS (SELECT doc_id, sent, row_number() OVER (PARTITION BY doc_id, sent ORDER BY at) AS pos, CASE WHEN opened > closed THEN opened END AS ph FROM o WHERE ch NOT IN ('<', '>')),
+            q AS (SELECT doc_id, sent, pos, CASE WHEN count(ph) OVER (PARTITION BY doc_id, sent, ph) >= 2 THEN ph END AS phrase FROM p)
+            SELECT doc_id, sent, pos, {fill('gender', 'C', 'M,F', "'M', 'F'")} AS gender_filled, {fill('number', 'N', 'S,P', "'S', 'P'")} AS number_filled
+            FROM ({TAGGED}) t JOIN q USING (doc_id, sent, pos) WINDOW w AS (PARTITION BY doc_id, sent, phrase ORDER BY pos)""",
         "tag_classes": """SELECT c[1] AS cls, c[2] AS gender, c[3] AS number, count(*)::BIGINT AS n FROM (
             SELECT [['N', 'M', 'S'], ['A', 'C', 'P'], ['D', 'F', 'S'], ['V', 'M', 'S'], ['S', '0', '0'], ['X', '0', '0']][(event_id % 6 + 1)::INT] AS c FROM events) GROUP BY ALL""",
         "noun_phrases": f"""WITH s AS (SELECT doc_id, sent, string_agg(substring('SDNXDPNASDDNPOAXDDDVSPNDPXOOD', ((pos * 7 + sent) % 29 + 1)::INT, 1), '' ORDER BY pos) AS c FROM ({TOKENS}) GROUP BY ALL)

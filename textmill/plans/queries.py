@@ -8,18 +8,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from textmill.functions import nested as N
 from textmill.functions import text as T
 from textmill.functions import unicode as U
+from textmill.functions.deadline import map_with_deadline
+from textmill.operators import align as A
+from textmill.operators import annotate as N2
 from textmill.operators import compare as C
 from textmill.operators import corpus as O
 from textmill.operators import langid as L
+from textmill.operators import segments as G
 from textmill.operators import tokens as K
-from textmill.plans.noise import NOISE
+from textmill.plans.noise import MARRED, NOISE
+from textmill.plans.scratch import Scratch
+from textmill.sources import files
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -40,7 +47,11 @@ def lines(spark, sf):
 
 
 def lines_clean(spark, sf):
-    return lines(spark, sf).withColumn("line", L.tidy_line("line"))
+    """Lines with references, compatibility characters, accents apart and typographic marks, normalised and cleaned."""
+    c = F.col("line")
+    for there, marred, _ in MARRED:
+        c = F.replace(c, F.lit(there), F.lit(marred))
+    return L.tidy_lines(lines(spark, sf).withColumn("line", c))
 
 
 def lid_profile_lines(spark, sf):
@@ -170,7 +181,8 @@ def export_docs(spark, sf):
 
 
 def batching(spark, sf):
-    return O.batch_numbers(_docs(spark, sf).select("doc_id", "source"), ["doc_id"], 64)
+    """Whole rows, texts too."""
+    return O.batch_numbers(_docs(spark, sf), ["doc_id"], 64)
 
 
 def range_slice(spark, sf):
@@ -290,7 +302,8 @@ def mwt_splice(spark, sf):
 
 
 def doc_refs(spark, sf):
-    return K.number_documents(_docs(spark, sf).select("source", "doc_id"), ["source", "doc_id"])
+    """Whole rows, texts too."""
+    return K.number_documents(_docs(spark, sf), ["source", "doc_id"])
 
 
 def tag_update(spark, sf):
@@ -409,15 +422,29 @@ def diff_errors(spark, sf):
 
 
 def align_tokens(spark, sf):
-    t = _tokens(spark, sf).select("doc_id", (F.col("sent") * 1_000_000 + F.col("pos")).alias("pos"), "word")
-    other = t.filter("pos % 7 <> 3").withColumn("word", F.when(F.col("pos") % 11 == 0, F.lower("word")).otherwise(F.col("word")))
-    return C.align(t, other, "doc_id").groupBy("doc_id", "code").agg(F.count("*").alias("n"))
+    """Tokens that agree, and all tokens of both sides, after some tags have changed and some tokens have gone."""
+    t = _tokens(spark, sf).select("doc_id", "sent", "pos", "word", "upos")
+    other = t.filter("pos % 7 <> 3").withColumn("upos", F.when(F.col("pos") % 5 == 0, F.concat("upos", F.lit("~"))).otherwise(F.col("upos")))
+    rows = A.align(t, other, "doc_id", ("sent", "pos"), tag="upos")
+    return rows.groupBy("doc_id").agg(F.count_if(F.col("code") == "S").alias("same"), F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
+
+
+def align_codes(spark, sf):
+    """The summary of each document, where every word is written once, so that one alignment is the longest: some tokens have
+    gone, some are split in two, some have another tag."""
+    change = F.when(F.col("pos") % 7 == 3, "D").when(F.col("pos") % 11 == 1, "X").when(F.col("pos") % 5 == 0, "C").otherwise("S")
+    t = _tokens(spark, sf).select("doc_id", "sent", "pos", F.concat("word", F.lit("#"), "sent", F.lit("."), "pos").alias("word"), "upos", change.alias("change"))
+    two = F.when(F.col("change") == "X", F.array(F.concat("word", F.lit("a")), F.concat("word", F.lit("b")))).otherwise(F.array("word"))
+    tag = F.when(F.col("change") == "C", F.concat("upos", F.lit("~"))).otherwise(F.col("upos"))
+    other = t.filter("change <> 'D'").select("doc_id", "sent", "pos", tag.alias("upos"), F.posexplode(two).alias("part", "word"))
+    rows = A.align(t.withColumn("part", F.lit(0)), other, "doc_id", ("sent", "pos", "part"), tag="upos")
+    return A.summary(rows, ["doc_id"]).drop("same_pct", "diff_pct")
 
 
 def _tagged(spark, sf) -> DataFrame:
     p = F.col("pos") + F.col("sent")
     cls = F.element_at(F.array(*map(F.lit, "DNAXSNVXA")), (p % 9 + 1).cast("int"))
-    return _tokens(spark, sf).select("doc_id", "sent", F.col("pos").cast("int").alias("pos"), "word", cls.alias("cls"), F.element_at(F.array(*map(F.lit, "CMCFC")), (p % 5 + 1).cast("int")).alias("gender"), F.element_at(F.array(*map(F.lit, "NNSP")), (p % 4 + 1).cast("int")).alias("number"))
+    return _tokens(spark, sf).select("doc_id", "sent", F.col("pos").cast("int").alias("pos"), "word", cls.alias("cls"), _pick("CM0FC0", F.col("pos") * 5 + F.col("sent")).alias("gender"), _pick("N0SPN", F.col("pos") * 3 + F.col("sent")).alias("number"))
 
 
 def np_phrases(spark, sf):
@@ -425,7 +452,8 @@ def np_phrases(spark, sf):
 
 
 def np_fill(spark, sf):
-    t = _tagged(spark, sf).withColumn("phrase", F.floor(F.col("pos") / 4))
+    """Values filled in the phrases that are found, undefined ones too."""
+    t = C.phrases(_tagged(spark, sf), ["doc_id", "sent"])
     return C.fill_phrases(t, ["doc_id", "sent"]).select("doc_id", F.col("sent").cast("int"), "pos", "gender_filled", "number_filled")
 
 
@@ -525,13 +553,84 @@ def change_windows(spark, sf):
     return w.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "records")
 
 
+def capped_groups(spark, sf):
+    """Lines of each document's sentences, with an end line, in groups of five lines at most."""
+    t = _tokens(spark, sf).select("doc_id", "sent", "pos", "word")
+    ends = t.groupBy("doc_id", "sent").agg((F.max("pos") + 1).alias("pos")).withColumn("word", F.lit("</s>"))
+    ls = t.unionByName(ends).select("doc_id", F.struct("sent", "pos").alias("at"), "word")
+    return G.capped_groups(ls, "doc_id", "at", "word", most=5).groupBy("doc_id", "group").agg(F.count("*").alias("lines")).withColumn("group", F.col("group").cast("long"))
+
+
+def _classed(spark, sf) -> DataFrame:
+    t = _tokens(spark, sf).withColumnRenamed("upos", "tag")
+    cls = G.name_class(F.col("word"), F.col("tag"), F.col("pos") == 1, F.char_length("word") % 2 == 0, functions=("de", "la", "of", "the", "und"))
+    return t.withColumn("cls", cls)
+
+
+def name_joins(spark, sf):
+    """Names over function words, and all tokens, when names are one token each."""
+    return G.join_names(_classed(spark, sf), ["doc_id", "sent"]).groupBy("doc_id").agg(F.count_if(F.col("size") > 1).alias("names"), F.count("*").alias("tokens"), F.max("size").alias("longest"))
+
+
+_NOUNS = ("NN", "VB", "NNS", "JJ", "ZZ")
+
+
+def name_tags(spark, sf):
+    """Tags and lemmas after detection of names, by tag and by whether the lemma is the form."""
+    t = _tokens(spark, sf).withColumn("tag", _pick(_NOUNS, F.col("pos")))
+    tag, lemma = N2.proper_noun_tags(F.col("word"), F.col("tag"), F.col("lemma"), F.col("pos") == 1, F.col("pos") % 3 == 0, F.char_length("word") % 2 == 0)
+    return t.select(tag.alias("tag"), (lemma == F.col("word")).alias("form")).groupBy("tag", "form").agg(F.count("*").alias("n"))
+
+
+def lempos_table(spark, sf):
+    """Lempos by a table of tags, x for the others."""
+    table = spark.createDataFrame([("NN", "n"), ("NNS", "n"), ("VB", "v")], "tag string, pos string")
+    t = _tokens(spark, sf).select("lemma", _pick(_NOUNS, F.col("pos")).alias("tag"))
+    return N2.with_pos(t, table).groupBy(T.lempos("lemma", F.col("pos_letter")).alias("lempos")).agg(F.count("*").alias("n"))
+
+
+def markup(spark, sf):
+    """Inline and structure tags that pass an annotator unseen."""
+    c = F.replace(F.replace(F.col("text"), F.lit("\n"), F.lit('<p n="1">')), F.lit(", "), F.lit("<br/>, "))
+    items = N2.annotate(_docs(spark, sf).select("doc_id", c.alias("text")))
+    return items.groupBy("doc_id").agg(F.count_if(F.col("kind") == "break").alias("breaks"), F.count_if(F.col("kind") == "tag").alias("tags"))
+
+
+def lid_incremental(spark, sf):
+    """Languages of all documents, of which a third had another text, and some were not there, when they were identified before."""
+    docs = _docs(spark, sf).select("doc_id", "text")
+    before = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit(" the end"))).otherwise(F.col("text"))).withColumn("doc_id", F.when(F.col("doc_id") % 7 == 0, -F.col("doc_id") - 1).otherwise(F.col("doc_id")))
+    done = L.identify_changed(before, None)
+    return L.identify_changed(docs, done).select("doc_id", "l1", "l1_size", "tool")
+
+
+def lengths_in_time(spark, sf):
+    """A function of each text, in a child process with a deadline."""
+    return map_with_deadline(_docs(spark, sf).select("doc_id", "text"), "text", lambda: len, 60, LongType(), "n").select("doc_id", "n", "error")
+
+
+def named_files(spark, sf):
+    """Texts in files of 100 documents, xz, read back."""
+    scratch = Scratch(spark)
+    files.write_named_batches(O.batch_numbers(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], 100).withColumnRenamed("text", "body"), scratch.path("files"), "docs", ("doc_id",), suffix=".txt.xz")
+    ls = files.read_lines(spark, scratch.path("files"))
+    return ls.groupBy(F.regexp_extract("file", r"docs\.(\d+)\.", 1).cast("long").alias("batch")).agg(F.count("*").alias("lines"), F.sum(F.char_length("value")).alias("chars"))
+
+
+def text_counts(spark, sf):
+    """Texts with blank ones as null, without those that no tool has worked on."""
+    t = _docs(spark, sf).select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.lit(" \n\t")).otherwise(F.col("text")).alias("text"), F.when(F.col("doc_id") % 11 != 0, "profile").alias("tool"))
+    return O.with_counts(t, Observation(), tool="tool")
+
+
 _NAMES = (
+    "capped_groups name_joins name_tags lempos_table markup lid_incremental lengths_in_time named_files text_counts "
     "xz_round_trip literals params_hash bundle_rows attribute_tags concat_texts change_windows "
     "export_docs semi_join_lang left_join_attr lines lines_clean lid_profile_lines lid_shares lid_l1 lid_multiling lid_filters lid_unsure line_sample file_stats pdf_clean dewrap quotes_dashes "
     "control_chars collapse html_text normalize_unicode xml_quote doc_tag parse_tag unique_attrs xml_tokens comment_attrs lempos batching range_slice ntile_split flatten_events list_join nested_records "
     "field_names year_attr date_range high_watermark upsert_latest upsert_two_keys column_update explode_files download_todo missing_rates tokens freq_word freq_lc freq_lemma_pos corpus_size "
     "conllu_roundtrip conllu_counts mwt_splice doc_refs tag_update docx_wrap sent_lang_join verify_counts read_tagged sentence_lid_vote sentence_routing size_routing subcorpora year_groups "
-    "tag_counts_outer tag_mapping tag_diff_pct tag_diff_pairs tag_diff_top tag_diff_sample compare_summary diff_islands diff_errors align_tokens np_phrases np_fill noun_phrases tag_classes token_classes gender_lemmas gender_lemma_rules glue proper_nouns"
+    "tag_counts_outer tag_mapping tag_diff_pct tag_diff_pairs tag_diff_top tag_diff_sample compare_summary diff_islands diff_errors align_tokens align_codes np_phrases np_fill noun_phrases tag_classes token_classes gender_lemmas gender_lemma_rules glue proper_nouns"
 ).split()
 
 

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 import json
-import uuid
-from collections.abc import Iterator
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.unicode import unxz_udf, xz_udf
+from textmill.sources.sink import open_folder, write_files
 
 TOKEN_LINES = "file string, line_idx long, value string"
 
@@ -81,38 +78,12 @@ def write_batches(df: DataFrame, path: str, overwrite: bool = False) -> None:
     df.select("batch", "body").write.mode("overwrite" if overwrite else "errorifexists").partitionBy("batch").text(path)
 
 
-def write_named_batches(df: DataFrame, folder: str, stem: str, order: tuple[str, ...] = ("id", "file_id")) -> list[str]:
-    """body of each batch, in order and joined by newlines, as one file <stem>.<batch>.txt; returns the files' names.
-
-    A task writes under a name of its own; the driver renames what Spark has committed, one file for each batch.
-    """
-    system, top = fs.FileSystem.from_uri(folder)
-    system.create_dir(top, recursive=True)
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, base = fs.FileSystem.from_uri(folder)
-        now, out, done = None, None, []
-        for batch in batches:
-            for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if number != now:
-                    if out:
-                        out.close()
-                    now, name = number, f"_{uuid.uuid4().hex}"
-                    out = target.open_output_stream(f"{base}/{name}", compression=None)
-                    done.append((number, name))
-                else:
-                    out.write(b"\n")
-                out.write((body or "").encode())
-        if out:
-            out.close()
-        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.int64()), pa.array([x for _, x in done], pa.string())], ["batch", "name"])
-
-    dealt = df.select(F.col("batch").cast("long").alias("batch"), "body", *order).repartition("batch").sortWithinPartitions("batch", *order).select("batch", "body")
-    names = []
-    for r in sorted(dealt.mapInArrow(write, "batch long, name string").collect()):  # a row for each file
-        names.append(f"{stem}.{r.batch}.txt")
-        system.move(f"{top}/{r.name}", f"{top}/{names[-1]}")
-    return names
+def write_named_batches(df: DataFrame, folder: str, stem: str, order: tuple[str, ...] = ("id", "file_id"), existing: str = "error", suffix: str = ".txt", threads: int = 1) -> list[str]:
+    """body of each batch, in order, as the lines of one file <stem>.<batch><suffix>; returns the files' names. A suffix that ends
+    in .xz compresses. The rules of `write_files` hold."""
+    name = F.concat(F.lit(f"{stem}."), F.col("batch").cast("string"), F.lit(suffix))
+    write_files(df, folder, name, "body", list(order), existing, threads)
+    return [r.n for r in df.select("batch", name.alias("n")).distinct().orderBy("batch").collect()]  # a row for each file
 
 
 def write_lines(lines: DataFrame, path: str, overwrite: bool = False, compression: str = "none", order: tuple[str, ...] = ("file", "line_idx")) -> None:
@@ -125,6 +96,14 @@ def write_tsv(df: DataFrame, path: str, header: bool = False, overwrite: bool =
     df.write.mode("overwrite" if overwrite else "append").csv(path, sep="\t", header=header)
 
 
+def write_text(text: str, address: str) -> None:
+    """A small file that the driver writes."""
+    system, path = open_folder(address)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    with system.open_output_stream(path, compression=None) as out:
+        out.write(text.encode())
+
+
 def compress(df: DataFrame, text: str = "text") -> DataFrame:
     """A column of xz bytes beside the text."""
     return df.withColumn("xz", xz_udf()(F.col(text)))
