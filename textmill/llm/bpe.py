@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import Cache, map_arrow, shared, word_chunks
+from textmill.llm.common import Cache, columns_of, keyed, map_arrow, shared, word_chunks
 
 #: White space as the public splitters mean it; Python's \s has four more characters.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -246,7 +246,7 @@ def encode_table(df: DataFrame, path: str, pattern: str, finish: Callable[[ByteB
 
         return work
 
-    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, {schema}", text, SLICE, keeps=True)
+    return map_arrow(columns_of(df, key, text), make, keyed(df, key, schema), text, SLICE, keeps=True)
 
 
 def encode_ids(df: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -37,7 +37,8 @@ _SLOT = 32
 _MARK = 46
 #: A-Z in lower case, tabs as spaces, what ends a piece as one mark.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else _MARK if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
-COUNTS = "lang string, size int, phrase string, count long"
+#: Up to so many languages their totals are broadcast.
+BROADCAST_LANGS = 100_000
 
 
 class Bitmap:
@@ -120,14 +121,16 @@ def intervals(ids: np.ndarray, joined: np.ndarray, shortest: int, longest: int)
         yield size, order[members[first]], np.diff(np.r_[first, len(members)])
 
 
-def shard_counts(lang: str, texts: list[str | None], shortest: int, longest: int, words: Bitmap | None, pairs: Bitmap | None) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """size, phrases and counts of a shard's phrases of shortest to longest words that the bitmaps do not rule out.
+def shard_counts(lang: str, texts: list[str | None], shortest: int, longest: int, words: Bitmap | None, pairs: Bitmap | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Keys and counts of a shard's phrases of shortest to longest words that the bitmaps do not rule out.
 
-    With shortest 1 there is one more row of size 0: how many words there are.
+    A key is one string, so that rows are small: the length of the lang, a colon, the lang and the phrase. With shortest 1 there is one
+    more row, with no phrase: how many words there are.
     """
     ids, names = word_ids(texts)
+    start = f"{len(lang)}:{lang}".encode()
     if shortest == 1:
-        yield 0, pa.array([b""]), np.array([np.count_nonzero(ids >= 0)])
+        yield pa.array([start]), np.array([np.count_nonzero(ids >= 0)])
     alive = ids >= 0
     if words is not None:
         kept = words.holds(lang, names)
@@ -143,15 +146,15 @@ def shard_counts(lang: str, texts: list[str | None], shortest: int, longest: int
         joined[two] = found[code] if len(two) else False
         stay = joined | np.r_[False, joined[:-1]]
         ids, joined = ids[stay], joined[stay]
-    table = pa.array(names, pa.binary())
+    table, first = pa.array(names, pa.binary()), pa.array([start + w for w in names], pa.binary())
     for size, at, counts in intervals(ids, joined, shortest, longest):
         if len(at):
-            columns = [table.take(pa.array(ids[at + k])) for k in range(size)]
-            yield size, columns[0] if size == 1 else pc.binary_join_element_wise(*columns, b" "), counts
+            columns = [(table if k else first).take(pa.array(ids[at + k])) for k in range(size)]
+            yield columns[0] if size == 1 else pc.binary_join_element_wise(*columns, b" "), counts
 
 
 def phrase_counts(docs: DataFrame, shortest: int, longest: int, words: Bitmap | None = None, pairs: Bitmap | None = None) -> DataFrame:
-    """lang, size, phrase and count over all shards. docs: lang, text."""
+    """key and count over all shards. docs: lang, text."""
     context = docs.sparkSession.sparkContext
     shared_words, shared_pairs = (None if b is None else context.broadcast(b) for b in (words, pairs))
 
@@ -163,30 +166,36 @@ def phrase_counts(docs: DataFrame, shortest: int, longest: int, words: Bitmap |
             out = []
             for lang in pc.unique(langs).to_pylist():
                 texts = batch.column("text").filter(pc.equal(langs, lang)).to_pylist()
-                for size, phrases, counts in shard_counts(lang, texts, shortest, longest, first, second):
-                    n = len(phrases)
-                    out.append(pa.RecordBatch.from_arrays([pa.repeat(lang, n), pa.array(np.full(n, size, np.int32)), phrases.cast(pa.string()), pa.array(counts, pa.int64())], names=["lang", "size", "phrase", "count"]))
-            empty = pa.RecordBatch.from_pylist([], pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("count", pa.int64())]))
-            return pa.concat_batches(out) if out else empty
+                for keys, counts in shard_counts(lang, texts, shortest, longest, first, second):
+                    out.append(pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(counts, pa.int64())], names=["key", "count"]))
+            return pa.concat_batches(out) if out else pa.RecordBatch.from_pylist([], pa.schema([("key", pa.string()), ("count", pa.int64())]))
 
         return count
 
-    each = map_arrow(docs, make, COUNTS, most=SHARD_BYTES)
-    return each.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
+    each = map_arrow(docs, make, "key string, count long", most=SHARD_BYTES)
+    return each.groupBy("key").agg(F.sum("count").alias("count"))
+
+
+def _phrases(counts: DataFrame) -> DataFrame:
+    """lang, size, phrase and count of keys and counts."""
+    length = F.substring_index("key", ":", 1)
+    rest, n = F.col("key").substr(F.char_length(length) + 2, F.char_length("key")), length.cast("int")
+    named = counts.select(rest.substr(F.lit(1), n).alias("lang"), rest.substr(n + 1, F.char_length(rest)).alias("phrase"), "count")
+    return named.select("lang", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("size"), "phrase", "count")
 
 
 def count_phrases(df: DataFrame, scratch: Scratch, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """lang, size, phrase and count of all phrases of 1 to `longest` words that occur at least `least` times; and for each lang
     a row of size 0 that counts all its words. Each pass is written once."""
     docs = df.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UND)).alias("lang"), F.col(f"`{text}`").alias("text"))
-    often = (F.col("count") >= least) | (F.col("size") == 0)
-    found = words = scratch.table(phrase_counts(docs, 1, 1).filter(often), "phrases1")
+    often = lambda counts: _phrases(counts).filter((F.col("count") >= least) | (F.col("size") == 0))
+    found = words = scratch.table(often(phrase_counts(docs, 1, 1)), "phrases1")
     if longest > 1:
         known = bitmap_of(words.filter("size = 1"))
-        pairs = scratch.table(phrase_counts(docs, 2, 2, known).filter(often), "phrases2")
+        pairs = scratch.table(often(phrase_counts(docs, 2, 2, known)), "phrases2")
         found = found.unionByName(pairs)
     if longest > 2:
-        found = found.unionByName(scratch.table(phrase_counts(docs, 3, longest, known, bitmap_of(pairs)).filter(often), "phrases3"))
+        found = found.unionByName(scratch.table(often(phrase_counts(docs, 3, longest, known, bitmap_of(pairs))), "phrases3"))
     return found
 
 
@@ -203,7 +212,8 @@ def weakest_cuts(counts: DataFrame) -> DataFrame:
     known = counts.filter("size > 0")
     cuts = merge_join(cuts, known.select("lang", F.col("phrase").alias("left"), F.col("count").alias("l")), ["lang", "left"])
     cuts = merge_join(cuts, known.select("lang", F.col("phrase").alias("right"), F.col("count").alias("r")), ["lang", "right"])
-    best = cuts.join(counts.filter("size = 0").select("lang", F.col("count").alias("n")), "lang")
+    totals = counts.filter("size = 0").select("lang", F.col("count").alias("n"))
+    best = cuts.join(F.broadcast(totals) if totals.limit(BROADCAST_LANGS + 1).count() <= BROADCAST_LANGS else totals, "lang")
     best = best.withColumn("p", whole("a") * whole("n") * F.lit(1000).cast("decimal(4,0)")).withColumn("q", whole("l") * whole("r"))
     best = best.groupBy("lang", "size", "phrase", "a", "n").agg(F.min(F.struct(F.expr("p div q").alias("score"), "k", "l", "r")).alias("c"))
     return best.select("lang", "size", "phrase", "a", "c.l", "c.r", "n", "c.score")

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
 import re
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructField, StructType
+
+from textmill.plans.scratch import Scratch
+
 
 #: Entries of a cache of word chunks or pre-tokens, so a worker's memory stays bounded.
 CACHE_ENTRIES = 700_000
@@ -22,66 +23,6 @@ CACHE_ENTRIES = 700_000
 LONGEST_CACHED = 64
 #: Python code handles at most about this many bytes of text at once (one longer text is handled alone).
 SLICE_BYTES = 4_000_000
-#: Bytes of a row group of a written table: a writer holds one for each task, and a reader each of its columns at once.
-ROW_GROUP = 16 << 20
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or what the context was given.
-
-    A local folder stands in only where neither is set and the master is local; elsewhere that is an error.
-    """
-    context = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not found:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        import tempfile
-
-        found = f"file://{tempfile.gettempdir()}/textmill-checkpoints"
-        context.setCheckpointDir(found)
-    return re.sub(r"^file:/+", "file:///", found).rstrip("/")
-
-
-class Scratch:
-    """Written tables below the shared folder: they cut lineage and survive the loss of executors."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/textmill-{uuid.uuid4().hex}"
-        self.names: set[str] = set()
-        atexit.register(self.drop)
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def table(self, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
-        """df, written as Parquet and read again. codec: zstd where whole texts are written; hashes hardly shrink, and its
-        compressors take memory outside the heap."""
-        df.write.mode("overwrite").option("compression", codec).option("parquet.block.size", ROW_GROUP).parquet(self.path(name))
-        self.names.add(name)
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
-
-    def keep(self, *names: str) -> None:
-        """Delete all tables but these."""
-        for name in self.names.difference(names):
-            self.drop(name)
-
-    def drop(self, name: str = "") -> None:
-        """Delete one table, or all of them; after the session has ended through Arrow's file systems."""
-        address, context = self.path(name) if name else self.root, self.spark.sparkContext
-        if context._jsc is not None:
-            path = context._jvm.org.apache.hadoop.fs.Path(address)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-            return
-        system, path = fs.FileSystem.from_uri(address)
-        if system.get_file_info(path).type != fs.FileType.NotFound:
-            system.delete_dir(path)
-
-    def close(self) -> None:
-        """Delete all tables now instead of at the end of the application; their DataFrames cannot be read any more."""
-        self.drop()
-        atexit.unregister(self.drop)
 
 
 def free_name(columns: list[str], name: str) -> str:
@@ -91,6 +32,22 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
+def keyed(df: DataFrame, key: str, rest: str) -> StructType:
+    """The schema of a key column of any name and type, and what else a row has."""
+    return StructType([StructField(key, df.schema[key].dataType), *StructType.fromDDL(rest).fields])
+
+
+def whole_number_key(df: DataFrame, key: str) -> None:
+    """Refuse keys that are no whole numbers, where they are ordered and kept as numbers."""
+    if not isinstance(df.schema[key].dataType, IntegralType):
+        raise TypeError(f"{key} is {df.schema[key].dataType.simpleString()}: keys must be whole numbers")
+
+
+def columns_of(df: DataFrame, *names: str) -> DataFrame:
+    """df's columns of these names, whatever characters they have."""
+    return df.select(*(F.col(f"`{n}`") for n in names))
+
+
 def numbered(df: DataFrame, scratch: Scratch, name: str, table: str = "rows", codec: str = "zstd") -> DataFrame:
     """df with a number for each row in column `name`; written once, so that every later pass sees the same numbers."""
     return scratch.table(df.withColumn(name, F.monotonically_increasing_id()), table, codec)

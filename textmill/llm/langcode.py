@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm.common import map_arrow, text_slices
+from textmill.llm.common import columns_of, keyed, map_arrow, text_slices
 
 FEATURES = 8192
 SAMPLE = 2400
@@ -131,7 +131,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(labelled: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
     """Learn from at most `sample` rows with a text and a language."""
-    rows = labelled.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang is not null and text is not null")
+    rows = columns_of(labelled, key, lang, text).toDF("key", "lang", "text").filter("lang is not null and text is not null")
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
     languages = sorted(sorted(counts, key=lambda x: (-counts[x], x))[:sample])
     if not languages:
@@ -164,7 +164,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", key: str = "doc_id
 
         return work
 
-    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, lang_pred string, score double, ambiguous boolean", text)
+    return map_arrow(columns_of(df, key, text), make, keyed(df, key, "lang_pred string, score double, ambiguous boolean"), text)
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textmill.llm.common import Scratch, free_name, map_arrow, merge_join, numbered, text_slices
+from textmill.llm.common import Scratch, free_name, map_arrow, merge_join, numbered, text_slices, whole_number_key
 from textmill.llm.components import components
 from textmill.llm.words import shingles
 
@@ -127,7 +127,9 @@ def set_digest(values: np.ndarray) -> bytes:
 
 def _rows_of(df: DataFrame, text: str, key: str) -> DataFrame:
     """id, place (an id that can be joined) and text."""
-    return df.select(df[key].cast("long").alias("id"), F.coalesce(df[key].cast("long"), F.xxhash64(df[text])).alias("place"), df[text].alias("text"))
+    whole_number_key(df, key)
+    id_, value = F.col(f"`{key}`").cast("long"), F.col(f"`{text}`")
+    return df.select(id_.alias("id"), F.coalesce(id_, F.xxhash64(value)).alias("place"), value.alias("text"))
 
 
 def signatures(rows: DataFrame, size: int, plan: Layout) -> DataFrame:

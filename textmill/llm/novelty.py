@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from textmill.llm.common import free_name, map_arrow
+from textmill.llm.common import Scratch, free_name, map_arrow
 
 #: Kinds in order, their patterns, the group that has a least length, and that length.
 KINDS = (
@@ -50,11 +50,22 @@ DICTIONARY_BYTES = 100_000
 LEVEL = 12
 
 
-def identifier_dictionary(df: DataFrame, text: str = "text", size: int = DICTIONARY_BYTES) -> bytes:
-    """The most frequent identifiers of all texts, at most `size` bytes, the most frequent last, where references are short."""
+def identifier_dictionary(df: DataFrame, scratch: Scratch, text: str = "text", size: int = DICTIONARY_BYTES) -> bytes:
+    """The most frequent identifiers of all texts, at most `size` bytes, the most frequent last, where references are short.
+
+    How often an identifier must occur is read off the numbers of identifiers by the logarithm of their counts, so only about as many
+    as there is room for reach the driver.
+    """
     words = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(r"[A-Za-z_À-ɏ][A-Za-z0-9_À-ɏ]{3,31}"), F.lit(0))
-    counts = df.select(F.explode(words).alias("w")).groupBy("w").count()
-    best = counts.filter("count > 1").orderBy(F.desc("count"), "w").limit(size // 4).collect()  # bounded by the size
+    counts = df.select(F.explode(words).alias("w")).groupBy("w").count().filter("count > 1")
+    counts = scratch.table(counts.withColumn("step", F.floor(8 * F.log2("count"))), "identifiers")
+    room, steps, found = size // 5, counts.groupBy("step").agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect(), 0  # some hundred steps
+    for least in steps:
+        found += least["n"]
+        if found >= room:
+            break
+    best = counts.filter(F.col("step") >= (least["step"] if steps else 0)).orderBy(F.desc("count"), "w").limit(room).collect()
+    scratch.drop("identifiers")
     out = b""
     for row in best:
         if len(out) + len(more := row["w"].encode() + b" ") > size:
@@ -119,7 +130,7 @@ def written(spans: list[tuple[str, int, int]]) -> str:
 def find_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", dictionary: bytes | None = None, sensitive: str = SENSITIVE, least: float = NOVELTY) -> DataFrame:
     """key, base and spans (both like kind:start:end,…) and a count of base spans of each kind, n_<kind>. dictionary: by
     default that of the table's identifiers."""
-    primed = df.sparkSession.sparkContext.broadcast(identifier_dictionary(df, text) if dictionary is None else dictionary)
+    primed = df.sparkSession.sparkContext.broadcast(identifier_dictionary(df, Scratch(df.sparkSession), text) if dictionary is None else dictionary)
     kinds = [k for k, *_ in KINDS]
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:

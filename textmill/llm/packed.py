@@ -26,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from textmill.llm.common import Cache, Scratch, shared, text_slices, uncollected, word_chunks
+from textmill.llm.common import Cache, Scratch, columns_of, shared, text_slices, uncollected, whole_number_key, word_chunks
 from textmill.llm.files import open_input, open_output
 
 _MARKS = ".,;:!?"
@@ -240,10 +242,12 @@ def shared_tokenizer(path: str, ordinary: bool) -> CachedTokenizer:
 def write_ids(df: DataFrame, tokenizer: str, end_id: int, scratch: Scratch, ordinary: bool = True, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Encode every text, append end_id and write files in ascending key order.
 
-    Returns the committed manifest: part, file, n_docs, n_ids. ordinary: strings of special tokens are plain text.
+    Returns the committed manifest: part, file, n_docs, n_ids. ordinary: strings of special tokens are plain text. Keys are whole
+    numbers, since the files keep them so; others are refused.
     """
+    whole_number_key(df, key)
     folder = scratch.path("ids")
-    rows = df.select(df[key].cast("long").alias("key"), df[text].alias("text"))
+    rows = columns_of(df, key, text).toDF("key", "text").withColumn("key", F.col("key").cast("long"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer, part = shared_tokenizer(tokenizer, ordinary), None, TaskContext.get().partitionId()
@@ -280,7 +284,7 @@ def read_ids(spark: SparkSession, manifest: DataFrame, key: str = "doc_id") -> D
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], [key, "start", "n_tokens", "ids_crc32"])
 
-    return spark.createDataFrame(plan, "file string, at long").mapInArrow(read, f"{key} long, start long, n_tokens long, ids_crc32 long")
+    return spark.createDataFrame(plan, "file string, at long").mapInArrow(read, StructType([StructField(n, LongType()) for n in (key, "start", "n_tokens", "ids_crc32")]))
 
 
 def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm.common import map_arrow
+from textmill.llm.common import columns_of, keyed, map_arrow
 
 SPACE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -123,7 +123,7 @@ def judge(df: DataFrame, limits: RepeatLimits = RepeatLimits(), text: str = "tex
 
         return work
 
-    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, {SCHEMA}", text, QUALITY_SLICE)
+    return map_arrow(columns_of(df, key, text), make, keyed(df, key, SCHEMA), text, QUALITY_SLICE)
 
 
 def keep_good(df: DataFrame, limits: RepeatLimits = RepeatLimits(), text: str = "text") -> DataFrame:  # noqa: B008

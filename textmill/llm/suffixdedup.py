@@ -131,6 +131,10 @@ def _segments(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarr
         size += b - a
 
 
+#: A window's places after its anchor, and its bytes beyond a gram, have this many bits.
+PLACE_BITS = 10
+
+
 def _pack(place: np.ndarray, offset: np.ndarray, more: np.ndarray) -> np.ndarray:
     return place << 20 | offset << 10 | more
 
@@ -244,7 +248,13 @@ def _unpacker():
 
 
 def repeated_spans(rows: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """row, start and end of spans of rows(row, n_bytes, packed) whose every window of `length` bytes occurs elsewhere; spans overlap."""
+    """row, start and end of spans of rows(row, n_bytes, packed) whose every window of `length` bytes occurs elsewhere; spans overlap.
+
+    Packed places have PLACE_BITS for a window's distance from its anchor, so windows may be that much longer than a gram: longer ones
+    are refused.
+    """
+    if not 0 <= length - gram < 1 << PLACE_BITS:
+        raise ValueError(f"windows must be {gram} to {gram + (1 << PLACE_BITS) - 1} bytes long, not {length}")
     found = scratch.table(find_occurrences(rows, length, gram), "found")
     often = scratch.table(found.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor"), "often")
     hits = scratch.table(merge_join(found, often, "anchor"), "hits")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm.bpe import read_ranks, splitter
-from textmill.llm.common import Cache, map_arrow, shared, word_chunks
+from textmill.llm.common import Cache, columns_of, keyed, map_arrow, shared, word_chunks
 
 
 def rank_scores(ranks: dict[bytes, int]) -> dict[bytes, float]:
@@ -110,7 +110,7 @@ def token_counts(df: DataFrame, path: str, pattern: str, text: str = "text", key
 
         return work
 
-    return map_arrow(df.select(df[key], df[text]), make, f"{key} {df.schema[key].dataType.simpleString()}, n_pretokens long, n_tokens long", text, keeps=True)
+    return map_arrow(columns_of(df, key, text), make, keyed(df, key, "n_pretokens long, n_tokens long"), text, keeps=True)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

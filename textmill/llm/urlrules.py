@@ -63,8 +63,12 @@ def literal_tokens(expr: str) -> tuple[str, ...]:
             found.append(run)
         run, sure = "", by
 
-    for op, value in _parser.parse(expr):
-        if op is _ops.LITERAL:
+    parsed = _parser.parse(expr)
+    folds = parsed.state.flags & re.IGNORECASE and not parsed.state.flags & re.ASCII
+    for op, value in parsed:
+        if op is _ops.LITERAL and folds and chr(value) in "iks":
+            end(False)  # these have capitals or small forms that are no ASCII
+        elif op is _ops.LITERAL:
             if _TOKEN.fullmatch(chr(value)):
                 run += chr(value)
             else:

@@ -56,9 +56,10 @@ _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
 def url_key(url: str | None) -> str:
-    """Host labels from the right, then path and query: captures of a site sort together."""
-    if not (m := _HOST.match(url or "")):
-        return url or ""
+    """Host labels from the right, then path and query: captures of a site sort together. NUL, which parts the fields of a bound, is escaped."""
+    url = (url or "").replace("\x00", "%00")
+    if not (m := _HOST.match(url)):
+        return url
     host = m[1].rpartition("@")[2].lower()
     return f"{','.join(reversed(host.split('.')))}){m[2].partition('#')[0] or '/'}"
 
