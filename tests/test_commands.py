@@ -1,3 +1,5 @@
+import pytest
+
 from textmill import __main__ as M
 from textmill.operators import tokens as K
 
@@ -49,3 +51,80 @@ def test_languages_belong_to_their_file(spark, tmp_path):
     assert M.main(["enrich", str(tmp_path / "in"), str(tmp_path / "out"), "--langid", str(tmp_path / "lang")]) == 0
     got = [r.value for r in spark.read.text(str(tmp_path / "out")).collect()]
     assert [x for x in got if x.startswith("<s ")] == ['<s id="0" lang="en" >', '<s id="0" lang="fr" >'] and len([x for x in got if x.startswith("<docx")]) == 2
+
+
+def test_a_file_for_each_file(spark, tmp_path):
+    """Plain and compressed files of the same lines, named as what they come from."""
+    import lzma
+
+    (tmp_path / "in").mkdir()
+    for name in ("a.1", "b"):
+        (tmp_path / "in" / f"{name}.conllu").write_text("\n".join([f"# newdoc id={name[0]}", "# sent_id = 0", *("\t".join([str(k), f"w{k}é", *"________"]) for k in (1, 2, 3)), "", ""]))
+    assert M.main(["to-vert", str(tmp_path / "in"), str(tmp_path / "out"), "--each", "--compress", "--keep", "-T", "2"]) == 0
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["a.vert", "a.vert.xz", "b.vert", "b.vert.xz"]
+    plain = (tmp_path / "out" / "b.vert").read_text()
+    assert plain.splitlines()[0] == '<doc id="b" >' and plain.splitlines()[-1] == "</doc>" and len(plain.splitlines()) == 7
+    assert lzma.decompress((tmp_path / "out" / "b.vert.xz").read_bytes()).decode() == plain
+    assert M.main(["enrich", str(tmp_path / "out" / "b.vert.xz"), str(tmp_path / "rich"), "--each", "--compress"]) == 0
+    rich = lzma.decompress((tmp_path / "rich" / "b.vert.xz").read_bytes()).decode().splitlines()
+    assert rich[0].startswith("<docx ref") and rich[1] == '<doc id="b" ref="1" >' and rich[-1] == "</docx>"
+
+
+def test_export_command(spark, tmp_path, capsys):
+    """Texts of a language and of a range of dates, own ones and those of attachments, in files with the names of the range."""
+    from pyspark.sql import functions as F
+
+    (tmp_path / "texts" / "5").mkdir(parents=True)
+    (tmp_path / "texts" / "5" / "1.txt").write_text("attached")
+    share = lambda en: F.create_map(F.lit("en"), F.lit(en))
+    texts = spark.createDataFrame([(i, 0, f"text {i}") for i in range(1, 9)] + [(5, 1, None), (6, 2, None)], "id long, file_id long, text string")
+    texts = texts.withColumn("lid", F.when(F.col("id") == 2, share(0.7)).otherwise(share(0.8)))
+    tables = tmp_path / "tables"
+    texts.write.parquet(f"{tables}/texts")
+    spark.createDataFrame([(i, f'<doc id="{i}" file_id="FILE_ID" >') for i in range(1, 9)], "id long, doc_tag string").write.parquet(f"{tables}/attrs")
+    spark.createDataFrame([(i, f"202{i}-01-01T00:00:00+00:00") for i in range(1, 9)], "id long, date string").write.parquet(f"{tables}/records")
+    args = ["export", str(tables), str(tmp_path / "out"), "--lang", "en", "--stem", "rw", "--start", "2021-01-01", "--end", "2026-01-01", "--per-file", "3", "--texts", str(tmp_path / "texts")]
+    assert M.main(args) == 0
+    names = [f"rw_en_2021-01-01_2026-01-01.{k}.txt" for k in (1, 2)]
+    assert capsys.readouterr().out.split() == names == sorted(p.name for p in (tmp_path / "out").iterdir())
+    first, second = ((tmp_path / "out" / n).read_text() for n in names)
+    assert first == "\n".join(f'<doc id="{i}" file_id="0" >\ntext {i}\n</doc>' for i in (1, 3, 4))
+    assert second == '<doc id="5" file_id="0" >\ntext 5\n</doc>\n<doc id="5" file_id="1" >\nattached\n</doc>\n<doc id="6" file_id="0" >\ntext 6\n</doc>'
+    with pytest.raises(SystemExit):
+        M.main([*args[:-6], "--start", "2021-1-1"])
+    assert "no date of the form" in capsys.readouterr().err
+
+
+def test_compare_command(spark, tmp_path, capsys):
+    """Documents are aligned by id, whatever file they are in; tags are compared as a mapping says."""
+    import json
+
+    def write(name, docs):
+        (tmp_path / name).mkdir()
+        for k, (i, tokens) in enumerate(docs):
+            rows = [f"{w}\t{t}\tx-y" for w, t in tokens]
+            (tmp_path / name / f"{k}.vert").write_text("\n".join([f'<doc id="{i}" file_id="0" >', "<s>", *rows, "</s>", "</doc>"]))
+
+    one, two = [("the", "DT"), ("cat", "NN"), ("sat", "VBD")], [("a", "DT"), ("b", "NN")]
+    write("first", [(1, one), (2, two)])
+    write("second", [(2, [("a", "Z"), ("b", "Nx")]), (1, [("the", "Z"), ("cat", "Vx"), ("sat", "Vx"), ("down", "Rx")])])
+    (tmp_path / "map.json").write_text(json.dumps({"p": {"DT": {"upos": "DET"}, "NN": {"upos": "NOUN"}, "VBD": {"upos": "VERB"}}, "f": {"Z": "DET", "Nx": "NOUN", "Vx": "VERB"}}))
+    assert M.main(["compare", str(tmp_path / "first"), str(tmp_path / "second"), "--mapping", str(tmp_path / "map.json"), "--tagset", "p", "f", "--out", str(tmp_path / "out")]) == 0
+    text = capsys.readouterr().out
+    assert "| 1-second | 5 | 4 | 1 | 0 | 1 | 0 | 80.00 | 20.00 |" in text and "| Rx | 0 | 1 |" in text and "| cat | NOUN | VERB | 1 | 100.00 | 20.00 |" in text
+    assert (tmp_path / "out" / "report.md").read_text() == text
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["1-second-differences", "1-second-errors", "1-second-ignored", "1-second-pairs", "report.md", "tags"]
+
+
+def test_normalize_options(monkeypatch, capsys):
+    import io
+
+    def run(text, *options):
+        monkeypatch.setattr("sys.stdin", io.TextIOWrapper(io.BytesIO(text.encode("latin-1" if "-e" in options else "utf-8"))))
+        assert M.main(["normalize", *options]) == 0
+        return capsys.readouterr().out
+
+    assert run(" a \n\nb\n", "-s") == " a \nb\n" and run("a\n\n \nb\n", "-z") == "a\n\n\nb\n"
+    assert run("a\nb\n", "-n", "dos") == "a\r\nb\r\n"
+    assert run("a\tb\n", "-t", "none") == "ab\n" and run("a\tb\n", "-t", "tab", "-c", "9") == "a\tb\n" and run("a\tb\n", "-t", "tab") == "ab\n"
+    assert run("ﬁ “x” —\n", "-f", "NFC", "-q", "-a") == "ﬁ “x” —\n" and run("café\n", "-e", "latin-1") == "café\n"

@@ -1,6 +1,7 @@
 """Commands over files: python -m textmill COMMAND ...
 
 normalize   text lines from stdin or a folder, cleaned
+export      texts of a language and a range of dates to named files
 to-conll    tagged text files to CoNLL-U
 to-vert     CoNLL-U to vertical
 verify      documents in files of several formats
@@ -12,6 +13,7 @@ compare     taggings of vertical files against the first: tables and a report
 from __future__ import annotations
 
 import argparse
+import datetime
 import importlib
 import sys
 from collections.abc import Callable
@@ -26,6 +28,7 @@ from textmill.functions import unicode as U
 from textmill.operators import align as A
 from textmill.operators import annotate as N
 from textmill.operators import compare as C
+from textmill.operators import corpus as O
 from textmill.operators import langid as L
 from textmill.operators import tokens as K
 from textmill.plans.scratch import Scratch
@@ -97,6 +100,37 @@ def enrich(lines: DataFrame, languages: DataFrame | None = None, doc_n: int = 1,
     return K.wrap_files(lines, names.withColumn("name", F.regexp_extract("file", r"([^/]+)$", 1)))
 
 
+def check_date(text: str) -> str:
+    """A date written YYYY-MM-DD."""
+    try:
+        if datetime.date.fromisoformat(text).isoformat() == text:
+            return text
+    except ValueError:
+        pass
+    raise argparse.ArgumentTypeError(f"{text} is no date of the form YYYY-MM-DD")
+
+
+def export_files(spark: SparkSession, tables: str, out: str, lang: str, stem: str = "corpus", least: float = 0.8, start: str = "1900-01-01", end: str = "2100-12-31", per_file: int = 10_000, texts_dir: str | None = None, existing: str = "error", suffix: str = ".txt", threads: int = 1) -> list[str]:
+    """Tagged texts of a language in files <stem>_<lang>_<start>_<end>.<n><suffix> of `per_file` texts, in order of id and file_id.
+
+    tables: a folder with Parquet tables texts (id, file_id, lid, text), attrs (id, doc_tag) and records (id, date). texts_dir: where
+    texts of attachments are, as id/file_id.txt.
+    """
+    texts, attrs, records = (spark.read.parquet(f"{tables}/{t}") for t in ("texts", "attrs", "records"))
+    if texts_dir:
+        texts = O.with_file_texts(texts, files.read_texts(spark, texts_dir), texts_dir).drop("path")
+    rows = O.export(texts, attrs, records, lang, least, start, end, per_file)
+    return files.write_named_batches(rows, out, f"{stem}_{lang}_{start}_{end}", ("id", "file_id"), existing, suffix, threads)
+
+
+def write_each(lines: DataFrame, out: str, suffix: str, force: bool = False, compress: bool = False, keep: bool = False, threads: int = 1) -> None:
+    """Lines (file, line_idx, value) of each file as a file of its own: the stem of its name and the suffix; with .xz if compress is on,
+    and also plain if keep is on too."""
+    stem = F.regexp_extract("file", r"([^/]+?)(?:\.[A-Za-z0-9]+)*$", 1)
+    for end in ([".xz"] if compress else []) + ([""] if keep or not compress else []):
+        files.write_files(lines, out, F.concat(stem, F.lit(suffix + end)), "value", ["file", "line_idx"], "replace" if force else "error", threads)
+
+
 def document_tokens(lines: DataFrame) -> DataFrame:
     """doc (id and file_id of the document's tag), pos, word and tag of the tokens of vertical lines, which have word, tag in the
     columns 2 and 4; or in 1 and 2 if there are fewer. The files of a folder are one corpus."""
@@ -140,13 +174,38 @@ def compare(spark: SparkSession, sources: list[str], out: str | None = None, map
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="textmill", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="command", required=True)
-    for name, paths in (("normalize", "?"), ("to-conll", None), ("to-vert", None), ("verify", "+"), ("langid", None), ("enrich", None), ("compare", "+")):
+    for name, paths in (("normalize", "?"), ("export", None), ("to-conll", None), ("to-vert", None), ("verify", "+"), ("langid", None), ("enrich", None), ("compare", "+")):
         c = sub.add_parser(name)
         c.add_argument("source", nargs=paths) if paths else c.add_argument("source")
         if name not in ("normalize", "verify", "compare"):
             c.add_argument("out")
             c.add_argument("--force", action="store_true", help="overwrite")
             c.add_argument("--compression", default="none")
+            c.add_argument("--each", action="store_true", help="to-vert, enrich: a file for each file that is read")
+            c.add_argument("--compress", action="store_true", help="with --each, or of an export: xz")
+            c.add_argument("--keep", action="store_true", help="with --compress: plain files too")
+            c.add_argument("-T", "--threads", type=int, default=1, help="threads that compress a file")
+        if name == "normalize":
+            c.add_argument("--out", help="a folder for a file of each file of a folder")
+            c.add_argument("-f", "--normal-form", default="NFKC", choices=("NFKC", "NFC", "NFKD", "NFD"))
+            c.add_argument("-t", "--tab", default="space", choices=("space", "tab", "none"))
+            c.add_argument("-c", "--keep-chars", nargs="*", default=["200D"], help="controls to keep, in hexadecimal")
+            c.add_argument("-n", "--new-line", default="unix", choices=("unix", "dos"))
+            c.add_argument("-q", "--keep-quotes", action="store_true")
+            c.add_argument("-a", "--keep-dashes", action="store_true")
+            c.add_argument("-s", "--dont-strip", action="store_true")
+            c.add_argument("-z", "--keep-empty", action="store_true")
+            c.add_argument("-e", "--encoding", default="utf_8")
+            c.add_argument("-d", "--decoding-errors", default="replace", choices=("replace", "ignore", "strict"))
+        if name == "export":
+            c.add_argument("--lang", required=True)
+            c.add_argument("--stem", default="corpus")
+            c.add_argument("--least", type=float, default=0.8)
+            c.add_argument("--start", type=check_date, default="1900-01-01")
+            c.add_argument("--end", type=check_date, default="2100-12-31")
+            c.add_argument("--per-file", type=int, default=10_000)
+            c.add_argument("--texts", help="a folder with texts of attachments")
+            c.add_argument("--existing", default="error", choices=("error", "replace", "append"))
         if name == "to-conll":
             c.add_argument("--wrap", action="store_true")
             c.add_argument("--uninorm", action="store_true")
@@ -164,28 +223,49 @@ def main(args: list[str] | None = None) -> int:
             c.add_argument("--docx-n", type=int, default=1)
             c.add_argument("--uuid", action="store_true")
     a = p.parse_args(args)
-    if a.command == "normalize" and not a.source:
-        for line in sys.stdin.buffer:
-            sys.stdout.write(U.normalize_line(line.decode("utf-8", "replace")))
-        return 0
+    if a.command == "normalize":
+        chars = "".join(chr(int(x, 16)) for x in a.keep_chars)
+        options = {"form": a.normal_form, "tab": {"space": " ", "tab": "\t", "none": ""}[a.tab], "keep": chars, "new_line": "\r\n" if a.new_line == "dos" else "\n", "keep_quotes": a.keep_quotes, "keep_dashes": a.keep_dashes, "strip": not a.dont_strip, "keep_empty": a.keep_empty}
+        if not a.source:
+            for line in sys.stdin.buffer:
+                sys.stdout.write(U.normalize_text(line.decode(a.encoding, a.decoding_errors).rstrip("\n"), **options))
+            return 0
     from textmill.plans.session import session, ship
 
     spark = SparkSession.getActiveSession() or session()
     ship(spark)
     lines = lambda x: files.read_lines(spark, x)
     if a.command == "normalize":
-        for r in lines(a.source).withColumn("v", U.normalize_udf()("value")).orderBy("file", "line_idx").select("v").toLocalIterator():
-            sys.stdout.write(r.v)
+        rows = lines(a.source).withColumn("v", U.normalize_udf(**options)("value"))
+        if a.out:
+            rows = rows.filter("v <> ''").withColumn("value", F.regexp_replace("v", "\\n$", ""))
+            write_each(rows, a.out, ".txt")
+        else:
+            for r in rows.orderBy("file", "line_idx").select("v").toLocalIterator():
+                sys.stdout.write(r.v)
+    elif a.command == "export":
+        existing = "replace" if a.force else a.existing
+        for suffix in ([".txt.xz"] if a.compress else []) + ([".txt"] if a.keep or not a.compress else []):
+            print(*export_files(spark, a.source, a.out, a.lang, a.stem, a.least, a.start, a.end, a.per_file, a.texts, existing, suffix, a.threads), sep="\n")
     elif a.command == "to-conll":
-        files.write_lines(to_conll(spark, a.source, a.wrap, a.uninorm, plug_in(a.annotator)), a.out, a.force, a.compression)
+        found = to_conll(spark, a.source, a.wrap, a.uninorm, plug_in(a.annotator))
+        files.write_lines(found, a.out, a.force, a.compression)
     elif a.command == "to-vert":
-        files.write_lines(to_vertical(lines(a.source)), a.out, a.force, a.compression)
+        found = to_vertical(lines(a.source))
+        if a.each:
+            write_each(found, a.out, ".vert", a.force, a.compress, a.keep, a.threads)
+        else:
+            files.write_lines(found, a.out, a.force, a.compression)
     elif a.command == "langid":
         files.write_tsv(sentence_languages(lines(a.source), a.short, a.long).select("file", "line_idx", "lang"), a.out, overwrite=a.force)
     elif a.command == "enrich":
         names = lines(a.source)
         langs = files.read_sentence_languages(spark, a.langid, files=True) if a.langid else None
-        files.write_lines(enrich(names, langs, a.doc_n, a.docx_n, a.uuid), a.out, a.force, a.compression)
+        found = enrich(names, langs, a.doc_n, a.docx_n, a.uuid)
+        if a.each:
+            write_each(found, a.out, ".vert", a.force, a.compress, a.keep, a.threads)
+        else:
+            files.write_lines(found, a.out, a.force, a.compression)
     elif a.command == "verify":
         counts = [lines(x).filter(F.col("value").rlike(r"^(<doc |# newdoc)")).count() for x in a.source]
         print(dict(zip(a.source, counts, strict=True)))

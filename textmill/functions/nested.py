@@ -86,6 +86,11 @@ def object_keys(c: Column | str) -> Column:
     return F.json_object_keys(_col(c))
 
 
+def json_truth(c: Column | str, name: str) -> Column:
+    """Whether a JSON object has a number other than 0 by a name."""
+    return F.coalesce(F.get_json_object(_col(c), f"$.{name}").try_cast("double") != 0, F.lit(False))
+
+
 def year_columns(df: DataFrame, prefix: str = "date__", suffix: str = "__year") -> DataFrame:
     """A year column for each date column."""
     return df.withColumns({f"{c}{suffix}": F.date_format(F.to_timestamp(c), "yyyy") for c in df.columns if c.startswith(prefix) and not c.endswith(suffix)})

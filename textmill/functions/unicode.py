@@ -31,11 +31,11 @@ def decode_entities(text: str, keep_markup: bool = True) -> str:
     return _ENTITY.sub(one, text)
 
 
-def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep_empty: bool = False, full_decode: bool = False, keep_quotes: bool = False, keep_dashes: bool = False, tab: str = " ", keep: str = "\u200d") -> str:
+def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep_empty: bool = False, full_decode: bool = False, keep_quotes: bool = False, keep_dashes: bool = False, tab: str = " ", keep: str = "\u200d", strip: bool = True, new_line: str = "\n") -> str:
     """One line: references, spaces, normal form (without compatibility folding inside tags), quotes, dashes, controls.
 
-    Line and paragraph separators split it; each part is stripped, and blank ones go unless keep_empty. Ends in a newline
-    if anything is left.
+    Newlines, line and paragraph separators split it; each part is stripped unless strip is off, and empty ones go unless keep_empty.
+    What is left ends in new_line. tab: what a tab becomes (a tab is a control, so it stays only if keep has it).
     """
     from textmill.functions import text as T
 
@@ -55,8 +55,8 @@ def normalize_line(text: str, form: str = "NFKC", guillemets: bool = False, keep
     text = "".join(out).replace("\t", tab)
     if not text.isprintable():  # else no character of a category C
         text = "".join(c for c in text if c in keep or unicodedata.category(c)[0] != "C")
-    parts = [p.strip() for p in re.split("[\u2028\u2029]", text)]
-    return "".join(f"{p}\n" for p in parts if p or keep_empty)
+    parts = [p.strip() if strip else p for p in re.split("[\u2028\u2029]", text)]
+    return "".join(p + new_line for p in parts if p or keep_empty)
 
 
 #: First and last code points of the blocks that most text is made of; what lies outside is looked at in Python.

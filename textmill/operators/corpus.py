@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -104,6 +105,16 @@ def export(texts: DataFrame, attrs: DataFrame, records: DataFrame, lang: str, le
     return rows.select("id", "file_id", T.wrap_doc(T.fill_file_id("doc_tag", "file_id"), "text").alias("body"), "batch")
 
 
+def observed(seen: Observation, name: str) -> int:
+    """A count that was observed by an action that is over; 0 if its part of the plan had no rows and was left out while it ran."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError as e:
+        if "assertion failed" not in str(e.java_exception):
+            raise
+        return 0
+
+
 def with_counts(texts: DataFrame, seen: Observation, text: str = "text", tool: str | None = None) -> DataFrame:
     """texts with blank ones as null, and without rows that no tool has worked on (tool: its column). seen: observes, while the rows pass,
     how many there are (rows), blank (blank) and null before (missing), and how many have no tool (no_tool)."""

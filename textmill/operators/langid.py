@@ -52,6 +52,16 @@ def profile_model(profiles: dict[str, tuple[str, ...]] = PROFILES) -> LineModel:
     return model
 
 
+def profile_score(profiles: dict[str, tuple[str, ...]] = PROFILES) -> LineModel:
+    """How sure the profile model is: the share of words that are function words of the best language."""
+
+    def score(text: Column) -> Column:
+        words = F.split(F.lower(text), " ")
+        return F.greatest(*(F.size(F.filter(words, _is_in(p))) for p in profiles.values())) / F.size(words)
+
+    return score
+
+
 def tidy_lines(df: DataFrame, line: str = "line") -> DataFrame:
     """df with each line normalised as by normalize_line, then cleaned.
 

@@ -13,6 +13,8 @@ from textmill.functions import text as T
 from textmill.operators.corpus import global_positions
 
 CONLLU = ("id", "form", "lemma", "upos", "xpos", "feats", "head", "deprel", "deps", "misc")
+#: What stands for null in a line.
+_NO_VALUE = "\x00"
 # Fixed values of the default sentence splitter: enders, starters that begin the next sentence, longest sentence in words.
 ENDERS, STARTERS, LONGEST = ".?!", "¿¡", 250
 
@@ -88,24 +90,26 @@ def splice_multiword(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Token rows with each multi-word range and its members as one row.
 
     keys name the sentence. Form and misc come from the range's row, the other columns join the members' values by comma,
-    or keep the one value that all share. A range ends at its last member, at the next range or with the sentence.
+    or keep the one value that all share. A range ends at its last member, at the next range or with the sentence. The ten
+    columns travel as one line, as in a file, so a shuffled row is small; no value has a tab, as none in a file can.
     """
     low, high = F.regexp_extract("id", r"^(\d+)-(\d+)$", 1), F.regexp_extract("id", r"^(\d+)-(\d+)$", 2)
     order = W.partitionBy(*keys).orderBy("line_idx")
-    t = rows.withColumn("_range", F.when(F.col("id").contains("-"), F.struct("line_idx", low.cast("int").alias("a"), high.cast("int").alias("b"))))
-    t = t.withColumn("_last", F.last("_range", ignorenulls=True).over(order))
-    member = F.col("_range").isNull() & F.col("_last").isNotNull() & F.col("id").try_cast("int").between(F.col("_last.a"), F.col("_last.b"))
-    t = t.withColumn("_group", F.when(F.col("_range").isNotNull() | member, F.col("_last.line_idx")).otherwise(F.col("line_idx")))
-    cells = F.array_sort(F.collect_list(F.struct("line_idx", F.col("_range").isNotNull().alias("_head"), *CONLLU)))
-    grouped = t.groupBy(*keys, "_group").agg(cells.alias("c"))
-
-    def joined(name: str) -> Column:
-        parts = F.filter("c", lambda x: ~x["_head"]) if name not in ("form", "misc") else F.filter("c", lambda x: x["_head"])
-        parts = F.when(F.size("c") == 1, F.col("c")).otherwise(parts)
-        values = F.transform(parts, lambda x: x[name])
+    is_range = F.col("id").contains("-")
+    line = F.concat_ws("\t", *(F.coalesce(F.col(c), F.lit(_NO_VALUE)) for c in CONLLU))
+    t = rows.select(*keys, "line_idx", F.when(is_range, low.try_cast("int")).alias("_a"), F.when(is_range, high.try_cast("int")).alias("_b"), is_range.alias("_head"), F.col("id").try_cast("int").alias("_n"), line.alias("_line"))
+    t = t.withColumn("_last", F.last(F.when(F.col("_head"), F.struct("line_idx", "_a", "_b")), ignorenulls=True).over(order))
+    member = ~F.col("_head") & F.col("_last").isNotNull() & F.col("_n").between(F.col("_last._a"), F.col("_last._b"))
+    t = t.select(*keys, F.when(F.col("_head") | member, F.col("_last.line_idx")).otherwise(F.col("line_idx")).alias("_group"), "line_idx", "_head", "_line")
+    grouped = t.groupBy(*keys, "_group").agg(F.array_sort(F.collect_list(F.struct("line_idx", "_head", "_line"))).alias("c"))
+    cells = lambda which: F.transform(F.filter("c", lambda x: F.when(F.size("c") == 1, True).otherwise(x["_head"] == which)), lambda x: F.split(x["_line"], "\t"))
+    parted = grouped.select(*keys, F.col("_group").alias("line_idx"), cells(True).alias("_heads"), cells(False).alias("_members"))
+
+    def joined(k: int, name: str) -> Column:
+        values = F.transform("_heads" if name in ("form", "misc") else "_members", lambda x: F.when(x[k] != _NO_VALUE, x[k]))
         return F.when(F.size(F.array_distinct(values)) == 1, values[0]).otherwise(F.array_join(values, ",", "")).alias(name)
 
-    return grouped.select(*keys, F.col("_group").alias("line_idx"), *(joined(c) for c in CONLLU))
+    return parted.select(*keys, "line_idx", *(joined(k, c) for k, c in enumerate(CONLLU)))
 
 
 def read_tagged(lines: DataFrame, file: str = "file") -> DataFrame:

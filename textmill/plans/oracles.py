@@ -57,6 +57,12 @@ LINES = "SELECT doc_id, (generate_subscripts(string_split(text, chr(10)), 1) - 1
 CLEANED = f"SELECT doc_id, line_idx, {clean_line('line')} AS line FROM ({LINES})"
 
 
+def best_count(c: str) -> str:
+    """How many function words of the best language there are."""
+    words = f"string_split(lower({c}), ' ')"
+    return "greatest(" + ", ".join(f"len(list_filter({words}, lambda w: w IN ({', '.join(repr(w) for w in p)})))" for p in L.PROFILES.values()) + ")"
+
+
 def model(c: str) -> str:
     words = f"string_split(lower({c}), ' ')"
     score = {k: f"len(list_filter({words}, lambda w: w IN ({', '.join(repr(w) for w in p)})))" for k, p in sorted(L.PROFILES.items())}
@@ -144,7 +150,7 @@ def oracle_sql() -> dict[str, str]:
         "lid_l1": L1,
         "lid_multiling": f"SELECT doc_id, count(*) FILTER (lang NOT IN ('unknown', 'short')) > 1 AS multi FROM ({SHARES}) GROUP BY doc_id",
         "lid_filters": f"SELECT doc_id, l1_size FROM ({L1}) WHERE l1 = 'en' AND l1_size BETWEEN 0.5 AND 0.95",
-        "lid_unsure": f"SELECT CASE WHEN length(lang) * 0.2::DOUBLE > 0.9 THEN lang ELSE 'unknown' END AS lang, count(*)::BIGINT AS n FROM ({LID}) GROUP BY 1",
+        "lid_unsure": f"SELECT CASE WHEN {best_count('line')}::DOUBLE / len(string_split(lower(line), ' ')) > 0.25 THEN {model('line')} ELSE 'unknown' END AS lang, count(*)::BIGINT AS n FROM ({CLEANED}) WHERE line <> '' GROUP BY 1",
         "line_sample": f"""WITH c AS (SELECT doc_id, line, count(*) AS copies FROM ({CLEANED}) WHERE line <> '' GROUP BY ALL),
             r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY md5('0:' || line), line) AS rank, sum(copies) OVER (PARTITION BY doc_id) AS lines FROM c)
             SELECT doc_id, line FROM r WHERE lines >= 3 AND rank <= 3 UNION ALL SELECT doc_id, line FROM (SELECT doc_id, line, unnest(range(copies)) FROM r WHERE lines < 3)""",
@@ -170,7 +176,7 @@ def oracle_sql() -> dict[str, str]:
         "xml_tokens": f"SELECT doc_id, 'abc' || {translate('text', T.INVALID_XML, '')} || 'abc' AS text FROM documents",
         "comment_attrs": f"SELECT doc_id, ' source=' || {quote('source')} AS attr FROM documents",
         "lempos": "SELECT doc_id, lang || '-' || source || '-n' AS lempos, lang AS lemma, 'n' AS pos FROM documents",
-        "semi_join_lang": "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)",
+        "semi_join_lang": "SELECT doc_id, lang, source FROM documents WHERE (lang = 'en' OR doc_id % 3 = 0) AND doc_id % 4 <> 0",
         "left_join_attr": "SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)",
         "export_docs": f"""WITH k AS (SELECT d.doc_id AS id, 0 AS file_id, {tag(chr(39) + '0' + chr(39))} || chr(10) || text || chr(10) || '</doc>' AS body FROM documents d
             JOIN (SELECT doc_id FROM ({SHARES}) WHERE lang = 'en' AND share >= 0.8) USING (doc_id)
@@ -241,7 +247,7 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT *, tag_a <> 'PUNCT' AS p FROM ({TAGS}))""",
         "diff_islands": f"""WITH s AS (SELECT doc_id, sent, pos, (tag_a = tag_b)::INT AS same FROM ({TAGS})), g AS (SELECT *, coalesce((same <> lag(same) OVER (PARTITION BY doc_id, sent ORDER BY pos))::INT, 0) AS c FROM s),
             i AS (SELECT *, sum(c) OVER (PARTITION BY doc_id, sent ORDER BY pos)::BIGINT AS island FROM g) SELECT doc_id, sent, island, count(*)::BIGINT AS n, max(same) AS same FROM i GROUP BY doc_id, sent, island""",
-        "diff_errors": f"SELECT doc_id, sent, len(regexp_extract_all(string_agg((tag_a <> tag_b)::INT::VARCHAR, '' ORDER BY pos), '010|020'))::BIGINT AS errors FROM ({TAGS}) GROUP BY ALL",
+        "diff_errors": f"SELECT doc_id, sent, len(regexp_extract_all(string_agg(CASE WHEN tag_a = tag_b THEN '0' WHEN pos % 3 = 0 THEN '2' ELSE '1' END, '' ORDER BY pos), '010|020'))::BIGINT AS errors FROM ({TAGS}) GROUP BY ALL",
         "capped_groups": f"""WITH s AS (SELECT doc_id, sent, count(*) + 1 AS n FROM ({TOKENS}) GROUP BY ALL),
             o AS (SELECT *, (n + 4) // 5 AS k, coalesce(sum((n + 4) // 5) OVER (PARTITION BY doc_id ORDER BY sent ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s),
             g AS (SELECT doc_id, n, before, unnest(range(k)) AS i FROM o)
@@ -271,9 +277,9 @@ def oracle_sql() -> dict[str, str]:
         "np_phrases": f"""WITH s AS (SELECT doc_id, sent, string_agg(cls, '' ORDER BY pos) AS c, count(*) AS n FROM ({TAGGED}) GROUP BY ALL)
             SELECT doc_id, sum(coalesce(list_sum(list_transform(list_filter(regexp_extract_all(c, '{PHRASE}'), lambda x: length(x) >= 2), lambda x: length(x))), 0))::BIGINT AS inside, sum(n)::BIGINT AS tokens FROM s GROUP BY doc_id""",
         "np_fill": f"""WITH s AS (SELECT doc_id, sent, regexp_extract_all(regexp_replace(string_agg(cls, '' ORDER BY pos), '({PHRASE})', '<\\1>', 'g'), '.') AS c FROM ({TAGGED}) GROUP BY ALL),
-            m AS (SELECT doc_id, sent, unnest(c) AS ch, unnest(range(len(c))) AS at FROM s),
-            o AS (SELECT *, sum((ch = '<')::INT) OVER (PARTITION BY doc_id, sent ORDER BY at) AS opened, sum((ch = '>')::INT) OVER (PARTITION BY doc_id, sent ORDER BY at) AS closed FROM m),
-            p AS (SELECT doc_id, sent, row_number() OVER (PARTITION BY doc_id, sent ORDER BY at) AS pos, CASE WHEN opened > closed THEN opened END AS ph FROM o WHERE ch NOT IN ('<', '>')),
+            m AS (SELECT doc_id, sent, unnest(c) AS ch, unnest(range(len(c))) AS place FROM s),
+            o AS (SELECT *, sum((ch = '<')::INT) OVER (PARTITION BY doc_id, sent ORDER BY place) AS opened, sum((ch = '>')::INT) OVER (PARTITION BY doc_id, sent ORDER BY place) AS closed FROM m),
+            p AS (SELECT doc_id, sent, row_number() OVER (PARTITION BY doc_id, sent ORDER BY place) AS pos, CASE WHEN opened > closed THEN opened END AS ph FROM o WHERE ch NOT IN ('<', '>')),
             q AS (SELECT doc_id, sent, pos, CASE WHEN count(ph) OVER (PARTITION BY doc_id, sent, ph) >= 2 THEN ph END AS phrase FROM p)
             SELECT doc_id, sent, pos, {fill('gender', 'C', 'M,F', "'M', 'F'")} AS gender_filled, {fill('number', 'N', 'S,P', "'S', 'P'")} AS number_filled
             FROM ({TAGGED}) t JOIN q USING (doc_id, sent, pos) WINDOW w AS (PARTITION BY doc_id, sent, phrase ORDER BY pos)""",

@@ -80,8 +80,10 @@ def lid_filters(spark, sf):
 
 
 def lid_unsure(spark, sf):
-    score = F.length("lang") * 0.2
-    return lid_profile_lines(spark, sf).withColumn("lang", L.relabel_unsure(F.col("lang"), score, 0.9)).groupBy("lang").agg(F.count("*").alias("n"))
+    """Lines by language, where the score is the share of function words and must be above a quarter."""
+    ls = L.tidy_lines(lines(spark, sf)).filter("line <> ''")
+    lang = L.relabel_unsure(L.profile_model()(F.col("line")), L.profile_score()(F.col("line")), 0.25)
+    return ls.groupBy(lang.alias("lang")).agg(F.count("*").alias("n"))
 
 
 def line_sample(spark, sf):
@@ -163,8 +165,10 @@ def lempos(spark, sf):
 
 
 def semi_join_lang(spark, sf):
-    lab = _t(spark, sf, "labels").filter("quality = 1")
-    return _docs(spark, sf).join(lab, "doc_id", "left_semi").select("doc_id", "lang", "source")
+    """Documents that have a share of their language above 0 in a JSON object of shares; many have 0, or no share of it."""
+    share = F.when(F.col("doc_id") % 4 == 0, "0").when(F.col("doc_id") % 4 == 1, "0.55").otherwise("1.0")
+    known = _docs(spark, sf).select("doc_id", F.concat(F.lit('{"'), F.when(F.col("doc_id") % 3 == 0, "en").otherwise(F.col("lang")), F.lit('": '), share, F.lit("}")).alias("lid"))
+    return _docs(spark, sf).join(known.filter(N.json_truth("lid", "en")), "doc_id", "left_semi").select("doc_id", "lang", "source")
 
 
 def left_join_attr(spark, sf):
@@ -296,9 +300,12 @@ def conllu_counts(spark, sf):
 def mwt_splice(spark, sf):
     """Every third token of a sentence and its successor become one multi-word token."""
     t = _tokens(spark, sf)
-    rng = t.filter("pos % 3 = 1").select("doc_id", "sent", (F.col("pos") * 2 - 1).alias("line_idx"), F.concat(F.col("pos").cast("string"), F.lit("-"), (F.col("pos") + 1).cast("string")).alias("id"), F.concat("word", F.lit("+")).alias("form"), *(F.lit("_").alias(c) for c in K.CONLLU[2:9]), F.lit("m").alias("misc"))
-    tok = t.select("doc_id", "sent", (F.col("pos") * 2).alias("line_idx"), F.col("pos").cast("string").alias("id"), F.col("word").alias("form"), "lemma", "upos", F.lit("x").alias("xpos"), F.lit("_").alias("feats"), F.col("head").cast("string").alias("head"), "deprel", F.lit("_").alias("deps"), F.lit("t").alias("misc"))
-    return K.splice_multiword(rng.unionByName(tok), ["doc_id", "sent"]).select("doc_id", "sent", F.col("line_idx").cast("long"), "id", "form", "lemma", "upos", "xpos", "head", "misc")
+    fill = {c: F.lit("_") for c in K.CONLLU}
+    as_row = lambda at, **cells: F.struct(at.cast("long").alias("line_idx"), *((fill | cells)[c].alias(c) for c in K.CONLLU))
+    span = as_row(F.col("pos") * 2 - 1, id=F.concat(F.col("pos").cast("string"), F.lit("-"), (F.col("pos") + 1).cast("string")), form=F.concat("word", F.lit("+")), misc=F.lit("m"))
+    token = as_row(F.col("pos") * 2, id=F.col("pos").cast("string"), form=F.col("word"), lemma=F.col("lemma"), upos=F.col("upos"), xpos=F.lit("x"), head=F.col("head").cast("string"), deprel=F.col("deprel"), misc=F.lit("t"))
+    rows = t.select("doc_id", "sent", F.explode(F.when(F.col("pos") % 3 == 1, F.array(span, token)).otherwise(F.array(token))).alias("r")).select("doc_id", "sent", "r.*")
+    return K.splice_multiword(rows, ["doc_id", "sent"]).select("doc_id", "sent", "line_idx", "id", "form", "lemma", "upos", "xpos", "head", "misc")
 
 
 def doc_refs(spark, sf):
@@ -416,7 +423,8 @@ def diff_islands(spark, sf):
 
 
 def diff_errors(spark, sf):
-    t = _taggings(spark, sf).withColumn("c", F.when(F.col("tag_a") == F.col("tag_b"), "0").otherwise("1"))
+    """Single tokens of either side between equal ones, in codes of both sides."""
+    t = _taggings(spark, sf).withColumn("c", F.when(F.col("tag_a") == F.col("tag_b"), "0").when(F.col("pos") % 3 == 0, "2").otherwise("1"))
     codes = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda x: x["c"]), "")
     return t.groupBy("doc_id", "sent").agg(codes.alias("codes")).select("doc_id", F.col("sent").cast("int"), C.code_errors(F.col("codes")).cast("long").alias("errors"))
 
