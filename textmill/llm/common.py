@@ -44,8 +44,10 @@ def whole_number_key(df: DataFrame, key: str) -> None:
 
 
 def columns_of(df: DataFrame, *names: str) -> DataFrame:
-    """df's columns of these names, whatever characters they have."""
-    return df.select(*(F.col(f"`{n}`") for n in names))
+    """df's columns of these names, whatever characters they have; the first one gets a name without points, which Arrow functions
+    do not take."""
+    first, *rest = names
+    return df.select(F.col(f"`{first}`").alias(free_name(rest, first.replace(".", "_"))), *(F.col(f"`{n}`") for n in rest))
 
 
 def numbered(df: DataFrame, scratch: Scratch, name: str, table: str = "rows", codec: str = "zstd") -> DataFrame:

@@ -145,9 +145,9 @@ def find_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", diction
         return scan
 
     name = free_name([*(f"n_{k}" for k in kinds), "base", "spans"], key)
-    rows = df.select(F.col(f"`{key}`").alias(name), F.col(f"`{text}`").alias(free_name([name], "text")))
+    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     schema = StructType([StructField(name, rows.schema[0].dataType), *(StructField(f"n_{k}", LongType()) for k in kinds), StructField("base", StringType()), StructField("spans", StringType())])
-    return map_arrow(rows, make, schema, column=rows.columns[1])
+    return map_arrow(rows, make, schema, column="text")
 
 
 def op12_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
