@@ -79,3 +79,23 @@ def test_html_and_objects():
 def test_xz_round_trip(spark):
     df = spark.createDataFrame([("é\n",), (None,)], "t string")
     assert [r.x for r in df.select(U.unxz_udf()(U.xz_udf()("t")).alias("x")).collect()] == ["é\n", None]
+
+
+def test_params_hash(spark):
+    """The digest of sorted keys, whatever their order and spaces."""
+    import hashlib
+    import json
+
+    texts = ['{"b": 1, "a": [2, {"d": null, "c": "é"}]}', '{ "a":[2,{"c":"é","d":null}],"b":1}', "{}", '{"a": 1.50}']
+    want = [hashlib.blake2b(json.dumps(json.loads(t), sort_keys=True).encode(), digest_size=16).hexdigest() for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "k int, t string")
+    got = {r.k: r.h for r in df.select("k", U.params_hash_udf()("t").alias("h")).collect()}
+    assert got == dict(enumerate([*want, None])) and want[0] == want[1]
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("props").collect()
+    counted = {}
+    for r in events:
+        h = hashlib.blake2b(json.dumps(json.loads(r.props), sort_keys=True).encode(), digest_size=16).hexdigest()
+        counted[h] = counted.get(h, 0) + 1
+    import __spark_entry__ as entry
+
+    assert {r.hash: r.n for r in entry.queries()["params_hash"](spark, "/root/testdata/sf0.001").collect()} == counted

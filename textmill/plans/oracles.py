@@ -113,6 +113,11 @@ VERTICAL = """SELECT source AS file, doc_id * 10 AS line_idx, '<s id="' || doc_i
     UNION ALL SELECT source, doc_id * 10 - 1, '</docx>' FROM documents WHERE doc_id % 50 = 0"""
 
 
+UNLIKE = f"""t AS (SELECT doc_id, sent, pos, word || '#' || sent || '.' || pos AS word, upos, CASE WHEN pos % 7 = 3 THEN 'D' WHEN pos % 11 = 1 THEN 'X' WHEN pos % 5 = 0 THEN 'C' ELSE 'S' END AS change FROM ({TOKENS})),
+    g AS (SELECT *, sum((change = 'S')::INT) OVER (PARTITION BY doc_id ORDER BY sent, pos) AS run FROM t),
+    u AS (SELECT *, sum((change IN ('D', 'X'))::INT) OVER (PARTITION BY doc_id, run ORDER BY sent, pos) AS ahead, sum((change IN ('D', 'X'))::INT) OVER (PARTITION BY doc_id, run ORDER BY sent DESC, pos DESC) AS behind FROM g WHERE change <> 'S')"""
+
+
 def entities(c: str) -> str:
     for a, b in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&amp;", "&")):
         c = f"replace({c}, '{a}', '{b}')"
@@ -248,6 +253,18 @@ def oracle_sql() -> dict[str, str]:
         "diff_islands": f"""WITH s AS (SELECT doc_id, sent, pos, (tag_a = tag_b)::INT AS same FROM ({TAGS})), g AS (SELECT *, coalesce((same <> lag(same) OVER (PARTITION BY doc_id, sent ORDER BY pos))::INT, 0) AS c FROM s),
             i AS (SELECT *, sum(c) OVER (PARTITION BY doc_id, sent ORDER BY pos)::BIGINT AS island FROM g) SELECT doc_id, sent, island, count(*)::BIGINT AS n, max(same) AS same FROM i GROUP BY doc_id, sent, island""",
         "diff_errors": f"SELECT doc_id, sent, len(regexp_extract_all(string_agg(CASE WHEN tag_a = tag_b THEN '0' WHEN pos % 3 = 0 THEN '2' ELSE '1' END, '' ORDER BY pos), '010|020'))::BIGINT AS errors FROM ({TAGS}) GROUP BY ALL",
+        "align_pairs": f"""WITH {UNLIKE}, c AS (SELECT upos FROM u WHERE change = 'C' AND (ahead = 0 OR behind = 0))
+            SELECT upos AS left_tag, upos || '~' AS right_tag, count(*)::BIGINT AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM c), 6) AS diff_pct,
+                round(100.0::DOUBLE * count(*) / ((SELECT count(*) FROM c) + (SELECT count(*) FROM g WHERE change = 'S')), 6) AS total_pct FROM c GROUP BY upos""",
+        "align_ignored": f"""WITH {UNLIKE}, m AS (SELECT doc_id, run, string_agg(word || ' ' || upos, ' ' ORDER BY sent, pos) AS l,
+                string_agg(CASE change WHEN 'C' THEN word || ' ' || upos || '~' WHEN 'X' THEN word || 'a ' || upos || ' ' || word || 'b ' || upos END, ' ' ORDER BY sent, pos) AS r FROM u WHERE ahead > 0 AND behind > 0 GROUP BY ALL)
+            SELECT l AS "left", r AS "right", count(*)::BIGINT AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM m WHERE r IS NOT NULL), 6) AS ignored_pct FROM m WHERE r IS NOT NULL GROUP BY ALL""",
+        "sentence_batches": f"SELECT doc_id, (sent // 3)::BIGINT AS batch, (count(*) + count(DISTINCT sent))::BIGINT AS lines FROM ({TOKENS}) GROUP BY ALL",
+        "appended_files": "SELECT source, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) || ',' || string_agg('x' || doc_id, ',' ORDER BY doc_id) AS ids FROM documents GROUP BY source",
+        "tsv_round_trip": "SELECT doc_id, source, lang FROM documents",
+        "attribute_lists": f"""SELECT doc_id AS id, '<doc id=' || {quote('doc_id::VARCHAR')} || ' file_id="FILE_ID" source__name=' || {quote("source || '|a%7Cb'")} || ' theme__name=' || {quote('lang')} || ' >' AS doc_tag FROM documents""",
+        "text_bytes": "SELECT doc_id, octet_length(encode(text))::BIGINT AS bytes FROM documents",
+        "empty_lists": "SELECT event_id, event_id % 3 = 0 AS empty FROM events",
         "capped_groups": f"""WITH s AS (SELECT doc_id, sent, count(*) + 1 AS n FROM ({TOKENS}) GROUP BY ALL),
             o AS (SELECT *, (n + 4) // 5 AS k, coalesce(sum((n + 4) // 5) OVER (PARTITION BY doc_id ORDER BY sent ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s),
             g AS (SELECT doc_id, n, before, unnest(range(k)) AS i FROM o)

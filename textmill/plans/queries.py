@@ -437,16 +437,31 @@ def align_tokens(spark, sf):
     return rows.groupBy("doc_id").agg(F.count_if(F.col("code") == "S").alias("same"), F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
 
 
-def align_codes(spark, sf):
-    """The summary of each document, where every word is written once, so that one alignment is the longest: some tokens have
-    gone, some are split in two, some have another tag."""
+def _unlike(spark, sf) -> DataFrame:
+    """An alignment where every word is written once, so that one alignment is the longest: some tokens have gone, some are split
+    in two, some have another tag."""
     change = F.when(F.col("pos") % 7 == 3, "D").when(F.col("pos") % 11 == 1, "X").when(F.col("pos") % 5 == 0, "C").otherwise("S")
     t = _tokens(spark, sf).select("doc_id", "sent", "pos", F.concat("word", F.lit("#"), "sent", F.lit("."), "pos").alias("word"), "upos", change.alias("change"))
     two = F.when(F.col("change") == "X", F.array(F.concat("word", F.lit("a")), F.concat("word", F.lit("b")))).otherwise(F.array("word"))
     tag = F.when(F.col("change") == "C", F.concat("upos", F.lit("~"))).otherwise(F.col("upos"))
     other = t.filter("change <> 'D'").select("doc_id", "sent", "pos", tag.alias("upos"), F.posexplode(two).alias("part", "word"))
-    rows = A.align(t.withColumn("part", F.lit(0)), other, "doc_id", ("sent", "pos", "part"), tag="upos")
-    return A.summary(rows, ["doc_id"]).drop("same_pct", "diff_pct")
+    return A.align(t.withColumn("part", F.lit(0)), other, "doc_id", ("sent", "pos", "part"), tag="upos")
+
+
+def align_codes(spark, sf):
+    """The summary of each document."""
+    return A.summary(_unlike(spark, sf), ["doc_id"]).drop("same_pct", "diff_pct")
+
+
+def align_pairs(spark, sf):
+    """Pairs of tags that differ in aligned tokens, with their shares."""
+    d = A.difference_pairs(A.differences(_unlike(spark, sf)))
+    return d.select("left_tag", "right_tag", "n", F.round("diff_pct", 6).alias("diff_pct"), F.round("total_pct", 6).alias("total_pct"))
+
+
+def align_ignored(spark, sf):
+    """Sequences of both sides that were not compared, with their shares."""
+    return A.ignored(_unlike(spark, sf)).withColumn("ignored_pct", F.round("ignored_pct", 6))
 
 
 def _tagged(spark, sf) -> DataFrame:
@@ -569,6 +584,14 @@ def capped_groups(spark, sf):
     return G.capped_groups(ls, "doc_id", "at", "word", most=5).groupBy("doc_id", "group").agg(F.count("*").alias("lines")).withColumn("group", F.col("group").cast("long"))
 
 
+def sentence_batches(spark, sf):
+    """Lines of each document in batches of three sentences."""
+    t = _tokens(spark, sf).select("doc_id", "sent", "pos", "word")
+    heads = t.filter("pos = 1").withColumn("pos", F.lit(0)).withColumn("word", F.lit("<s>"))
+    ls = t.unionByName(heads).select("doc_id", F.struct("sent", "pos").alias("at"), "word")
+    return G.sentence_batches(ls, "doc_id", "at", "word", most=3).groupBy("doc_id", "batch").agg(F.count("*").alias("lines"))
+
+
 def _classed(spark, sf) -> DataFrame:
     t = _tokens(spark, sf).withColumnRenamed("upos", "tag")
     cls = G.name_class(F.col("word"), F.col("tag"), F.col("pos") == 1, F.char_length("word") % 2 == 0, functions=("de", "la", "of", "the", "und"))
@@ -625,6 +648,41 @@ def named_files(spark, sf):
     return ls.groupBy(F.regexp_extract("file", r"docs\.(\d+)\.", 1).cast("long").alias("batch")).agg(F.count("*").alias("lines"), F.sum(F.char_length("value")).alias("chars"))
 
 
+def appended_files(spark, sf):
+    """Ids in a file for each source, and once more behind them."""
+    scratch, docs = Scratch(spark), _docs(spark, sf)
+    name = F.concat("source", F.lit(".txt"))
+    files.write_files(docs, scratch.path("files"), name, F.col("doc_id"), ["doc_id"])
+    files.write_files(docs, scratch.path("files"), name, F.concat(F.lit("x"), "doc_id"), ["doc_id"], existing="append")
+    ls = files.read_lines(spark, scratch.path("files"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_idx", "value"))), lambda x: x["value"]), ",")
+    return ls.groupBy(F.regexp_extract("file", r"([^/]+)\.txt$", 1).alias("source")).agg(whole.alias("ids"))
+
+
+def tsv_round_trip(spark, sf):
+    """A table in tab-separated files, read back."""
+    path = Scratch(spark).path("tsv")
+    files.write_tsv(_docs(spark, sf).select("doc_id", "source", "lang"), path)
+    return spark.read.csv(path, sep="\t", schema="doc_id long, source string, lang string")
+
+
+def attribute_lists(spark, sf):
+    """Attributes of which one has several values, one is dropped, and one has a list of one value."""
+    lists = F.array(F.struct(F.concat(F.lit(" "), "source").alias("name")), F.struct(F.lit("a|b").alias("name")))
+    r = _docs(spark, sf).select(F.col("doc_id").alias("id"), lists.alias("source"), F.array(F.struct(F.col("lang").alias("name"))).alias("theme"), F.lit("gone").alias("origin"))
+    return O.attributes(r, multi=("source__name",), drop=("origin",))[0]
+
+
+def text_bytes(spark, sf):
+    return _docs(spark, sf).select("doc_id", T.byte_length("text").cast("long").alias("bytes"))
+
+
+def empty_lists(spark, sf):
+    """Lists without a value are null."""
+    items = F.array(F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.col("event_type")), F.lit(None).cast("string"))
+    return _t(spark, sf, "events").select("event_id", N.empty_list_to_null(items).isNull().alias("empty"))
+
+
 def text_counts(spark, sf):
     """Texts with blank ones as null, without those that no tool has worked on."""
     t = _docs(spark, sf).select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.lit(" \n\t")).otherwise(F.col("text")).alias("text"), F.when(F.col("doc_id") % 11 != 0, "profile").alias("tool"))
@@ -632,7 +690,7 @@ def text_counts(spark, sf):
 
 
 _NAMES = (
-    "capped_groups name_joins name_tags lempos_table markup lid_incremental lengths_in_time named_files text_counts "
+    "align_pairs align_ignored sentence_batches appended_files tsv_round_trip attribute_lists text_bytes empty_lists capped_groups name_joins name_tags lempos_table markup lid_incremental lengths_in_time named_files text_counts "
     "xz_round_trip literals params_hash bundle_rows attribute_tags concat_texts change_windows "
     "export_docs semi_join_lang left_join_attr lines lines_clean lid_profile_lines lid_shares lid_l1 lid_multiling lid_filters lid_unsure line_sample file_stats pdf_clean dewrap quotes_dashes "
     "control_chars collapse html_text normalize_unicode xml_quote doc_tag parse_tag unique_attrs xml_tokens comment_attrs lempos batching range_slice ntile_split flatten_events list_join nested_records "
