@@ -58,14 +58,20 @@ def size_route(text: Column, units: Column, big: int = 10_000, chunk: int = 1_00
 
 
 def render_conllu(tokens_: DataFrame, key: str) -> DataFrame:
-    """key, line_idx and value: comment and token lines of each document, a blank line after each sentence."""
+    """key, line_idx and value: comment and token lines of each document, a blank line after each sentence.
+
+    Each token carries the lines around it; a running count numbers them. One shuffle by document, and no document is held as a whole.
+    """
+    w = W.partitionBy(key).orderBy("sent", "pos")
     row = F.concat_ws("\t", F.col("pos").cast("string"), "word", "lemma", "upos", F.lit("_"), F.lit("_"), F.col("head").cast("string"), "deprel", F.lit("_"), F.lit("_"))
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("pos", row.alias("row")))), lambda r: r["row"])
-    sents = tokens_.groupBy(key, "sent").agg(lines.alias("rows"))
-    block = F.concat(F.array(F.concat(F.lit("# sent_id = "), F.col("sent").cast("string"))), "rows", F.array(F.lit("")))
-    docs = sents.groupBy(key).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("sent", block.alias("b")))), lambda s: s["b"])).alias("all"))
-    head = F.array(F.concat(F.lit("# newdoc id="), F.col(key).cast("string")))
-    return docs.select(key, F.posexplode(F.concat(head, "all")).alias("line_idx", "value"))
+    t = tokens_.select(key, "sent", "pos", row.alias("_row"), F.row_number().over(w).alias("_i"), F.lag("sent").over(w).alias("_old"), F.lead("sent").over(w).alias("_new"))
+    parts = F.array(
+        F.when(F.col("_i") == 1, F.concat(F.lit("# newdoc id="), F.col(key).cast("string"))), F.when(~F.col("_old").eqNullSafe(F.col("sent")), F.concat(F.lit("# sent_id = "), F.col("sent").cast("string"))),
+        F.col("_row"), F.when(~F.col("_new").eqNullSafe(F.col("sent")), ""))
+    t = t.select(key, "sent", "pos", "_i", F.filter(parts, lambda x: x.isNotNull()).alias("_lines"))
+    before = F.sum(F.size("_lines")).over(W.partitionBy(key).orderBy("sent", "pos", "_i").rowsBetween(W.unboundedPreceding, 0)) - F.size("_lines")
+    t = t.withColumn("_before", before).select(key, "_before", F.posexplode("_lines").alias("_k", "value"))
+    return t.select(key, (F.col("_before") + F.col("_k")).cast("int").alias("line_idx"), "value")
 
 
 def line_kind(value: Column) -> Column:
@@ -80,8 +86,10 @@ def parse_conllu(lines: DataFrame, file: str = "file") -> DataFrame:
     order = W.partitionBy(file).orderBy("line_idx")
     kinds = lines.withColumn("kind", line_kind(F.col("value")))
     kinds = kinds.withColumn("value", F.when(F.col("kind") == "unknown", F.raise_error(F.lit("a line is neither comment nor token"))).otherwise(F.col("value")))
-    seq = kinds.withColumn("doc_seq", F.sum((F.col("kind") == "doc").cast("int")).over(order) - 1)
-    seq = seq.withColumn("sent_seq", F.sum((F.col("kind") == "sent").cast("int")).over(W.partitionBy(file, "doc_seq").orderBy("line_idx")) - 1)
+    so_far = lambda kind: F.sum((F.col("kind") == kind).cast("int")).over(order)
+    seq = kinds.withColumn("doc_seq", so_far("doc") - 1).withColumn("_sents", so_far("sent"))
+    before = F.last(F.when(F.col("kind") == "doc", F.col("_sents")), ignorenulls=True).over(order)  # sentences of the documents before
+    seq = seq.withColumn("sent_seq", F.col("_sents") - F.coalesce(before, F.lit(0)) - 1)
     parts = F.split("value", "\t")
     return seq.filter("kind = 'token'").select(file, "line_idx", "doc_seq", "sent_seq", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(CONLLU)))
 
