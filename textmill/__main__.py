@@ -60,21 +60,24 @@ def plug_in(name: str | None) -> Callable[[], N.Annotator] | None:
 
 
 def to_vertical(lines: DataFrame) -> DataFrame:
-    """Vertical lines (file, line_idx, value) of CoNLL-U lines: structures in tags, multi-word tokens spliced."""
-    tokens = K.splice_multiword(K.parse_conllu(lines), ["file", "doc_seq", "sent_seq"])
-    rows = tokens.select("file", "doc_seq", "sent_seq", "line_idx", F.concat_ws("\t", *K.CONLLU).alias("value"))
-    sents = rows.groupBy("file", "doc_seq", "sent_seq").agg(F.array_sort(F.collect_list(F.struct("line_idx", "value"))).alias("r"))
-    head = F.concat(F.lit('<s id="'), F.col("sent_seq").cast("string"), F.lit('">'))
-    sents = sents.withColumn("lines", F.concat(F.array(head), F.transform("r", lambda x: x["value"]), F.array(F.lit("</s>"))))
-    docs = sents.groupBy("file", "doc_seq").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("sent_seq", "lines"))), lambda s: s["lines"])).alias("lines"))
+    """Vertical lines (file, line_idx, value) of CoNLL-U lines: structures in tags, multi-word tokens spliced.
+
+    Each token and each start of a document carries the tags around it, and a running count numbers the lines; no document is held as
+    a whole. A document without sentences is closed; tokens before the first document go.
+    """
+    tokens = K.splice_multiword(K.parse_conllu(lines), ["file", "doc_seq", "sent_seq"]).filter("doc_seq >= 0")
+    items = tokens.select("file", "line_idx", F.struct("doc_seq", "sent_seq").alias("sent"), F.concat_ws("\t", *K.CONLLU).alias("value"))
     starts = lines.filter(F.col("value").startswith("# newdoc"))
-    tags = starts.select("file", "line_idx", F.regexp_replace(F.regexp_replace("value", r"^# newdoc\s*", ""), r"(\w+)\s*=\s*([^\"'\s]+)", '$1="$2"').alias("attrs"))
-    order = F.row_number().over(W.partitionBy("file").orderBy("line_idx")) - 1
-    tags = tags.select("file", order.alias("doc_seq"), F.concat(F.lit("<doc "), "attrs", F.lit(" >")).alias("tag"))
-    docs = tags.join(docs, ["file", "doc_seq"], "left")  # a document without sentences is closed too
-    whole = F.concat(F.array("tag"), F.coalesce("lines", F.array().cast("array<string>")), F.array(F.lit("</doc>")))
-    files_ = docs.groupBy("file").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("doc_seq", whole.alias("w")))), lambda d: d["w"])).alias("all"))
-    return files_.select("file", F.posexplode("all").alias("line_idx", "value")).withColumn("line_idx", F.col("line_idx").cast("long"))
+    attrs = F.regexp_replace(F.regexp_replace("value", r"^# newdoc\s*", ""), r"(\w+)\s*=\s*([^\"'\s]+)", '$1="$2"')
+    items = items.unionByName(starts.select("file", F.col("line_idx").cast("long"), F.lit(None).cast(items.schema["sent"].dataType).alias("sent"), F.concat(F.lit("<doc "), attrs, F.lit(" >")).alias("value")))
+    w = W.partitionBy("file").orderBy("line_idx")
+    items = items.select("*", F.lag("sent").over(w).alias("old"), F.lead("sent").over(w).alias("new"))
+    is_token, opens = F.col("sent").isNotNull(), F.concat(F.lit('<s id="'), F.col("sent.sent_seq").cast("string"), F.lit('">'))
+    parts = F.array(F.when(is_token & ~F.col("old").eqNullSafe(F.col("sent")), opens), F.col("value"), F.when(is_token & ~F.col("new").eqNullSafe(F.col("sent")), "</s>"), F.when(F.col("new").isNull(), "</doc>"))
+    items = items.select("file", "line_idx", F.filter(parts, lambda x: x.isNotNull()).alias("parts"))
+    before = F.sum(F.size("parts")).over(w.rowsBetween(W.unboundedPreceding, 0)) - F.size("parts")
+    items = items.withColumn("before", before).select("file", "before", F.posexplode("parts").alias("k", "value"))
+    return items.select("file", (F.col("before") + F.col("k")).cast("long").alias("line_idx"), "value")
 
 
 def vertical_tokens(lines: DataFrame) -> DataFrame:
