@@ -5,10 +5,11 @@ of its pieces, and the intervals of common prefixes of at least k words are its
 Spark adds the counts of all shards by (lang, phrase).
 
 Counting takes three passes over the texts, and each prunes the next one exactly: a phrase that occurs `least` times has only
-words, and pairs of neighbours, that do. Pass 1 counts words, pass 2 pairs of frequent words, pass 3 longer phrases whose pairs
-are all frequent. What is frequent reaches the shards as a bitmap of hashed phrases of at most MAX_BITS bits (16 MB), the only
-thing that is broadcast: a phrase that is not in it is surely rare. Beyond some 20 million frequent pairs the bitmap fills up and
-prunes less, which costs shuffle, never a phrase. No phrase is left out by it, and counts are exact.
+words, and pairs of neighbours, that do. Pass 1 counts words; pass 2 adds up the pairs of frequent words by buckets of their
+hashes (40 bits), whose sums are at least the counts of the pairs in them; pass 3 counts the phrases whose pairs are all in buckets
+that reach `least`. What may be frequent reaches the shards as bitmaps of at most MAX_BITS bits each (16 MB), the only thing that is
+broadcast: what is not in a bitmap is surely rare. Beyond some 20 million frequent pairs the bitmap fills up and prunes less, which
+costs shuffle, never a phrase; max_bits is a parameter for executors with more memory. Counts are exact.
 
 Defined results: null and empty texts have no words; a null lang counts as UND; equal rows each count; words are joined
 by one space, which no word has; ties in rank go to the larger count, then to the smaller phrase in UTF-8 byte order; an
@@ -28,11 +29,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from textmill.llm.common import Scratch, map_arrow, merge_join
+from textmill.llm.words import mix
 
 LONGEST, LEAST, PERCENT, TOP, UND = 5, 100, 100, 2000, "und"
 SHARD_BYTES = 8_000_000
-#: The bitmap has some BITS_EACH bits for each frequent phrase, and at most MAX_BITS.
+#: A bitmap has some BITS_EACH bits for each of its numbers, and at most MAX_BITS.
 BITS_EACH, MAX_BITS = 16, 1 << 27
+BUCKET_BITS = 40
 _SLOT = 32
 _MARK = 46
 #: A-Z in lower case, tabs as spaces, what ends a piece as one mark.
@@ -42,23 +45,36 @@ BROADCAST_LANGS = 100_000
 
 
 class Bitmap:
-    """Hashed phrases: `in` has no false negatives."""
+    """Numbers: `holds` has no false negatives."""
 
     def __init__(self, slots: np.ndarray):
         self.slots = slots
         self.bits = len(slots) * _SLOT
 
-    def holds(self, lang: str, phrases: list[bytes]) -> np.ndarray:
-        start = zlib.crc32(lang.encode() + b"\0")
-        at = np.fromiter((zlib.crc32(p, start) for p in phrases), np.int64, len(phrases)) % self.bits
+    def holds(self, numbers: np.ndarray) -> np.ndarray:
+        at = numbers % self.bits
         return (self.slots[at // _SLOT] >> (at % _SLOT).astype(np.uint32) & 1).astype(bool)
 
 
-def bitmap_of(phrases: DataFrame) -> Bitmap:
-    """The bitmap of phrases(lang, phrase): its words come from an aggregation, at most MAX_BITS / 32 of them."""
-    bits = min(MAX_BITS, max(1024, 1 << (BITS_EACH * phrases.count()).bit_length()))
-    at = F.crc32(F.concat("lang", F.lit("\0"), "phrase")) % bits
-    words = phrases.select(at.alias("at")).selectExpr(f"int(at div {_SLOT}) AS slot", f"shiftleft(1L, int(at % {_SLOT})) AS bit")
+def word_numbers(lang: str, words: list[bytes]) -> np.ndarray:
+    """The checksums of a lang's words, as Spark has them of lang, NUL and word."""
+    start = zlib.crc32(lang.encode() + b"\0")
+    return np.fromiter((zlib.crc32(w, start) for w in words), np.int64, len(words))
+
+
+def pair_buckets(lang: str, words: list[bytes], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The buckets of the pairs of words with the numbers a and b."""
+    from xxhash import xxh3_64_intdigest
+
+    seed = zlib.crc32(lang.encode())
+    hashes = np.fromiter((xxh3_64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    return (mix(mix(hashes[a]) + hashes[b] * np.uint64(3)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def bitmap_of(numbers: DataFrame, most: int = MAX_BITS) -> Bitmap:
+    """The bitmap of a column `at`: its words come from an aggregation, at most `most` / 32 of them."""
+    bits = min(most, max(1024, 1 << (BITS_EACH * numbers.count()).bit_length()))
+    words = numbers.select((F.col("at") % bits).alias("at")).selectExpr(f"int(at div {_SLOT}) AS slot", f"shiftleft(1L, int(at % {_SLOT})) AS bit")
     found = words.groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     slots = np.zeros(bits // _SLOT, np.uint32)
     slots[found["slot"].to_numpy()] = found["bits"].to_numpy().astype(np.uint32)
@@ -121,31 +137,44 @@ def intervals(ids: np.ndarray, joined: np.ndarray, shortest: int, longest: int)
         yield size, order[members[first]], np.diff(np.r_[first, len(members)])
 
 
-def shard_counts(lang: str, texts: list[str | None], shortest: int, longest: int, words: Bitmap | None, pairs: Bitmap | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Keys and counts of a shard's phrases of shortest to longest words that the bitmaps do not rule out.
-
-    A key is one string, so that rows are small: the length of the lang, a colon, the lang and the phrase. With shortest 1 there is one
-    more row, with no phrase: how many words there are.
-    """
+def runs_of(lang: str, texts: list[str | None], words: Bitmap | None, pairs: Bitmap | None) -> tuple[np.ndarray, np.ndarray, list[bytes], int]:
+    """The words of a shard that the bitmaps do not rule out, as numbers; whether each is joined to the next one; the words by number; and
+    how many words the shard has."""
     ids, names = word_ids(texts)
-    start = f"{len(lang)}:{lang}".encode()
-    if shortest == 1:
-        yield pa.array([start]), np.array([np.count_nonzero(ids >= 0)])
+    total = int(np.count_nonzero(ids >= 0))
     alive = ids >= 0
-    if words is not None:
-        kept = words.holds(lang, names)
-        alive &= kept[ids]
+    if words is not None and len(names):
+        alive &= words.holds(word_numbers(lang, names))[ids]
     # rare words go; what stood around them is not joined
     places = np.flatnonzero(alive)
     joined = np.r_[np.diff(places) == 1, False][: len(places)]
     ids = ids[places]
     if pairs is not None and len(ids):
         two = np.flatnonzero(joined)
-        codes, code = np.unique(ids[two] * len(names) + ids[two + 1], return_inverse=True)
-        found = pairs.holds(lang, [names[a] + b" " + names[b] for a, b in zip((codes // len(names)).tolist(), (codes % len(names)).tolist(), strict=True)])
-        joined[two] = found[code] if len(two) else False
+        joined[two] = pairs.holds(pair_buckets(lang, names, ids[two], ids[two + 1]))
         stay = joined | np.r_[False, joined[:-1]]
         ids, joined = ids[stay], joined[stay]
+    return ids, joined, names, total
+
+
+def shard_pairs(lang: str, texts: list[str | None], words: Bitmap) -> tuple[pa.Array, np.ndarray]:
+    """Buckets and counts of a shard's pairs of words that the bitmap does not rule out."""
+    ids, joined, names, _ = runs_of(lang, texts, words, None)
+    for _, at, counts in intervals(ids, joined, 2, 2):
+        return pa.array(pair_buckets(lang, names, ids[at], ids[at + 1])), counts
+    return pa.array([], pa.int64()), np.zeros(0, np.int64)
+
+
+def shard_counts(lang: str, texts: list[str | None], shortest: int, longest: int, words: Bitmap | None, pairs: Bitmap | None) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Keys and counts of a shard's phrases of shortest to longest words that the bitmaps do not rule out.
+
+    A key is one string, so that rows are small: the length of the lang, a colon, the lang and the phrase. With shortest 1 there is one
+    more row, with no phrase: how many words there are.
+    """
+    ids, joined, names, total = runs_of(lang, texts, words, pairs)
+    start = f"{len(lang)}:{lang}".encode()
+    if shortest == 1:
+        yield pa.array([start]), np.array([total])
     table, first = pa.array(names, pa.binary()), pa.array([start + w for w in names], pa.binary())
     for size, at, counts in intervals(ids, joined, shortest, longest):
         if len(at):
@@ -153,10 +182,11 @@ def shard_counts(lang: str, texts: list[str | None], shortest: int, longest: int
             yield columns[0] if size == 1 else pc.binary_join_element_wise(*columns, b" "), counts
 
 
-def phrase_counts(docs: DataFrame, shortest: int, longest: int, words: Bitmap | None = None, pairs: Bitmap | None = None) -> DataFrame:
-    """key and count over all shards. docs: lang, text."""
+def _merged(docs: DataFrame, kind: pa.DataType, words: Bitmap | None, pairs: Bitmap | None, shard: Callable[..., Iterator[tuple[pa.Array, np.ndarray]]]) -> DataFrame:
+    """key and count: what shard(lang, texts, words, pairs) gives for each lang of each slice of docs(lang, text), added up by key."""
     context = docs.sparkSession.sparkContext
     shared_words, shared_pairs = (None if b is None else context.broadcast(b) for b in (words, pairs))
+    schema = pa.schema([("key", kind), ("count", pa.int64())])
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         first, second = (None if b is None else b.value for b in (shared_words, shared_pairs))
@@ -166,16 +196,25 @@ def phrase_counts(docs: DataFrame, shortest: int, longest: int, words: Bitmap |
             out = []
             for lang in pc.unique(langs).to_pylist():
                 texts = batch.column("text").filter(pc.equal(langs, lang)).to_pylist()
-                for keys, counts in shard_counts(lang, texts, shortest, longest, first, second):
-                    out.append(pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(counts, pa.int64())], names=["key", "count"]))
-            return pa.concat_batches(out) if out else pa.RecordBatch.from_pylist([], pa.schema([("key", pa.string()), ("count", pa.int64())]))
+                out += [pa.RecordBatch.from_arrays([keys.cast(kind), pa.array(counts, pa.int64())], schema=schema) for keys, counts in shard(lang, texts, first, second)]
+            return pa.concat_batches(out) if out else pa.RecordBatch.from_pylist([], schema)
 
         return count
 
-    each = map_arrow(docs, make, "key string, count long", most=SHARD_BYTES)
+    each = map_arrow(docs, make, f"key {'long' if pa.types.is_integer(kind) else 'string'}, count long", most=SHARD_BYTES)
     return each.groupBy("key").agg(F.sum("count").alias("count"))
 
 
+def phrase_counts(docs: DataFrame, shortest: int, longest: int, words: Bitmap | None = None, pairs: Bitmap | None = None) -> DataFrame:
+    """key and count of phrases over all shards. docs: lang, text."""
+    return _merged(docs, pa.string(), words, pairs, lambda lang, texts, first, second: shard_counts(lang, texts, shortest, longest, first, second))
+
+
+def pair_sums(docs: DataFrame, words: Bitmap) -> DataFrame:
+    """key (a bucket of pairs) and count over all shards. docs: lang, text."""
+    return _merged(docs, pa.int64(), words, None, lambda lang, texts, first, _: [shard_pairs(lang, texts, first)])
+
+
 def _phrases(counts: DataFrame) -> DataFrame:
     """lang, size, phrase and count of keys and counts."""
     length = F.substring_index("key", ":", 1)
@@ -184,19 +223,18 @@ def _phrases(counts: DataFrame) -> DataFrame:
     return named.select("lang", F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).alias("size"), "phrase", "count")
 
 
-def count_phrases(df: DataFrame, scratch: Scratch, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+def count_phrases(df: DataFrame, scratch: Scratch, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST, max_bits: int | None = None) -> DataFrame:
     """lang, size, phrase and count of all phrases of 1 to `longest` words that occur at least `least` times; and for each lang
     a row of size 0 that counts all its words. Each pass is written once."""
+    most = max_bits or MAX_BITS
     docs = df.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UND)).alias("lang"), F.col(f"`{text}`").alias("text"))
     often = lambda counts: _phrases(counts).filter((F.col("count") >= least) | (F.col("size") == 0))
-    found = words = scratch.table(often(phrase_counts(docs, 1, 1)), "phrases1")
-    if longest > 1:
-        known = bitmap_of(words.filter("size = 1"))
-        pairs = scratch.table(often(phrase_counts(docs, 2, 2, known)), "phrases2")
-        found = found.unionByName(pairs)
-    if longest > 2:
-        found = found.unionByName(scratch.table(often(phrase_counts(docs, 3, longest, known, bitmap_of(pairs))), "phrases3"))
-    return found
+    words = scratch.table(often(phrase_counts(docs, 1, 1)), "phrases1")
+    if longest == 1:
+        return words
+    known = bitmap_of(words.filter("size = 1").select(F.crc32(F.concat("lang", F.lit("\0"), "phrase")).alias("at")), most)
+    sums = scratch.table(pair_sums(docs, known).filter(F.col("count") >= least).select(F.col("key").alias("at")), "pairs")
+    return words.unionByName(scratch.table(often(phrase_counts(docs, 2, longest, known, bitmap_of(sums, most))), "phrases2"))
 
 
 def weakest_cuts(counts: DataFrame) -> DataFrame:
@@ -231,9 +269,9 @@ def without_parts(phrases: DataFrame, percent: int = PERCENT) -> DataFrame:
     return merge_join(phrases, inner, ["lang", "phrase"], "left").filter(F.expr(f"longer IS NULL OR 100 * longer < {percent} * a")).drop("longer")
 
 
-def collocations(df: DataFrame, scratch: Scratch, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST, percent: int = PERCENT, top: int = TOP) -> DataFrame:
+def collocations(df: DataFrame, scratch: Scratch, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST, percent: int = PERCENT, top: int = TOP, max_bits: int | None = None) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score: each lang's first `top` phrases of 2 to `longest` words."""
-    counts = count_phrases(df, scratch, text, lang, longest, least)
+    counts = count_phrases(df, scratch, text, lang, longest, least, max_bits)
     scored = without_parts(weakest_cuts(counts), percent)
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= top).select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
