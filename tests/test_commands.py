@@ -128,3 +128,25 @@ def test_normalize_options(monkeypatch, capsys):
     assert run("a\nb\n", "-n", "dos") == "a\r\nb\r\n"
     assert run("a\tb\n", "-t", "none") == "ab\n" and run("a\tb\n", "-t", "tab", "-c", "9") == "a\tb\n" and run("a\tb\n", "-t", "tab") == "ab\n"
     assert run("ﬁ “x” —\n", "-f", "NFC", "-q", "-a") == "ﬁ “x” —\n" and run("café\n", "-e", "latin-1") == "café\n"
+
+
+def test_update_command(spark, tmp_path, capsys):
+    """Each language's texts of the range are exported and annotated; markup stays between the tokens."""
+    import lzma
+
+    from pyspark.sql import functions as F
+
+    tables = tmp_path / "tables"
+    texts = spark.createDataFrame([(1, 0, "One <b>two</b>. Three"), (2, 0, "Un deux"), (3, 0, "Late")], "id long, file_id long, text string")
+    texts.withColumn("lid", F.create_map(F.when(F.col("id") == 2, "fr").otherwise("en"), F.lit(1.0))).write.parquet(f"{tables}/texts")
+    spark.createDataFrame([(i, f'<doc id="{i}" file_id="FILE_ID" >') for i in (1, 2, 3)], "id long, doc_tag string").write.parquet(f"{tables}/attrs")
+    spark.createDataFrame([(i, f"202{i}-05-01T00:00:00+00:00") for i in (1, 2, 3)], "id long, date string").write.parquet(f"{tables}/records")
+    assert M.main(["update", str(tables), str(tmp_path / "out"), "--langs", "en", "fr", "es", "--start", "2021-01-01", "--end", "2022-12-31", "--stem", "c"]) == 0
+    assert capsys.readouterr().out.split("\n")[:3] == ["en\t1", "fr\t1", "es\t0"]
+    name = "c_{}_2021-01-01_2022-12-31.1"
+    assert (tmp_path / "out" / "fr" / "text" / (name.format("fr") + ".txt")).read_text() == '<doc id="2" file_id="0" >\nUn deux\n</doc>'
+    got = lzma.decompress((tmp_path / "out" / "en" / "vertical" / (name.format("en") + ".vert.xz")).read_bytes()).decode().splitlines()
+    assert got == ['<doc id="1" file_id="0" >', "<s>", "One\tPROPN\tone", "<b>", "two\tWORD\ttwo", "</b>", "<g/>", ".\tEND\t.", "</s>", "<s>", "Three\tPROPN\tthree", "</s>", "</doc>"]
+    assert not (tmp_path / "out" / "es" / "vertical").exists()
+    assert M.main(["annotate", str(tmp_path / "out" / "fr" / "text"), str(tmp_path / "v"), "-s"]) == 0
+    assert (tmp_path / "v" / (name.format("fr") + ".vert")).read_text().splitlines() == ['<doc id="2" file_id="0" >', "Un\tPROPN\tun", "deux\tWORD\tdeux", "</doc>"]

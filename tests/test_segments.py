@@ -153,10 +153,10 @@ def test_attachments(spark, tmp_path):
 
 def test_texts_by_path(spark, tmp_path):
     os.makedirs(tmp_path / "7")
-    (tmp_path / "7" / "3.txt").write_text("from a file")
+    (tmp_path / "7" / "3.txt").write_text("from\na file\n")
     docs = spark.createDataFrame([(7, 0, "own"), (7, 3, None), (7, 4, "stale"), (8, None, "no file id")], "id long, file_id long, text string")
     got = sorted(((r.id, r.file_id or 0, r.text, r.path) for r in O.with_file_texts(docs, files.read_texts(spark, str(tmp_path)), str(tmp_path)).collect()), key=str)
-    assert got == [(7, 0, "own", None), (7, 3, "from a file", f"{tmp_path}/7/3.txt"), (7, 4, None, f"{tmp_path}/7/4.txt"), (8, 0, "no file id", None)]
+    assert got == [(7, 0, "own", None), (7, 3, "from\na file\n", f"{tmp_path}/7/3.txt"), (7, 4, None, f"{tmp_path}/7/4.txt"), (8, 0, "no file id", None)]
 
 
 def test_only_changed_texts_are_identified(spark, tmp_path):

@@ -2,6 +2,8 @@
 
 normalize   text lines from stdin or a folder, cleaned
 export      texts of a language and a range of dates to named files
+annotate    text files with markup to vertical files, by a plug-in
+update      export and annotate the texts of languages and of a range of dates
 to-conll    tagged text files to CoNLL-U
 to-vert     CoNLL-U to vertical
 verify      documents in files of several formats
@@ -134,6 +136,28 @@ def write_each(lines: DataFrame, out: str, suffix: str, force: bool = False, com
         files.write_files(lines, out, F.concat(stem, F.lit(suffix + end)), "value", ["file", "line_idx"], "replace" if force else "error", threads)
 
 
+def annotate_files(spark: SparkSession, source: str, out: str, annotator: Callable[[], N.Annotator] | None = None, sentences: bool = True, existing: str = "error", suffix: str = ".vert", threads: int = 1) -> None:
+    """Each text file of a folder as a vertical file <stem><suffix>: tokens of an annotator (by default rules), with the markup of the text
+    between them. sentences: put <s> and </s> around sentences."""
+    texts = files.read_texts(spark, source)
+    lines = N.vertical_lines(N.annotate(texts, annotator or N.Rules, "path"), "path")
+    if not sentences:
+        lines = lines.filter(~F.col("value").isin("<s>", "</s>"))
+    stem = F.regexp_extract("path", r"([^/]+?)\.txt(?:\.xz)?$", 1)
+    files.write_files(lines, out, F.concat(stem, F.lit(suffix)), "value", ["seq", "part"], existing, threads)
+
+
+def update(spark: SparkSession, tables: str, out: str, languages: list[str], start: str, end: str, stem: str = "corpus", annotator: Callable[[], N.Annotator] | None = None, existing: str = "error", threads: int = 1, **options) -> dict[str, list[str]]:
+    """For each language: what `export_files` exports of a range of dates, below out/<lang>/text, and its annotation below out/<lang>/vertical, as .vert.xz.
+    Returns the text files; a language without texts has none, and no annotation."""
+    done = {}
+    for lang in languages:
+        done[lang] = export_files(spark, tables, f"{out}/{lang}/text", lang, stem, start=start, end=end, existing=existing, **options)
+        if done[lang]:
+            annotate_files(spark, f"{out}/{lang}/text", f"{out}/{lang}/vertical", annotator, existing="replace" if existing == "append" else existing, suffix=".vert.xz", threads=threads)
+    return done
+
+
 def document_tokens(lines: DataFrame) -> DataFrame:
     """doc (id and file_id of the document's tag), pos, word and tag of the tokens of vertical lines, which have word, tag in the
     columns 2 and 4; or in 1 and 2 if there are fewer. The files of a folder are one corpus."""
@@ -177,7 +201,7 @@ def compare(spark: SparkSession, sources: list[str], out: str | None = None, map
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="textmill", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="command", required=True)
-    for name, paths in (("normalize", "?"), ("export", None), ("to-conll", None), ("to-vert", None), ("verify", "+"), ("langid", None), ("enrich", None), ("compare", "+")):
+    for name, paths in (("normalize", "?"), ("export", None), ("annotate", None), ("update", None), ("to-conll", None), ("to-vert", None), ("verify", "+"), ("langid", None), ("enrich", None), ("compare", "+")):
         c = sub.add_parser(name)
         c.add_argument("source", nargs=paths) if paths else c.add_argument("source")
         if name not in ("normalize", "verify", "compare"):
@@ -200,8 +224,10 @@ def main(args: list[str] | None = None) -> int:
             c.add_argument("-z", "--keep-empty", action="store_true")
             c.add_argument("-e", "--encoding", default="utf_8")
             c.add_argument("-d", "--decoding-errors", default="replace", choices=("replace", "ignore", "strict"))
-        if name == "export":
-            c.add_argument("--lang", required=True)
+        if name == "annotate":
+            c.add_argument("-s", "--no-sentences", action="store_true", help="no sentence tags")
+        if name in ("export", "update"):
+            c.add_argument(*(("--lang",) if name == "export" else ("--langs",)), required=True, nargs=None if name == "export" else "+")
             c.add_argument("--stem", default="corpus")
             c.add_argument("--least", type=float, default=0.8)
             c.add_argument("--start", type=check_date, default="1900-01-01")
@@ -212,6 +238,7 @@ def main(args: list[str] | None = None) -> int:
         if name == "to-conll":
             c.add_argument("--wrap", action="store_true")
             c.add_argument("--uninorm", action="store_true")
+        if name in ("to-conll", "annotate", "update"):
             c.add_argument("--annotator", help="module:name of what makes an annotator")
         if name == "compare":
             c.add_argument("--out", help="a folder for tables and the report")
@@ -250,6 +277,11 @@ def main(args: list[str] | None = None) -> int:
         existing = "replace" if a.force else a.existing
         for suffix in ([".txt.xz"] if a.compress else []) + ([".txt"] if a.keep or not a.compress else []):
             print(*export_files(spark, a.source, a.out, a.lang, a.stem, a.least, a.start, a.end, a.per_file, a.texts, existing, suffix, a.threads), sep="\n")
+    elif a.command == "annotate":
+        annotate_files(spark, a.source, a.out, plug_in(a.annotator), not a.no_sentences, "replace" if a.force else "error", ".vert.xz" if a.compress else ".vert", a.threads)
+    elif a.command == "update":
+        done = update(spark, a.source, a.out, a.langs, a.start, a.end, a.stem, plug_in(a.annotator), "replace" if a.force else a.existing, a.threads, least=a.least, per_file=a.per_file, texts_dir=a.texts)
+        print(*(f"{lang}\t{len(names)}" for lang, names in done.items()), sep="\n")
     elif a.command == "to-conll":
         found = to_conll(spark, a.source, a.wrap, a.uninorm, plug_in(a.annotator))
         files.write_lines(found, a.out, a.force, a.compression)

@@ -27,7 +27,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str, suffix: str = "*.txt") -> DataFrame:
     """path, stem and text of whole text files."""
-    t = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", suffix).text(path)
+    t = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", suffix).text(path, wholetext=True)
     return t.select(F.col("_metadata.file_path").alias("path"), _stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("text"))
 
 
