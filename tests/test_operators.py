@@ -73,6 +73,52 @@ def test_multiword(spark):
     assert [(r.id, r.form, r.head, r.misc) for r in got] == [("1,2", "can't", "0,1", "M"), ("3,4", "au", "2", "N"), ("5", "x", "1", "_")]
 
 
+def splice_loop(rows):
+    """Lines in order: a range takes the numbers within it that follow, until one that is not, the next range or the end."""
+    out, groups, last = [], {}, None
+    for at, cells in rows:
+        if "-" in cells[0]:
+            low, _, high = cells[0].partition("-")
+            last = (at, int(low), int(high))
+            groups[at] = (cells, [])
+        elif last and cells[0].isdigit() and last[1] <= int(cells[0]) <= last[2]:
+            groups[last[0]][1].append(cells)
+        else:
+            groups[at] = (cells, [])
+    for at, (head, members) in groups.items():
+        if not members:
+            out.append((at, *head))
+            continue
+        columns = [[m[k] for m in members] for k in range(10)]
+        joined = [v[0] if len(set(v)) == 1 else ",".join(v) for v in columns]
+        joined[1], joined[9] = head[1], head[9]
+        out.append((at, *joined))
+    return sorted(out)
+
+
+def test_multiword_against_a_loop(spark):
+    rng = random.Random(9)
+    sents, rows = [], []
+    for s in range(80):
+        lines, n = [], 1
+        while n < rng.randint(1, 12):
+            if rng.random() < 0.3:
+                lines.append([f"{n}-{n + rng.randint(0, 3)}"])
+            for _ in range(rng.randint(0, 2)):
+                lines.append([str(n) if rng.random() < 0.9 else f"{n}.1"])
+                n += 1
+            n += 1
+        lines = [(3 * k, [i, *(rng.choice(["_", "a", "b", "é x"]) for _ in range(9))]) for k, (i,) in enumerate(lines)]
+        sents.append(lines)
+        rows += [("f", s, at, *cells) for at, cells in lines]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "file string, sent_seq int, line_idx long, " + ", ".join(f"{c} string" for c in K.CONLLU)).repartition(4)
+    got = K.splice_multiword(df, ["file", "sent_seq"]).collect()
+    for s, lines in enumerate(sents):
+        assert sorted(tuple(r)[2:] for r in got if r.sent_seq == s) == splice_loop(lines)
+    assert K.splice_multiword(df.limit(0), ["file", "sent_seq"]).collect() == []
+
+
 def test_unknown_line_is_an_error(spark):
     bad = spark.createDataFrame([("f", 0, "oops")], "file string, line_idx long, value string")
     with pytest.raises(Exception, match="neither comment nor token"):

@@ -5,6 +5,8 @@ Line order is an explicit line_idx within a file; nothing depends on the order o
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,10 +32,14 @@ def sentences(df: DataFrame, key: str = "doc_id", text: str = "text", longest: i
     return df.select(key, F.posexplode(F.flatten(cut)).alias("sent", "sentence"))
 
 
+def words_of(sentence: Column) -> Column:
+    """Words, numbers with their points, and single other marks."""
+    return F.regexp_extract_all(sentence, F.lit(r"[\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*|\p{N}+(?:[.,]\p{N}+)*|[^\s\p{L}\p{M}\p{N}]"), F.lit(0))
+
+
 def tokens(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, sent, pos (from 1) and word: words, numbers with their points, and single other marks."""
-    words = F.regexp_extract_all("sentence", F.lit(r"[\p{L}\p{M}]+(?:['’-][\p{L}\p{M}]+)*|\p{N}+(?:[.,]\p{N}+)*|[^\s\p{L}\p{M}\p{N}]"), F.lit(0))
-    return sentences(df, key, text).select(key, "sent", F.posexplode(words).alias("pos", "word")).withColumn("pos", F.col("pos") + 1)
+    """key, sent, pos (from 1) and word."""
+    return sentences(df, key, text).select(key, "sent", F.posexplode(words_of(F.col("sentence"))).alias("pos", "word")).withColumn("pos", F.col("pos") + 1)
 
 
 def class_of(word: Column) -> Column:
@@ -94,30 +100,55 @@ def parse_conllu(lines: DataFrame, file: str = "file") -> DataFrame:
     return seq.filter("kind = 'token'").select(file, "line_idx", "doc_seq", "sent_seq", *(F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(CONLLU)))
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def splice_sentence(rows: Column) -> Column:
+    """The rows of a sentence (structs of line_idx and the ten columns, in order), with each multi-word range and its members as one.
+
+    Form and misc come from the range's row, the other columns join the members' values by comma, or keep the one value that all
+    share. A range ends at its last member, at the next range or with the sentence; one without members stays as it is.
+    """
+    is_range = lambda r: F.coalesce(r["id"].contains("-"), F.lit(False))
+    bound = lambda r, k: F.regexp_extract(r["id"], r"^(\d+)-(\d+)$", k).try_cast("int")
+
+    def in_range(r: Column, s: Column) -> Column:
+        inside = (r["line_idx"] > s["row"]["line_idx"]) & (r["line_idx"] < s["next"]) & r["id"].try_cast("int").between(s["a"], s["b"])
+        return ~is_range(r) & F.coalesce(inside, F.lit(False))
+
+    def joined(s: Column, members: Column, name: str) -> Column:
+        if name in ("form", "misc"):
+            return s["row"][name].alias(name)
+        values = F.transform(members, lambda x: x[name])
+        several = F.when(F.size(F.array_distinct(values)) == 1, values[0]).otherwise(F.array_join(values, ",", ""))
+        return F.when(F.size(members) == 0, s["row"][name]).otherwise(several).alias(name)
+
+    def one(s: Column) -> Column:
+        members = F.filter(rows, lambda r: in_range(r, s))
+        return _bind(members, lambda m: F.struct(s["row"]["line_idx"].alias("line_idx"), *(joined(s, m, c) for c in CONLLU)))
+
+    def all_of(heads: Column) -> Column:
+        after = lambda i: F.coalesce(F.get(heads, i + 1)["line_idx"], F.lit(1 << 62))
+        spans = F.transform(heads, lambda r, i: F.struct(r.alias("row"), bound(r, 1).alias("a"), bound(r, 2).alias("b"), after(i).alias("next")))
+        return _bind(spans, lambda found: F.concat(F.transform(found, one), F.filter(rows, lambda r: ~is_range(r) & ~F.exists(found, lambda s: in_range(r, s)))))
+
+    return _bind(F.filter(rows, is_range), lambda heads: F.when(F.size(heads) == 0, rows).otherwise(all_of(heads)))
+
+
 def splice_multiword(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Token rows with each multi-word range and its members as one row.
+    """Token rows with each multi-word range and its members as one row (see splice_sentence). keys name the sentence.
 
-    keys name the sentence. Form and misc come from the range's row, the other columns join the members' values by comma,
-    or keep the one value that all share. A range ends at its last member, at the next range or with the sentence. The ten
-    columns travel as one line, as in a file, so a shuffled row is small; no value has a tab, as none in a file can.
+    The ten columns travel as one line, as in a file, so a shuffled row is small; no value has a tab, as none in a file can.
     """
-    low, high = F.regexp_extract("id", r"^(\d+)-(\d+)$", 1), F.regexp_extract("id", r"^(\d+)-(\d+)$", 2)
-    order = W.partitionBy(*keys).orderBy("line_idx")
-    is_range = F.col("id").contains("-")
     line = F.concat_ws("\t", *(F.coalesce(F.col(c), F.lit(_NO_VALUE)) for c in CONLLU))
-    t = rows.select(*keys, "line_idx", F.when(is_range, low.try_cast("int")).alias("_a"), F.when(is_range, high.try_cast("int")).alias("_b"), is_range.alias("_head"), F.col("id").try_cast("int").alias("_n"), line.alias("_line"))
-    t = t.withColumn("_last", F.last(F.when(F.col("_head"), F.struct("line_idx", "_a", "_b")), ignorenulls=True).over(order))
-    member = ~F.col("_head") & F.col("_last").isNotNull() & F.col("_n").between(F.col("_last._a"), F.col("_last._b"))
-    t = t.select(*keys, F.when(F.col("_head") | member, F.col("_last.line_idx")).otherwise(F.col("line_idx")).alias("_group"), "line_idx", "_head", "_line")
-    grouped = t.groupBy(*keys, "_group").agg(F.array_sort(F.collect_list(F.struct("line_idx", "_head", "_line"))).alias("c"))
-    cells = lambda which: F.transform(F.filter("c", lambda x: F.when(F.size("c") == 1, True).otherwise(x["_head"] == which)), lambda x: F.split(x["_line"], "\t"))
-    parted = grouped.select(*keys, F.col("_group").alias("line_idx"), cells(True).alias("_heads"), cells(False).alias("_members"))
-
-    def joined(k: int, name: str) -> Column:
-        values = F.transform("_heads" if name in ("form", "misc") else "_members", lambda x: F.when(x[k] != _NO_VALUE, x[k]))
-        return F.when(F.size(F.array_distinct(values)) == 1, values[0]).otherwise(F.array_join(values, ",", "")).alias(name)
-
-    return parted.select(*keys, "line_idx", *(joined(k, c) for k, c in enumerate(CONLLU)))
+    sentences_ = rows.select(*keys, F.col("line_idx").cast("long"), line.alias("_line")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("line_idx", "_line"))).alias("c"))
+
+    def row(x: Column) -> Column:
+        return _bind(F.split(x["_line"], "\t"), lambda cells: F.struct(x["line_idx"].alias("line_idx"), *(F.when(cells[k] != _NO_VALUE, cells[k]).alias(c) for k, c in enumerate(CONLLU))))
+
+    return sentences_.select(*keys, F.transform("c", row).alias("_rows")).select(*keys, F.inline(splice_sentence(F.col("_rows"))))
 
 
 def read_tagged(lines: DataFrame, file: str = "file") -> DataFrame:
