@@ -133,3 +133,48 @@ def test_pipeline_at_the_edges(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, str(tmp_path))
         assert none.count() == 0
+
+
+def test_token_counts_by_brute_force(spark):
+    """Every pre-token of whole texts spelt by its own dynamic program, without a trie."""
+    import regex
+
+    scores = unigram.rank_scores(bpe.read_ranks(RANKS))
+
+    def pieces(word: bytes) -> int:
+        best = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            best.append(max((best[s][0] + scores[word[s:end]], best[s][1] - 1) for s in range(max(0, end - 40), end) if word[s:end] in scores))
+        return -best[-1][1]
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(-1, "aaaa" * 50 + " it's 12345 \t\n  日本語 ﬁ!!"), (-2, None), (-3, "")], "doc_id long, text string")
+    rows = docs.limit(40).union(extra).collect()  # a fixture: brute force is slow
+    got = {r.doc_id: (r.n_pretokens, r.n_tokens) for r in unigram.token_counts(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, P.PATTERN).collect()}
+    for r in rows:
+        parts = [p.encode() for p in regex.findall(P.PATTERN, r.text or "")]
+        assert got[r.doc_id] == (len(parts), sum(map(pieces, parts)))
+
+
+@pytest.mark.parametrize("n", [2, 4, 9])
+def test_decoding_by_hand(n):
+    """Losses of all codewords, one by one; the least one wins, and its share of the odds is the score."""
+    import math
+
+    rng = np.random.default_rng(n)
+    code = langcode.codewords(n)
+    trust = rng.random(code.shape) + 0.1
+    trust /= trust.sum(axis=1, keepdims=True)
+    model = langcode.Model([f"l{k}" for k in range(n)], code, np.zeros((code.shape[1], langcode.FEATURES), np.float32), np.zeros(code.shape[1]), trust)
+    margins = rng.normal(size=(30, code.shape[1])) * 3
+    got = model.decode(margins)
+    for row, odds in zip(margins, got, strict=True):
+        losses = [sum(trust[k][b] * math.log1p(math.exp(-row[b] * code[k][b])) for b in range(code.shape[1])) for k in range(n)]
+        weights = [math.exp(-4 * x) for x in losses]
+        assert np.allclose(odds, np.array(weights) / sum(weights)) and odds.argmax() == losses.index(min(losses))
+    # margins are means of weights over the n-grams of a text
+    model.weights[:] = rng.normal(size=model.weights.shape)
+    texts = ["Ab c", "é", "", "the cat sat"]
+    for text, row in zip(texts, model.margins(texts), strict=True):
+        grams, starts = langcode._grams([text])
+        assert np.allclose(row, [np.mean([model.weights[k][f] for g in grams for f in g[: len(grams[0])]]) for k in range(code.shape[1])], atol=1e-4)
