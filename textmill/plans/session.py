@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -31,7 +33,8 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     top = Path(__file__).resolve().parents[2]
-    folder = tempfile.mkdtemp(prefix="textmill-")
+    folder = tempfile.mkdtemp(prefix="textmill-")  # the driver serves the archive from here until the application ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     path = f"{folder}/textmill.zip"
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for f in sorted((top / "textmill").rglob("*.py")):
