@@ -162,23 +162,26 @@ def cuts(left: DataFrame, right: DataFrame, cut: int = CUT, size: int = SHINGLE,
     ends = lambda side, n: side.groupBy("key").agg(F.min("at").alias(f"first_{n}"), (F.max("at") + 1).alias(f"end_{n}"))
     keys = ends(left, "i").withColumnRenamed("key", "k1").join(ends(right, "j").withColumnRenamed("key", "k2"), F.col("k1").eqNullSafe(F.col("k2")), "full")
     keys = keys.select(F.when(F.col("first_i").isNotNull(), F.col("k1")).otherwise(F.col("k2")).alias("key"), "first_i", "end_i", "first_j", "end_j")
+    columns = ("key", "i", "j", "first_i", "end_i", "first_j", "end_j")
+    starts = keys.select("key", F.col("first_i").alias("i"), F.col("first_j").alias("j"), "first_i", "end_i", "first_j", "end_j")
+    long = keys.filter(F.greatest(F.col("end_i") - F.col("first_i"), F.col("end_j") - F.col("first_j")) > cut)
+    if long.isEmpty():
+        return starts
     both = _shingles(left, cut, size, thin).select(F.col("key").alias("k1"), F.col("hash").alias("h1"), F.col("at").alias("i"))
     both = both.join(_shingles(right, cut, size, thin).select(F.col("key").alias("k2"), F.col("hash").alias("h2"), F.col("at").alias("j")), (F.col("h1") == F.col("h2")) & F.col("k1").eqNullSafe(F.col("k2")))
     picks = both.groupBy("k1", F.floor(F.col("i") / cut).alias("block")).agg(F.min_by(F.struct("i", "j"), "i").alias("p")).select("k1", "p.i", "p.j")
-    long = keys.filter(F.greatest(F.col("end_i") - F.col("first_i"), F.col("end_j") - F.col("first_j")) > cut)
     picks = picks.join(long, F.col("k1").eqNullSafe(F.col("key")))
-    schema = StructType([StructField("key", left.schema["key"].dataType), *(StructField(c, LongType()) for c in ("i", "j", "first_i", "end_i", "first_j", "end_j"))])
+    schema = StructType([StructField("key", left.schema["key"].dataType), *(StructField(c, LongType()) for c in columns[1:])])
 
     def keep(key: pd.DataFrame) -> pd.DataFrame:
         found = chain(list(zip(key["i"].tolist(), key["j"].tolist(), strict=True)))
         out = pd.DataFrame(found, columns=["i", "j"], dtype="int64")
-        for c in ("key", "first_i", "end_i", "first_j", "end_j"):
+        for c in ("key", *columns[3:]):
             out[c] = key[c].iloc[0]
-        return out[["key", "i", "j", "first_i", "end_i", "first_j", "end_j"]]
+        return out[list(columns)]
 
-    inner = picks.select("key", "i", "j", "first_i", "end_i", "first_j", "end_j").groupBy("key").applyInPandas(keep, schema)
+    inner = picks.select(*columns).groupBy("key").applyInPandas(keep, schema)
     inner = inner.filter((F.col("i") > F.col("first_i")) | (F.col("j") > F.col("first_j")))
-    starts = keys.select("key", F.col("first_i").alias("i"), F.col("first_j").alias("j"), "first_i", "end_i", "first_j", "end_j")
     return starts.unionByName(inner)
 
 

@@ -109,32 +109,40 @@ def splice_sentence(rows: Column) -> Column:
     """The rows of a sentence (structs of line_idx and the ten columns, in order), with each multi-word range and its members as one.
 
     Form and misc come from the range's row, the other columns join the members' values by comma, or keep the one value that all
-    share. A range ends at its last member, at the next range or with the sentence; one without members stays as it is.
+    share. A range ends at its last member, at the next range or with the sentence; one without members stays as it is. The rows
+    are cut at the ranges, so each is looked at once.
     """
     is_range = lambda r: F.coalesce(r["id"].contains("-"), F.lit(False))
     bound = lambda r, k: F.regexp_extract(r["id"], r"^(\d+)-(\d+)$", k).try_cast("int")
 
-    def in_range(r: Column, s: Column) -> Column:
-        inside = (r["line_idx"] > s["row"]["line_idx"]) & (r["line_idx"] < s["next"]) & r["id"].try_cast("int").between(s["a"], s["b"])
-        return ~is_range(r) & F.coalesce(inside, F.lit(False))
-
-    def joined(s: Column, members: Column, name: str) -> Column:
+    def joined(head: Column, members: Column, name: str) -> Column:
         if name in ("form", "misc"):
-            return s["row"][name].alias(name)
+            return head[name].alias(name)
         values = F.transform(members, lambda x: x[name])
         several = F.when(F.size(F.array_distinct(values)) == 1, values[0]).otherwise(F.array_join(values, ",", ""))
-        return F.when(F.size(members) == 0, s["row"][name]).otherwise(several).alias(name)
+        return F.when(F.size(members) == 0, head[name]).otherwise(several).alias(name)
+
+    def spliced(head: Column, rest: Column) -> Column:
+        """A range's row, and the rows up to the next range: one row, and those that are no members."""
+        limits = F.struct(bound(head, 1).alias("a"), bound(head, 2).alias("b"))
+
+        def parted(t: Column) -> Column:
+            inside = lambda r: F.coalesce(r["id"].try_cast("int").between(t["a"], t["b"]), F.lit(False))
+            one = _bind(F.filter(rest, inside), lambda m: F.struct(head["line_idx"].alias("line_idx"), *(joined(head, m, c) for c in CONLLU)))
+            return F.concat(F.array(one), F.filter(rest, lambda r: ~inside(r)))
+
+        return _bind(limits, parted)
 
-    def one(s: Column) -> Column:
-        members = F.filter(rows, lambda r: in_range(r, s))
-        return _bind(members, lambda m: F.struct(s["row"]["line_idx"].alias("line_idx"), *(joined(s, m, c) for c in CONLLU)))
+    def cut(every: Column) -> Column:
+        def at_heads(heads: Column) -> Column:
+            size = lambda k: F.coalesce(F.get(heads, k + 1), F.size(every)) - heads[k] - 1  # noqa: E731  rows up to the next range
+            parts = F.transform(heads, lambda h, k: _bind(F.slice(every, h + 2, size(k)), lambda rest: spliced(every[h], rest)))
+            return F.when(F.size(heads) == 0, every).otherwise(F.concat(F.slice(every, F.lit(1), heads[0]), F.flatten(parts)))
 
-    def all_of(heads: Column) -> Column:
-        after = lambda i: F.coalesce(F.get(heads, i + 1)["line_idx"], F.lit(1 << 62))
-        spans = F.transform(heads, lambda r, i: F.struct(r.alias("row"), bound(r, 1).alias("a"), bound(r, 2).alias("b"), after(i).alias("next")))
-        return _bind(spans, lambda found: F.concat(F.transform(found, one), F.filter(rows, lambda r: ~is_range(r) & ~F.exists(found, lambda s: in_range(r, s)))))
+        places = F.filter(F.sequence(F.lit(0), F.size(every) - 1), lambda i: is_range(every[i]))
+        return F.when(F.size(every) > 0, _bind(places, at_heads)).otherwise(every)
 
-    return _bind(F.filter(rows, is_range), lambda heads: F.when(F.size(heads) == 0, rows).otherwise(all_of(heads)))
+    return _bind(rows, cut)
 
 
 def splice_multiword(rows: DataFrame, keys: list[str]) -> DataFrame:
