@@ -118,7 +118,7 @@ def splice_sentence(rows: Column) -> Column:
     def joined(head: Column, members: Column, name: str) -> Column:
         if name in ("form", "misc"):
             return head[name].alias(name)
-        values = F.transform(members, lambda x: x[name])
+        values = members[name]  # of all members
         several = F.when(F.size(F.array_distinct(values)) == 1, values[0]).otherwise(F.array_join(values, ",", ""))
         return F.when(F.size(members) == 0, head[name]).otherwise(several).alias(name)
 
