@@ -76,6 +76,12 @@ def test_html_and_objects():
     assert [U.str_to_obj(x) for x in ('{"a": 1}', "['b']", "plain")] == [{"a": 1}, ["b"], "plain"]
 
 
+def test_open_references():
+    page = "<title>a&amp;b&amp</title><style>p{}</style><script>x&amp;&y</script>&copy 1&#65;&#66 &no; &notit;&"
+    assert U.html_text(page, open_references=False) == "a&b&ampp{}x&amp;&y&copy 1A&#66 &no; &notit;&"
+    assert U.html_text("<title>a&amp</title>b") == "a&b"
+
+
 def test_xz_round_trip(spark):
     df = spark.createDataFrame([("é\n",), (None,)], "t string")
     assert [r.x for r in df.select(U.unxz_udf()(U.xz_udf()("t")).alias("x")).collect()] == ["é\n", None]
