@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textmill.operators.compare import phrases
+from textmill.operators.compare import gather, phrase_numbers, phrase_parts
 
 #: Lines of a group at most, and sentences of a batch.
 MOST_LINES, MOST_SENTENCES = 10_000, 1_000
@@ -47,16 +47,33 @@ def name_class(word: Column, tag: Column, initial: Column, known: Column, after:
     return F.when(capital, "C").when(F.lower(word).isin(*functions), "F").otherwise("X")
 
 
+def name_units(items: Column, letters: Column, joiner: str = "_", tag: str = "NP00000") -> Column:
+    """The tokens of a sentence (structs of pos, word, lemma and tag), the longest names of two tokens and more as one: structs of pos (of
+    the first token), size, word, lemma and tag. letters: their classes (see name_class) as one string."""
+
+    def units(b: Column) -> Column:
+        parts, numbers, every = b["parts"], b["numbers"], b["items"]
+        starts = F.filter(F.sequence(F.lit(0), F.size(every) - 1), lambda i: numbers[i].isNull() | ~numbers[i].eqNullSafe(F.get(numbers, i - 1)))
+
+        def unit(i: Column) -> Column:
+            one = every[i]
+            size = F.char_length(F.get(parts, (2 * numbers[i] + 1).cast("int")))
+            text = lambda c: F.array_join(F.transform(F.slice(every, i + 1, size), lambda x: x[c]), joiner)
+            alone = F.struct(one["pos"].alias("pos"), F.lit(1).cast("long").alias("size"), one["word"].alias("word"), one["lemma"].alias("lemma"), one["tag"].alias("tag"))
+            name = F.struct(one["pos"].alias("pos"), size.cast("long").alias("size"), text("word").alias("word"), F.lower(text("word")).alias("lemma"), F.lit(tag).alias("tag"))
+            return F.when(numbers[i].isNull(), alone).otherwise(name)
+
+        return F.when(F.size(every) > 0, F.transform(starts, unit))
+
+    bound = F.array(F.struct(phrase_parts(letters, NAME).alias("parts"), phrase_numbers(letters, NAME).alias("numbers"), items.alias("items")))
+    return F.element_at(F.transform(bound, units), 1)
+
+
 def join_names(tokens: DataFrame, keys: list[str], cls: str = "cls", joiner: str = "_", tag: str = "NP00000") -> DataFrame:
     """keys, pos (of the first token), size, word, lemma and tag, where the longest names of two tokens and more are one token.
 
     tokens: keys, pos, word, lemma, tag and cls (see name_class). A function word is joined only between capitals. A
-    sentence is a unit, as for phrases.
+    sentence is a unit, as for phrases, and is brought together once.
     """
-    found = phrases(tokens, keys, cls, NAME)
-    unit = F.coalesce(F.col("phrase").cast("string"), F.concat(F.lit("t"), F.col("pos").cast("string")))
-    items = F.array_sort(F.collect_list(F.struct("pos", "word", "lemma", "tag")))
-    joined = found.withColumn("_unit", unit).groupBy(*keys, "_unit").agg(items.alias("i"))
-    text = lambda c: F.array_join(F.transform("i", lambda x: x[c]), joiner)
-    size = F.size("i")
-    return joined.select(*keys, F.col("i")[0]["pos"].alias("pos"), size.cast("long").alias("size"), text("word").alias("word"), F.when(size > 1, F.lower(text("word"))).otherwise(text("lemma")).alias("lemma"), F.when(size > 1, tag).otherwise(F.col("i")[0]["tag"]).alias("tag"))
+    sentences = gather(tokens.select(*keys, "pos", "word", "lemma", "tag", F.col(cls).alias("_cls")), keys)
+    return sentences.select(*keys, F.inline(name_units(F.col("t"), F.array_join(F.transform("t", lambda x: x["_cls"]), ""), joiner, tag)))
