@@ -105,3 +105,20 @@ def test_params_hash(spark):
     import __spark_entry__ as entry
 
     assert {r.hash: r.n for r in entry.queries()["params_hash"](spark, "/root/testdata/sf0.001").collect()} == counted
+
+
+def test_lines_are_cleaned_by_classes(spark):
+    from textmill.functions import text as T
+    from textmill.operators import langid as L
+
+    rows = [(k, "".join(c)) for k, c in enumerate(["a…b", " 12 ", "", "\x0b–", "ÉCOLE 1", "École", "a  b\tc", "x`y“z”", "«›", "d—e"])]
+    df = spark.createDataFrame([*rows, (99, None)], "k int, line string")
+    c = F.col("line")
+    drops = T.DROP_DIGITS + T.DROP_PUNCTUATION + T.DROP_SYMBOLS + T.DROP_SPACES
+    spaced = F.trim(F.regexp_replace(F.translate(c, drops, " " * len(drops)), r"\s+", " "))
+    plain = F.when(spaced.rlike(r"\p{Lu}") & ~spaced.rlike(r"[\p{Ll}\p{Lt}]"), F.lower(spaced)).otherwise(spaced)
+    for r in df.select(T.clean_line(c).alias("got"), plain.alias("want"), T.blank_line(c).alias("blank"), T.fold_marks(c).alias("folded"), T.fold_dashes(T.fold_quotes(c)).alias("marks")).collect():
+        assert (r["got"], r["folded"], r["blank"]) == (r["want"], r["marks"], None if r["want"] is None else r["want"] == "")
+    left = L.tidy_lines(df, blank=False).collect()
+    assert sorted(r.k for r in left) == [r.k for r in L.tidy_lines(df).orderBy("k").collect() if r.line]
+    assert "regexp_replace" not in L.tidy_lines(df, blank=False).filter("k > 0")._jdf.queryExecution().optimizedPlan().toString().split("Filter")[-1]

@@ -53,16 +53,37 @@ def lines(c: Column | str) -> Column:
     return F.split(_col(c), "\n")
 
 
+def char_class(chars: str) -> str:
+    """A class of the characters. Others are asked for only where a character is not ASCII: a class of many characters is looked through one
+    by one for each character of a text."""
+    code = lambda part: "".join(f"\\u{ord(c):04x}" for c in part)
+    near, far = [c for c in chars if c < "\x80"], [c for c in chars if c >= "\x80"]
+    return "[" + code(near) + (f"[[^\\x00-\\x7f]&&[{code(far)}]]" if far else "") + "]"
+
+
+def fold_marks(c: Column | str) -> Column:
+    """Quotes and dashes folded, in texts that have some other than ' " and -."""
+    c = _col(c)
+    other = "".join(x for x in SINGLE_QUOTES + DOUBLE_QUOTES + HYPHENS + DASHES if x not in "'\"-")
+    return F.when(c.rlike(char_class(other)), fold_dashes(fold_quotes(c))).otherwise(c)
+
+
 def lower_if_shouting(c: Column | str) -> Column:
     """Lower case for a string that has upper-case but no lower-case letters."""
-    c = _col(c)
-    return F.when(c.rlike(r"\p{Lu}") & ~c.rlike(r"[\p{Ll}\p{Lt}]"), F.lower(c)).otherwise(c)
+    shouts = lambda x: ~x.rlike(r"[\p{Ll}\p{Lt}]") & x.rlike(r"\p{Lu}")
+    return F.element_at(F.transform(F.array(_col(c)), lambda x: F.when(shouts(x), F.lower(x)).otherwise(x)), 1)  # computes c once
 
 
 def clean_line(c: Column | str, drops: str = DROP_DIGITS + DROP_PUNCTUATION + DROP_SYMBOLS + DROP_SPACES) -> Column:
     """A line for language identification: dropped characters become spaces, spaces collapse, shouting is lowered."""
-    spaced = F.translate(_col(c), drops, " " * len(drops))
-    return lower_if_shouting(F.trim(F.regexp_replace(spaced, r"\s+", " ")))
+    blank = char_class("".join(sorted({*drops, *SPACES})))
+    other = char_class("".join(sorted({*drops, *SPACES} - {" "})))
+    return lower_if_shouting(F.trim(F.regexp_replace(_col(c), f"{blank}{{2,}}|{other}", " ")))
+
+
+def blank_line(c: Column | str, drops: str = DROP_DIGITS + DROP_PUNCTUATION + DROP_SYMBOLS + DROP_SPACES) -> Column:
+    """Whether clean_line leaves nothing of a line; it looks no further than the first character that stays."""
+    return ~_col(c).rlike("[^" + char_class("".join(sorted({*drops, *SPACES})))[1:])
 
 
 def clean_extracted(c: Column | str) -> Column:

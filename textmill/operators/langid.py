@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textmill.functions.text import clean_line, fold_dashes, fold_quotes
+from textmill.functions.text import blank_line, clean_line, fold_marks
 from textmill.functions.unicode import normalize_udf, unstable_pattern
 
 # Short function words of each language.
@@ -31,6 +31,11 @@ def _is_in(words: tuple[str, ...]) -> Callable[[Column], Column]:
     return lambda w: w.isin(*words)
 
 
+def _function_words(words: Column, profiles: dict[str, tuple[str, ...]]) -> Column:
+    """The words that any language counts, so that the others are looked at once."""
+    return F.filter(words, _is_in(tuple(sorted({w for p in profiles.values() for w in p}))))
+
+
 def profile_model(profiles: dict[str, tuple[str, ...]] = PROFILES) -> LineModel:
     """The language with most function words; `unknown` without any."""
 
@@ -45,7 +50,7 @@ def profile_model(profiles: dict[str, tuple[str, ...]] = PROFILES) -> LineModel:
 
     def model(text: Column) -> Column:
         # one-element arrays bind the words and the scores, so neither is computed more than once
-        words = F.array(F.split(F.lower(text), " "))
+        words = F.array(_function_words(F.split(F.lower(text), " "), profiles))
         scores = F.transform(words, lambda ws: F.struct(*(F.size(F.filter(ws, _is_in(profiles[n]))).alias(n) for n in names)))
         return F.element_at(F.transform(scores, pick), 1)
 
@@ -57,21 +62,24 @@ def profile_score(profiles: dict[str, tuple[str, ...]] = PROFILES) -> LineModel:
 
     def score(text: Column) -> Column:
         words = F.split(F.lower(text), " ")
-        return F.greatest(*(F.size(F.filter(words, _is_in(p))) for p in profiles.values())) / F.size(words)
+        share = lambda x: F.greatest(*(F.size(F.filter(x["found"], _is_in(p))) for p in profiles.values())) / x["n"]
+        counts = F.transform(F.array(words), lambda ws: F.struct(_function_words(ws, profiles).alias("found"), F.size(ws).alias("n")))
+        return F.element_at(F.transform(counts, share), 1)
 
     return score
 
 
-def tidy_lines(df: DataFrame, line: str = "line") -> DataFrame:
-    """df with each line normalised as by normalize_line, then cleaned.
+def tidy_lines(df: DataFrame, line: str = "line", blank: bool = True) -> DataFrame:
+    """df with each line normalised as by normalize_line, then cleaned; without blank, only lines of which something is left.
 
     Lines of characters that no normal form changes, without references and markup, which are nearly all, are folded by
     built-in expressions; only the others pass through Python. Each part reads df. A null line stays null.
     """
     c = F.col(f"`{line}`")
     plain = F.coalesce(~c.rlike(unstable_pattern()), F.lit(True))
-    native = df.filter(plain).withColumn(line, clean_line(fold_dashes(fold_quotes(c))))
-    return native.unionByName(df.filter(~plain).withColumn(line, clean_line(normalize_udf()(c))))
+    some = lambda part: part if blank else part.filter(~blank_line(line))  # noqa: E731  asked before a line is cleaned, which is dear
+    native = some(df.filter(plain).withColumn(line, fold_marks(c))).withColumn(line, clean_line(line))
+    return native.unionByName(some(df.filter(~plain).withColumn(line, normalize_udf()(c))).withColumn(line, clean_line(line)))
 
 
 def explode_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -81,7 +89,7 @@ def explode_lines(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def identify_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_len: int = 10, model: LineModel | None = None) -> DataFrame:
     """key, line_idx, lang and bytes of each cleaned line that is not blank; lines under min_len characters are `short`."""
-    cleaned = tidy_lines(explode_lines(df, key, text)).filter("line <> ''")
+    cleaned = tidy_lines(explode_lines(df, key, text), blank=False)
     lang = F.when(F.char_length("line") < min_len, "short").otherwise((model or profile_model())(F.col("line")))
     return cleaned.select(key, "line_idx", lang.alias("lang"), F.octet_length("line").cast("long").alias("bytes"))
 
@@ -160,7 +168,12 @@ def l1_between(low: float = 0.0, high: float = 1.0) -> Column:
 def sentence_languages(tokens: DataFrame, keys: list[str], pos: str = "pos", word: str = "word", short: int = 4, long: int = 500, languages: tuple[str, ...] = ("en", "fr", "es"), model: LineModel | None = None) -> DataFrame:
     """keys and lang of each sentence of `short` tokens or more; from `long` on by vote of chunks, ties for the first seen."""
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(pos, word))), lambda t: t[word]), " ")
-    sentences = tidy_lines(tokens.groupBy(*keys).agg(text.alias("text")), "text").withColumn("words", F.split("text", " "))
+    return text_languages(tokens.groupBy(*keys).agg(text.alias("text")), keys, short, long, languages, model)
+
+
+def text_languages(texts: DataFrame, keys: list[str], short: int = 4, long: int = 500, languages: tuple[str, ...] = ("en", "fr", "es"), model: LineModel | None = None) -> DataFrame:
+    """sentence_languages of sentences (keys and text, the words by spaces) that are rows already."""
+    sentences = tidy_lines(texts.select(*keys, "text"), "text", blank=False).withColumn("words", F.split("text", " "))
     sentences = sentences.filter((F.size("words") >= short) & (F.col("words")[0] != ""))
     chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / long).cast("int")), lambda i: F.slice("words", i * long + 1, F.lit(long)))
     each = sentences.select(*keys, F.posexplode(F.when(F.size("words") < long, F.array("words")).otherwise(chunks)).alias("chunk", "words"))
@@ -172,7 +185,7 @@ def sentence_languages(tokens: DataFrame, keys: list[str], pos: str = "pos", wor
 
 def sample_lines(df: DataFrame, key: str, text: str, size: int, seed: int = 0) -> DataFrame:
     """key and line: `size` distinct cleaned lines of each document, picked by a hash; size 0 or more than there are: all."""
-    cleaned = tidy_lines(explode_lines(df, key, text)).filter("line <> ''")
+    cleaned = tidy_lines(explode_lines(df, key, text), blank=False)
     if not size:
         return cleaned.select(key, "line")
     one = cleaned.groupBy(key, "line").agg(F.count("*").alias("copies"))
