@@ -68,3 +68,24 @@ def test_no_token_is_shuffled(spark, name):
 def test_only_counts_are_shuffled(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert p.count("Exchange") == 1 and "Window" not in p and "Join" not in p
+
+
+def test_rows_align_as_tokens_do(spark):
+    from textmill.operators import align as A
+
+    r = random.Random(7)
+    docs = [(k, [(r.choice("abcde"), r.choice("NV")) for _ in range(r.choice((0, 1, 3, 12)))], [(r.choice("abcde"), r.choice("NV")) for _ in range(r.choice((0, 2, 12)))]) for k in range(60)]
+    token = "array<struct<word:string,tag:string>>"
+    df = spark.createDataFrame([*docs, (98, None, [("a", None)]), (99, [(None, "N")] * 30, [(None, "N")] * 29)], f"k long, left {token}, right {token}")
+    each = lambda c: df.select("k", F.posexplode(c).alias("pos", "v")).select("k", "pos", "v.word", "v.tag")
+    rows = lambda a: sorted(map(str, a.collect()))
+    want = rows(A.align(each("left"), each("right"), "k"))
+    assert len(want) > 50 and rows(A.align_rows(df, "k")) == want
+    whole = A.align_rows(df, "k", cut=11)  # some go the other way
+    assert rows(whole.groupBy("k").agg(F.sum("n_left"), F.sum("n_right"))) == rows(A.align_rows(df, "k").groupBy("k").agg(F.sum("n_left"), F.sum("n_right")))
+
+
+@pytest.mark.parametrize("name", ["align_codes", "align_tokens"])
+def test_short_documents_are_aligned_in_place(spark, name):
+    p = plan(entry.queries()[name](spark, SF))
+    assert p.count("Exchange") == 2 and "MapInArrow" in p and "Join" not in p

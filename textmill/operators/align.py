@@ -19,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from textmill.plans.scratch import Scratch
 
 #: Tokens of an anchor; tokens for each cut; one anchor of so many is looked at; bits of rows that are held at once.
 SHINGLE, CUT, THIN, BITS = 8, 20_000, 32, 1 << 29
+#: Rows that are aligned before theirs are given back.
+PACK = 16
 #: What each side has in a row, beside its code and error.
 ROW = ("left", "left_tag", "n_left", "right", "right_tag", "n_right")
 
@@ -226,6 +229,44 @@ def align(left: DataFrame, right: DataFrame, key: str = "doc_id", order: tuple[s
     return rows.select(key, F.col("part").cast("long").alias("segment"), "seq", "code", "error", *ROW)
 
 
+def align_rows(docs: DataFrame, key: str = "doc_id", left: str = "left", right: str = "right", cut: int = CUT, scratch: Scratch | None = None) -> DataFrame:
+    """What `align` gives, of rows that have a key (written once) and both streams as arrays of structs of word and tag. Rows of at most
+    `cut` tokens on both sides are aligned where they are, without a shuffle; the tokens of the others go through `align`."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    token = "array<struct<word:string,tag:string>>"
+    stream = lambda c: F.coalesce(F.transform(F.col(f"`{c}`"), lambda x: F.struct(x["word"].cast("string").alias("word"), x["tag"].cast("string").alias("tag"))), F.array().cast(token))
+    picked = docs.select(F.col(f"`{key}`").alias("key"), stream(left).alias("left"), stream(right).alias("right"))
+    long = (F.size("left") > cut) | (F.size("right") > cut)
+    kind = docs.schema[key].dataType
+    schema = StructType([StructField(key, kind), StructField("segment", LongType()), StructField("seq", LongType()), StructField("code", StringType()), StructField("error", BooleanType()), *(StructField(c, LongType() if c.startswith("n_") else StringType()) for c in ROW)])
+    types = [pa.int64(), pa.string(), pa.bool_(), *(pa.int64() if c.startswith("n_") else pa.string() for c in ROW)]
+
+    def streams(column: pa.Array) -> list[list[tuple]]:
+        ends, flat = column.offsets.to_pylist(), column.values
+        pairs = list(zip(flat.field("word").to_pylist(), flat.field("tag").to_pylist(), strict=True))
+        return [pairs[a:b] for a, b in zip(ends, ends[1:])]
+
+    def aligned(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, PACK):  # rows of so many documents are held at once
+                part = pa.Table.from_batches([batch.slice(at, PACK)]).combine_chunks().to_batches()[0]
+                rows, of = [], []
+                for k, (x, y) in enumerate(zip(streams(part.column("left")), streams(part.column("right")), strict=True)):
+                    found = segment_rows(x, y, True)
+                    rows += [(n, *r) for n, r in enumerate(found)]
+                    of += [k] * len(found)
+                cells = list(zip(*rows, strict=True)) if rows else [()] * len(types)
+                keys = part.column("key").take(pa.array(of, pa.int64()))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(np.zeros(len(of), np.int64)), *(pa.array(c, t) for c, t in zip(cells, types, strict=True))], names=schema.names)
+
+    short = picked.filter(~long).mapInArrow(aligned, schema)
+    rest = scratch.table(picked.filter(long), "long", "zstd")  # read several times
+    if rest.isEmpty():
+        return short
+    each = lambda c: rest.select(F.col("key").alias(key), F.posexplode(c).alias("pos", "v")).select(key, "pos", "v.word", "v.tag")
+    return short.unionByName(align(each("left"), each("right"), key, cut=cut, scratch=scratch))
+
+
 def differences(aligned: DataFrame) -> DataFrame:
     """word, left_tag, right_tag, n, diff_pct and total_pct of tokens whose tags differ: shares of all such tokens and of all compared."""
     total = aligned.agg(F.count_if(F.col("code").isin("S", "C")).alias("total"), F.count_if(F.col("code") == "C").alias("diffs"))
