@@ -231,20 +231,22 @@ def align(left: DataFrame, right: DataFrame, key: str = "doc_id", order: tuple[s
 
 def align_rows(docs: DataFrame, key: str = "doc_id", left: str = "left", right: str = "right", cut: int = CUT, scratch: Scratch | None = None) -> DataFrame:
     """What `align` gives, of rows that have a key (written once) and both streams as arrays of structs of word and tag. Rows of at most
-    `cut` tokens on both sides are aligned where they are, without a shuffle; the tokens of the others go through `align`."""
+    `cut` tokens on both sides are aligned where they are, without a shuffle of tokens; the tokens of the others go through `align`."""
     scratch = scratch or Scratch(docs.sparkSession)
     token = "array<struct<word:string,tag:string>>"
     stream = lambda c: F.coalesce(F.transform(F.col(f"`{c}`"), lambda x: F.struct(x["word"].cast("string").alias("word"), x["tag"].cast("string").alias("tag"))), F.array().cast(token))
     picked = docs.select(F.col(f"`{key}`").alias("key"), stream(left).alias("left"), stream(right).alias("right"))
+    picked = scratch.table(picked, "streams", "zstd")  # written once: filters on sizes would make the streams again, several times
     long = (F.size("left") > cut) | (F.size("right") > cut)
     kind = docs.schema[key].dataType
     schema = StructType([StructField(key, kind), StructField("segment", LongType()), StructField("seq", LongType()), StructField("code", StringType()), StructField("error", BooleanType()), *(StructField(c, LongType() if c.startswith("n_") else StringType()) for c in ROW)])
     types = [pa.int64(), pa.string(), pa.bool_(), *(pa.int64() if c.startswith("n_") else pa.string() for c in ROW)]
 
     def streams(column: pa.Array) -> list[list[tuple]]:
-        ends, flat = column.offsets.to_pylist(), column.values
+        ends = column.offsets.to_pylist()
+        flat = column.values.slice(ends[0], ends[-1] - ends[0])  # a slice keeps the values of its whole batch
         pairs = list(zip(flat.field("word").to_pylist(), flat.field("tag").to_pylist(), strict=True))
-        return [pairs[a:b] for a, b in zip(ends, ends[1:])]
+        return [pairs[a - ends[0] : b - ends[0]] for a, b in zip(ends, ends[1:])]
 
     def aligned(batches):
         for batch in batches:
@@ -260,7 +262,7 @@ def align_rows(docs: DataFrame, key: str = "doc_id", left: str = "left", right:
                 yield pa.RecordBatch.from_arrays([keys, pa.array(np.zeros(len(of), np.int64)), *(pa.array(c, t) for c, t in zip(cells, types, strict=True))], names=schema.names)
 
     short = picked.filter(~long).mapInArrow(aligned, schema)
-    rest = scratch.table(picked.filter(long), "long", "zstd")  # read several times
+    rest = picked.filter(long)
     if rest.isEmpty():
         return short
     each = lambda c: rest.select(F.col("key").alias(key), F.posexplode(c).alias("pos", "v")).select(key, "pos", "v.word", "v.tag")
