@@ -89,3 +89,30 @@ def test_rows_align_as_tokens_do(spark):
 def test_short_documents_are_aligned_in_place(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert p.count("Exchange") == 1 and "MapInArrow" in p and "Join" not in p
+
+
+def test_sentences_are_spliced_in_place(spark):
+    """Rows that stand together are spliced as shuffled ones are, over the ends of batches too, without a shuffle."""
+    from textmill.operators import tokens as K
+
+    r = random.Random(8)
+    rows = []
+    for s in range(90):
+        ids, n = [], 1
+        while n < r.randint(2, 30):
+            ids += [f"{n}-{n + r.randint(0, 2)}"] if r.random() < 0.4 else ["x-y"] if r.random() < 0.1 else []
+            ids.append(r.choice([str(n), str(n), str(n), f"{n}.1", None]))
+            n += 1
+        rows += [(None if s % 7 == 0 else s % 5, s, k, i, *(r.choice(["_", "a", None]) for _ in range(9))) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "k long, sent int, line_idx long, " + ", ".join(f"{c} string" for c in K.CONLLU)).coalesce(1)
+    want = sorted(map(str, K.splice_multiword(df.repartition(3), ["k", "sent"]).collect()))
+    assert 90 < len(want) < len(rows)
+    for most in ("1", "7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+        try:
+            got = K.splice_multiword(df, ["k", "sent"], together=True)
+            assert "Exchange" not in plan(got) and sorted(map(str, got.collect())) == want
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    p = plan(entry.queries()["mwt_splice"](spark, SF))
+    assert "Exchange" not in p and "MapInArrow" in p
