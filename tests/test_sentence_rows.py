@@ -116,3 +116,13 @@ def test_sentences_are_spliced_in_place(spark):
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     p = plan(entry.queries()["mwt_splice"](spark, SF))
     assert "Exchange" not in p and "MapInArrow" in p
+
+
+def test_tags_are_looked_up_in_place(spark):
+    """Tokens do not meet by their tag, of which there are few."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(entry.queries()["lempos_table"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p

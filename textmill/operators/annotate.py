@@ -185,6 +185,7 @@ def proper_noun_tags(word: Column, tag: Column, lemma: Column, initial: Column,
 
 
 def with_pos(tokens: DataFrame, table: DataFrame, tag: str = "tag", default: str = "x") -> DataFrame:
-    """pos_letter: what table(tag, pos) has for a token's tag, else the default."""
+    """pos_letter: what table(tag, pos) has for a token's tag, else the default. The table is a set of tags, so it goes to every task; by a
+    shuffle all tokens of a tag would meet in one."""
     letters = table.select(F.col("tag").alias("_tag"), F.col("pos").alias("_pos")).dropDuplicates(["_tag"])
-    return tokens.join(letters, F.col(tag) == F.col("_tag"), "left").withColumn("pos_letter", F.coalesce("_pos", F.lit(default))).drop("_tag", "_pos")
+    return tokens.join(F.broadcast(letters), F.col(tag) == F.col("_tag"), "left").withColumn("pos_letter", F.coalesce("_pos", F.lit(default))).drop("_tag", "_pos")
