@@ -194,3 +194,20 @@ def test_counts_on_the_way(spark):
     c.executemany("insert into t values (?, ?, ?)", rows)
     (want,) = c.sql("select count(*), count(*) filter (text is null), count(*) filter (trim(text, ' \t\n\r') = ''), count(*) filter (tool is null) from t").fetchall()
     assert tuple(seen.get[k] for k in ("rows", "missing", "blank", "no_tool")) == want == (5, 1, 2, 2)
+
+
+@pytest.mark.parametrize("most", [1, 3, 1000])
+def test_capped_sentences(spark, most):
+    """Counted sentences have the groups of their lines, and no line is shuffled."""
+    import __spark_entry__ as entry
+
+    rng = random.Random(most)
+    sizes = {f"f{k}": [rng.randint(1, 9) for _ in range(rng.randint(1, 12))] for k in range(6)}
+    rows = [(f, s, n) for f, ns in sizes.items() for s, n in enumerate(ns)]
+    rng.shuffle(rows)
+    got = S.capped_sentences(spark.createDataFrame([*rows, ("f0", 99, 0)], "file string, sent int, lines int"), most=most).collect()
+    for f, ns in sizes.items():
+        groups = split_by([v for n in ns for v in ["a"] * (n - 1) + ["</s>"]], "</s>", most)
+        assert sorted((r.group, r.lines) for r in got if r.file == f) == [(g, groups.count(g)) for g in sorted(set(groups))]
+    p = entry.queries()["capped_groups"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange") == 1 and "Union" not in p

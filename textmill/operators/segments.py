@@ -22,21 +22,34 @@ def capped_groups(lines: DataFrame, file: str = "file", order: str = "line_idx",
 
     Both ends set the count back, so a line's group within its sentence is its place there divided by `most`; the groups
     of the sentences before are added. A null value is no stop; an empty table gives no rows; ties in the order are the caller's.
+    Stops are found before lines are shuffled, so values travel only where they are asked for. Where sentences are rows already,
+    capped_sentences shuffles no line.
     """
     by = W.partitionBy(file).orderBy(order)
     stops = F.coalesce((F.col(value) == stop).cast("int"), F.lit(0))
-    t = lines.withColumn("_sent", F.coalesce(F.sum(stops).over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    t = lines.withColumn("_stop", stops).withColumn("_sent", F.coalesce(F.sum("_stop").over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     t = t.withColumn("_place", F.row_number().over(W.partitionBy(file, "_sent").orderBy(order)) - 1)
     new = (F.col("_place") % most == 0).cast("int")
-    return t.withColumn("group", F.sum(new).over(by) - 1).drop("_sent", "_place")
+    return t.withColumn("group", F.sum(new).over(by) - 1).drop("_stop", "_sent", "_place")
+
+
+def capped_sentences(sentences: DataFrame, file: str = "file", order: str = "sent", lines: str = "lines", most: int = MOST_LINES) -> DataFrame:
+    """file, group and lines (how many) of the groups that capped_groups gives sentences whose lines are counted, the stop line with
+    them. A row that is shuffled is a sentence."""
+    before = W.partitionBy(file).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    groups = F.ceil(F.col(lines) / most).cast("long")
+    t = sentences.filter(F.col(lines) > 0).select(file, order, F.col(lines).cast("long").alias("_n"), groups.alias("_k"))
+    t = t.withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0)))
+    t = t.select(file, "_n", "_before", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)).alias("_i"))
+    return t.select(file, (F.col("_before") + F.col("_i")).alias("group"), F.least(F.lit(most).cast("long"), F.col("_n") - F.col("_i") * most).alias("lines"))
 
 
 def sentence_batches(lines: DataFrame, file: str = "file", order: str = "line_idx", value: str = "value", most: int = MOST_SENTENCES) -> DataFrame:
     """batch (from 0) of each line of a file: a new one begins with the sentence tag that follows `most` sentences. Lines before the
     first sentence belong to batch 0."""
     starts = F.coalesce(F.col(value).rlike(r"^<s[ >]").cast("int"), F.lit(0))
-    sentence = F.sum(starts).over(W.partitionBy(file).orderBy(order))
-    return lines.withColumn("batch", F.floor(F.greatest(sentence - 1, F.lit(0)) / most).cast("long"))
+    sentence = F.sum("_start").over(W.partitionBy(file).orderBy(order))  # starts are found before lines are shuffled
+    return lines.withColumn("_start", starts).withColumn("batch", F.floor(F.greatest(sentence - 1, F.lit(0)) / most).cast("long")).drop("_start")
 
 
 def name_class(word: Column, tag: Column, initial: Column, known: Column, after: Column | None = None, functions: tuple[str, ...] = FUNCTION_WORDS, opening: tuple[str, ...] = OPENING) -> Column:
