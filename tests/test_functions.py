@@ -122,3 +122,14 @@ def test_lines_are_cleaned_by_classes(spark):
     left = L.tidy_lines(df, blank=False).collect()
     assert sorted(r.k for r in left) == [r.k for r in L.tidy_lines(df).orderBy("k").collect() if r.line]
     assert "regexp_replace" not in L.tidy_lines(df, blank=False).filter("k > 0")._jdf.queryExecution().optimizedPlan().toString().split("Filter")[-1]
+
+
+def test_results_are_kept_in_chunks(monkeypatch):
+    """Values come and go as Arrow arrays, and results are no list of a whole batch."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(U, "CHUNK", 5)
+    texts = ["ﬁ one", None, "", "two & three", "x"]
+    got = U.normalize_udf().func(pa.array(texts))
+    assert isinstance(got, pa.Array) and got.to_pylist() == [None if t is None else U.normalize_text(t) for t in texts]
+    assert U.xz_udf().func(pa.array(texts)).type == pa.binary() and U.normalize_udf().func(pa.array([], pa.string())).to_pylist() == []
