@@ -11,6 +11,7 @@ apart by the key; an empty table gives no rows.
 
 from __future__ import annotations
 
+import operator
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -52,17 +53,18 @@ class Rules:
     word = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d+(?:[.,]\d+)*|[^\w\s]|_")
 
     def analyze(self, texts: list[str]) -> list[list[list[Token]]]:
-        out = []
+        out, make = [], Token._make
         for text in texts:
             sentences, now, last = [], [], 0
             for m in self.word.finditer(text):
-                if now and ("\n" in text[last : m.start()] or now[-1].tag == "END"):
+                w, (start, end) = m[0], m.span()
+                if now and (now[-1][3] == "END" or text.find("\n", last, start) >= 0):
                     sentences.append(now)
                     now = []
-                w = m[0]
-                tag = "NUM" if w[0].isdigit() else "END" if w in ".?!" else "PUNCT" if not w[0].isalpha() else "PROPN" if w[0].isupper() else "WORD"
-                now.append(Token(*m.span(), w.lower(), tag, len(now), "dep" if now else "root"))
-                last = m.end()
+                c = w[0]
+                tag = ("PROPN" if c.isupper() else "WORD") if c.isalpha() else "NUM" if c.isdigit() else "END" if w in ".?!" else "PUNCT"
+                now.append(make((start, end, w.lower(), tag, len(now), "dep" if now else "root")))
+                last = end
             out.append([*sentences, now] if now else sentences)
         return out
 
@@ -84,22 +86,6 @@ def cut_markup(text: str, breakers: tuple[str, ...] = BREAKERS) -> Iterator[tupl
     yield "".join(plain) + text[at:], tags, ""
 
 
-def put_back(plain: str, tags: list[tuple[int, str]], sentences: list[list[Token]]) -> Iterator[tuple[int | None, int | None, str, str, Token | None, bool]]:
-    """sentence, place in it (from 1), kind, word, token and glued of a part's items: its tokens, with the tags before the first token that
-    starts at their place or later; those behind the last token have no sentence."""
-    k = 0
-    for s, tokens in enumerate(sentences):
-        finish = None
-        for pos, t in enumerate(tokens, 1):
-            while k < len(tags) and tags[k][0] <= t.start:
-                yield s, None, "tag", tags[k][1], None, False
-                k += 1
-            yield s, pos, "token", plain[t.start : t.end], t, finish is not None and t.start <= finish
-            finish = t.end
-    for _, tag in tags[k:]:
-        yield None, None, "tag", tag, None, False
-
-
 _MODELS: dict[str, Annotator] = {}
 
 
@@ -128,15 +114,35 @@ def annotate(df: DataFrame, make: Callable[[], Annotator] = Rules, key: str = "d
             plain = [p for _, parts in held for p, *_ in parts if p.strip()]
             found = iter(model.analyze(plain))
             columns: list[list] = [[] for _ in range(len(ITEM) + 1)]
+
+            def add(n: int, *values: object) -> None:
+                """n rows; a value that is no list holds for all of them."""
+                for c, v in zip(columns, values, strict=True):
+                    c.extend(v if isinstance(v, (list, tuple, range)) else [v] * n)
+
             for k, parts in held:
                 seq = sent = 0
                 for p, tags, end in parts:
-                    sentences = next(found) if p.strip() else []
-                    items = [*put_back(p, tags, sentences), *([(None, None, "break", end, None, False)] if end else [])]
-                    for s, pos, kind, word, t, glued in items:
-                        values = (k, seq, None if s is None else sent + s, pos, kind, word, t and t.lemma, t and t.tag, t and t.head, t and t.deprel, glued)
-                        for c, v in zip(columns, values, strict=True):
-                            c.append(v)
+                    sentences, at = next(found) if p.strip() else [], 0
+                    for s, tokens in enumerate(sentences, sent):
+                        if not tokens:
+                            continue
+                        starts, ends, lemmas, kinds, heads, deprels = zip(*tokens, strict=True)
+                        glued = [False, *map(operator.le, starts[1:], ends)]
+                        words = [p[x:y] for x, y in zip(starts, ends, strict=True)]
+                        i, n = 0, len(tokens)
+                        while i < n:  # the tokens up to the next tag, which goes before the first that starts at its place or later
+                            while at < len(tags) and tags[at][0] <= starts[i]:
+                                add(1, [k], seq, s, None, "tag", [tags[at][1]], None, None, None, None, False)
+                                seq, at = seq + 1, at + 1
+                            j = next((x for x in range(i, n) if starts[x] >= tags[at][0]), n) if at < len(tags) else n
+                            add(j - i, [k] * (j - i), range(seq, seq + j - i), s, range(i + 1, j + 1), "token", words[i:j], lemmas[i:j], kinds[i:j], heads[i:j], deprels[i:j], glued[i:j])
+                            seq, i = seq + j - i, j
+                    for tag in [t for _, t in tags[at:]]:
+                        add(1, [k], seq, None, None, "tag", [tag], None, None, None, None, False)
+                        seq += 1
+                    if end:
+                        add(1, [k], seq, None, None, "break", [end], None, None, None, None, False)
                         seq += 1
                     sent += len(sentences)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
