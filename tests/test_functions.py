@@ -133,3 +133,10 @@ def test_results_are_kept_in_chunks(monkeypatch):
     got = U.normalize_udf().func(pa.array(texts))
     assert isinstance(got, pa.Array) and got.to_pylist() == [None if t is None else U.normalize_text(t) for t in texts]
     assert U.xz_udf().func(pa.array(texts)).type == pa.binary() and U.normalize_udf().func(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_a_short_text_needs_a_small_dictionary():
+    import lzma
+
+    for text in ("", "é\n" * 3, "ab" * 100_000):
+        assert lzma.decompress(U.xz_bytes(text), memlimit=1 << 20).decode() == text
