@@ -126,3 +126,7 @@ def test_tags_are_looked_up_in_place(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_codes_are_made_in_place(spark):
+    assert "Exchange" not in plan(entry.queries()["diff_errors"](spark, SF))
