@@ -75,12 +75,29 @@ def test_texts_are_read_as_lines_are(spark):
         K.parse_conllu_texts(spark.createDataFrame([(1, "1\ta\nnone")], texts.schema)).collect()
 
 
+def test_glued_tokens_are_counted_as_they_are_marked(spark):
+    r = random.Random(11)
+    spans = []
+    for k in range(200):
+        at, s = 0, []
+        for _ in range(r.choice((0, 1, 2, 20))):
+            start = None if r.random() < 0.1 else at + r.choice((-1, 0, 0, 1, 2))
+            s.append((start, r.randint(0, 5)))
+            at = (start or 0) + s[-1][1]
+        spans.append((k, s))
+    df = spark.createDataFrame(spans, "k long, s array<struct<start:int,size:int>>")
+    t = df.select("k", F.posexplode("s").alias("pos", "x")).select("k", "pos", "x.start", (F.col("x.start") + F.col("x.size")).alias("finish"))
+    want = {x.k: x.n for x in K.glue(t, ["k"]).groupBy("k").agg(F.count_if("glued").alias("n")).collect()}
+    got = {x.k: x.n for x in df.select("k", K.count_glued(F.col("s"), lambda x, end: x["start"], lambda x: x["size"]).alias("n")).collect()}
+    assert len(got) == 200 and sum(got.values()) > 100 and got == {k: want.get(k, 0) for k in got}
+
+
 def test_round_trip_shuffles_nothing(spark):
     p = plan(entry.queries()["conllu_roundtrip"](spark, SF))
     assert "Exchange" not in p and "Window" not in p
 
 
-@pytest.mark.parametrize("name", ["conllu_counts"])
+@pytest.mark.parametrize("name", ["glue", "conllu_counts"])
 def test_only_counts_are_shuffled(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert "Window" not in p and "HashAggregate" in p.split("Exchange")[1].split("Exchange")[0] and p.count("Sort") == 0
