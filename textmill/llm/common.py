@@ -7,6 +7,8 @@ import ctypes
 import gc
 import re
 from collections.abc import Callable, Iterator
+from itertools import compress, islice, repeat
+from operator import is_
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -166,9 +168,12 @@ class Cache:
             self.old, self.young = self.young, {}
         young = self.young
         found = [list(map(young.get, keys)) for keys in lists]
-        gaps = [[i for i, value in enumerate(values) if value is None and i] for values in found]
-        new = make(self.missing({keys[i] for keys, at in zip(lists, gaps, strict=True) for i in at}, turn=False))
-        young.update((k, v) for k, v in new.items() if len(k) <= LONGEST_CACHED)
+        gaps = [list(compress(range(1, len(values)), map(is_, islice(values, 1, None), repeat(None)))) for values in found]
+        new = make(self.missing(set().union(*(map(keys.__getitem__, at) for keys, at in zip(lists, gaps, strict=True))), turn=False))
+        if max(map(len, new), default=0) > LONGEST_CACHED:
+            young.update((k, v) for k, v in new.items() if len(k) <= LONGEST_CACHED)
+        else:
+            young.update(new)
         for keys, values, at in zip(lists, found, gaps, strict=True):
             for i in at:
                 values[i] = new[key] if (key := keys[i]) in new else young[key]

@@ -32,15 +32,17 @@ from pyspark.sql.types import LongType, StructField, StructType
 from textmill.llm.common import Cache, Scratch, columns_of, shared, text_slices, uncollected, whole_number_key, word_chunks
 from textmill.llm.files import open_input, open_output
 
-_MARKS = ".,;:!?"
-#: Letters that every version of Unicode has, and one mark.
-_WORD_AND_MARK = re.compile(f"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[{_MARKS}]")
+_MARKS = ".,;:!?#*$%&"
+#: Letters that every version of Unicode has, and a few marks: one pre-token each.
+_WORD_AND_MARKS = re.compile(f"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)[{_MARKS}]{{1,4}}")
 #: A space byte as the vocabulary writes it.
 _SPACE = "\u0120"
 MAGIC = b"TMS8B001"
 BLOCK = 4096
 #: Word chunks whose ids a worker keeps.
 CACHED_CHUNKS = 1_200_000
+#: Chunks that are encoded as one text, since a longer one takes longer for each, and texts that are encoded at once.
+JOINED, TEXTS = 256, 16
 #: Blocks that are packed or decoded at once.
 GROUP = 256
 #: Selector: (ids in a word, bits of each). Selector 0 is a run of zeros, 15 an escape.
@@ -194,7 +196,7 @@ class CachedTokenizer:
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
         self.opens[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
         self.chunks = Cache(CACHED_CHUNKS)
-        self.marks = dict(zip(_MARKS, self._bytes(list(_MARKS)), strict=True))
+        self.marks: dict[str, bytes] = {}
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -203,27 +205,28 @@ class CachedTokenizer:
         """The ids of each chunk with a space before it. Many without a space inside are encoded as one text, since no token
         reaches over the start of a chunk; a token that begins with a space then begins a chunk."""
         out: list[bytes] = []
-        for at in range(0, len(chunks), 4096):
-            part = chunks[at : at + 4096]
-            joined = " " + " ".join(part)
-            if joined.count(" ") == len(part):
-                data = self._bytes([joined])[0]
+        for first in range(0, len(chunks), JOINED * TEXTS):
+            parts = [chunks[at : at + JOINED] for at in range(first, min(first + JOINED * TEXTS, len(chunks)), JOINED)]
+            texts = [" " + " ".join(part) for part in parts]
+            for part, joined, data in zip(parts, texts, self._bytes(texts), strict=True):
                 edges = [*np.flatnonzero(self.opens[np.frombuffer(data, "<u4")]).tolist(), len(data) // 4]
-                if len(edges) == len(part) + 1:
+                if joined.count(" ") == len(part) == len(edges) - 1:
                     out += [data[4 * a : 4 * b] for a, b in itertools.pairwise(edges)]
-                    continue
-            out += self._bytes([f" {c}" for c in part])
+                else:
+                    out += self._bytes([f" {c}" for c in part])
         return out
 
     def _new(self, chunks: list[str]) -> dict[str, bytes]:
         """The ids of chunks that are not in the cache."""
-        ending = {c: c[:-1] for c in chunks if c[-1:] in self.marks and _WORD_AND_MARK.fullmatch(c)}  # two pre-tokens: the word's ids are shared
+        ending = {c: m[1] for c in chunks if c[-1:] in _MARKS and (m := _WORD_AND_MARKS.fullmatch(c))}  # two pre-tokens: the word's ids are shared
+        marks = list({c[len(w) :] for c, w in ending.items()}.difference(self.marks))
+        self.marks.update(zip(marks, self._bytes(marks), strict=True))
         plain = [c for c in chunks if c not in ending]
         plain += self.chunks.missing(set(ending.values()).difference(plain), turn=False)
         plain.sort(key=lambda c: " " in c)  # those with spaces are last, so that few are encoded alone
         got = dict(zip(plain, self._chunks(plain), strict=True))
         words = self.chunks.young
-        return got | {c: (got[w] if w in got else words[w]) + self.marks[c[-1]] for c, w in ending.items()}
+        return got | {c: (got[w] if w in got else words[w]) + self.marks[c[len(w) :]] for c, w in ending.items()}
 
     def encode(self, texts: list[str | None], end: tuple[int, ...] = ()) -> list[np.ndarray]:
         """The ids of each text, then those of end."""
