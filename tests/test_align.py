@@ -146,3 +146,49 @@ def test_reports(spark):
     assert [(r.left, r.right) for r in A.error_rows(rows, "my doc").collect()] == [(None, "up A")]
     text = A.report({"second": rows}, C.tag_counts({"first": frame(spark, x), "second": frame(spark, y)}), "my doc")
     assert "| second | 5 | 4 | 1 | 1 | 1 | 1 | 80.00 | 20.00 |" in text and "| mats N | ma N ts N | 1 | 100.00 |" in text and "| N | 2 | 2 |" in text
+
+
+def test_columns_are_the_rows_of_each_pair(monkeypatch):
+    """All pairs of streams at once give what one pair at a time gives; streams that both sides share in one order need no rows of bits."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    some = lambda: [(rng.choice(["a", "b", "c", None, ""]), rng.choice(["N", "V", None])) for _ in range(rng.choice((0, 1, 2, 6, 25)))]
+    pairs = [(some(), some()) for _ in range(400)] + [(s, edited(rng, s, 0.3)) for s in ([(f"{w}#{k}", t) for k, (w, t) in enumerate(stream(rng, n))] for n in (0, 1, 7, 90))]
+
+    def side(streams):
+        flat = [t for s in streams for t in s]
+        return A.Side(np.cumsum([0, *map(len, streams)]), pa.array([w for w, _ in flat], pa.string()), pa.array([t for _, t in flat], pa.string()))
+
+    def rows(pairs, columns, codes="SCI"):
+        of, cells = A.aligned_columns(side([x for x, _ in pairs]), side([y for _, y in pairs]), columns, codes)
+        return list(zip(of.tolist(), *(c.to_pylist() for c in cells), strict=True))
+
+    want = [(k, n, *r) for k, (x, y) in enumerate(pairs) for n, r in enumerate(A.segment_rows(x, y, True))]
+    columns = ("seq", "code", "error", *A.ROW)
+    assert rows(pairs, columns) == want and sum(r[3] for r in want) > 20
+    assert rows(pairs, columns, "I") == [r for r in want if r[2] == "I"]
+    assert rows(pairs, ("code", "right_tag"), "SC") == [(r[0], r[2], r[8]) for r in want if r[2] != "I"]
+    assert rows([], columns) == rows([([], [])], columns) == []
+    monkeypatch.setattr(A, "lcs", None)
+    assert rows(pairs[400:], columns) == [(k - 400, *r) for k, *r in want if k >= 400]
+
+
+def test_long_rows_among_short_ones(spark):
+    rng = random.Random(7)
+    streams = [stream(rng, n, 30) for n in (40, 3, 0, 41, 40, 90, 5)]
+    token = "array<struct<word:string,tag:string>>"
+    df = spark.createDataFrame([(k, s, edited(rng, s, 0.2)) for k, s in enumerate(streams)], f"k long, left {token}, right {token}").coalesce(1)
+    got = A.align_rows(df, "k", cut=60).groupBy("k").agg(F.sum("n_left"), F.sum("n_right")).collect()
+    assert sorted(map(tuple, got)) == [(r.k, len(r.left), len(r.right)) for r in df.orderBy("k").collect() if r.left or r.right]
+
+
+@pytest.mark.parametrize("name", ["align_pairs", "align_ignored"])
+def test_streams_are_aligned_once(spark, name):
+    import __spark_entry__ as entry
+
+    df = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final

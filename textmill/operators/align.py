@@ -15,11 +15,14 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,10 +33,12 @@ from textmill.plans.scratch import Scratch
 
 #: Tokens of an anchor; tokens for each cut; one anchor of so many is looked at; bits of rows that are held at once.
 SHINGLE, CUT, THIN, BITS = 8, 20_000, 32, 1 << 29
-#: Rows that are aligned before theirs are given back.
-PACK = 16
+#: Tokens of both sides of the rows that are aligned before theirs are given back; a row is never taken apart.
+PACK = 1 << 17
 #: What each side has in a row, beside its code and error.
 ROW = ("left", "left_tag", "n_left", "right", "right_tag", "n_right")
+#: All columns of an alignment beside the key, and their types.
+TYPES = {"segment": pa.int64(), "seq": pa.int64(), "code": pa.string(), "error": pa.bool_(), **{c: pa.int64() if c.startswith("n_") else pa.string() for c in ROW}}
 
 
 def _rows(x: list, y: list) -> list[int]:
@@ -84,13 +89,15 @@ def lcs(x: list, y: list, bits: int = BITS) -> list[tuple[int, int]]:
             at = c + int(np.argmax(ahead + behind))
             todo += [(a, half, c, at), (half, b, at, d)]
             continue
-        rows, i, j = _rows(x[a:b], y[c:d]), b - a, d - c
+        common = set(x[a:b]).intersection(y[c:d])  # what one side alone has is passed over by the way back
+        p, q = [k for k in range(a, b) if x[k] in common], [k for k in range(c, d) if y[k] in common]
+        rows, i, j = _rows([x[k] for k in p], [y[k] for k in q]), len(p), len(q)
         while i and j:
             if rows[i] >> (j - 1) & 1:
                 j -= 1
             elif rows[i - 1] >> (j - 1) & 1:
                 i, j = i - 1, j - 1
-                out.append((a + i, c + j))
+                out.append((p[i], q[j]))
             else:
                 i -= 1
     return sorted(out)
@@ -229,6 +236,189 @@ def align(left: DataFrame, right: DataFrame, key: str = "doc_id", order: tuple[s
     return rows.select(key, F.col("part").cast("long").alias("segment"), "seq", "code", "error", *ROW)
 
 
+class Side(NamedTuple):
+    """The streams of some rows: row k has the words and tags from ends[k] to ends[k + 1]."""
+
+    ends: np.ndarray
+    word: pa.Array
+    tag: pa.Array
+
+    def part(self, a: int, b: int) -> Side:
+        first, last = int(self.ends[a]), int(self.ends[b])
+        return Side(self.ends[a : b + 1] - first, self.word.slice(first, last - first), self.tag.slice(first, last - first))
+
+
+def _codes(x: pa.Array, y: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
+    """Equal numbers for equal values of both arrays (nulls too), and how many there are."""
+    both = pa.concat_arrays([x, y]).dictionary_encode(null_encoding="encode")
+    codes = both.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return codes[: len(x)], codes[len(x) :], len(both.dictionary)
+
+
+def _places(first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of each run in all runs, and first + 0, 1, ... of each."""
+    ends = np.cumsum(n)
+    return ends - n, np.repeat(first - (ends - n), n) + np.arange(int(ends[-1]) if len(n) else 0)
+
+
+def _leading(equal: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many of each run's first values are true. No run is empty."""
+    at = np.arange(len(equal)) - np.repeat(starts, n)
+    return np.minimum.reduceat(np.where(equal, np.repeat(n, n), at), starts) if len(n) else n
+
+
+def _matched(x: Side, y: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each token of either side whether it is in the longest common subsequence of its row that `lcs` gives; and numbers of words."""
+    (wx, wy, _), (tx, ty, tags) = _codes(x.word, y.word), _codes(x.tag, y.tag)
+    row_x, row_y = (np.repeat(np.arange(len(s.ends) - 1), np.diff(s.ends)) for s in (x, y))
+    token = np.r_[wx, wy] * tags + np.r_[tx, ty]
+    most = int(token.max()) + 1 if len(token) else 1
+    kinds, token = np.unique(np.r_[row_x, row_y] * most + token, return_inverse=True)  # of each row its own
+    a, b = token[: len(wx)], token[len(wx) :]
+    keep_x, keep_y = np.bincount(b, minlength=len(kinds))[a] > 0, np.bincount(a, minlength=len(kinds))[b] > 0
+    # where what both sides have is one sequence, it is the only longest one
+    p, q, n = np.flatnonzero(keep_x), np.flatnonzero(keep_y), len(x.ends) - 1
+    n_x, n_y = np.bincount(row_x[p], minlength=n), np.bincount(row_y[q], minlength=n)
+    unlike = n_x != n_y
+    p_same, q_same = p[~unlike[row_x[p]]], q[~unlike[row_y[q]]]
+    unlike[row_x[p_same[a[p_same] != b[q_same]]]] = True
+    for k in np.flatnonzero(unlike):
+        (i, to_i), (j, to_j) = x.ends[k : k + 2], y.ends[k : k + 2]
+        pairs = np.array(lcs(a[i:to_i].tolist(), b[j:to_j].tolist()), np.int64).reshape(-1, 2)
+        keep_x[i:to_i] = keep_y[j:to_j] = False
+        keep_x[i + pairs[:, 0]] = keep_y[j + pairs[:, 1]] = True
+    return keep_x, keep_y, wx, wy
+
+
+def _texts(side: Side, first: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The tokens of each run written out with their tags; null for an empty run."""
+    starts, at = _places(first, n)
+    tokens = pc.binary_join_element_wise(*(pc.fill_null(c.take(pa.array(at)), "None") for c in (side.word, side.tag)), " ")
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[starts, len(at)], pa.int32()), tokens), " ")
+    return pc.if_else(pa.array(n > 0), joined, pa.scalar(None, pa.string()))
+
+
+def aligned_columns(x: Side, y: Side, columns: tuple[str, ...] = tuple(TYPES), codes: str = "SCI") -> tuple[np.ndarray, list[pa.Array]]:
+    """The rows that segment_rows gives each pair of streams, all at once: the place of the streams in x and y for each row, and
+    the columns asked for, of rows that have one of the codes asked for."""
+    keep_x, keep_y, wx, wy = _matched(x, y)
+    docs = len(x.ends) - 1
+    # a gap is what stands before a match or the end of a row's streams, empty or not
+    pairs = np.diff(np.r_[0, np.cumsum(keep_x)][x.ends])
+    doc = np.repeat(np.arange(docs), pairs + 1)
+    last = np.zeros(len(doc), bool)
+    last[np.cumsum(pairs + 1) - 1] = True
+
+    def gaps(side: Side, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        end = np.empty(len(doc), np.int64)
+        end[~last], end[last] = np.flatnonzero(keep), side.ends[1:]
+        before = np.r_[0, end[:-1] + 1][: len(doc)]
+        first = np.r_[True, last[:-1]][: len(doc)]
+        before[first] = side.ends[:-1]
+        return end, end - before
+
+    (end_x, n_x), (end_y, n_y) = gaps(x, keep_x), gaps(y, keep_y)
+    front, back = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
+    both = np.flatnonzero((n_x > 0) & (n_y > 0))
+    least = np.minimum(n_x, n_y)
+    starts, i = _places((end_x - n_x)[both], least[both])
+    front[both] = _leading(wx[i] == wy[_places((end_y - n_y)[both], least[both])[1]], starts, least[both])
+    both = both[least[both] > front[both]]
+    rest = least[both] - front[both]
+    starts, k = _places(np.zeros(len(both), np.int64), rest)
+    back[both] = _leading(wx[np.repeat(end_x[both], rest) - 1 - k] == wy[np.repeat(end_y[both], rest) - 1 - k], starts, rest)
+    odd_x, odd_y = n_x - front - back, n_y - front - back
+    odd = ((odd_x > 0) | (odd_y > 0)).astype(np.int64)
+    # a single token between two matches, and of such that share a match every other one, as an expression finds them
+    alone = (n_x + n_y == 1) & ~last & ~np.r_[True, last[:-1]][: len(doc)]
+    at = np.arange(len(doc))
+    wrong = alone & ((at - np.maximum.accumulate(np.where(alone, -1, at))) % 2 == 1)
+
+    size = front + odd + back + ~last
+    starts, place = _places(np.zeros(len(doc), np.int64), size)
+    gap = np.repeat(at, size)
+    after = place - front[gap] - odd[gap]  # of C rows from the back
+    kind = np.where(place < front[gap], 0, np.where(after < 0, 1, np.where(after < back[gap], 0, 2)))
+    row_starts = np.r_[0, np.cumsum(size)][np.r_[0, np.cumsum(pairs + 1)]] if docs else np.zeros(1, np.int64)
+    seq = np.arange(len(gap)) - np.repeat(row_starts[:-1], np.diff(row_starts))
+    if codes != "SCI":
+        picked = np.isin(kind, ["CIS".index(c) for c in codes])
+        gap, place, after, kind, seq = (v[picked] for v in (gap, place, after, kind, seq))
+    aside = kind == 1
+    run = gap[aside]
+
+    def token(end: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return np.where(place < front[gap], (end - n)[gap] + place, np.where(kind == 2, end[gap], (end - back)[gap] + after))
+
+    def column(name: str) -> pa.Array:
+        if name == "segment":
+            return pa.array(np.zeros(len(gap), np.int64))
+        if name == "seq":
+            return pa.array(seq)
+        if name == "code":
+            return pa.array(["C", "I", "S"]).take(pa.array(kind))
+        if name == "error":
+            return pa.array(wrong[gap] & aside)
+        side, end, n, others = (x, end_x, n_x, odd_x) if "left" in name else (y, end_y, n_y, odd_y)
+        if name.startswith("n_"):
+            return pa.array(np.where(aside, others[gap], 1))
+        if name.endswith("_tag"):
+            return side.tag.take(pa.array(token(end, n), mask=aside))
+        places = token(end, n)
+        places[aside] = len(side.word) + np.arange(len(run))
+        written = _texts(side, (end - n + front)[run], others[run])
+        return pa.concat_arrays([side.word, written]).take(pa.array(places))
+
+    return doc[gap], [column(c) for c in columns]
+
+
+def _schema(key: StructField, columns: tuple[str, ...]) -> StructType:
+    kinds = {pa.int64(): LongType(), pa.string(): StringType(), pa.bool_(): BooleanType()}
+    return StructType([StructField(key.name, key.dataType), *(StructField(c, kinds[TYPES[c]]) for c in columns)])
+
+
+def align_made(docs: DataFrame, read: Callable[[pa.RecordBatch], tuple[Side, Side]], long: Column, key: str = "doc_id", columns: tuple[str, ...] = tuple(TYPES), codes: str = "SCI", cut: int = CUT, scratch: Scratch | None = None) -> DataFrame:
+    """What `align` gives, of rows that have a key and what `read` makes the streams of both sides of: the key and the columns asked
+    for, of rows with the codes asked for. long: a condition that all rows of more than `cut` tokens on a side meet, and few others.
+    Rows of at most `cut` tokens on both sides are aligned where they are; the tokens of the others, made once, go through `align`."""
+    scratch = scratch or Scratch(docs.sparkSession)
+    kind = docs.schema[key]
+    schema = _schema(kind, columns)
+    large = lambda x, y: (np.diff(x.ends) > cut) | (np.diff(y.ends) > cut)
+
+    def aligned(batches):
+        for batch in batches:
+            x, y = read(batch)
+            skip, sizes, a = large(x, y), x.ends + y.ends, 0
+            while a < batch.num_rows:
+                if skip[a]:
+                    a += 1
+                    continue
+                b = max(a + 1, int(np.searchsorted(sizes, sizes[a] + PACK, "right")) - 1)
+                b = next((k for k in range(a + 1, b) if skip[k]), b)
+                of, cells = aligned_columns(x.part(a, b), y.part(a, b), columns, codes)
+                keys = batch.column(key).take(pa.array(of + a))
+                yield pa.RecordBatch.from_arrays([keys, *cells], names=schema.names)
+                a = b
+
+    def streams(batches):
+        for batch in batches:
+            x, y = read(batch)
+            for k in np.flatnonzero(large(x, y)).tolist():
+                cells = [pa.ListArray.from_arrays(pa.array(s.ends, pa.int32()), pa.StructArray.from_arrays([s.word, s.tag], ["word", "tag"])) for s in (x.part(k, k + 1), y.part(k, k + 1))]
+                yield pa.RecordBatch.from_arrays([batch.column(key).slice(k, 1), *cells], names=[key, "left", "right"])
+
+    short = docs.mapInArrow(aligned, schema)
+    token = "array<struct<word:string,tag:string>>"
+    rest = docs.filter(long).mapInArrow(streams, StructType([kind, *(StructField(c, StructType.fromDDL(f"t {token}")["t"].dataType) for c in ("left", "right"))]))
+    rest = scratch.table(rest, "streams", "zstd")
+    if rest.isEmpty():
+        return short
+    each = lambda c: rest.select(F.col(key), F.posexplode(c).alias("pos", "v")).select(key, "pos", "v.word", "v.tag")
+    whole = align(each("left"), each("right"), key, cut=cut, scratch=scratch)
+    return short.unionByName(whole.filter(F.col("code").isin(*codes)).select(key, *columns))
+
+
 def align_rows(docs: DataFrame, key: str = "doc_id", left: str = "left", right: str = "right", cut: int = CUT, scratch: Scratch | None = None) -> DataFrame:
     """What `align` gives, of rows that have a key (written once) and both streams as arrays of structs of word and tag. Rows of at most
     `cut` tokens on both sides are aligned where they are, without a shuffle of tokens; the tokens of the others go through `align`."""
@@ -236,44 +426,54 @@ def align_rows(docs: DataFrame, key: str = "doc_id", left: str = "left", right:
     token = "array<struct<word:string,tag:string>>"
     stream = lambda c: F.coalesce(F.transform(F.col(f"`{c}`"), lambda x: F.struct(x["word"].cast("string").alias("word"), x["tag"].cast("string").alias("tag"))), F.array().cast(token))
     picked = docs.select(F.col(f"`{key}`").alias("key"), stream(left).alias("left"), stream(right).alias("right"))
-    picked = scratch.table(picked, "streams", "zstd")  # written once: filters on sizes would make the streams again, several times
-    long = (F.size("left") > cut) | (F.size("right") > cut)
-    kind = docs.schema[key].dataType
-    schema = StructType([StructField(key, kind), StructField("segment", LongType()), StructField("seq", LongType()), StructField("code", StringType()), StructField("error", BooleanType()), *(StructField(c, LongType() if c.startswith("n_") else StringType()) for c in ROW)])
-    types = [pa.int64(), pa.string(), pa.bool_(), *(pa.int64() if c.startswith("n_") else pa.string() for c in ROW)]
-
-    def streams(column: pa.Array) -> list[list[tuple]]:
-        ends = column.offsets.to_pylist()
-        flat = column.values.slice(ends[0], ends[-1] - ends[0])  # a slice keeps the values of its whole batch
-        pairs = list(zip(flat.field("word").to_pylist(), flat.field("tag").to_pylist(), strict=True))
-        return [pairs[a - ends[0] : b - ends[0]] for a, b in zip(ends, ends[1:])]
+    picked = scratch.table(picked, "rows", "zstd")  # written once: filters on sizes would make the streams again, several times
 
-    def aligned(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, PACK):  # rows of so many documents are held at once
-                part = pa.Table.from_batches([batch.slice(at, PACK)]).combine_chunks().to_batches()[0]
-                rows, of = [], []
-                for k, (x, y) in enumerate(zip(streams(part.column("left")), streams(part.column("right")), strict=True)):
-                    found = segment_rows(x, y, True)
-                    rows += [(n, *r) for n, r in enumerate(found)]
-                    of += [k] * len(found)
-                cells = list(zip(*rows, strict=True)) if rows else [()] * len(types)
-                keys = part.column("key").take(pa.array(of, pa.int64()))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(np.zeros(len(of), np.int64)), *(pa.array(c, t) for c, t in zip(cells, types, strict=True))], names=schema.names)
-
-    short = picked.filter(~long).mapInArrow(aligned, schema)
-    rest = picked.filter(long)
-    if rest.isEmpty():
-        return short
-    each = lambda c: rest.select(F.col("key").alias(key), F.posexplode(c).alias("pos", "v")).select(key, "pos", "v.word", "v.tag")
-    return short.unionByName(align(each("left"), each("right"), key, cut=cut, scratch=scratch))
+    def read(batch: pa.RecordBatch) -> tuple[Side, Side]:
+        sides = []
+        for column in (batch.column("left"), batch.column("right")):
+            tokens = column.flatten()
+            sides.append(Side(_ends(column), tokens.field("word"), tokens.field("tag")))
+        return tuple(sides)
+
+    return align_made(picked, read, (F.size("left") > cut) | (F.size("right") > cut), "key", cut=cut, scratch=scratch).withColumnRenamed("key", key)
+
+
+def _ends(lists: pa.Array) -> np.ndarray:
+    return np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64))]
+
+
+def word_streams(change: Callable[[pa.Array, pa.Array, np.ndarray, np.ndarray], tuple[pa.Array, pa.Array, np.ndarray, pa.Array, pa.Array]]) -> Callable[[pa.RecordBatch], tuple[Side, Side]]:
+    """A reader for align_made of rows that have the words and tags of their sentences as arrays of arrays. change: of words, tags, sentences
+    (from 0) and places (from 1) the words and tags of the left side, and of the right side the tokens that its words and tags stand for
+    (ascending) and those."""
+
+    def read(batch: pa.RecordBatch) -> tuple[Side, Side]:
+        sentences = batch.column("words").flatten()
+        rows, ends = _ends(batch.column("words")), _ends(sentences)
+        n = np.diff(ends)
+        pos = np.arange(int(ends[-1])) - np.repeat(ends[:-1], n) + 1
+        sent = np.repeat(np.arange(len(n)) - np.repeat(rows[:-1], np.diff(rows)), n)
+        word, tag, of, other, other_tag = change(sentences.flatten(), batch.column("tags").flatten().flatten(), sent, pos)
+        ends = ends[rows]
+        return Side(ends, word, tag), Side(np.searchsorted(of, ends), other, other_tag)
+
+    return read
+
+
+def _compared(aligned: DataFrame, *by: Column | str) -> tuple[DataFrame, DataFrame]:
+    """n of tokens whose tags differ, and one row of total and diffs. Both come from one count, so streams are aligned once: a filter by
+    the code itself would go below the count, and make it another."""
+    differs = F.col("code") == "C"
+    names = [f"b{k}" for k in range(len(by))]
+    n = aligned.filter(F.col("code").isin("S", "C")).groupBy("code", *(F.when(differs, c).alias(b) for b, c in zip(names, by, strict=True))).agg(F.count("*").alias("n"), F.max(differs).alias("differs"))
+    total = n.agg(F.sum("n").alias("total"), F.coalesce(F.sum(F.when(F.col("differs"), F.col("n"))), F.lit(0)).alias("diffs"))
+    return n.filter("differs"), total
 
 
 def differences(aligned: DataFrame) -> DataFrame:
     """word, left_tag, right_tag, n, diff_pct and total_pct of tokens whose tags differ: shares of all such tokens and of all compared."""
-    total = aligned.agg(F.count_if(F.col("code").isin("S", "C")).alias("total"), F.count_if(F.col("code") == "C").alias("diffs"))
-    n = aligned.filter("code = 'C'").groupBy(F.col("left").alias("word"), "left_tag", "right_tag").agg(F.count("*").alias("n"))
-    return n.join(F.broadcast(total)).select("word", "left_tag", "right_tag", "n", (100 * F.col("n") / F.col("diffs")).alias("diff_pct"), (100 * F.col("n") / F.col("total")).alias("total_pct"))  # one row
+    n, total = _compared(aligned, F.col("left"), F.col("left_tag"), F.col("right_tag"))
+    return n.join(F.broadcast(total)).select(F.col("b0").alias("word"), F.col("b1").alias("left_tag"), F.col("b2").alias("right_tag"), "n", (100 * F.col("n") / F.col("diffs")).alias("diff_pct"), (100 * F.col("n") / F.col("total")).alias("total_pct"))  # one row
 
 
 def difference_pairs(differences_: DataFrame) -> DataFrame:
@@ -281,16 +481,22 @@ def difference_pairs(differences_: DataFrame) -> DataFrame:
     return differences_.groupBy("left_tag", "right_tag").agg(*(F.sum(c).alias(c) for c in ("n", "diff_pct", "total_pct")))
 
 
+def tag_pairs(aligned: DataFrame) -> DataFrame:
+    """What difference_pairs gives of the differences, counted by pair at once, so no word is shuffled."""
+    n, total = _compared(aligned, F.col("left_tag"), F.col("right_tag"))
+    return n.join(F.broadcast(total)).select(F.col("b0").alias("left_tag"), F.col("b1").alias("right_tag"), "n", (100 * F.col("n") / F.col("diffs")).alias("diff_pct"), (100 * F.col("n") / F.col("total")).alias("total_pct"))  # one row
+
+
 def ignored(aligned: DataFrame) -> DataFrame:
     """left, right, n and ignored_pct of sequences that both sides have and that were not compared; shares of all of them."""
-    rows = aligned.filter("code = 'I' AND left IS NOT NULL AND right IS NOT NULL")
-    total = rows.agg(F.count("*").alias("total"))
-    return rows.groupBy("left", "right").agg(F.count("*").alias("n")).join(F.broadcast(total)).select("left", "right", "n", (100 * F.col("n") / F.col("total")).alias("ignored_pct"))  # one row
+    n = aligned.filter("code = 'I' AND left IS NOT NULL AND right IS NOT NULL").groupBy("left", "right").agg(F.count("*").alias("n"))
+    total = n.agg(F.sum("n").alias("total"))  # of the same counts, so streams are aligned once
+    return n.join(F.broadcast(total)).select("left", "right", "n", (100 * F.col("n") / F.col("total")).alias("ignored_pct"))  # one row
 
 
 def summary(aligned: DataFrame, by: list[Column | str] | None = None) -> DataFrame:
     """compared, same, different, ignored (sequences of both sides), alone (sequences of one side), errors, and shares of what was compared."""
-    code, both = F.col("code"), F.col("left").isNotNull() & F.col("right").isNotNull()
+    code, both = F.col("code"), (F.col("n_left") > 0) & (F.col("n_right") > 0)
     t = aligned.groupBy(*(by or [])).agg(
         F.count_if(code.isin("S", "C")).alias("compared"), F.count_if(code == "S").alias("same"), F.count_if(code == "C").alias("different"),
         F.count_if((code == "I") & both).alias("ignored"), F.count_if((code == "I") & ~both).alias("alone"), F.count_if("error").alias("errors"))
