@@ -35,6 +35,8 @@ from textmill.plans.scratch import Scratch
 SHINGLE, CUT, THIN, BITS = 8, 20_000, 32, 1 << 29
 #: Tokens of both sides of the rows that are aligned before theirs are given back; a row is never taken apart.
 PACK = 1 << 17
+#: Rows whose streams are made at once: a batch has up to 10,000, whose streams would be some hundred MB.
+READ = 64
 #: What each side has in a row, beside its code and error.
 ROW = ("left", "left_tag", "n_left", "right", "right_tag", "n_right")
 #: All columns of an alignment beside the key, and their types.
@@ -387,7 +389,7 @@ def align_made(docs: DataFrame, read: Callable[[pa.RecordBatch], tuple[Side, Sid
     large = lambda x, y: (np.diff(x.ends) > cut) | (np.diff(y.ends) > cut)
 
     def aligned(batches):
-        for batch in batches:
+        for batch in (b.slice(at, READ) for b in batches for at in range(0, b.num_rows, READ)):
             x, y = read(batch)
             skip, sizes, a = large(x, y), x.ends + y.ends, 0
             while a < batch.num_rows:
@@ -402,7 +404,7 @@ def align_made(docs: DataFrame, read: Callable[[pa.RecordBatch], tuple[Side, Sid
                 a = b
 
     def streams(batches):
-        for batch in batches:
+        for batch in (b.slice(at, READ) for b in batches for at in range(0, b.num_rows, READ)):
             x, y = read(batch)
             for k in np.flatnonzero(large(x, y)).tolist():
                 cells = [pa.ListArray.from_arrays(pa.array(s.ends, pa.int32()), pa.StructArray.from_arrays([s.word, s.tag], ["word", "tag"])) for s in (x.part(k, k + 1), y.part(k, k + 1))]
